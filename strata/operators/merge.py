@@ -105,7 +105,9 @@ def upsert(current: DataFrame | None, batch: DataFrame, key, order=None,
     newest = newest.select(*current.columns)   # helper order columns are dropped
     if not current_is_unique:
         current = keep_last(current, keys, [c for c in _names(order) if c in current.columns])
-    incoming = newest.select(*[F.col(k).alias(f"__k_{i}") for i, k in enumerate(keys)])
+    # the keys of keep_last(batch) are exactly the distinct batch keys: an aggregate
+    # (partial before the shuffle) is cheaper than reading the window's output twice
+    incoming = batch.select(*[F.col(k).alias(f"__k_{i}") for i, k in enumerate(keys)]).distinct()
     cond = [current[k].eqNullSafe(incoming[f"__k_{i}"]) for i, k in enumerate(keys)]
     kept = current.join(incoming, cond, "left_anti")
     return newest.unionByName(kept)

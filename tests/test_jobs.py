@@ -1,0 +1,133 @@
+"""Layer loads, full run with a failing table, run log, stream."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from conftest import write_text
+from strata import specs as S
+from strata.plans import jobs
+from strata.sinks import tables
+from strata.sources import layers
+from strata.streaming.incremental import incremental_load
+
+ORDERS_HEADER = ",".join(S.ORDERS.columns) + "\n"
+
+
+def land(landing, spec, body):
+    return write_text(f"{landing}/{spec.source_file}/part-0.csv",
+                      ",".join(spec.columns) + "\n" + body)
+
+
+def test_orders_three_layers_and_rerun(spark, tmp_dir):
+    landing, base = f"{tmp_dir}/landing", f"{tmp_dir}/lake"
+    src = land(landing, S.ORDERS,
+               "o1,c1,created,2017-09-13 08:59:02,,,,2017-09-29 00:00:00\n"
+               "o2,c2,shipped,2017-9-1 1:2:3,None,,,2017-10-01 00:00:00\n"
+               "o1,c1,delivered,2017-09-13 08:59:02,2017-09-13 09:45:35,,,2017-09-29 00:00:00\n")
+    src_dir = src.rsplit("/", 1)[0]
+    assert jobs.load_raw(spark, S.ORDERS, src_dir, base) == 2
+    assert jobs.load_trusted(spark, S.ORDERS, base) == 2
+    assert jobs.load_refined(spark, S.ORDERS, base) == 2
+    refined = spark.read.parquet(jobs.table_path(base, jobs.REFINED, S.ORDERS))
+    got = {r.order_id: r for r in refined.collect()}
+    # inside one file the greater full row is "last": 'delivered' > 'created'
+    assert got["o1"].order_status == "delivered"
+    assert got["o1"].order_approved_at == dt.date(2017, 9, 13)
+    assert got["o2"].order_purchase_timestamp == dt.date(2017, 9, 1)
+    assert got["o2"].order_approved_at is None
+    # rerun of the refined load: append doubles, overwrite does not
+    jobs.load_refined(spark, S.ORDERS, base)
+    assert spark.read.parquet(jobs.table_path(base, jobs.REFINED, S.ORDERS)).count() == 4
+    jobs.load_refined(spark, S.ORDERS, base, write_mode=tables.OVERWRITE)
+    assert spark.read.parquet(jobs.table_path(base, jobs.REFINED, S.ORDERS)).count() == 2
+
+
+def test_new_batch_over_existing_raw(spark, tmp_dir):
+    landing, base = f"{tmp_dir}/landing", f"{tmp_dir}/lake"
+    first = land(landing + "1", S.ORDERS, "o1,c1,created,,,,,\no2,c2,created,,,,,\n")
+    second = land(landing + "2", S.ORDERS, "o2,c2,shipped,,,,,\no3,c3,created,,,,,\n")
+    jobs.load_raw(spark, S.ORDERS, first.rsplit("/", 1)[0], base)
+    jobs.load_raw(spark, S.ORDERS, second.rsplit("/", 1)[0], base)
+    raw = layers.read_layer(spark, jobs.table_path(base, jobs.RAW, S.ORDERS))
+    assert sorted((r.order_id, r.order_status) for r in raw.collect()) == \
+        [("o1", "created"), ("o2", "shipped"), ("o3", "created")]
+    assert layers.versions(spark, jobs.table_path(base, jobs.RAW, S.ORDERS)) == [1, 2]
+
+
+def test_trusted_casts_before_dedupe(spark, tmp_dir):
+    # '01037' and '1037' are one zip prefix once cast
+    landing, base = f"{tmp_dir}/landing", f"{tmp_dir}/lake"
+    src = land(landing, S.GEOLOCATION, "01037,-23.5,-46.6,sao paulo,SP\n1037,-23.6,-46.7,sp,SP\n")
+    jobs.load_raw(spark, S.GEOLOCATION, src.rsplit("/", 1)[0], base)
+    assert jobs.load_trusted(spark, S.GEOLOCATION, base) == 1
+
+
+def test_items_key_choice(spark, tmp_dir):
+    landing = f"{tmp_dir}/landing"
+    body = ("o1,1,p1,s1,2017-09-19 09:45:35,10.5,1.0\n"
+            "o1,2,p2,s1,2017-09-19 09:45:35,20.0,2.0\n")
+    src = land(landing, S.ITEMS, body).rsplit("/", 1)[0]
+    assert jobs.load_raw(spark, S.ITEMS, src, f"{tmp_dir}/nat") == 2
+    assert jobs.load_raw(spark, S.ITEMS, src, f"{tmp_dir}/ref", key="reference") == 1
+
+
+def test_unknown_key_fails_clearly(spark, tmp_dir):
+    import pytest
+    with pytest.raises(ValueError, match="not in table"):
+        jobs.load_raw(spark, S.ORDERS, tmp_dir, tmp_dir, key="orderid")
+
+
+def test_full_run_isolates_failures(spark, tmp_dir):
+    landing, base = f"{tmp_dir}/landing", f"{tmp_dir}/lake"
+    land(landing, S.CUSTOMERS, "c1,u1,01151,sao paulo,SP\n")
+    land(landing, S.ORDERS, "o1,c1,shipped,2017-09-13 08:59:02,,,,2017-09-29 00:00:00\n")
+    # strict date failure in refined: free text in a date column
+    land(landing, S.ITEMS, "o1,1,p1,s1, VEIO COMO EU ESPERAVA.,10.5,1.0\n")
+    specs = (S.CUSTOMERS, S.GEOLOCATION, S.ITEMS, S.ORDERS)   # geolocation file missing
+    log = jobs.run_all(spark, landing, base, specs=specs).log
+    got = {(r.layer, r.table_name): (r.status, r.rows) for r in log.collect()}
+    assert len(got) == 12
+    assert got[("raw", "geolocation")][0] == jobs.FAILED
+    assert got[("trusted", "geolocation")][0] == jobs.SKIPPED
+    assert got[("refined", "items")][0] == jobs.FAILED
+    assert got[("trusted", "items")] == (jobs.OK, 1)
+    for t in ("customers", "orders"):
+        assert [got[(layer, t)] for layer in ("raw", "trusted", "refined")] == [(jobs.OK, 1)] * 3
+    msg = [r.message for r in log.collect() if r.table_name == "geolocation" and r.layer == "raw"]
+    assert "PATH_NOT_FOUND" in msg[0]
+    persisted = spark.read.parquet(f"{base}/_run_log")
+    assert persisted.count() == 12
+
+
+def test_incremental_stream_two_drops(spark, tmp_dir):
+    landing, target = f"{tmp_dir}/landing", f"{tmp_dir}/orders"
+    write_text(f"{landing}/a.csv", ORDERS_HEADER + "o1,c1,created,,,,,\no2,c2,created,,,,,\n")
+    q = incremental_load(spark, landing, target, S.ORDERS.raw_schema, ["order_id"],
+                         checkpoint=f"{tmp_dir}/ckpt", max_files_per_trigger=1)
+    assert q is not None
+    import os
+    import time
+    time.sleep(1.1)
+    write_text(f"{landing}/b.csv", ORDERS_HEADER + "o2,c2,shipped,,,,,\no3,c3,created,,,,,\n")
+    os.utime(f"{landing}/b.csv")
+    incremental_load(spark, landing, target, S.ORDERS.raw_schema, ["order_id"],
+                     checkpoint=f"{tmp_dir}/ckpt", max_files_per_trigger=1)
+    out = layers.read_layer(spark, target)
+    assert sorted((r.order_id, r.order_status) for r in out.collect()) == \
+        [("o1", "created"), ("o2", "shipped"), ("o3", "created")]
+    assert layers.versions(spark, target) == [1, 2]
+
+
+def test_stream_batch_replay_is_idempotent(spark, tmp_dir):
+    from strata.streaming.incremental import merge_batch
+    target = f"{tmp_dir}/t"
+    batch = spark.createDataFrame([("o1", "x", "2024-01-01", "f1")],
+                                  "order_id string, order_status string, _file_time string, "
+                                  "_file_path string")
+    run = merge_batch(target, ["order_id"], ["order_id", "order_status"])
+    run(batch, 0)
+    run(batch.withColumn("order_status", F.lit("y")), 1)
+    run(batch.withColumn("order_status", F.lit("y")), 1)      # replay of batch 1
+    assert layers.versions(spark, target) == [1, 2]
+    assert [r.order_status for r in layers.read_layer(spark, target).collect()] == ["y"]
