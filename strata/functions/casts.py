@@ -32,11 +32,14 @@ def _col(c) -> Column:
 
 
 def _guard(src: Column, parsed: Column, what: str) -> Column:
-    """Raise when a non-null input did not parse; else the parsed value."""
-    return (F.when(src.isNotNull() & parsed.isNull(),
-                   F.raise_error(F.concat(F.lit(f"cannot convert to {what}: '"),
-                                          src.cast("string"), F.lit("'"))))
-            .otherwise(parsed))
+    """The parsed value; raise when a non-null input did not parse.
+
+    ``coalesce`` evaluates the parse once and reaches the error branch only for
+    a null result.
+    """
+    failure = F.when(src.isNotNull(), F.raise_error(
+        F.concat(F.lit(f"cannot convert to {what}: '"), src.cast("string"), F.lit("'"))))
+    return F.coalesce(parsed, failure)
 
 
 def cast_text(c, to: str, mode: str = STRICT) -> Column:

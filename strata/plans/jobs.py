@@ -49,14 +49,17 @@ def _keys(spec: TableSpec, key) -> list[str]:
 
 
 def raw_rows(spark: SparkSession, spec: TableSpec, landing: str, key=None,
-             current: DataFrame | None = None) -> DataFrame:
+             current: DataFrame | None = None, stage_path: str | None = None) -> DataFrame:
     """J1 plan: CSV batch merged into the current raw rows (batch wins).
 
     Inside the batch the last row of a key is the one from the newest file, then
-    the greater full row, so the result does not depend on read order.
+    the greater full row, so the result does not depend on read order. With
+    ``stage_path`` the parsed batch is staged as Parquet first (K2).
     """
     keys = _keys(spec, key)
     batch = with_source_order(read_csv(spark, landing, spec))
+    if stage_path:
+        batch = tables.stage(batch, stage_path)
     if current is not None:
         current = current.select(*spec.columns)
     return upsert(current, batch, keys, order=ARRIVAL,
@@ -66,9 +69,16 @@ def raw_rows(spark: SparkSession, spec: TableSpec, landing: str, key=None,
 def load_raw(spark: SparkSession, spec: TableSpec, landing: str, base: str,
              key=None) -> int:
     """Landing CSV -> new raw version. Returns rows written."""
+    _keys(spec, key)                               # a wrong key fails before any I/O
+    if not layers.exists(spark, landing):          # S6: probe before planning the read
+        raise FileNotFoundError(f"PATH_NOT_FOUND: no landing file for {spec.name}: {landing}")
     path = table_path(base, RAW, spec)
-    merged = raw_rows(spark, spec, landing, key, layers.read_layer(spark, path))
-    _, rows = tables.write_version(merged, path)
+    stage_path = f"{base.rstrip('/')}/_stage/{spec.name}-{uuid.uuid4().hex[:12]}"
+    try:
+        merged = raw_rows(spark, spec, landing, key, layers.read_layer(spark, path), stage_path)
+        _, rows = tables.write_version(merged, path)
+    finally:
+        layers.delete_path(spark, stage_path)
     return rows
 
 
@@ -131,7 +141,7 @@ class RunResult:
 def run_all(spark: SparkSession, landing_root: str, base: str,
             specs: tuple[TableSpec, ...] = ALL_SPECS, key=None,
             cast_mode: str = casts.STRICT, write_mode: str = tables.APPEND,
-            on_error: str = "skip", parallelism: int = 4) -> RunResult:
+            on_error: str = "skip", parallelism: int = 8) -> RunResult:
     """Every table, layer by layer; one table's failure does not stop the rest.
 
     Tables of one layer run as concurrent Spark jobs (``parallelism`` threads).

@@ -37,6 +37,19 @@ def write_version(df: DataFrame, table_path: str, version: int | None = None,
     return version, int(obs.get["rows"])
 
 
+def stage(df: DataFrame, path: str) -> DataFrame:
+    """K2: materialise an incoming batch as Parquet beside the layer and read it back.
+
+    The merge uses the batch twice (the keep-last rows and the set of keys); reading
+    a staged Parquet copy parses the source text once and lets the key pass read
+    only the key columns. The stage also cuts the batch's lineage, so a retried
+    merge task re-reads the stage, not the landing files. Drop it with
+    ``layers.delete_path`` once the new version is written.
+    """
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def publish(df: DataFrame, mode: str = APPEND, table: str | None = None,
             path: str | None = None) -> int:
     """K3: publish refined rows; ``append`` adds (a rerun doubles), ``overwrite`` replaces.
