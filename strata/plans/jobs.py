@@ -30,6 +30,7 @@ from strata.specs import ALL_SPECS, TableSpec
 RAW, TRUSTED, REFINED = "raw", "trusted", "refined"
 OK, FAILED, SKIPPED = "ok", "failed", "skipped"
 ARRIVAL = ["_file_time", "_file_path"]
+KEEP_VERSIONS = 2        # the newest version and the one before it, for readers in flight
 
 
 def table_path(base: str, layer: str, spec: TableSpec) -> str:
@@ -67,8 +68,8 @@ def raw_rows(spark: SparkSession, spec: TableSpec, landing: str, key=None,
 
 
 def load_raw(spark: SparkSession, spec: TableSpec, landing: str, base: str,
-             key=None) -> int:
-    """Landing CSV -> new raw version. Returns rows written."""
+             key=None, keep: int = KEEP_VERSIONS) -> int:
+    """Landing CSV -> new raw version (older ones pruned to ``keep``). Returns rows."""
     _keys(spec, key)                               # a wrong key fails before any I/O
     if not layers.exists(spark, landing):          # S6: probe before planning the read
         raise FileNotFoundError(f"PATH_NOT_FOUND: no landing file for {spec.name}: {landing}")
@@ -79,6 +80,7 @@ def load_raw(spark: SparkSession, spec: TableSpec, landing: str, base: str,
         _, rows = tables.write_version(merged, path)
     finally:
         layers.delete_path(spark, stage_path)
+    layers.prune_versions(spark, path, keep)
     return rows
 
 
@@ -90,14 +92,15 @@ def trusted_rows(raw: DataFrame, spec: TableSpec, key=None, mode: str = casts.ST
 
 
 def load_trusted(spark: SparkSession, spec: TableSpec, base: str, key=None,
-                 mode: str = casts.STRICT) -> int:
-    """Newest raw version -> new trusted version. Returns rows written."""
+                 mode: str = casts.STRICT, keep: int = KEEP_VERSIONS) -> int:
+    """Newest raw version -> new trusted version (older ones pruned). Returns rows."""
     raw = layers.read_layer(spark, table_path(base, RAW, spec))
     if raw is None:
         raise FileNotFoundError(f"no raw version of {spec.name}")
     path = table_path(base, TRUSTED, spec)
     merged = trusted_rows(raw, spec, key, mode, layers.read_layer(spark, path))
     _, rows = tables.write_version(merged, path)
+    layers.prune_versions(spark, path, keep)
     return rows
 
 

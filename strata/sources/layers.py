@@ -68,3 +68,21 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     if fs.exists(p):
         fs.delete(p, True)
+
+
+def prune_versions(spark: SparkSession, table_path: str, keep: int = 2) -> list[int]:
+    """Delete all but the newest ``keep`` complete versions (and unfinished older ones).
+
+    Readers that started on the previous version can still finish with ``keep >= 2``.
+    Returns the deleted version numbers.
+    """
+    if keep < 1:
+        raise ValueError("keep at least one version")
+    done = versions(spark, table_path)
+    if len(done) <= keep:
+        return []
+    oldest_kept = done[-keep]
+    gone = [v for v in versions(spark, table_path, complete_only=False) if v < oldest_kept]
+    for v in gone:
+        delete_path(spark, version_path(table_path, v))
+    return gone

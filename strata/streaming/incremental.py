@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from strata.functions.text import CSV_OPTIONS
 from strata.operators.merge import upsert
-from strata.sinks.tables import write_version
+from strata.sinks.tables import stage, write_version
 from strata.sources import layers
 
 ARRIVAL = ["_file_time", "_file_path"]
@@ -43,9 +43,16 @@ def merge_batch(target: str, key, columns):
         current = layers.read_layer(spark, target, below=version)
         if current is not None:
             current = current.select(*columns)
-        merged = upsert(current, batch, key, order=ARRIVAL,
-                        current_is_unique=current is not None).select(*columns)
-        write_version(merged, target, version=version)
+        stage_path = f"{target.rstrip('/')}/_stage/batch-{batch_id}"
+        try:
+            staged = stage(batch, stage_path)          # parse the batch's text once
+            merged = upsert(current, staged, key, order=ARRIVAL,
+                            current_is_unique=current is not None).select(*columns)
+            write_version(merged, target, version=version)
+        finally:
+            layers.delete_path(spark, stage_path)
+        # batch n+1 (or a replay of this one) reads version n or n+1: older ones can go
+        layers.prune_versions(spark, target, keep=2)
     return run
 
 

@@ -131,3 +131,39 @@ def test_stream_batch_replay_is_idempotent(spark, tmp_dir):
     run(batch.withColumn("order_status", F.lit("y")), 1)      # replay of batch 1
     assert layers.versions(spark, target) == [1, 2]
     assert [r.order_status for r in layers.read_layer(spark, target).collect()] == ["y"]
+
+
+def test_publish_to_catalog_table(spark, tmp_dir):
+    df = spark.createDataFrame([("a", 1)], "k string, n long")
+    name = "strata_publish_test_" + tmp_dir.rsplit("-", 1)[-1]
+    assert tables.publish(df, tables.APPEND, table=name, path=f"{tmp_dir}/tbl") == 1
+    tables.publish(df, tables.APPEND, table=name, path=f"{tmp_dir}/tbl")
+    assert spark.table(name).count() == 2
+    tables.publish(df, tables.OVERWRITE, table=name, path=f"{tmp_dir}/tbl")
+    assert spark.table(name).count() == 1
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_layer_versions_are_pruned(spark, tmp_dir):
+    landing, base = f"{tmp_dir}/landing", f"{tmp_dir}/lake"
+    src = land(landing, S.SELLERS, "s1,13023,campinas,SP\n").rsplit("/", 1)[0]
+    for _ in range(4):
+        jobs.load_raw(spark, S.SELLERS, src, base)
+        jobs.load_trusted(spark, S.SELLERS, base)
+    assert layers.versions(spark, jobs.table_path(base, jobs.RAW, S.SELLERS)) == [3, 4]
+    assert layers.versions(spark, jobs.table_path(base, jobs.TRUSTED, S.SELLERS)) == [3, 4]
+
+
+def test_stream_processing_time_trigger(spark, tmp_dir):
+    landing, target = f"{tmp_dir}/landing", f"{tmp_dir}/orders"
+    write_text(f"{landing}/a.csv", ORDERS_HEADER + "o1,c1,created,,,,,\n")
+    q = incremental_load(spark, landing, target, S.ORDERS.raw_schema, ["order_id"],
+                         checkpoint=f"{tmp_dir}/ckpt", processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        write_text(f"{landing}/b.csv", ORDERS_HEADER + "o1,c1,delivered,,,,,\n")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    out = layers.read_layer(spark, target).collect()
+    assert [(r.order_id, r.order_status) for r in out] == [("o1", "delivered")]

@@ -132,3 +132,30 @@ def test_upsert_matches_model(spark, current, batch, parts):
     bat = spark.createDataFrame(batch, SCHEMA).repartition(parts)
     got = sorted((tuple(r) for r in merge.upsert(cur, bat, "k", "seq").collect()), key=str)
     assert got == model_upsert(current, batch)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_key_is_limited_before_the_shuffle(spark):
+    # one key holds a third of the rows
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+        F.col("id").cast("int").alias("seq"), F.lit("v").alias("v")).repartition(6)
+    out = merge.keep_last(df, "k", "seq")
+    plan = _plan(out)
+    partial = plan.index("WindowGroupLimit")
+    # the partial limit sits under (after, in text order) the exchange
+    assert "Partial" in plan and plan.index("Exchange") < plan.rindex("Partial")
+    assert partial >= 0
+    got = {r.k: r.seq for r in out.collect()}
+    assert len(got) == 2001 and got["hot"] == 2997
+
+
+def test_hot_key_group_rows_bounded(spark):
+    df = spark.range(5000).select(F.lit("hot").alias("k"), F.col("id").alias("seq"),
+                                  F.lit("t").alias("v"))
+    g = merge.group_rows(df, "k", "seq", block_size=512)
+    sizes = [len(r.rows) for r in g.collect()]
+    assert max(sizes) <= 512 and sum(sizes) == 5000

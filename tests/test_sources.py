@@ -98,3 +98,13 @@ def test_raw_schema_all_text():
     for spec in S.ALL_SPECS:
         assert all(isinstance(f.dataType, T.StringType) for f in spec.raw_schema.fields)
         assert spec.key[0] == spec.columns[0]
+
+
+def test_prune_versions(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    for n in range(4):
+        write_version(spark.range(n + 1), path)
+    assert layers.prune_versions(spark, path, keep=2) == [1, 2]
+    assert layers.versions(spark, path) == [3, 4]
+    assert layers.read_layer(spark, path).count() == 4
+    assert layers.prune_versions(spark, path, keep=2) == []
