@@ -89,17 +89,18 @@ def first_per_key(df: DataFrame, key, order=None) -> DataFrame:
 
 
 def upsert(current: DataFrame | None, batch: DataFrame, key, order=None,
-           current_is_unique: bool = False) -> DataFrame:
+           current_is_unique: bool = False, batch_is_unique: bool = False) -> DataFrame:
     """Merge ``batch`` into ``current`` by key; the incoming row wins.
 
     Equal to ``keep_last(current (precedence 0) U batch (precedence 1))`` ordered by
     precedence, then ``order``, then the full row. ``current=None`` is a first load
     (all batch columns are kept); otherwise the output has ``current``'s columns.
     ``current_is_unique`` skips the dedupe of ``current`` when it was written by an
-    earlier upsert (unique by construction), so the current table is only scanned.
+    earlier upsert (unique by construction), so the current table is only scanned;
+    ``batch_is_unique`` does the same for a batch known to hold one row per key.
     """
     keys = _names(key)
-    newest = keep_last(batch, keys, order)
+    newest = batch if batch_is_unique else keep_last(batch, keys, order)
     if current is None:
         return newest
     newest = newest.select(*current.columns)   # helper order columns are dropped

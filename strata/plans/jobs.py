@@ -25,7 +25,7 @@ from strata.operators.merge import upsert
 from strata.sinks import tables
 from strata.sources import layers
 from strata.sources.csv import read_csv, with_source_order
-from strata.specs import ALL_SPECS, TableSpec
+from strata.specs import ALL_SPECS, TEXT, TableSpec
 
 RAW, TRUSTED, REFINED = "raw", "trusted", "refined"
 OK, FAILED, SKIPPED = "ok", "failed", "skipped"
@@ -84,21 +84,37 @@ def load_raw(spark: SparkSession, spec: TableSpec, landing: str, base: str,
     return rows
 
 
+def _key_is_cast(spec: TableSpec, keys: list[str]) -> bool:
+    """Does the trusted step change the value of any key column?"""
+    def changed(k: str) -> bool:
+        filled = spec.fill_zero and k not in spec.natural_key and k not in spec.dates
+        return spec.trusted.get(k, TEXT) != TEXT or k in spec.blank_zero or filled
+    return any(changed(k) for k in keys)
+
+
 def trusted_rows(raw: DataFrame, spec: TableSpec, key=None, mode: str = casts.STRICT,
-                 current: DataFrame | None = None) -> DataFrame:
-    """J2 plan: cast first (so '01037' and '1037' are one key), then merge."""
+                 current: DataFrame | None = None, raw_unique: bool = False) -> DataFrame:
+    """J2 plan: cast first (so '01037' and '1037' are one key), then merge.
+
+    ``raw_unique`` says the raw rows are one per key (a raw load with the same key
+    wrote them). When the casts leave the key columns alone they stay one per key,
+    and the dedupe (a shuffle of the whole table) is skipped.
+    """
+    keys = _keys(spec, key)
     cast = casts.trusted_columns(raw, spec, mode)
-    return upsert(current, cast, _keys(spec, key), current_is_unique=current is not None)
+    return upsert(current, cast, keys, current_is_unique=current is not None,
+                  batch_is_unique=raw_unique and not _key_is_cast(spec, keys))
 
 
 def load_trusted(spark: SparkSession, spec: TableSpec, base: str, key=None,
-                 mode: str = casts.STRICT, keep: int = KEEP_VERSIONS) -> int:
+                 mode: str = casts.STRICT, keep: int = KEEP_VERSIONS,
+                 raw_unique: bool = False) -> int:
     """Newest raw version -> new trusted version (older ones pruned). Returns rows."""
     raw = layers.read_layer(spark, table_path(base, RAW, spec))
     if raw is None:
         raise FileNotFoundError(f"no raw version of {spec.name}")
     path = table_path(base, TRUSTED, spec)
-    merged = trusted_rows(raw, spec, key, mode, layers.read_layer(spark, path))
+    merged = trusted_rows(raw, spec, key, mode, layers.read_layer(spark, path), raw_unique)
     _, rows = tables.write_version(merged, path)
     layers.prune_versions(spark, path, keep)
     return rows
@@ -154,6 +170,7 @@ def run_all(spark: SparkSession, landing_root: str, base: str,
     """
     run_id = uuid.uuid4().hex
     failed: set[str] = set()
+    loaded: set[tuple[str, str]] = set()
     entries: list[dict] = []
 
     def step(layer: str, spec: TableSpec) -> dict:
@@ -167,7 +184,9 @@ def run_all(spark: SparkSession, landing_root: str, base: str,
                 rows = load_raw(spark, spec, f"{landing_root.rstrip('/')}/{spec.source_file}",
                                 base, key)
             elif layer == TRUSTED:
-                rows = load_trusted(spark, spec, base, key, cast_mode)
+                # raw was just written by this run with the same key: one row per key
+                rows = load_trusted(spark, spec, base, key, cast_mode,
+                                    raw_unique=(RAW, spec.name) in loaded)
             else:
                 rows = load_refined(spark, spec, base, write_mode, cast_mode)
             status, message = OK, "success"
@@ -180,6 +199,7 @@ def run_all(spark: SparkSession, landing_root: str, base: str,
         for layer in (RAW, TRUSTED, REFINED):
             done = list(pool.map(lambda s: step(layer, s), specs))
             failed |= {d["table_name"] for d in done if d["status"] != OK}
+            loaded |= {(layer, d["table_name"]) for d in done if d["status"] == OK}
             entries.extend(done)
     log = tables.append_run_log(spark, entries, f"{base.rstrip('/')}/_run_log")
     return RunResult(run_id, log)

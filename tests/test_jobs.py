@@ -167,3 +167,17 @@ def test_stream_processing_time_trigger(spark, tmp_dir):
         q.stop()
     out = layers.read_layer(spark, target).collect()
     assert [(r.order_id, r.order_status) for r in out] == [("o1", "delivered")]
+
+
+def test_trusted_skips_dedupe_only_when_safe(spark):
+    raw = spark.createDataFrame([("o1", "c1", "x", None, None, None, None, None)],
+                                S.ORDERS.raw_schema)
+    plan = jobs.trusted_rows(raw, S.ORDERS, raw_unique=True)._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "Window" not in plan and "Exchange" not in plan
+    # geolocation's key is cast ('01037' -> 1037): the dedupe stays
+    geo = spark.createDataFrame([("01037", "1", "2", "a", "b"), ("1037", "1", "2", "a", "b")],
+                                S.GEOLOCATION.raw_schema)
+    assert jobs.trusted_rows(geo, S.GEOLOCATION, raw_unique=True).count() == 1
+    assert jobs._key_is_cast(S.CUSTOMERS, ["customer_city"])
+    assert not jobs._key_is_cast(S.ITEMS, ["order_id", "order_item_id"])
