@@ -303,7 +303,7 @@ def refined_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing, base = f"{root}/landing", f"{root}/lake"
     spec = S.ORDERS
     csv_src.write_csv(standins.feed(spark, sf_dir, spec), f"{landing}/{spec.source_file}")
-    jobs.load_raw(spark, spec, f"{landing}/{spec.source_file}", base)
+    jobs.load_raw(spark, spec, f"{landing}/{spec.source_file}", base, stage=True)   # K2 stage
     jobs.load_trusted(spark, spec, base, raw_unique=True)   # raw was just written, same key
     jobs.load_refined(spark, spec, base, write_mode=tables.OVERWRITE)
     return spark.read.parquet(jobs.table_path(base, jobs.REFINED, spec))

@@ -68,18 +68,26 @@ def raw_rows(spark: SparkSession, spec: TableSpec, landing: str, key=None,
 
 
 def load_raw(spark: SparkSession, spec: TableSpec, landing: str, base: str,
-             key=None, keep: int = KEEP_VERSIONS) -> int:
-    """Landing CSV -> new raw version (older ones pruned to ``keep``). Returns rows."""
+             key=None, keep: int = KEEP_VERSIONS, stage: bool = False) -> int:
+    """Landing CSV -> new raw version (older ones pruned to ``keep``). Returns rows.
+
+    The merge reads the batch twice (rows, then keys only). By default the landing
+    files are parsed twice, which measured cheaper than a staged copy; ``stage=True``
+    writes the parsed batch as Parquet first (K2), worth it when parsing dominates
+    (many wide text columns) or the landing files may change during the load.
+    """
     _keys(spec, key)                               # a wrong key fails before any I/O
     if not layers.exists(spark, landing):          # S6: probe before planning the read
         raise FileNotFoundError(f"PATH_NOT_FOUND: no landing file for {spec.name}: {landing}")
     path = table_path(base, RAW, spec)
-    stage_path = f"{base.rstrip('/')}/_stage/{spec.name}-{uuid.uuid4().hex[:12]}"
+    stage_path = (f"{base.rstrip('/')}/_stage/{spec.name}-{uuid.uuid4().hex[:12]}"
+                  if stage else None)
     try:
         merged = raw_rows(spark, spec, landing, key, layers.read_layer(spark, path), stage_path)
         _, rows = tables.write_version(merged, path)
     finally:
-        layers.delete_path(spark, stage_path)
+        if stage_path:
+            layers.delete_path(spark, stage_path)
     layers.prune_versions(spark, path, keep)
     return rows
 

@@ -181,3 +181,15 @@ def test_trusted_skips_dedupe_only_when_safe(spark):
     assert jobs.trusted_rows(geo, S.GEOLOCATION, raw_unique=True).count() == 1
     assert jobs._key_is_cast(S.CUSTOMERS, ["customer_city"])
     assert not jobs._key_is_cast(S.ITEMS, ["order_id", "order_item_id"])
+
+
+def test_staged_raw_load_matches_direct(spark, tmp_dir):
+    landing = f"{tmp_dir}/landing"
+    src = land(landing, S.REVIEWS, 'r1,o1,5,"a, b","x\ny",2018-01-18 00:00:00,\n'
+               'r1,o1,4,t,m,2018-01-19 00:00:00,\nr2,o2,3,t,m,,\n').rsplit("/", 1)[0]
+    assert jobs.load_raw(spark, S.REVIEWS, src, f"{tmp_dir}/a") == 2
+    assert jobs.load_raw(spark, S.REVIEWS, src, f"{tmp_dir}/b", stage=True) == 2
+    a = layers.read_layer(spark, jobs.table_path(f"{tmp_dir}/a", jobs.RAW, S.REVIEWS))
+    b = layers.read_layer(spark, jobs.table_path(f"{tmp_dir}/b", jobs.RAW, S.REVIEWS))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert not layers.exists(spark, f"{tmp_dir}/b/_stage/reviews")

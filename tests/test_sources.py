@@ -108,3 +108,14 @@ def test_prune_versions(spark, tmp_dir):
     assert layers.versions(spark, path) == [3, 4]
     assert layers.read_layer(spark, path).count() == 4
     assert layers.prune_versions(spark, path, keep=2) == []
+
+
+def test_dropmalformed_and_failfast(spark, tmp_dir):
+    import pytest
+    from strata.sources.csv import DROPMALFORMED, FAILFAST
+    p = write_text(f"{tmp_dir}/s.csv", "seller_id,seller_zip_code_prefix,seller_city,seller_state\n"
+                   "s1,13023,campinas,SP\ns2,1\ns3,2,x,y,extra\n")
+    assert [r.seller_id for r in read_csv(spark, p, S.SELLERS, mode=DROPMALFORMED).collect()] \
+        == ["s1"]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_csv(spark, p, S.SELLERS, mode=FAILFAST).collect()
