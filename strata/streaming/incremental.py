@@ -77,3 +77,60 @@ def incremental_load(spark: SparkSession, landing: str, target: str, schema: T.S
     if query.exception() is not None:
         raise query.exception()
     return query
+
+
+def refresh_layers(spec, base: str, key=None, cast_mode: str = "strict"):
+    """A ``foreachBatch`` function for one table: raw upsert, then trusted and refined.
+
+    Raw versions follow the batch id (replay-safe, as in ``merge_batch``); the
+    trusted load re-merges the new raw version, and the refined table is
+    overwritten, so a replayed batch leaves the same three layers behind.
+    """
+    from strata.plans import jobs
+    from strata.sinks.tables import OVERWRITE
+
+    raw_path = jobs.table_path(base, jobs.RAW, spec)
+    keys = jobs._keys(spec, key)
+    raw_merge = merge_batch(raw_path, keys, list(spec.columns))
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        raw_merge(batch, batch_id)
+        jobs.load_trusted(spark, spec, base, key, cast_mode, raw_unique=True)
+        jobs.load_refined(spark, spec, base, write_mode=OVERWRITE, mode=cast_mode)
+    return run
+
+
+def watch_tables(spark: SparkSession, landing_root: str, base: str, specs,
+                 checkpoint_root: str, processing_time: str | None = None, key=None,
+                 cast_mode: str = "strict"):
+    """J5 for a whole lake: one file stream per table over ``<landing>/<source file>/``.
+
+    Each new drop of a table runs that table's raw -> trusted -> refined refresh.
+    With ``processing_time`` (e.g. ``"20 minutes"``, the source system's schedule)
+    the streams keep running and ``(queries, errors)`` is returned; without it each
+    stream drains what has landed (``availableNow``) and the call returns the
+    errors (table -> message) when all are done. A table's stream failing does not
+    stop the others.
+    """
+    queries, errors = {}, {}
+    for spec in specs:
+        try:
+            stream = landing_stream(spark, f"{landing_root.rstrip('/')}/{spec.source_file}",
+                                    spec.raw_schema, multiline=spec.multiline)
+            writer = (stream.writeStream.queryName(f"strata_{spec.name}")
+                      .foreachBatch(refresh_layers(spec, base, key, cast_mode))
+                      .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/{spec.name}"))
+            writer = (writer.trigger(processingTime=processing_time) if processing_time
+                      else writer.trigger(availableNow=True))
+            queries[spec.name] = writer.start()
+        except Exception as e:  # noqa: BLE001 - e.g. no landing folder yet for this table
+            errors[spec.name] = str(e).splitlines()[0][:300]
+    if processing_time:
+        return queries, errors
+    for name, q in queries.items():
+        try:
+            q.awaitTermination()
+        except Exception as e:  # noqa: BLE001 - one table's failure is reported, not raised
+            errors[name] = str(e).splitlines()[0][:300]
+    return errors

@@ -193,3 +193,29 @@ def test_staged_raw_load_matches_direct(spark, tmp_dir):
     b = layers.read_layer(spark, jobs.table_path(f"{tmp_dir}/b", jobs.RAW, S.REVIEWS))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     assert not layers.exists(spark, f"{tmp_dir}/b/_stage/reviews")
+
+
+def test_watch_tables_refreshes_all_layers(spark, tmp_dir):
+    from strata.streaming.incremental import watch_tables
+    landing, base = f"{tmp_dir}/landing", f"{tmp_dir}/lake"
+    land(landing, S.SELLERS, "s1,13023,campinas,SP\n")
+    land(landing, S.ORDERS, "o1,c1,shipped,2017-09-13 08:59:02,,,,\n")
+    errors = watch_tables(spark, landing, base, (S.SELLERS, S.ORDERS, S.ITEMS),
+                          checkpoint_root=f"{tmp_dir}/ckpt")
+    # items has no landing folder: its stream fails, the others finish
+    assert set(errors) == {"items"}
+    for spec in (S.SELLERS, S.ORDERS):
+        refined = spark.read.parquet(jobs.table_path(base, jobs.REFINED, spec))
+        assert refined.count() == 1
+    o = spark.read.parquet(jobs.table_path(base, jobs.REFINED, S.ORDERS)).collect()[0]
+    assert o.order_purchase_timestamp == dt.date(2017, 9, 13)
+
+
+def test_cli_run(spark, tmp_dir):
+    from strata.__main__ import main
+    landing = f"{tmp_dir}/landing"
+    land(landing, S.SELLERS, "s1,13023,campinas,SP\n")
+    assert main(["run", "--landing", landing, "--lake", f"{tmp_dir}/lake",
+                 "--tables", "sellers"]) == 0
+    assert main(["run", "--landing", landing, "--lake", f"{tmp_dir}/lake2",
+                 "--tables", "sellers,customers"]) == 1
