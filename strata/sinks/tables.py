@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +32,7 @@ def write_version(df: DataFrame, table_path: str, version: int | None = None,
     if sort_key:
         keys = [sort_key] if isinstance(sort_key, str) else list(sort_key)
         df = df.sortWithinPartitions(*[F.col(k).asc_nulls_last() for k in keys])
-    obs = Observation(f"rows_v{version}")
+    obs = Observation(f"rows_{uuid.uuid4().hex}")     # unique: table jobs run concurrently
     counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     counted.write.mode("overwrite").parquet(layers.version_path(table_path, version))
     return version, int(obs.get["rows"])
@@ -59,7 +60,7 @@ def publish(df: DataFrame, mode: str = APPEND, table: str | None = None,
     """
     if mode not in (APPEND, OVERWRITE):
         raise ValueError(f"mode must be 'append' or 'overwrite', got {mode!r}")
-    obs = Observation("published")
+    obs = Observation(f"published_{uuid.uuid4().hex}")
     counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = counted.write.mode(mode).format("parquet")
     if table:
@@ -99,4 +100,5 @@ def append_run_log(spark: SparkSession, entries: list[dict], path: str) -> DataF
 
 
 def now() -> _dt.datetime:
-    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    """Current time as an aware UTC datetime (stored as the same instant in any zone)."""
+    return _dt.datetime.now(_dt.timezone.utc)
