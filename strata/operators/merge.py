@@ -10,12 +10,12 @@ Scale notes
   Spark plans a partial ``WindowGroupLimit`` *before* the shuffle, so each map
   task sends at most one row per key: a key that holds a third of the table
   costs one row per input partition in the exchange, not a third of the table.
-* ``upsert`` does not re-shuffle the current table to merge a batch. Rows of the
-  batch win, so the result is ``keep_last(batch)`` plus the current rows whose key
-  is not in the batch (a left-anti join on the key). Spark broadcasts the batch
-  keys only when its size estimate is under ``spark.sql.autoBroadcastJoinThreshold``
-  (and AQE re-checks the measured size); a larger batch gets a sort-merge anti
-  join whose batch side is already partitioned by the key.
+* ``upsert`` does not re-shuffle the current table's rows to merge a batch. Rows
+  of the batch win, so the result is ``keep_last(batch)`` plus the current rows
+  whose key is not in the batch. For a small batch that is a left-anti join against
+  the batch keys, which are materialised and measured first and broadcast only
+  when proven under the threshold (else a sort-merge join). For a batch that
+  re-delivers the table, only key columns are shuffled (see ``batch_covers_current``).
 * ``group_rows`` collects rows per (key, block), never per key alone, so one
   output row holds at most ``block_size`` input rows however hot a key is.
 * ``sort_rows`` sorts on the key plus the full-row tie-break: range partitioning
@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.operators.joins import sized
+
 _RN = "__strata_rn"
 
 
@@ -88,8 +90,17 @@ def first_per_key(df: DataFrame, key, order=None) -> DataFrame:
     return _top1(df, key, order, descending=False)
 
 
+def _key_cols(df: DataFrame, keys: list[str], prefix: str) -> DataFrame:
+    return df.select(*[F.col(k).alias(f"{prefix}{i}") for i, k in enumerate(keys)])
+
+
+def _match(left: DataFrame, right: DataFrame, keys: list[str], prefix: str):
+    return [left[k].eqNullSafe(right[f"{prefix}{i}"]) for i, k in enumerate(keys)]
+
+
 def upsert(current: DataFrame | None, batch: DataFrame, key, order=None,
-           current_is_unique: bool = False, batch_is_unique: bool = False) -> DataFrame:
+           current_is_unique: bool = False, batch_is_unique: bool = False,
+           batch_covers_current: bool = False) -> DataFrame:
     """Merge ``batch`` into ``current`` by key; the incoming row wins.
 
     Equal to ``keep_last(current (precedence 0) U batch (precedence 1))`` ordered by
@@ -98,6 +109,16 @@ def upsert(current: DataFrame | None, batch: DataFrame, key, order=None,
     ``current_is_unique`` skips the dedupe of ``current`` when it was written by an
     earlier upsert (unique by construction), so the current table is only scanned;
     ``batch_is_unique`` does the same for a batch known to hold one row per key.
+
+    Two exact plans for "current rows whose key is not in the batch":
+
+    * default (a batch that is small next to the table, e.g. a day's drop): a
+      left-anti join of the current rows against the batch keys; the key set is
+      broadcast when it fits, and the current table is only scanned.
+    * ``batch_covers_current=True`` (a full re-delivery, or the trusted re-merge of
+      a cumulative raw table): only key columns are shuffled to find the current
+      keys the batch lacks, and the current rows are semi-joined with that set,
+      normally empty or small. Full current rows never cross the network.
     """
     keys = _names(key)
     newest = batch if batch_is_unique else keep_last(batch, keys, order)
@@ -108,9 +129,22 @@ def upsert(current: DataFrame | None, batch: DataFrame, key, order=None,
         current = keep_last(current, keys, [c for c in _names(order) if c in current.columns])
     # the keys of keep_last(batch) are exactly the distinct batch keys: an aggregate
     # (partial before the shuffle) is cheaper than reading the window's output twice
-    incoming = batch.select(*[F.col(k).alias(f"__k_{i}") for i, k in enumerate(keys)]).distinct()
-    cond = [current[k].eqNullSafe(incoming[f"__k_{i}"]) for i, k in enumerate(keys)]
-    kept = current.join(incoming, cond, "left_anti")
+    incoming = _key_cols(batch, keys, "__k_")
+    if not batch_is_unique:
+        incoming = incoming.distinct()
+    if not batch_covers_current:
+        # the batch key set is materialised and measured: broadcast only when proven small
+        side = sized(incoming, materialize=True).frame
+        kept = current.join(side, _match(current, side, keys, "__k_"), "left_anti")
+        return newest.unionByName(kept)
+    current_keys = _key_cols(current, keys, "__c_")
+    incoming = incoming.hint("merge")             # a re-delivery: as large as the table
+    cond = [current_keys[f"__c_{i}"].eqNullSafe(incoming[f"__k_{i}"]) for i in range(len(keys))]
+    orphans = sized(current_keys.join(incoming, cond, "left_anti"), materialize=True)
+    if orphans.rows == 0:                         # every current key was re-delivered
+        return newest
+    side = orphans.frame
+    kept = current.join(side, _match(current, side, keys, "__c_"), "left_semi")
     return newest.unionByName(kept)
 
 

@@ -1,11 +1,12 @@
 """Analyses over the refined stand-ins (E1-E4): joins and aggregates.
 
 Money is summed as DECIMAL(18,2) (exact, so the result does not depend on the
-order rows are added in) and returned as double. Join strategy is left to
-Catalyst and AQE: a side is broadcast only when its estimated or measured size
-is under the broadcast threshold, otherwise both sides shuffle on the key.
-Every aggregate is partial-then-final, so a hot group key costs one partial row
-per map task in the exchange.
+order rows are added in) and returned as double. The build side of each join is
+projected to the columns it needs and measured (``operators.joins.sized``): it is
+broadcast only when proven under the threshold, otherwise the join is a
+sort-merge join on the key (AQE splits skewed partitions). Every aggregate is
+partial-then-final, so a hot group key costs one partial row per map task in
+the exchange.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from strata.operators.joins import sized
 from strata.plans.standins import table
 
 
@@ -23,8 +25,8 @@ def _money(c):
 def sales_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Revenue per part type and month, with the previous month's revenue."""
     li = table(spark, sf_dir, "lineitem")
-    o = table(spark, sf_dir, "orders")
-    p = table(spark, sf_dir, "part")
+    o = sized(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")).frame
+    p = sized(table(spark, sf_dir, "part").select("p_partkey", "p_type")).frame
     lines = (li.join(o, li.l_orderkey == o.o_orderkey)
              .join(p, li.l_partkey == p.p_partkey)
              .select("p_type", F.to_date(F.date_trunc("month", "o_orderdate")).alias("month"),
@@ -41,9 +43,9 @@ def sales_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per nation, customers who ordered, orders, repeat buyers and spend."""
-    c = table(spark, sf_dir, "customer")
+    c = sized(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")).frame
     o = table(spark, sf_dir, "orders")
-    n = table(spark, sf_dir, "nation")
+    n = sized(table(spark, sf_dir, "nation").select("n_nationkey", "n_name")).frame
     per_customer = o.groupBy("o_custkey").agg(
         F.count(F.lit(1)).alias("n_orders"),
         F.sum(_money("o_totalprice")).alias("spend"))
@@ -60,7 +62,7 @@ def customer_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def review_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality and toxicity labels per language and source."""
     d = table(spark, sf_dir, "documents")
-    lb = table(spark, sf_dir, "labels")
+    lb = sized(table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")).frame
     j = d.join(lb, "doc_id", "left")
     return j.groupBy("lang", "source").agg(
         F.count(F.lit(1)).alias("n_docs"),
@@ -73,7 +75,8 @@ def review_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def delivery_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Days from order to shipment per order priority, and freight (tax) paid."""
     li = table(spark, sf_dir, "lineitem")
-    o = table(spark, sf_dir, "orders")
+    o = sized(table(spark, sf_dir, "orders")
+              .select("o_orderkey", "o_orderdate", "o_orderpriority")).frame
     j = li.join(o, li.l_orderkey == o.o_orderkey).select(
         "o_orderpriority",
         F.datediff(F.to_date("l_shipdate"), F.to_date("o_orderdate")).cast("bigint")

@@ -50,7 +50,8 @@ def _keys(spec: TableSpec, key) -> list[str]:
 
 
 def raw_rows(spark: SparkSession, spec: TableSpec, landing: str, key=None,
-             current: DataFrame | None = None, stage_path: str | None = None) -> DataFrame:
+             current: DataFrame | None = None, stage_path: str | None = None,
+             full_snapshot: bool = False) -> DataFrame:
     """J1 plan: CSV batch merged into the current raw rows (batch wins).
 
     Inside the batch the last row of a key is the one from the newest file, then
@@ -63,18 +64,21 @@ def raw_rows(spark: SparkSession, spec: TableSpec, landing: str, key=None,
         batch = tables.stage(batch, stage_path)
     if current is not None:
         current = current.select(*spec.columns)
-    return upsert(current, batch, keys, order=ARRIVAL,
-                  current_is_unique=current is not None).select(*spec.columns)
+    return upsert(current, batch, keys, order=ARRIVAL, current_is_unique=current is not None,
+                  batch_covers_current=full_snapshot).select(*spec.columns)
 
 
 def load_raw(spark: SparkSession, spec: TableSpec, landing: str, base: str,
-             key=None, keep: int = KEEP_VERSIONS, stage: bool = False) -> int:
+             key=None, keep: int = KEEP_VERSIONS, stage: bool = False,
+             full_snapshot: bool = False) -> int:
     """Landing CSV -> new raw version (older ones pruned to ``keep``). Returns rows.
 
     The merge reads the batch twice (rows, then keys only). By default the landing
     files are parsed twice, which measured cheaper than a staged copy; ``stage=True``
     writes the parsed batch as Parquet first (K2), worth it when parsing dominates
     (many wide text columns) or the landing files may change during the load.
+    ``full_snapshot=True`` says the landing file re-delivers the whole table (as the
+    source system's feeds do): the merge then shuffles keys only, not current rows.
     """
     _keys(spec, key)                               # a wrong key fails before any I/O
     if not layers.exists(spark, landing):          # S6: probe before planning the read
@@ -83,7 +87,8 @@ def load_raw(spark: SparkSession, spec: TableSpec, landing: str, base: str,
     stage_path = (f"{base.rstrip('/')}/_stage/{spec.name}-{uuid.uuid4().hex[:12]}"
                   if stage else None)
     try:
-        merged = raw_rows(spark, spec, landing, key, layers.read_layer(spark, path), stage_path)
+        merged = raw_rows(spark, spec, landing, key, layers.read_layer(spark, path), stage_path,
+                          full_snapshot)
         _, rows = tables.write_version(merged, path)
     finally:
         if stage_path:
@@ -110,8 +115,10 @@ def trusted_rows(raw: DataFrame, spec: TableSpec, key=None, mode: str = casts.ST
     """
     keys = _keys(spec, key)
     cast = casts.trusted_columns(raw, spec, mode)
+    # raw is cumulative (a raw merge never drops a key), so it covers every trusted key
     return upsert(current, cast, keys, current_is_unique=current is not None,
-                  batch_is_unique=raw_unique and not _key_is_cast(spec, keys))
+                  batch_is_unique=raw_unique and not _key_is_cast(spec, keys),
+                  batch_covers_current=True)
 
 
 def load_trusted(spark: SparkSession, spec: TableSpec, base: str, key=None,
@@ -168,7 +175,8 @@ class RunResult:
 def run_all(spark: SparkSession, landing_root: str, base: str,
             specs: tuple[TableSpec, ...] = ALL_SPECS, key=None,
             cast_mode: str = casts.STRICT, write_mode: str = tables.APPEND,
-            on_error: str = "skip", parallelism: int = 8) -> RunResult:
+            on_error: str = "skip", parallelism: int = 8,
+            full_snapshot: bool = False) -> RunResult:
     """Every table, layer by layer; one table's failure does not stop the rest.
 
     Tables of one layer run as concurrent Spark jobs (``parallelism`` threads).
@@ -190,7 +198,7 @@ def run_all(spark: SparkSession, landing_root: str, base: str,
         try:
             if layer == RAW:
                 rows = load_raw(spark, spec, f"{landing_root.rstrip('/')}/{spec.source_file}",
-                                base, key)
+                                base, key, full_snapshot=full_snapshot)
             elif layer == TRUSTED:
                 # raw was just written by this run with the same key: one row per key
                 rows = load_trusted(spark, spec, base, key, cast_mode,

@@ -126,36 +126,42 @@ row_st = st.tuples(st.sampled_from(["a", "b", "c", None]), st.integers(0, 3),
 
 
 @settings(max_examples=15, deadline=None)
-@given(st.lists(row_st, max_size=8), st.lists(row_st, max_size=8), st.integers(1, 5))
-def test_upsert_matches_model(spark, current, batch, parts):
+@given(st.lists(row_st, max_size=8), st.lists(row_st, max_size=8), st.integers(1, 5),
+       st.booleans())
+def test_upsert_matches_model(spark, current, batch, parts, covers):
     cur = spark.createDataFrame(current, SCHEMA).repartition(parts)
     bat = spark.createDataFrame(batch, SCHEMA).repartition(parts)
-    got = sorted((tuple(r) for r in merge.upsert(cur, bat, "k", "seq").collect()), key=str)
+    out = merge.upsert(cur, bat, "k", "seq", batch_covers_current=covers)
+    got = sorted((tuple(r) for r in out.collect()), key=str)
     assert got == model_upsert(current, batch)
 
 
-def _plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def test_hot_key_is_limited_before_the_shuffle(spark):
-    # one key holds a third of the rows
-    df = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
-        F.col("id").cast("int").alias("seq"), F.lit("v").alias("v")).repartition(6)
-    out = merge.keep_last(df, "k", "seq")
-    plan = _plan(out)
-    partial = plan.index("WindowGroupLimit")
-    # the partial limit sits under (after, in text order) the exchange
-    assert "Partial" in plan and plan.index("Exchange") < plan.rindex("Partial")
-    assert partial >= 0
+def test_covering_batch_shuffles_keys_not_rows(spark, tmp_dir):
+    # a re-delivery of the whole table: only keys are compared, full rows never shuffle
+    cur = spark.range(20000).select(F.col("id").cast("string").alias("k"),
+                                    F.lit(0).alias("seq"), F.lit("x" * 50).alias("v"))
+    cur.write.parquet(f"{tmp_dir}/cur")
+    cur = spark.read.parquet(f"{tmp_dir}/cur")
+    full = cur.withColumn("seq", F.lit(1))
+    out = merge.upsert(cur, full, "k", "seq", current_is_unique=True, batch_is_unique=True,
+                       batch_covers_current=True)
+    assert out.count() == 20000 and out.filter("seq = 1").count() == 20000
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan      # nothing left to merge
+    # three keys are missing from the batch: they come back through a broadcast semi-join
+    partial = full.filter(~F.col("k").isin("1", "2", "3"))
+    out = merge.upsert(cur, partial, "k", "seq", current_is_unique=True, batch_is_unique=True,
+                       batch_covers_current=True)
     got = {r.k: r.seq for r in out.collect()}
-    assert len(got) == 2001 and got["hot"] == 2997
-
-
-def test_hot_key_group_rows_bounded(spark):
-    df = spark.range(5000).select(F.lit("hot").alias("k"), F.col("id").alias("seq"),
-                                  F.lit("t").alias("v"))
-    g = merge.group_rows(df, "k", "seq", block_size=512)
-    sizes = [len(r.rows) for r in g.collect()]
-    assert max(sizes) <= 512 and sum(sizes) == 5000
+    assert len(got) == 20000 and got["1"] == 0 and got["4"] == 1
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+
+
+def test_sized_broadcast_needs_proof(spark):
+    from strata.operators.joins import broadcast_limit, sized
+    small = sized(spark.range(10))
+    assert small.broadcast and small.rows == 10
+    big = sized(spark.range(10), limit=100)
+    assert not big.broadcast
+    assert broadcast_limit(spark) == 10 * 1024 * 1024
