@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.joins import sized
+from strata.session import work_dir
 
 _RN = "__strata_rn"
 
@@ -175,19 +176,22 @@ def sort_rows(df: DataFrame, key) -> DataFrame:
 def with_positions(sorted_df: DataFrame, name: str = "position") -> DataFrame:
     """1-based global position of each row of an ordered frame, without one task.
 
-    The sorted frame is checkpointed (reliable checkpoint in the shared folder), so
-    its partitions and their order are fixed. Each row gets its index inside its
-    partition; partition sizes (one row per partition) are turned into offsets.
-    Only that per-partition table is broadcast: its size is the partition count.
+    Each row is tagged with its partition and its index inside the partition right
+    after the sort, and the tagged rows are written as Parquet to the shared folder,
+    which fixes them (a retried task cannot land rows in a different partition).
+    Partition sizes (one row per partition) become offsets; only that table is
+    broadcast, and its size is the partition count.
     """
-    fixed = sorted_df.checkpoint(eager=True)
-    tagged = fixed.select("*", F.spark_partition_id().alias("__pid"),
-                          F.monotonically_increasing_id().alias("__mid"))
-    sizes = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+    spark = sorted_df.sparkSession
+    path = work_dir(spark, "positions")
+    sorted_df.select("*", F.spark_partition_id().alias("__pid"),
+                     F.monotonically_increasing_id().alias("__mid")).write.parquet(path)
+    fixed = spark.read.parquet(path)
+    sizes = fixed.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("__pid", F.coalesce(F.sum("__n").over(before), F.lit(0))
                            .alias("__off"))
     index = F.col("__mid") - F.shiftleft(F.col("__pid").cast("bigint"), 33)
-    return (tagged.join(F.broadcast(offsets), "__pid")
+    return (fixed.join(F.broadcast(offsets), "__pid")
             .select(*[F.col(c) for c in sorted_df.columns],
                     (F.col("__off") + index + F.lit(1)).cast("bigint").alias(name)))

@@ -33,6 +33,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
