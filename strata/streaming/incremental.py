@@ -25,11 +25,18 @@ ARRIVAL = ["_file_time", "_file_path"]
 
 def landing_stream(spark: SparkSession, landing: str, schema: T.StructType,
                    max_files_per_trigger: int | None = None,
-                   multiline: bool = False) -> DataFrame:
+                   multiline: bool = False, archive_dir: str | None = None) -> DataFrame:
+    """A file stream over a landing folder, with each row's file time and path.
+
+    ``archive_dir`` moves each file there once its batch is committed
+    (``cleanSource=archive``), which keeps the folder listing short on a
+    long-running stream."""
     reader = (spark.readStream.schema(schema).options(**CSV_OPTIONS)
               .option("header", "true").option("multiLine", str(multiline).lower()))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     df = reader.csv(landing)
     return df.select("*", F.col("_metadata.file_modification_time").alias("_file_time"),
                      F.col("_metadata.file_path").alias("_file_path"))
@@ -63,11 +70,12 @@ def merge_batch(target: str, key, columns, stage_batch: bool = False):
 def incremental_load(spark: SparkSession, landing: str, target: str, schema: T.StructType,
                      key, checkpoint: str, max_files_per_trigger: int | None = None,
                      processing_time: str | None = None, multiline: bool = False,
-                     stage_batch: bool = False):
+                     stage_batch: bool = False, archive_dir: str | None = None):
     """Start the stream; with no ``processing_time`` it drains what has landed
     (``availableNow``) and returns when done, else it keeps running on that interval
     (e.g. ``"20 minutes"``) and the query handle is returned."""
-    stream = landing_stream(spark, landing, schema, max_files_per_trigger, multiline)
+    stream = landing_stream(spark, landing, schema, max_files_per_trigger, multiline,
+                            archive_dir)
     writer = (stream.writeStream.foreachBatch(merge_batch(target, key, schema.names, stage_batch))
               .option("checkpointLocation", checkpoint))
     if processing_time:
