@@ -150,17 +150,22 @@ def upsert(current: DataFrame | None, batch: DataFrame, key, order=None,
 
 
 def group_rows(df: DataFrame, key, order: str, block_size: int = 1024,
-               rows_name: str = "rows") -> DataFrame:
+               rows_name: str = "rows", block: Column | None = None) -> DataFrame:
     """A1: rows of a key collected in ``order``, in blocks of consecutive order values.
 
     The output has ``key..., block, rows`` where ``block = floor(order / block_size)``.
     With unique integer ``order`` values inside a key, a block holds at most
     ``block_size`` rows, so no key is ever gathered into one unbounded list; a
     caller that wants "the list of a key" reads its blocks in ``block`` order.
+    For a non-numeric order (a timestamp, say) pass ``block`` (e.g. the hour).
     """
     keys = _names(key)
     rest = [c for c in df.columns if c not in keys and c != order]
-    block = F.floor(F.col(order) / F.lit(block_size)).cast("bigint").alias("block")
+    if block is None:
+        if not isinstance(df.schema[order].dataType, T.NumericType):
+            raise ValueError(f"order column {order!r} is not numeric: pass block=")
+        block = F.floor(F.col(order) / F.lit(block_size))
+    block = block.cast("bigint").alias("block")
     return (df.groupBy(*[F.col(k) for k in keys], block)
             .agg(F.sort_array(F.collect_list(F.struct(F.col(order), *[F.col(c) for c in rest])))
                  .alias(rows_name)))

@@ -165,3 +165,14 @@ def test_sized_broadcast_needs_proof(spark):
     big = sized(spark.range(10), limit=100)
     assert not big.broadcast
     assert broadcast_limit(spark) == 10 * 1024 * 1024
+
+
+def test_group_rows_by_time_blocks(spark):
+    import datetime as dt
+    import pytest
+    df = spark.createDataFrame([("u", dt.datetime(2024, 1, 1, h, 0), str(h)) for h in range(5)],
+                               "k string, ts timestamp, v string")
+    with pytest.raises(ValueError, match="not numeric"):
+        merge.group_rows(df, "k", "ts")
+    g = merge.group_rows(df, "k", "ts", block=F.floor(F.hour("ts") / 2)).orderBy("block").collect()
+    assert [[x.v for x in r.rows] for r in g] == [["0", "1"], ["2", "3"], ["4"]]
