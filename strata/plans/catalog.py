@@ -224,6 +224,15 @@ def expand_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
                        text.render_joins("doc_id", "joins").alias("line"))
 
 
+def render_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each line item as (order key, [part, supplier, line number]) -> 'k,p,s,n'."""
+    li = table(spark, sf_dir, "lineitem")
+    joined = li.select("l_orderkey", F.array(*[F.col(c).cast("string") for c in
+                                              ("l_partkey", "l_suppkey", "l_linenumber")])
+                       .alias("joins"))
+    return joined.select("l_orderkey", text.render_joins("l_orderkey", "joins").alias("line"))
+
+
 # --- typed projection per table (P2 / J3 plan) --------------------------------
 
 def typed_projection(name: str):

@@ -329,6 +329,11 @@ SQL: dict[str, str] = {
                CAST(doc_id AS VARCHAR) || ',' || array_to_string(string_split(ln, ' '), ',')
                    AS line
         FROM l""",
+    "render_joins": """
+        SELECT l_orderkey,
+               concat_ws(',', CAST(l_orderkey AS VARCHAR), CAST(l_partkey AS VARCHAR),
+                         CAST(l_suppkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)) AS line
+        FROM lineitem""",
     "append_twice": f"{typed('customers')} UNION ALL {TYPED_SELECT['customers']}",
     "overwrite_twice": typed("customers"),
     "layer_run": _layer_counts(),
