@@ -5,20 +5,21 @@ aggregate job and returns it hinted ``broadcast`` when that bound is under the
 session's ``spark.sql.autoBroadcastJoinThreshold``, else hinted ``merge`` (a
 sort-merge join), so neither Catalyst's file-size estimate nor a stale statistic
 can broadcast a side that grew with the data. A derived side (the result of a
-join or aggregate) is first materialised with a reliable checkpoint in the
-shared folder, so the measured rows are exactly the rows that are joined and
-the lineage is cut; a side read from immutable files is measured as is.
+join or aggregate) is first written as a Parquet table in the shared folder and
+read back, so the measured rows are exactly the rows that are joined and the
+lineage is cut; a side read from immutable files is measured as is.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.session import checkpoint_root
+from strata.session import work_dir
 
 ROW_OVERHEAD = 24        # bytes per row in a hashed relation, beyond the field data
 FIELD_BYTES = 8          # fixed-width slot per field
@@ -62,11 +63,18 @@ def _row_bytes(df: DataFrame):
 def sized(df: DataFrame, materialize: bool = False, limit: int | None = None) -> Measured:
     """Measure ``df`` and hint it for a join: broadcast if proven small, else merge."""
     spark = df.sparkSession
+    measures = [F.count(F.lit(1)).alias("n"),
+                F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("b")]
     if materialize:
-        checkpoint_root(spark)
-        df = df.checkpoint(eager=True)
-    stats = df.agg(F.count(F.lit(1)).alias("n"),
-                   F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("b")).collect()[0]
+        # one job: the rows are written as a Parquet table in the shared folder and
+        # measured on the way (an eager RDD checkpoint would compute its input twice)
+        path = work_dir(spark, "sized")
+        obs = Observation(f"sized_{uuid.uuid4().hex}")
+        df.observe(obs, *measures).write.parquet(path)
+        stats = obs.get
+        df = spark.read.parquet(path)
+    else:
+        stats = df.agg(*measures).collect()[0].asDict()
     rows, size = int(stats["n"]), int(stats["b"]) * HASH_FACTOR
     cap = broadcast_limit(spark) if limit is None else limit
     small = 0 < size <= cap or rows == 0

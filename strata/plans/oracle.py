@@ -337,6 +337,7 @@ SQL: dict[str, str] = {
     "append_twice": f"{typed('customers')} UNION ALL {TYPED_SELECT['customers']}",
     "overwrite_twice": typed("customers"),
     "layer_run": _layer_counts(),
+    "layer_rerun": _layer_counts(),
     "incremental_load": UPSERT,
     "refined_orders": typed("orders"),
     "sales_by_category": """
