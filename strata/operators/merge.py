@@ -95,8 +95,29 @@ def _key_cols(df: DataFrame, keys: list[str], prefix: str) -> DataFrame:
     return df.select(*[F.col(k).alias(f"{prefix}{i}") for i, k in enumerate(keys)])
 
 
-def _match(left: DataFrame, right: DataFrame, keys: list[str], prefix: str):
-    return [left[k].eqNullSafe(right[f"{prefix}{i}"]) for i, k in enumerate(keys)]
+def _any_null(cols) -> Column:
+    out = F.lit(False)
+    for c in cols:
+        out = out | F.col(c).isNull()
+    return out
+
+
+def keyed_join(left: DataFrame, right: DataFrame, left_keys: list[str], right_keys: list[str],
+               how: str) -> DataFrame:
+    """Semi or anti join on keys where null matches null (a null key is one key).
+
+    Rows whose keys are all non-null join on plain equality, so a side already
+    hash-partitioned on the key (by a keep-last window, say) is not shuffled
+    again; rows with a null key component, at most one per null pattern in a
+    table unique by key, join null-safely in a separate branch whose scan skips
+    row groups without nulls.
+    """
+    eq = [left[a] == right[b] for a, b in zip(left_keys, right_keys)]
+    whole = left.filter(~_any_null(left_keys)).join(right, eq, how)
+    holes_right = right.filter(_any_null(right_keys))
+    holes_left = left.filter(_any_null(left_keys))
+    safe = [holes_left[a].eqNullSafe(holes_right[b]) for a, b in zip(left_keys, right_keys)]
+    return whole.unionByName(holes_left.join(holes_right, safe, how))
 
 
 def upsert(current: DataFrame | None, batch: DataFrame, key, order=None,
@@ -133,19 +154,20 @@ def upsert(current: DataFrame | None, batch: DataFrame, key, order=None,
     incoming = _key_cols(batch, keys, "__k_")
     if not batch_is_unique:
         incoming = incoming.distinct()
+    k_names = [f"__k_{i}" for i in range(len(keys))]
+    c_names = [f"__c_{i}" for i in range(len(keys))]
     if not batch_covers_current:
         # the batch key set is materialised and measured: broadcast only when proven small
         side = sized(incoming, materialize=True).frame
-        kept = current.join(side, _match(current, side, keys, "__k_"), "left_anti")
+        kept = keyed_join(current, side, keys, k_names, "left_anti")
         return newest.unionByName(kept)
     current_keys = _key_cols(current, keys, "__c_")
     incoming = incoming.hint("merge")             # a re-delivery: as large as the table
-    cond = [current_keys[f"__c_{i}"].eqNullSafe(incoming[f"__k_{i}"]) for i in range(len(keys))]
-    orphans = sized(current_keys.join(incoming, cond, "left_anti"), materialize=True)
+    orphans = sized(keyed_join(current_keys, incoming, c_names, k_names, "left_anti"),
+                    materialize=True)
     if orphans.rows == 0:                         # every current key was re-delivered
         return newest
-    side = orphans.frame
-    kept = current.join(side, _match(current, side, keys, "__c_"), "left_semi")
+    kept = keyed_join(current, orphans.frame, keys, c_names, "left_semi")
     return newest.unionByName(kept)
 
 
