@@ -171,7 +171,7 @@ def upsert(current: DataFrame | None, batch: DataFrame, key, order=None,
     return newest.unionByName(kept)
 
 
-def group_rows(df: DataFrame, key, order: str, block_size: int = 1024,
+def group_rows(df: DataFrame, key, order: str, block_size: int = 256,
                rows_name: str = "rows", block: Column | None = None) -> DataFrame:
     """A1: rows of a key collected in ``order``, in blocks of consecutive order values.
 
