@@ -26,6 +26,8 @@ def main(argv=None) -> int:
         p.add_argument("--master", default=None, help="Spark master (default: the session's)")
     run.add_argument("--write-mode", default="append", choices=["append", "overwrite"])
     run.add_argument("--on-error", default="skip", choices=["skip", "continue"])
+    run.add_argument("--database", default=None,
+                     help="also register refined tables as <database>.<table>")
     run.add_argument("--full-snapshot", action="store_true",
                      help="landing files re-deliver whole tables (merge shuffles keys only)")
     watch.add_argument("--every", default=None, help='processing-time trigger, e.g. "20 minutes"')
@@ -42,7 +44,8 @@ def main(argv=None) -> int:
     if args.cmd == "run":
         result = jobs.run_all(spark, args.landing, args.lake, specs=specs, key=args.key,
                               cast_mode=args.cast_mode, write_mode=args.write_mode,
-                              on_error=args.on_error, full_snapshot=args.full_snapshot)
+                              on_error=args.on_error, full_snapshot=args.full_snapshot,
+                              database=args.database)
         result.log.select("layer", "table_name", "status", "rows", "message") \
             .show(len(specs) * 3, truncate=80)
         failed = result.log.filter("status != 'ok'").count()

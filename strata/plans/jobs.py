@@ -176,13 +176,15 @@ def run_all(spark: SparkSession, landing_root: str, base: str,
             specs: tuple[TableSpec, ...] = ALL_SPECS, key=None,
             cast_mode: str = casts.STRICT, write_mode: str = tables.APPEND,
             on_error: str = "skip", parallelism: int = 8,
-            full_snapshot: bool = False) -> RunResult:
+            full_snapshot: bool = False, database: str | None = None) -> RunResult:
     """Every table, layer by layer; one table's failure does not stop the rest.
 
     Tables of one layer run as concurrent Spark jobs (``parallelism`` threads).
     With ``on_error="skip"`` a table that failed in one layer is ``skipped`` in the
     later ones; ``"continue"`` runs them anyway (they then read older versions).
-    Every step becomes a run-log row, appended to ``<base>/_run_log``.
+    Every step becomes a run-log row, appended to ``<base>/_run_log``. With
+    ``database`` the refined tables are also catalog tables ``<database>.<table>``
+    whose data stays at ``<base>/refined/<table>``.
     """
     run_id = uuid.uuid4().hex
     failed: set[str] = set()
@@ -204,7 +206,8 @@ def run_all(spark: SparkSession, landing_root: str, base: str,
                 rows = load_trusted(spark, spec, base, key, cast_mode,
                                     raw_unique=(RAW, spec.name) in loaded)
             else:
-                rows = load_refined(spark, spec, base, write_mode, cast_mode)
+                rows = load_refined(spark, spec, base, write_mode, cast_mode,
+                                    table=f"{database}.{spec.name}" if database else None)
             status, message = OK, "success"
         except Exception as e:  # noqa: BLE001 - every failure is logged, none stops the run
             rows, status, message = None, FAILED, _error_text(e)

@@ -264,3 +264,15 @@ def test_stream_archives_processed_files(spark, tmp_dir):
     # the archive move happens after the batch commits; the stream has stopped by now
     archived = [f for _, _, fs in os.walk(f"{tmp_dir}/archive") for f in fs]
     assert archived == [] or archived == ["a.csv"]
+
+
+def test_full_run_registers_catalog_tables(spark, tmp_dir):
+    landing = f"{tmp_dir}/landing"
+    land(landing, S.SELLERS, "s1,13023,campinas,SP\n")
+    db = "strata_db_" + tmp_dir.rsplit("-", 1)[-1]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{tmp_dir}/db'")
+    try:
+        jobs.run_all(spark, landing, f"{tmp_dir}/lake", specs=(S.SELLERS,), database=db)
+        assert spark.table(f"{db}.sellers").collect()[0].seller_zip_code_prefix == 13023
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
