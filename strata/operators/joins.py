@@ -1,7 +1,7 @@
 """Join sides with a measured size: broadcast only what is proven small.
 
-``sized(df)`` measures a join side (rows and an upper bound of its bytes) with one
-aggregate job and returns it hinted ``broadcast`` when that bound is under the
+``sized(df)`` measures a join side (rows and an upper bound of its bytes) and
+returns it hinted ``broadcast`` when that bound is under the
 session's ``spark.sql.autoBroadcastJoinThreshold``, else hinted ``merge`` (a
 sort-merge join), so neither Catalyst's file-size estimate nor a stale statistic
 can broadcast a side that grew with the data. A derived side (the result of a
@@ -60,9 +60,30 @@ def _row_bytes(df: DataFrame):
     return total.cast("bigint")
 
 
+def _fixed_row_bytes(df: DataFrame) -> int:
+    return ROW_OVERHEAD + FIELD_BYTES * len(df.schema.fields)
+
+
+def _has_variable_width(df: DataFrame) -> bool:
+    return any(isinstance(f.dataType, (T.StringType, T.BinaryType)) for f in df.schema.fields)
+
+
 def sized(df: DataFrame, materialize: bool = False, limit: int | None = None) -> Measured:
-    """Measure ``df`` and hint it for a join: broadcast if proven small, else merge."""
+    """Measure ``df`` and hint it for a join: broadcast if proven small, else merge.
+
+    For a side read from files the row count comes first (Parquet answers it from
+    file footers); if rows times the fixed part of a row already exceed the limit,
+    or the side has no text columns, that decides it without reading data. Only a
+    side that may fit and has text columns has those columns' lengths summed.
+    """
     spark = df.sparkSession
+    cap = broadcast_limit(spark) if limit is None else limit
+    if not materialize:
+        rows = df.count()
+        floor = rows * _fixed_row_bytes(df) * HASH_FACTOR
+        if rows == 0 or floor > cap or not _has_variable_width(df):
+            small = rows == 0 or 0 < floor <= cap
+            return Measured(F.broadcast(df) if small else df.hint("merge"), rows, floor, small)
     measures = [F.count(F.lit(1)).alias("n"),
                 F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("b")]
     if materialize:
@@ -76,6 +97,5 @@ def sized(df: DataFrame, materialize: bool = False, limit: int | None = None) ->
     else:
         stats = df.agg(*measures).collect()[0].asDict()
     rows, size = int(stats["n"]), int(stats["b"]) * HASH_FACTOR
-    cap = broadcast_limit(spark) if limit is None else limit
     small = 0 < size <= cap or rows == 0
     return Measured(F.broadcast(df) if small else df.hint("merge"), rows, size, small)

@@ -176,3 +176,15 @@ def test_group_rows_by_time_blocks(spark):
         merge.group_rows(df, "k", "ts")
     g = merge.group_rows(df, "k", "ts", block=F.floor(F.hour("ts") / 2)).orderBy("block").collect()
     assert [[x.v for x in r.rows] for r in g] == [["0", "1"], ["2", "3"], ["4"]]
+
+
+def test_sized_decides_big_fixed_width_sides_from_the_count(spark, tmp_dir):
+    from strata.operators.joins import sized
+    spark.range(5000).select("id", (F.col("id") * 2).alias("x")).write.parquet(f"{tmp_dir}/t")
+    t = spark.read.parquet(f"{tmp_dir}/t")
+    m = sized(t, limit=1000)                       # 5000 rows x 40 bytes x 2 > 1000
+    assert not m.broadcast and m.rows == 5000
+    m = sized(t)                                   # fits the default 10 MB
+    assert m.broadcast and m.bytes == 5000 * (24 + 16) * 2
+    s = sized(t.select("id", F.lit("abc").alias("s")), limit=5000 * (24 + 16 + 3) * 2)
+    assert s.broadcast and s.bytes == 5000 * (24 + 16 + 3) * 2
