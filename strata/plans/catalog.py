@@ -286,6 +286,7 @@ def layer_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing, base = f"{root}/landing", f"{root}/lake"
     land_feeds(spark, sf_dir, landing, skip=("geolocation",))
     result = jobs.run_all(spark, landing, base)
+    layers.delete_path(spark, root)      # the log is held in the session, not in files
     return result.log.select("layer", "table_name", "status", "rows")
 
 
@@ -301,6 +302,7 @@ def layer_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     land_feeds(spark, sf_dir, landing, skip=("geolocation",))
     jobs.run_all(spark, landing, base, full_snapshot=True)
     result = jobs.run_all(spark, landing, base, full_snapshot=True)
+    layers.delete_path(spark, root)
     return result.log.select("layer", "table_name", "status", "rows")
 
 
@@ -318,6 +320,8 @@ def incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     for drop in (a, b):          # each drop is one write job, in arrival order
         csv_src.write_csv(drop, landing, mode="append")
     run_stream(spark, landing, target, o.schema, key=["o_orderkey"], checkpoint=ckpt)
+    for done in (landing, ckpt):
+        layers.delete_path(spark, done)  # the result reads the newest version only
     return layers.read_layer(spark, target)
 
 
@@ -330,4 +334,7 @@ def refined_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs.load_raw(spark, spec, f"{landing}/{spec.source_file}", base, stage=True)   # K2 stage
     jobs.load_trusted(spark, spec, base, raw_unique=True)   # raw was just written, same key
     jobs.load_refined(spark, spec, base, write_mode=tables.OVERWRITE)
+    for done in (landing, jobs.table_path(base, jobs.RAW, spec),
+                 jobs.table_path(base, jobs.TRUSTED, spec)):
+        layers.delete_path(spark, done)  # the result reads the refined table only
     return spark.read.parquet(jobs.table_path(base, jobs.REFINED, spec))
