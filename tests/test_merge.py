@@ -188,3 +188,13 @@ def test_sized_decides_big_fixed_width_sides_from_the_count(spark, tmp_dir):
     assert m.broadcast and m.bytes == 5000 * (24 + 16) * 2
     s = sized(t.select("id", F.lit("abc").alias("s")), limit=5000 * (24 + 16 + 3) * 2)
     assert s.broadcast and s.bytes == 5000 * (24 + 16 + 3) * 2
+
+
+def test_keyed_join_null_safe_composite_keys(spark):
+    left = spark.createDataFrame([("a", None, 1), ("a", "x", 2), (None, None, 3), ("b", "y", 4)],
+                                 "k1 string, k2 string, v int")
+    right = spark.createDataFrame([("a", None), (None, None), ("b", "z")], "r1 string, r2 string")
+    anti = merge.keyed_join(left, right, ["k1", "k2"], ["r1", "r2"], "left_anti")
+    semi = merge.keyed_join(left, right, ["k1", "k2"], ["r1", "r2"], "left_semi")
+    assert sorted(r.v for r in anti.collect()) == [2, 4]
+    assert sorted(r.v for r in semi.collect()) == [1, 3]
