@@ -62,6 +62,17 @@ def tie_break_order(df: DataFrame, key, order=None, descending: bool = False) ->
     return [F.col(c).asc_nulls_first() for c in cols]
 
 
+def has_duplicate_keys(df: DataFrame, key) -> bool:
+    """Does any key (null counting as one key) occur more than once?
+
+    A keys-only aggregate: partial counts before the shuffle, and the job stops at
+    the first duplicate found. Much cheaper than a full-row dedupe when, as with
+    most source exports, the answer is no.
+    """
+    keys = _names(key)
+    return not df.groupBy(*[F.col(k) for k in keys]).count().filter(F.col("count") > 1).isEmpty()
+
+
 def union_rows(*frames: DataFrame) -> DataFrame:
     """Bag union by column name (duplicates kept)."""
     out = frames[0]

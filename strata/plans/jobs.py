@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.functions import casts
-from strata.operators.merge import upsert
+from strata.operators.merge import has_duplicate_keys, upsert
 from strata.sinks import tables
 from strata.sources import layers
 from strata.sources.csv import read_csv, with_source_order
@@ -51,12 +51,14 @@ def _keys(spec: TableSpec, key) -> list[str]:
 
 def raw_rows(spark: SparkSession, spec: TableSpec, landing: str, key=None,
              current: DataFrame | None = None, stage_path: str | None = None,
-             full_snapshot: bool = False) -> DataFrame:
+             full_snapshot: bool = False, probe_unique: bool = True) -> DataFrame:
     """J1 plan: CSV batch merged into the current raw rows (batch wins).
 
     Inside the batch the last row of a key is the one from the newest file, then
     the greater full row, so the result does not depend on read order. With
-    ``stage_path`` the parsed batch is staged as Parquet first (K2).
+    ``stage_path`` the parsed batch is staged as Parquet first (K2). With
+    ``probe_unique`` a keys-only probe runs first; a batch with one row per key
+    skips the full-row dedupe (a sort and shuffle of every row).
     """
     keys = _keys(spec, key)
     batch = with_source_order(read_csv(spark, landing, spec))
@@ -64,7 +66,9 @@ def raw_rows(spark: SparkSession, spec: TableSpec, landing: str, key=None,
         batch = tables.stage(batch, stage_path)
     if current is not None:
         current = current.select(*spec.columns)
+    unique = probe_unique and not has_duplicate_keys(batch, keys)
     return upsert(current, batch, keys, order=ARRIVAL, current_is_unique=current is not None,
+                  batch_is_unique=unique,
                   batch_covers_current=full_snapshot).select(*spec.columns)
 
 

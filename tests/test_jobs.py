@@ -276,3 +276,15 @@ def test_full_run_registers_catalog_tables(spark, tmp_dir):
         assert spark.table(f"{db}.sellers").collect()[0].seller_zip_code_prefix == 13023
     finally:
         spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+
+
+def test_raw_probe_skips_dedupe_only_for_unique_batches(spark, tmp_dir):
+    from strata.operators.merge import has_duplicate_keys
+    uniq = land(f"{tmp_dir}/u", S.SELLERS, "s1,1,a,SP\ns2,2,b,SP\n").rsplit("/", 1)[0]
+    dup = land(f"{tmp_dir}/d", S.SELLERS, "s1,1,a,SP\ns1,2,b,SP\n").rsplit("/", 1)[0]
+    plan = jobs.raw_rows(spark, S.SELLERS, uniq)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+    got = jobs.raw_rows(spark, S.SELLERS, dup).collect()
+    assert [(r.seller_id, r.seller_zip_code_prefix) for r in got] == [("s1", "2")]
+    nulls = spark.createDataFrame([(None,), (None,)], "k string")
+    assert has_duplicate_keys(nulls, "k")
