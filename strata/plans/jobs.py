@@ -110,24 +110,28 @@ def _key_is_cast(spec: TableSpec, keys: list[str]) -> bool:
 
 
 def trusted_rows(raw: DataFrame, spec: TableSpec, key=None, mode: str = casts.STRICT,
-                 current: DataFrame | None = None, raw_unique: bool = False) -> DataFrame:
+                 current: DataFrame | None = None, raw_unique: bool | None = False) -> DataFrame:
     """J2 plan: cast first (so '01037' and '1037' are one key), then merge.
 
-    ``raw_unique`` says the raw rows are one per key (a raw load with the same key
-    wrote them). When the casts leave the key columns alone they stay one per key,
-    and the dedupe (a shuffle of the whole table) is skipped.
+    ``raw_unique=True`` says the raw rows are one per key (a raw load with the same
+    key wrote them); when the casts leave the key columns alone they stay one per
+    key, and the dedupe (a sort and shuffle of the whole table) is skipped.
+    ``raw_unique=None`` finds out with a keys-only probe of the cast rows.
     """
     keys = _keys(spec, key)
     cast = casts.trusted_columns(raw, spec, mode)
+    if raw_unique is None:
+        unique = not has_duplicate_keys(cast, keys)
+    else:
+        unique = raw_unique and not _key_is_cast(spec, keys)
     # raw is cumulative (a raw merge never drops a key), so it covers every trusted key
     return upsert(current, cast, keys, current_is_unique=current is not None,
-                  batch_is_unique=raw_unique and not _key_is_cast(spec, keys),
-                  batch_covers_current=True)
+                  batch_is_unique=unique, batch_covers_current=True)
 
 
 def load_trusted(spark: SparkSession, spec: TableSpec, base: str, key=None,
                  mode: str = casts.STRICT, keep: int = KEEP_VERSIONS,
-                 raw_unique: bool = False) -> int:
+                 raw_unique: bool | None = None) -> int:
     """Newest raw version -> new trusted version (older ones pruned). Returns rows."""
     raw = layers.read_layer(spark, table_path(base, RAW, spec))
     if raw is None:

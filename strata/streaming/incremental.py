@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.text import CSV_OPTIONS
-from strata.operators.merge import upsert
+from strata.operators.merge import has_duplicate_keys, upsert
 from strata.sinks.tables import stage, write_version
 from strata.sources import layers
 
@@ -57,7 +57,8 @@ def merge_batch(target: str, key, columns, stage_batch: bool = False):
         try:
             rows = stage(batch, stage_path) if stage_path else batch
             merged = upsert(current, rows, key, order=ARRIVAL,
-                            current_is_unique=current is not None).select(*columns)
+                            current_is_unique=current is not None,
+                            batch_is_unique=not has_duplicate_keys(rows, key)).select(*columns)
             write_version(merged, target, version=version)
         finally:
             if stage_path:
