@@ -158,6 +158,7 @@ def upsert(current: DataFrame | None, batch: DataFrame, key, order=None,
     if current is None:
         return newest
     newest = newest.select(*current.columns)   # helper order columns are dropped
+    current_rows = current
     if not current_is_unique:
         current = keep_last(current, keys, [c for c in _names(order) if c in current.columns])
     # the keys of keep_last(batch) are exactly the distinct batch keys: an aggregate
@@ -172,7 +173,10 @@ def upsert(current: DataFrame | None, batch: DataFrame, key, order=None,
         side = sized(incoming, materialize=True).frame
         kept = keyed_join(current, side, keys, k_names, "left_anti")
         return newest.unionByName(kept)
-    current_keys = _key_cols(current, keys, "__c_")
+    # the key set of the current table, taken from its rows (no keep-last needed)
+    current_keys = _key_cols(current_rows, keys, "__c_")
+    if not current_is_unique:
+        current_keys = current_keys.distinct()
     incoming = incoming.hint("merge")             # a re-delivery: as large as the table
     orphans = sized(keyed_join(current_keys, incoming, c_names, k_names, "left_anti"),
                     materialize=True)
