@@ -17,6 +17,25 @@ from pyspark.sql import SparkSession
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
+# Settings for a large cluster (about 100 TB of input): many initial shuffle
+# partitions that AQE coalesces to ~256 MB each, so no reducer task holds more
+# than it can sort in memory; skewed partitions split above 1 GB; 256 MB input
+# splits; broadcast sides capped at 64 MB (every broadcast is also measured first,
+# see operators.joins.sized).
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "strata", extra: dict | None = None) -> SparkSession:
     """A session with the settings the library assumes.
