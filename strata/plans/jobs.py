@@ -18,18 +18,20 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from strata.functions import casts
 from strata.operators.merge import has_duplicate_keys, upsert
 from strata.sinks import tables
 from strata.sources import layers
-from strata.sources.csv import read_csv, with_source_order
+from strata.sources.csv import CORRUPT, read_csv, with_source_order
 from strata.specs import ALL_SPECS, TEXT, TableSpec
 
 RAW, TRUSTED, REFINED = "raw", "trusted", "refined"
 OK, FAILED, SKIPPED = "ok", "failed", "skipped"
 ARRIVAL = ["_file_time", "_file_path"]
+MALFORMED = "_malformed"
 KEEP_VERSIONS = 2        # the newest version and the one before it, for readers in flight
 
 
@@ -51,31 +53,46 @@ def _keys(spec: TableSpec, key) -> list[str]:
 
 def raw_rows(spark: SparkSession, spec: TableSpec, landing: str, key=None,
              current: DataFrame | None = None, stage_path: str | None = None,
-             full_snapshot: bool = False, probe_unique: bool = True) -> DataFrame:
+             full_snapshot: bool = False, probe_unique: bool = True,
+             malformed: Observation | None = None) -> DataFrame:
     """J1 plan: CSV batch merged into the current raw rows (batch wins).
 
     Inside the batch the last row of a key is the one from the newest file, then
     the greater full row, so the result does not depend on read order. With
     ``stage_path`` the parsed batch is staged as Parquet first (K2). With
     ``probe_unique`` a keys-only probe runs first; a batch with one row per key
-    skips the full-row dedupe (a sort and shuffle of every row).
+    skips the full-row dedupe (a sort and shuffle of every row). Short and long
+    rows are kept (padded with null, or cut); with ``malformed`` the ones written
+    from this batch are counted.
     """
     keys = _keys(spec, key)
-    batch = with_source_order(read_csv(spark, landing, spec))
+    batch = with_source_order(read_csv(spark, landing, spec, corrupt_column=CORRUPT))
+    # the flag rides along to the final write, which parses every field (a job that
+    # reads only some fields, like the key probe, cannot tell a short row)
+    batch = batch.withColumn(MALFORMED, F.col(CORRUPT).isNotNull()).drop(CORRUPT)
     if stage_path:
         batch = tables.stage(batch, stage_path)
     if current is not None:
-        current = current.select(*spec.columns)
+        current = current.select(*spec.columns, F.lit(False).alias(MALFORMED))
     unique = probe_unique and not has_duplicate_keys(batch, keys)
-    return upsert(current, batch, keys, order=ARRIVAL, current_is_unique=current is not None,
-                  batch_is_unique=unique,
-                  batch_covers_current=full_snapshot).select(*spec.columns)
+    merged = upsert(current, batch, keys, order=ARRIVAL, current_is_unique=current is not None,
+                    batch_is_unique=unique, batch_covers_current=full_snapshot)
+    if malformed is not None:
+        merged = merged.observe(malformed, F.count(F.when(F.col(MALFORMED), 1)).alias("malformed"))
+    return merged.select(*spec.columns)
 
 
 def load_raw(spark: SparkSession, spec: TableSpec, landing: str, base: str,
              key=None, keep: int = KEEP_VERSIONS, stage: bool = False,
              full_snapshot: bool = False) -> int:
-    """Landing CSV -> new raw version (older ones pruned to ``keep``). Returns rows.
+    """Landing CSV -> new raw version (older ones pruned to ``keep``). Returns rows."""
+    return raw_load(spark, spec, landing, base, key, keep, stage, full_snapshot)[0]
+
+
+def raw_load(spark: SparkSession, spec: TableSpec, landing: str, base: str,
+             key=None, keep: int = KEEP_VERSIONS, stage: bool = False,
+             full_snapshot: bool = False) -> tuple[int, int]:
+    """J1 with its counts: (rows written, malformed landing rows).
 
     The merge reads the batch twice (rows, then keys only). By default the landing
     files are parsed twice, which measured cheaper than a staged copy; ``stage=True``
@@ -90,15 +107,16 @@ def load_raw(spark: SparkSession, spec: TableSpec, landing: str, base: str,
     path = table_path(base, RAW, spec)
     stage_path = (f"{base.rstrip('/')}/_stage/{spec.name}-{uuid.uuid4().hex[:12]}"
                   if stage else None)
+    bad = Observation(f"malformed_{uuid.uuid4().hex}")
     try:
         merged = raw_rows(spark, spec, landing, key, layers.read_layer(spark, path), stage_path,
-                          full_snapshot)
+                          full_snapshot, malformed=bad)
         _, rows = tables.write_version(merged, path)
     finally:
         if stage_path:
             layers.delete_path(spark, stage_path)
     layers.prune_versions(spark, path, keep)
-    return rows
+    return rows, int(bad.get["malformed"])
 
 
 def _key_is_cast(spec: TableSpec, keys: list[str]) -> bool:
@@ -203,12 +221,14 @@ def run_all(spark: SparkSession, landing_root: str, base: str,
         start = tables.now()
         if on_error == "skip" and spec.name in failed:
             return dict(run_id=run_id, layer=layer, table_name=spec.name, status=SKIPPED,
-                        message="an earlier layer failed", rows=None,
+                        message="an earlier layer failed", rows=None, malformed=None,
                         started_at=start, ended_at=tables.now())
         try:
+            malformed = None
             if layer == RAW:
-                rows = load_raw(spark, spec, f"{landing_root.rstrip('/')}/{spec.source_file}",
-                                base, key, full_snapshot=full_snapshot)
+                rows, malformed = raw_load(spark, spec,
+                                           f"{landing_root.rstrip('/')}/{spec.source_file}",
+                                           base, key, full_snapshot=full_snapshot)
             elif layer == TRUSTED:
                 # raw was just written by this run with the same key: one row per key
                 rows = load_trusted(spark, spec, base, key, cast_mode,
@@ -218,9 +238,10 @@ def run_all(spark: SparkSession, landing_root: str, base: str,
                                     table=f"{database}.{spec.name}" if database else None)
             status, message = OK, "success"
         except Exception as e:  # noqa: BLE001 - every failure is logged, none stops the run
-            rows, status, message = None, FAILED, _error_text(e)
+            rows, malformed, status, message = None, None, FAILED, _error_text(e)
         return dict(run_id=run_id, layer=layer, table_name=spec.name, status=status,
-                    message=message, rows=rows, started_at=start, ended_at=tables.now())
+                    message=message, rows=rows, malformed=malformed,
+                    started_at=start, ended_at=tables.now())
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         for layer in (RAW, TRUSTED, REFINED):

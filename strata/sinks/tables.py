@@ -81,6 +81,7 @@ RUN_LOG_SCHEMA = T.StructType([
     T.StructField("status", T.StringType()),
     T.StructField("message", T.StringType()),
     T.StructField("rows", T.LongType()),
+    T.StructField("malformed", T.LongType()),      # raw steps: short or long landing rows
     T.StructField("started_at", T.TimestampType()),
     T.StructField("ended_at", T.TimestampType()),
 ])

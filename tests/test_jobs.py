@@ -288,3 +288,13 @@ def test_raw_probe_skips_dedupe_only_for_unique_batches(spark, tmp_dir):
     assert [(r.seller_id, r.seller_zip_code_prefix) for r in got] == [("s1", "2")]
     nulls = spark.createDataFrame([(None,), (None,)], "k string")
     assert has_duplicate_keys(nulls, "k")
+
+
+def test_full_run_counts_malformed_rows(spark, tmp_dir):
+    landing = f"{tmp_dir}/landing"
+    land(landing, S.SELLERS, "s1,13023,campinas,SP,extra\ns2,1\ns3,2,x,y\n")
+    log = jobs.run_all(spark, landing, f"{tmp_dir}/lake", specs=(S.SELLERS,)).log
+    raw = [r for r in log.collect() if r.layer == jobs.RAW][0]
+    assert (raw.rows, raw.malformed) == (3, 2)
+    assert jobs.raw_load(spark, S.SELLERS, f"{landing}/{S.SELLERS.source_file}",
+                         f"{tmp_dir}/lake2")[1] == 2
