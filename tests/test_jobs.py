@@ -298,3 +298,13 @@ def test_full_run_counts_malformed_rows(spark, tmp_dir):
     assert (raw.rows, raw.malformed) == (3, 2)
     assert jobs.raw_load(spark, S.SELLERS, f"{landing}/{S.SELLERS.source_file}",
                          f"{tmp_dir}/lake2")[1] == 2
+
+
+def test_cli_watch_drains_landing(spark, tmp_dir):
+    from strata.__main__ import main
+    landing = f"{tmp_dir}/landing"
+    land(landing, S.SELLERS, "s1,13023,campinas,SP\n")
+    assert main(["watch", "--landing", landing, "--lake", f"{tmp_dir}/lake",
+                 "--tables", "sellers"]) == 0
+    refined = spark.read.parquet(jobs.table_path(f"{tmp_dir}/lake", jobs.REFINED, S.SELLERS))
+    assert [r.seller_zip_code_prefix for r in refined.collect()] == [13023]
