@@ -92,10 +92,11 @@ def load_raw(spark: SparkSession, spec: TableSpec, landing: str, base: str,
 def raw_load(spark: SparkSession, spec: TableSpec, landing: str, base: str,
              key=None, keep: int = KEEP_VERSIONS, stage: bool = False,
              full_snapshot: bool = False) -> tuple[int, int]:
-    """J1 with its counts: (rows written, malformed landing rows).
+    """J1 with its counts: (rows written, rows written that were malformed in the file).
 
-    The merge reads the batch twice (rows, then keys only). By default the landing
-    files are parsed twice, which measured cheaper than a staged copy; ``stage=True``
+    The load reads the batch up to three times (a key probe, the key set for the
+    merge, then the rows). By default the landing files are parsed each time, which
+    measured cheaper than a staged copy; ``stage=True``
     writes the parsed batch as Parquet first (K2), worth it when parsing dominates
     (many wide text columns) or the landing files may change during the load.
     ``full_snapshot=True`` says the landing file re-delivers the whole table (as the
