@@ -209,10 +209,15 @@ def group_rows(df: DataFrame, key, order: str, block_size: int = 256,
 
 
 def sort_rows(df: DataFrame, key) -> DataFrame:
-    """O1: ascending by key (nulls last), then by the full row for a total order."""
+    """O1: ascending by key (nulls last), then by the full row for a total order.
+
+    A seeded random number is the last sort key: it only orders rows that are
+    identical copies (so the output is the same), but lets the range partitioner
+    spread a mass of copies over many tasks instead of one.
+    """
     keys = _names(key)
     return df.orderBy(*[F.col(k).asc_nulls_last() for k in keys],
-                      *tie_break_order(df, keys))
+                      *tie_break_order(df, keys), F.rand(seed=7))
 
 
 def with_positions(sorted_df: DataFrame, name: str = "position") -> DataFrame:

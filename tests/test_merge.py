@@ -198,3 +198,18 @@ def test_keyed_join_null_safe_composite_keys(spark):
     semi = merge.keyed_join(left, right, ["k1", "k2"], ["r1", "r2"], "left_semi")
     assert sorted(r.v for r in anti.collect()) == [2, 4]
     assert sorted(r.v for r in semi.collect()) == [1, 3]
+
+
+def test_sort_spreads_a_mass_of_copies(spark):
+    # a third of the rows are one identical copy: they must not land in one range partition
+    copies = spark.range(3000).select(F.lit("same").alias("k"), F.lit(1).alias("seq"),
+                                      F.lit("v").alias("v"))
+    rest = spark.range(6000).select(F.col("id").cast("string").alias("k"),
+                                    F.lit(1).alias("seq"), F.lit("v").alias("v"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = merge.sort_rows(copies.unionByName(rest).repartition(6), "k")
+        sizes = out.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert max(r["count"] for r in sizes) < 3000
