@@ -213,3 +213,31 @@ def test_sort_spreads_a_mass_of_copies(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert max(r["count"] for r in sizes) < 3000
+
+
+def _model_top(rows_, last):
+    """keep_last / first_per_key model: per key, max / min of (seq, v) with None lowest."""
+    def rank(r):
+        k, seq, v = r
+        return ((seq is not None, seq if seq is not None else 0),
+                (v is not None, v if v is not None else ""))
+    best = {}
+    for r in rows_:
+        k = r[0]
+        if k not in best or (rank(r) > rank(best[k]) if last else rank(r) < rank(best[k])):
+            best[k] = r
+    return sorted(best.values(), key=str)
+
+
+nullable_row = st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(0, 2)),
+                         st.one_of(st.none(), st.sampled_from(["x", "y"])))
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(nullable_row, max_size=10), st.integers(1, 4))
+def test_keep_last_and_first_match_model(spark, data, parts):
+    df = spark.createDataFrame(data, SCHEMA).repartition(parts)
+    last = sorted((tuple(r) for r in merge.keep_last(df, "k", "seq").collect()), key=str)
+    first = sorted((tuple(r) for r in merge.first_per_key(df, "k", "seq").collect()), key=str)
+    assert last == _model_top(data, last=True)
+    assert first == _model_top(data, last=False)
