@@ -5,7 +5,7 @@ Folder layout below ``base`` (a path on shared storage)::
     raw/<table>/version-NNNNNN/        all-text rows, one per key
     trusted/<table>/version-NNNNNN/    cast rows, one per key
     refined/<table>/                   published rows (append or overwrite)
-    _run_log/                          one row per (layer, table) step
+    _run_log/source=<writer>/          one row per (layer, table) step
 
 Each job reads complete versions only and writes a new one, so a failed or
 retried job never leaves a half-written table behind, and a lost executor only
@@ -209,7 +209,7 @@ def run_all(spark: SparkSession, landing_root: str, base: str,
     Tables of one layer run as concurrent Spark jobs (``parallelism`` threads).
     With ``on_error="skip"`` a table that failed in one layer is ``skipped`` in the
     later ones; ``"continue"`` runs them anyway (they then read older versions).
-    Every step becomes a run-log row, appended to ``<base>/_run_log``. With
+    Every step becomes a run-log row, appended to ``<base>/_run_log/source=batch``. With
     ``database`` the refined tables are also catalog tables ``<database>.<table>``
     whose data stays at ``<base>/refined/<table>``.
     """
@@ -250,5 +250,6 @@ def run_all(spark: SparkSession, landing_root: str, base: str,
             failed |= {d["table_name"] for d in done if d["status"] != OK}
             loaded |= {(layer, d["table_name"]) for d in done if d["status"] == OK}
             entries.extend(done)
-    log = tables.append_run_log(spark, entries, f"{base.rstrip('/')}/_run_log")
+    # the run log is one table partitioned by writer (batch runs, each table's stream)
+    log = tables.append_run_log(spark, entries, f"{base.rstrip('/')}/_run_log/source=batch")
     return RunResult(run_id, log)

@@ -59,12 +59,13 @@ def merge_batch(target: str, key, columns, stage_batch: bool = False):
             merged = upsert(current, rows, key, order=ARRIVAL,
                             current_is_unique=current is not None,
                             batch_is_unique=not has_duplicate_keys(rows, key)).select(*columns)
-            write_version(merged, target, version=version)
+            _, rows_written = write_version(merged, target, version=version)
         finally:
             if stage_path:
                 layers.delete_path(spark, stage_path)
         # batch n+1 (or a replay of this one) reads version n or n+1: older ones can go
         layers.prune_versions(spark, target, keep=2)
+        return rows_written
     return run
 
 
@@ -96,17 +97,40 @@ def refresh_layers(spec, base: str, key=None, cast_mode: str = "strict"):
     overwritten, so a replayed batch leaves the same three layers behind.
     """
     from strata.plans import jobs
+    from strata.sinks import tables
     from strata.sinks.tables import OVERWRITE
 
     raw_path = jobs.table_path(base, jobs.RAW, spec)
     keys = jobs._keys(spec, key)
     raw_merge = merge_batch(raw_path, keys, list(spec.columns))
 
+    # one folder per writer: concurrent appends to one folder would share a commit area
+    log_path = f"{base.rstrip('/')}/_run_log/source=stream_{spec.name}"
+
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        raw_merge(batch, batch_id)
-        jobs.load_trusted(spark, spec, base, key, cast_mode, raw_unique=True)
-        jobs.load_refined(spark, spec, base, write_mode=OVERWRITE, mode=cast_mode)
+        run_id = f"stream-{spec.name}-{batch_id}"
+        entries: list[dict] = []
+
+        def step(layer: str, load) -> None:
+            start = tables.now()
+            try:
+                rows, status, message = load(), jobs.OK, "success"
+            except Exception as e:  # noqa: BLE001 - logged, then the stream fails as usual
+                rows, status, message = None, jobs.FAILED, jobs._error_text(e)
+            entries.append(dict(run_id=run_id, layer=layer, table_name=spec.name,
+                                status=status, message=message, rows=rows, malformed=None,
+                                started_at=start, ended_at=tables.now()))
+            if status != jobs.OK:
+                tables.append_run_log(spark, entries, log_path)
+                raise RuntimeError(f"{spec.name} {layer} failed: {message}")
+
+        step(jobs.RAW, lambda: raw_merge(batch, batch_id))
+        step(jobs.TRUSTED, lambda: jobs.load_trusted(spark, spec, base, key, cast_mode,
+                                                     raw_unique=True))
+        step(jobs.REFINED, lambda: jobs.load_refined(spark, spec, base, write_mode=OVERWRITE,
+                                                     mode=cast_mode))
+        tables.append_run_log(spark, entries, log_path)       # K4 for the stream too
     return run
 
 

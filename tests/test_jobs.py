@@ -209,6 +209,10 @@ def test_watch_tables_refreshes_all_layers(spark, tmp_dir):
         assert refined.count() == 1
     o = spark.read.parquet(jobs.table_path(base, jobs.REFINED, S.ORDERS)).collect()[0]
     assert o.order_purchase_timestamp == dt.date(2017, 9, 13)
+    log = spark.read.parquet(f"{base}/_run_log").collect()
+    assert sorted((r.table_name, r.layer, r.status, r.rows) for r in log) == [
+        ("orders", "raw", "ok", 1), ("orders", "refined", "ok", 1), ("orders", "trusted", "ok", 1),
+        ("sellers", "raw", "ok", 1), ("sellers", "refined", "ok", 1), ("sellers", "trusted", "ok", 1)]
 
 
 def test_cli_run(spark, tmp_dir):
