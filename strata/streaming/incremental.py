@@ -11,7 +11,9 @@ time, then path, then the full row).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,18 +23,25 @@ from strata.sinks.tables import stage, write_version
 from strata.sources import layers
 
 ARRIVAL = ["_file_time", "_file_path"]
+CORRUPT = "_corrupt_record"
+MALFORMED = "_malformed"
 
 
 def landing_stream(spark: SparkSession, landing: str, schema: T.StructType,
                    max_files_per_trigger: int | None = None,
-                   multiline: bool = False, archive_dir: str | None = None) -> DataFrame:
+                   multiline: bool = False, archive_dir: str | None = None,
+                   corrupt: bool = False) -> DataFrame:
     """A file stream over a landing folder, with each row's file time and path.
 
     ``archive_dir`` moves each file there once its batch is committed
     (``cleanSource=archive``), which keeps the folder listing short on a
     long-running stream."""
+    if corrupt:       # keep the raw text of short / long rows in a corrupt-record column
+        schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
     reader = (spark.readStream.schema(schema).options(**CSV_OPTIONS)
               .option("header", "true").option("multiLine", str(multiline).lower()))
+    if corrupt:
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     if archive_dir:
@@ -46,26 +55,33 @@ def merge_batch(target: str, key, columns, stage_batch: bool = False):
     """The ``foreachBatch`` function: upsert one micro-batch into ``target``.
 
     ``stage_batch`` first writes the micro-batch as Parquet (K2), so its files are
-    parsed once instead of twice (rows, then keys)."""
-    def run(batch: DataFrame, batch_id: int) -> None:
+    parsed once instead of twice (rows, then keys). Returns (rows written, rows
+    written that were malformed in their file; None without a corrupt column)."""
+    def run(batch: DataFrame, batch_id: int):
         spark = batch.sparkSession
         version = batch_id + 1
         current = layers.read_layer(spark, target, below=version)
+        flagged = CORRUPT in batch.columns
+        if flagged:
+            batch = batch.withColumn(MALFORMED, F.col(CORRUPT).isNotNull()).drop(CORRUPT)
         if current is not None:
-            current = current.select(*columns)
+            current = current.select(*columns, *([F.lit(False).alias(MALFORMED)] if flagged else []))
+        bad = Observation(f"malformed_{uuid.uuid4().hex}") if flagged else None
         stage_path = f"{target.rstrip('/')}/_stage/batch-{batch_id}" if stage_batch else None
         try:
             rows = stage(batch, stage_path) if stage_path else batch
             merged = upsert(current, rows, key, order=ARRIVAL,
                             current_is_unique=current is not None,
-                            batch_is_unique=not has_duplicate_keys(rows, key)).select(*columns)
-            _, rows_written = write_version(merged, target, version=version)
+                            batch_is_unique=not has_duplicate_keys(rows, key))
+            if bad is not None:
+                merged = merged.observe(bad, F.count(F.when(F.col(MALFORMED), 1)).alias("n"))
+            _, rows_written = write_version(merged.select(*columns), target, version=version)
         finally:
             if stage_path:
                 layers.delete_path(spark, stage_path)
         # batch n+1 (or a replay of this one) reads version n or n+1: older ones can go
         layers.prune_versions(spark, target, keep=2)
-        return rows_written
+        return rows_written, (int(bad.get["n"]) if bad is not None else None)
     return run
 
 
@@ -114,12 +130,14 @@ def refresh_layers(spec, base: str, key=None, cast_mode: str = "strict"):
 
         def step(layer: str, load) -> None:
             start = tables.now()
+            malformed = None
             try:
-                rows, status, message = load(), jobs.OK, "success"
+                out, status, message = load(), jobs.OK, "success"
+                rows, malformed = out if isinstance(out, tuple) else (out, None)
             except Exception as e:  # noqa: BLE001 - logged, then the stream fails as usual
                 rows, status, message = None, jobs.FAILED, jobs._error_text(e)
             entries.append(dict(run_id=run_id, layer=layer, table_name=spec.name,
-                                status=status, message=message, rows=rows, malformed=None,
+                                status=status, message=message, rows=rows, malformed=malformed,
                                 started_at=start, ended_at=tables.now()))
             if status != jobs.OK:
                 tables.append_run_log(spark, entries, log_path)
@@ -150,7 +168,7 @@ def watch_tables(spark: SparkSession, landing_root: str, base: str, specs,
     for spec in specs:
         try:
             stream = landing_stream(spark, f"{landing_root.rstrip('/')}/{spec.source_file}",
-                                    spec.raw_schema, multiline=spec.multiline)
+                                    spec.raw_schema, multiline=spec.multiline, corrupt=True)
             writer = (stream.writeStream.queryName(f"strata_{spec.name}")
                       .foreachBatch(refresh_layers(spec, base, key, cast_mode))
                       .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/{spec.name}"))

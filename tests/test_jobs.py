@@ -198,7 +198,7 @@ def test_staged_raw_load_matches_direct(spark, tmp_dir):
 def test_watch_tables_refreshes_all_layers(spark, tmp_dir):
     from strata.streaming.incremental import watch_tables
     landing, base = f"{tmp_dir}/landing", f"{tmp_dir}/lake"
-    land(landing, S.SELLERS, "s1,13023,campinas,SP\n")
+    land(landing, S.SELLERS, "s1,13023,campinas,SP,extra\n")
     land(landing, S.ORDERS, "o1,c1,shipped,2017-09-13 08:59:02,,,,\n")
     errors = watch_tables(spark, landing, base, (S.SELLERS, S.ORDERS, S.ITEMS),
                           checkpoint_root=f"{tmp_dir}/ckpt")
@@ -210,6 +210,8 @@ def test_watch_tables_refreshes_all_layers(spark, tmp_dir):
     o = spark.read.parquet(jobs.table_path(base, jobs.REFINED, S.ORDERS)).collect()[0]
     assert o.order_purchase_timestamp == dt.date(2017, 9, 13)
     log = spark.read.parquet(f"{base}/_run_log").collect()
+    assert {(r.table_name, r.malformed) for r in log if r.layer == "raw"} == \
+        {("sellers", 1), ("orders", 0)}
     assert sorted((r.table_name, r.layer, r.status, r.rows) for r in log) == [
         ("orders", "raw", "ok", 1), ("orders", "refined", "ok", 1), ("orders", "trusted", "ok", 1),
         ("sellers", "raw", "ok", 1), ("sellers", "refined", "ok", 1), ("sellers", "trusted", "ok", 1)]
