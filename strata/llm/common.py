@@ -13,7 +13,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import strata
@@ -38,6 +38,14 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def key_columns(text: Column) -> tuple[Column, Column]:
+    """Two independent 64-bit hashes of a text: its identity wherever rows meet again.
+
+    Made from content, so a retry or another read of the input finds the same key.
+    """
+    return F.xxhash64(text), F.xxhash64(F.lit("second"), text)
+
+
 def utf8(column: pa.Array) -> Iterator[bytes]:
     """Texts of an Arrow string column as bytes, without decoding; null is empty."""
     for chunk in (column.chunks if isinstance(column, pa.ChunkedArray) else [column]):

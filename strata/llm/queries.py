@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import piece_codec, repeats, sharding, simhash, token_counts
+from strata.llm import (lines, piece_codec, quality, repeats, sharding, simhash, templates, token_counts,
+                        toxicity, urls)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +18,14 @@ def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_dedup(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
@@ -33,11 +42,23 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_suffix_array_dedup": op1_suffix_array_dedup,
-    "op4_token_counts": op4_token_counts,
-    "op5_sentencepiece": op5_sentencepiece,
-    "op6_simhash": op6_simhash,
-    "op7_sharding": op7_sharding,
+    f.__name__: f for f in (
+        op1_suffix_array_dedup, op2_url_filters, op3_line_dedup, op4_token_counts, op5_sentencepiece,
+        op6_simhash, op7_sharding, op8_quality_rules, op9_decontamination, op10_toxicity)
 }
-SQL: dict[str, str] = {}
+
+# the others cannot be put in DuckDB's SQL: they are tested against brute force
+SQL: dict[str, str] = {"op3_line_dedup": lines.sql()}

@@ -205,8 +205,9 @@ CELL_TYPE = "core long, context long, copies long, k1 long, k2 long, place long,
 
 def with_bytes(members: DataFrame, texts: DataFrame, length: int) -> DataFrame:
     """The members with their context bytes, cut from their texts."""
-    asked = (members.groupBy("k1", "k2")
-             .agg(F.collect_list(F.struct("core", "context", "copies", "place")).alias("asked")))
+    asked = write_table(members.groupBy("k1", "k2")
+                        .agg(F.collect_list(F.struct("core", "context", "copies", "place")).alias("asked")),
+                        "asked")
 
     def rows(batches):
         for batch in batches:
@@ -355,7 +356,8 @@ def repeated_windows(texts: DataFrame, length: int, max_group: int) -> DataFrame
     cores = (found.groupBy("core")
              .agg(F.count(F.lit(1)).alias("n"), F.min("context").alias("a"), F.max("context").alias("b"))
              .where("n > 1").select("core", (F.col("a") == F.col("b")).alias("whole")))
-    repeated = write_table(found.join(cores, "core"), "repeated")
+    # written first: a join of two plain tables can be split where a core is hot
+    repeated = write_table(found.join(write_table(cores, "cores"), "core"), "repeated")
     spans = [spans_of_place(repeated.where("whole"))]
 
     # cores with several contexts: one member stands for each context
@@ -417,8 +419,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = docs.select(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias(TEXT),
                         F.col(f"`{id_col}`").alias(ID))
     # equal texts give equal runs, a set holds each once
-    runs = (repeated_windows(texts, length, max_group).groupBy("k1", "k2")
-            .agg(F.collect_set(F.struct("first", "last")).alias("runs")))
+    runs = write_table(repeated_windows(texts, length, max_group).groupBy("k1", "k2")
+                       .agg(F.collect_set(F.struct("first", "last")).alias("runs")), "runs")
     joined = packed_texts(texts, True).join(runs, ["k1", "k2"], "left").select(ID, "z", "runs")
     kind = joined.schema[ID].dataType.simpleString()
 

@@ -29,10 +29,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import ID, TEXT, ship, utf8, write_table
+from strata.llm.common import ID, key_columns, ship, utf8, write_table
 from strata.llm.components import components
 
 BITS = 64
@@ -67,18 +67,19 @@ def fingerprint(text: bytes, shingle: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """The id and the fingerprint (a signed long) of every row."""
+    """The id, the text's hash (k1, k2) and the fingerprint (a signed long) of every row."""
+    ship(docs.sparkSession)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("long")
+    def prints(text: pa.Array) -> pa.Array:
         import numpy as np
 
-        for batch in batches:
-            prints = np.array([fingerprint(t, shingle) for t in utf8(batch.column(1))], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))],
-                                             [ID, "fp"])
+        return pa.array(np.array([fingerprint(t, shingle) for t in utf8(text)], np.uint64).view(np.int64))
 
-    rows = docs.select(F.col(f"`{id_col}`").alias(ID), F.col(f"`{text_col}`").alias(TEXT))
-    return rows.mapInArrow(run, f"{ID} {rows.schema[ID].dataType.simpleString()}, fp long")
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    k1, k2 = key_columns(text)
+    return docs.select(F.col(f"`{id_col}`").alias(ID), k1.alias("k1"), k2.alias("k2"),
+                       prints(text).alias("fp"))
 
 
 class BKTree:
@@ -230,21 +231,41 @@ def links(prints: DataFrame, radius: int, max_shard: int) -> DataFrame:
     return grouped.mapInArrow(run, "a long, b long")
 
 
+def classes(rows: DataFrame, radius: int, max_shard: int) -> DataFrame:
+    """(fp, first, first_id, root): a row for each fingerprint with its component's root
+    fingerprint, its smallest id, and its first row (id null, id, k1, k2)."""
+    # one row for each fingerprint from here on: copies, however many, are one
+    first = F.min(F.struct(F.col(ID).isNull().alias("no_id"), F.col(ID).alias("id"), "k1", "k2"))
+    distinct = write_table(rows.groupBy("fp").agg(F.min(ID).alias("first_id"), first.alias("first")),
+                           "distinct")
+    class_of = components(links(distinct.select("fp"), radius, max_shard)).withColumnRenamed("node", "fp")
+    return write_table(distinct.join(class_of, "fp", "left")
+                       .withColumn("root", F.coalesce("root", "fp")), "classes")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = 4, radius: int = 4, max_shard: int = 2048) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id for every row of ``docs``."""
-    ship(docs.sparkSession)
-    kind = docs.schema[id_col].dataType
     rows = write_table(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    # one row for each fingerprint from here on: copies, however many, are one
-    distinct = write_table(rows.groupBy("fp").agg(F.min(ID).alias("first_id")), "distinct")
-    class_of = components(links(distinct.select("fp"), radius, max_shard))
-    member = distinct.join(class_of.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    member = write_table(member, "members")
-    smallest = member.groupBy("root").agg(F.min("first_id").alias("component"))
-    label = member.join(smallest, "root").select("fp", "component")
+    member = classes(rows, radius, max_shard)
+    smallest = member.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    label = member.join(smallest, "root").select("fp", "component_id")
     return (rows.join(label, "fp")
-            .select(F.col(ID).cast(kind).alias(id_col),
-                    F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-                    F.col("component").alias("component_id")))
+            .select(F.col(ID).alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                    "component_id"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                shingle: int = 4, radius: int = 4, max_shard: int = 2048) -> DataFrame:
+    """One row of each component of ``docs``, that of its smallest id, all columns as they are."""
+    rows = write_table(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    member = classes(rows, radius, max_shard)
+    chosen = member.groupBy("root").agg(F.min("first").alias("first"))
+    # id and text hash in one key: a text with many copies spreads by their ids
+    key = lambda i, k1, k2: F.concat_ws("/", k1, k2, F.coalesce(i.cast("string"), F.lit("null")))
+    chosen = chosen.select(key(F.col("first.id"), F.col("first.k1"), F.col("first.k2")).alias("__key"))
+    k1, k2 = key_columns(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
+    kept = docs.withColumn("__key", key(F.col(f"`{id_col}`"), k1, k2)).join(chosen, "__key")
+    # rows repeated with id and text: one stays
+    again = Window.partitionBy("__key").orderBy(F.lit(0))
+    return kept.withColumn("__n", F.row_number().over(again)).where("__n = 1").drop("__key", "__n")

@@ -1,0 +1,136 @@
+import random
+import re
+import zlib
+from collections import Counter
+from itertools import product
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.llm import quality, toxicity
+
+import cases
+
+SMALL = "/root/testdata/sf0.01"
+
+
+def plain_counts(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if re.search(r"[^\x20\x09-\x0D]", line):
+            dup += line in seen
+            seen.add(line)
+    grams = Counter(tuple(words[i:i + 3]) for i in range(len(words) - 2))
+    often = {j for i in range(len(words) - 2) if grams[tuple(words[i:i + 3])] > 1 for j in (i, i + 1, i + 2)}
+    n = len(words)
+    return (n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(often),
+            n < 50 or 100 * len(often) > 50 * n)
+
+
+def test_counts(spark):
+    docs = cases.documents(spark)
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    out = quality.quality_rules(docs, labels).collect()
+    want = sorted((str(r.doc_id), *plain_counts(r.text)) for r in docs.collect())
+    assert sorted((str(r.doc_id), r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words,
+                   r.base_failed) for r in out) == want
+    assert all(r.kept == (not r.base_failed) for r in out)       # no labels: all lines are content
+    assert quality.quality_rules(cases.empty(spark), labels).collect() == []
+
+
+def test_repeated_words_on_random_words():
+    rng = random.Random(2)
+    for _ in range(300):
+        words = [rng.choice(["a", "b", "c", "dd"]) for _ in range(rng.randint(0, 25))]
+        assert quality.repeated_words([w.encode() for w in words]) == plain_counts(" ".join(words))[4]
+
+
+def test_viterbi_finds_the_best_labelling():
+    rng = random.Random(3)
+    for _ in range(60):
+        field = quality.LineField(tuple(rng.uniform(-2, 2) for _ in range(quality.N_FEATURES)),
+                                  tuple(rng.uniform(-2, 2) for _ in range(4)))
+        text = "\n".join(cases.sentence(rng, rng.randint(1, 6)) + rng.choice(["", "!!", " ### 12"])
+                         for _ in range(rng.randint(1, 7))).encode()
+        rows = [(len(w), sum(a * b for a, b in zip(quality.line_features(w, s), field.weights)))
+                for w, s in quality.lines_with_words(text)]
+        best = max(product((0, 1), repeat=len(rows)), key=lambda y: sum(
+            s * y[i] + (field.pairs[2 * y[i - 1] + y[i]] if i else 0) for i, (_, s) in enumerate(rows)))
+        want = sum(n * y for (n, _), y in zip(rows, best)) / sum(n for n, _ in rows)
+        assert field.content_share(text) == pytest.approx(want)
+
+
+def test_field_learns_quality(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    held = labels.where(toxicity.in_fold(F.col("doc_id"), 5))
+    field = quality.train(docs, labels.join(held, "doc_id", "left_anti"))
+    rows = quality.judge(docs, field).join(held, "doc_id").select("quality", "__quality.*").collect()
+    good = [r for r in rows if r.quality == 1 and not r.base_failed]
+    bad = [r for r in rows if r.quality == 0]
+    assert sum(r.kept for r in good) / len(good) > 0.97
+    assert sum(not r.kept for r in bad) / len(bad) > 0.6
+
+
+def test_quality_stage_keeps_columns(spark):
+    docs = cases.documents(spark)
+    labels = spark.createDataFrame([(24, 1), (None, 0), (27, None)], "doc_id long, quality int")
+    out = quality.keep_stage(docs, labels)
+    assert out.schema.simpleString() == docs.schema.simpleString()
+    assert 0 < out.count() < docs.count()
+
+
+# toxicity
+
+def test_index_equals_brute_force():
+    rng = random.Random(5)
+    vectors = []
+    for _ in range(500):
+        v = {rng.randrange(60): rng.random() for _ in range(rng.randint(0, 8))}
+        norm = sum(w * w for w in v.values()) ** 0.5 or 1
+        vectors.append({t: w / norm for t, w in v.items()})
+    index = toxicity.BlockMaxIndex.build(vectors, 60)
+    for q in vectors[:150]:
+        skip = {rng.randrange(500)}
+        exact = sorted(((-sum(q[t] * v[t] for t in q.keys() & v.keys()), i) for i, v in enumerate(vectors)
+                        if i not in skip and q.keys() & v.keys()))[:10]
+        got = index.nearest(q, 10, skip)
+        assert [round(c, 9) for c, _ in got] == [round(min(1.0, -s), 9) for s, _ in exact]
+        gap = exact[-1][0] if exact else 0
+        assert {i for c, i in got if c > -gap + 1e-9} == {i for s, i in exact if s < gap - 1e-9}
+
+
+def test_held_out_documents_are_found(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    out = toxicity.toxicity(docs, labels)
+    rows = out.join(labels.select("doc_id", "toxic"), "doc_id").collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+    held = [r for r in rows if r.held_out]
+    assert {r.toxic for r in held} == {0, 1}
+    assert sum(r.predicted == r.toxic for r in held) / len(held) > 0.93
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
+    assert all(r.nearest == [] or r.cosines[0] >= r.cosines[-1] for r in rows)
+
+
+def test_labels_of_held_out_rows_do_not_matter(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet").select("doc_id", "toxic")
+    turned = labels.withColumn("toxic", F.when(toxicity.in_fold(F.col("doc_id"), 5), 1 - F.col("toxic"))
+                               .otherwise(F.col("toxic")))
+    a = {r.doc_id: r.score for r in toxicity.toxicity(docs, labels).collect()}
+    assert a == {r.doc_id: r.score for r in toxicity.toxicity(docs, turned).collect()}
+
+
+def test_awkward_toxicity(spark):
+    docs = cases.documents(spark)
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    some = spark.createDataFrame([(i * 3, i % 2) for i in range(20)] + [(None, 1), (6, None), (24, 1)],
+                                 "doc_id long, toxic int")
+    for labels in (none, some):
+        out = toxicity.toxicity(docs, labels).collect()
+        assert len(out) == docs.count()
+        assert all(0 <= r.score <= 1 for r in out)
+    assert toxicity.toxicity(cases.empty(spark), some).collect() == []
