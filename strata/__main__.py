@@ -24,6 +24,8 @@ def main(argv=None) -> int:
         p.add_argument("--key", default="natural", choices=["natural", "reference"])
         p.add_argument("--cast-mode", default="strict", choices=["strict", "coerce"])
         p.add_argument("--master", default=None, help="Spark master (default: the session's)")
+        p.add_argument("--shuffle-partitions", type=int, default=None,
+                       help="with --master: 20000 on a cluster, 8 on one machine by default")
     run.add_argument("--write-mode", default="append", choices=["append", "overwrite"])
     run.add_argument("--on-error", default="skip", choices=["skip", "continue"])
     run.add_argument("--database", default=None,
@@ -39,7 +41,8 @@ def main(argv=None) -> int:
     from strata.plans import jobs
     from strata.session import build_session
 
-    spark = build_session(args.master) if args.master else SparkSession.builder.getOrCreate()
+    spark = (build_session(args.master, args.shuffle_partitions) if args.master
+             else SparkSession.builder.getOrCreate())
     specs = tuple(S.SPECS[t] for t in args.tables.split(","))
     if args.cmd == "run":
         result = jobs.run_all(spark, args.landing, args.lake, specs=specs, key=args.key,

@@ -19,11 +19,16 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.session import work_dir
+from strata.session import temp_dir
 
 ROW_OVERHEAD = 24        # bytes per row in a hashed relation, beyond the field data
 FIELD_BYTES = 8          # fixed-width slot per field
 HASH_FACTOR = 2          # hash table slack on top of the rows
+NESTED_FACTOR = 8        # bytes for each character of a nested value's JSON text: a long is at
+                         # least two characters ("1,"), a short string four, at 8 to 16 bytes
+
+
+NESTED = (T.ArrayType, T.MapType, T.StructType)
 
 
 @dataclass(frozen=True)
@@ -52,6 +57,9 @@ def _row_bytes(df: DataFrame):
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
             parts.append(F.lit(FIELD_BYTES) + F.coalesce(F.octet_length(c), F.lit(0)))
+        elif isinstance(f.dataType, NESTED):
+            text = F.to_json(F.struct(c.alias("v")), {"ignoreNullFields": "false"})
+            parts.append(F.lit(FIELD_BYTES) + F.lit(NESTED_FACTOR) * F.octet_length(text))
         else:
             parts.append(F.lit(FIELD_BYTES))
     total = parts[0]
@@ -65,7 +73,7 @@ def _fixed_row_bytes(df: DataFrame) -> int:
 
 
 def _has_variable_width(df: DataFrame) -> bool:
-    return any(isinstance(f.dataType, (T.StringType, T.BinaryType)) for f in df.schema.fields)
+    return any(isinstance(f.dataType, (T.StringType, T.BinaryType, *NESTED)) for f in df.schema.fields)
 
 
 def sized(df: DataFrame, materialize: bool = False, limit: int | None = None) -> Measured:
@@ -73,8 +81,9 @@ def sized(df: DataFrame, materialize: bool = False, limit: int | None = None) ->
 
     For a side read from files the row count comes first (Parquet answers it from
     file footers); if rows times the fixed part of a row already exceed the limit,
-    or the side has no text columns, that decides it without reading data. Only a
-    side that may fit and has text columns has those columns' lengths summed.
+    or the side has no such columns, that decides it without reading data. Only a
+    side that may fit and has text or nested columns has those columns' sizes summed
+    (nested values by the length of their JSON text, which bounds them).
     """
     spark = df.sparkSession
     cap = broadcast_limit(spark) if limit is None else limit
@@ -89,7 +98,7 @@ def sized(df: DataFrame, materialize: bool = False, limit: int | None = None) ->
     if materialize:
         # one job: the rows are written as a Parquet table in the shared folder and
         # measured on the way (an eager RDD checkpoint would compute its input twice)
-        path = work_dir(spark, "sized")
+        path = temp_dir(spark, "sized")
         obs = Observation(f"sized_{uuid.uuid4().hex}")
         df.observe(obs, *measures).write.parquet(path)
         stats = obs.get

@@ -10,7 +10,9 @@ missing (a laptop, a unit test) is a fresh local folder made and set.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -36,25 +38,38 @@ CLUSTER_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+LOCAL_PARTITIONS = 8
+
+
+def is_local(master: str) -> bool:
+    """One machine (``local``, ``local[8]``): driver and tasks share every folder."""
+    return master == "local" or master.startswith("local[")
+
+
+def build_session(master: str = "local[*]", shuffle_partitions: int | None = None,
                   app_name: str = "strata", extra: dict | None = None) -> SparkSession:
     """A session with the settings the library assumes.
 
-    AQE on (coalesces small shuffle partitions, splits skewed join partitions),
-    UI off, UTC session zone so text <-> timestamp is the same on every node.
+    A master that is not one machine gets ``CLUSTER_CONF``; ``shuffle_partitions``
+    overrides the number there (20,000) or on one machine (8). UI off, UTC session
+    zone so text <-> timestamp is the same on every node.
     """
-    builder = (
-        SparkSession.builder.master(master).appName(app_name)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-    )
-    for k, v in (extra or {}).items():
+    conf = {
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.shuffle.partitions": str(LOCAL_PARTITIONS),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    }
+    if not is_local(master):
+        conf |= CLUSTER_CONF
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    builder = SparkSession.builder.master(master).appName(app_name)
+    for k, v in (conf | (extra or {})).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -62,7 +77,11 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder from ``spark.checkpoint.dir``; set a local one only if unset."""
+    """The shared folder from ``spark.checkpoint.dir``.
+
+    Where it is unset, a fresh local folder is made and set on one machine; on a
+    cluster that is an error, as executors would each write to a disk of their own.
+    """
     root = spark.sparkContext.getConf().get(_CHECKPOINT_KEY, None)
     if not root:
         try:
@@ -70,6 +89,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key raises in some versions
             root = None
     if not root:
+        master = spark.sparkContext.master
+        if not is_local(master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a shared folder (master {master})")
         root = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set(_CHECKPOINT_KEY, root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -80,3 +102,35 @@ def checkpoint_root(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder below the shared root for one run of one job."""
     return f"{checkpoint_root(spark)}/strata/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_scopes = threading.local()
+
+
+def temp_dir(spark: SparkSession, name: str) -> str:
+    """As ``work_dir``, for data that only the current ``temporary`` block reads."""
+    path = work_dir(spark, name)
+    for made in getattr(_scopes, "open", [])[-1:]:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def temporary(spark: SparkSession):
+    """Deletes every ``temp_dir`` this thread makes inside the block, also on failure.
+
+    The block must end with the write that consumes them. Outside of a block they
+    stay, because a frame that is returned lazily still reads them.
+    """
+    made: list[str] = []
+    if not hasattr(_scopes, "open"):
+        _scopes.open = []
+    _scopes.open.append(made)
+    try:
+        yield
+    finally:
+        _scopes.open.remove(made)
+        from strata.sources.layers import delete_path
+
+        for path in made:
+            delete_path(spark, path)
