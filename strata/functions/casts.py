@@ -23,6 +23,11 @@ from strata import specs as S
 DATE_PATTERN = "yyyy-M-d H:m:s"
 NULL_TOKENS = ("", "None")
 
+# What counts as a number's text (fixed grammar, that of the feeds' own parser): sign,
+# digits with an optional point and exponent, or a word for infinity or no number,
+# with white space around. Spark's own cast would also take "4d" and "4f".
+NUMBER_TEXT = (r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$")
+
 STRICT = "strict"
 COERCE = "coerce"
 
@@ -49,17 +54,23 @@ def cast_text(c, to: str, mode: str = STRICT) -> Column:
         return src.cast("string")
     spark_type = {"long": "bigint", "bigint": "bigint", "double": "double",
                   "int": "int"}[to]
-    parsed = src.try_cast(spark_type)
+    parsed = number(src) if spark_type == "double" else src.try_cast(spark_type)
     return parsed if mode == COERCE else _guard(src, parsed, spark_type)
 
 
+def number(c) -> Column:
+    """Text that is a number as a double, other text as null."""
+    text = _col(c).cast("string")
+    return F.when(text.rlike(NUMBER_TEXT), F.trim(text).try_cast("double"))
+
+
 def coerce_long(c) -> Column:
     """Number if the text parses, else 0; truncated toward zero to bigint.
 
     NaN counts as missing (it becomes 0); an infinite value raises, as an
     integer has no infinity.
     """
-    as_double = F.coalesce(_col(c).cast("string").try_cast("double"), F.lit(0.0))
+    as_double = F.coalesce(number(c), F.lit(0.0))
     return F.nanvl(as_double, F.lit(0.0)).cast("bigint")
 
 
@@ -114,13 +125,19 @@ def replace_blank(df: DataFrame, columns, value: str = "0") -> DataFrame:
         for f in df.schema.fields])
 
 
-def trusted_columns(df: DataFrame, spec: S.TableSpec, mode: str = STRICT) -> DataFrame:
-    """J2 casts for one table: blanks, fills, then the per-column casts."""
+def trusted_columns(df: DataFrame, spec: S.TableSpec, mode: str = STRICT,
+                    keep: dict[str, Column] | None = None) -> DataFrame:
+    """J2 casts for one table: blanks, fills, then the per-column casts.
+
+    ``keep`` names further columns to take along from the rows as they come in.
+    """
+    keep = keep or {}
+    df = df.select(*spec.columns, *[c.alias(name) for name, c in keep.items()])
     if spec.blank_zero:
         df = replace_blank(df, spec.blank_zero)
     if spec.fill_zero:
-        df = fill_zero(df, exclude=list(spec.natural_key) + list(spec.dates))
-    out = []
+        df = fill_zero(df, exclude=list(spec.natural_key) + list(spec.dates) + list(keep))
+    out = [F.col(name) for name in keep]
     for name in spec.columns:
         kind = spec.trusted.get(name, S.TEXT)
         c = F.col(name)
@@ -135,7 +152,7 @@ def trusted_columns(df: DataFrame, spec: S.TableSpec, mode: str = STRICT) -> Dat
         else:
             c = c.cast("string")
         out.append(c.alias(name))
-    return df.select(*out)
+    return df.select(*out[len(keep):], *out[:len(keep)])
 
 
 def typed_projection(df: DataFrame, spec: S.TableSpec, mode: str = STRICT) -> DataFrame:
