@@ -1,8 +1,9 @@
 """Keyed row operators: union, keep-last, first-per-key, grouping, sorting, upsert.
 
 "Last" and "first" are always defined by an explicit order: the caller's
-sequence columns, then every other orderable column as a tie-break, so the
-result never depends on arrival order or partitioning.
+sequence columns (the loads pass the place of arrival, see ``sources.csv.arrival``),
+then every other orderable column as a tie-break, so the result never depends on
+partitioning.
 
 Scale notes
 -----------
@@ -16,22 +17,25 @@ Scale notes
   the batch keys, which are materialised and measured first and broadcast only
   when proven under the threshold (else a sort-merge join). For a batch that
   re-delivers the table, only key columns are shuffled (see ``batch_covers_current``).
-* ``group_rows`` collects rows per (key, block), never per key alone, so one
-  output row holds at most ``block_size`` input rows however hot a key is.
+* ``group_rows`` collects rows per (key, block, part), never per key alone, so one
+  output row holds at most ``block_size`` input rows however hot a key is and
+  however often an order value repeats.
 * ``sort_rows`` sorts on the key plus the full-row tie-break: range partitioning
   can then split one hot key over many partitions.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.joins import sized
-from strata.session import work_dir
+from strata.session import temp_dir
 
 _RN = "__strata_rn"
 
@@ -131,9 +135,30 @@ def keyed_join(left: DataFrame, right: DataFrame, left_keys: list[str], right_ke
     return whole.unionByName(holes_left.join(holes_right, safe, how))
 
 
+@dataclass(frozen=True)
+class BatchKeys:
+    """The distinct keys of a batch, measured, and whether each came once."""
+
+    frame: DataFrame        # columns __k_0, __k_1, ... hinted for a join
+    unique: bool
+
+
+def batch_keys(batch: DataFrame, key) -> BatchKeys:
+    """One keys-only aggregate that answers both: which keys, and is each there once?"""
+    keys = _names(key)
+    spark = batch.sparkSession
+    counted = (_key_cols(batch, keys, "__k_").groupBy(*[f"__k_{i}" for i in range(len(keys))])
+               .agg(F.count(F.lit(1)).alias("__n")))
+    path = temp_dir(spark, "batch-keys")
+    obs = Observation(f"batch_keys_{uuid.uuid4().hex}")
+    counted.observe(obs, F.max("__n").alias("n")).write.parquet(path)
+    side = spark.read.schema(counted.schema).parquet(path).drop("__n")
+    return BatchKeys(sized(side).frame, (obs.get["n"] or 0) <= 1)
+
+
 def upsert(current: DataFrame | None, batch: DataFrame, key, order=None,
            current_is_unique: bool = False, batch_is_unique: bool = False,
-           batch_covers_current: bool = False) -> DataFrame:
+           batch_covers_current: bool = False, incoming: DataFrame | None = None) -> DataFrame:
     """Merge ``batch`` into ``current`` by key; the incoming row wins.
 
     Equal to ``keep_last(current (precedence 0) U batch (precedence 1))`` ordered by
@@ -142,6 +167,7 @@ def upsert(current: DataFrame | None, batch: DataFrame, key, order=None,
     ``current_is_unique`` skips the dedupe of ``current`` when it was written by an
     earlier upsert (unique by construction), so the current table is only scanned;
     ``batch_is_unique`` does the same for a batch known to hold one row per key.
+    ``incoming`` is the batch's key set where ``batch_keys`` has made it already.
 
     Two exact plans for "current rows whose key is not in the batch":
 
@@ -163,14 +189,16 @@ def upsert(current: DataFrame | None, batch: DataFrame, key, order=None,
         current = keep_last(current, keys, [c for c in _names(order) if c in current.columns])
     # the keys of keep_last(batch) are exactly the distinct batch keys: an aggregate
     # (partial before the shuffle) is cheaper than reading the window's output twice
-    incoming = _key_cols(batch, keys, "__k_")
-    if not batch_is_unique:
-        incoming = incoming.distinct()
+    made = incoming is not None
+    if not made:
+        incoming = _key_cols(batch, keys, "__k_")
+        if not batch_is_unique:
+            incoming = incoming.distinct()
     k_names = [f"__k_{i}" for i in range(len(keys))]
     c_names = [f"__c_{i}" for i in range(len(keys))]
     if not batch_covers_current:
         # the batch key set is materialised and measured: broadcast only when proven small
-        side = sized(incoming, materialize=True).frame
+        side = incoming if made else sized(incoming, materialize=True).frame
         kept = keyed_join(current, side, keys, k_names, "left_anti")
         return newest.unionByName(kept)
     # the key set of the current table, taken from its rows (no keep-last needed)
@@ -188,12 +216,14 @@ def upsert(current: DataFrame | None, batch: DataFrame, key, order=None,
 
 def group_rows(df: DataFrame, key, order: str, block_size: int = 256,
                rows_name: str = "rows", block: Column | None = None) -> DataFrame:
-    """A1: rows of a key collected in ``order``, in blocks of consecutive order values.
-
-    The output has ``key..., block, rows`` where ``block = floor(order / block_size)``.
-    With unique integer ``order`` values inside a key, a block holds at most
-    ``block_size`` rows, so no key is ever gathered into one unbounded list; a
-    caller that wants "the list of a key" reads its blocks in ``block`` order.
+    """A1: rows of a key collected in ``order``, in lists of at most ``block_size`` rows.
+
+    The output has ``key..., block, part, rows`` where ``block = floor(order /
+    block_size)``. With unique integer ``order`` values inside a key every block is one
+    part. Where order values repeat a block can hold more rows than that; such blocks
+    (found by a count with partial sums) are cut into parts by the rows' place in a
+    distributed sort, so no list ever holds more than ``block_size`` rows and no task
+    needs all rows of a key. "The list of a key" is its parts in (block, part) order.
     For a non-numeric order (a timestamp, say) pass ``block`` (e.g. the hour).
     """
     keys = _names(key)
@@ -202,10 +232,31 @@ def group_rows(df: DataFrame, key, order: str, block_size: int = 256,
         if not isinstance(df.schema[order].dataType, T.NumericType):
             raise ValueError(f"order column {order!r} is not numeric: pass block=")
         block = F.floor(F.col(order) / F.lit(block_size))
-    block = block.cast("bigint").alias("block")
-    return (df.groupBy(*[F.col(k) for k in keys], block)
-            .agg(F.sort_array(F.collect_list(F.struct(F.col(order), *[F.col(c) for c in rest])))
-                 .alias(rows_name)))
+    rows = df.withColumn("block", block.cast("bigint"))
+    cell = [*keys, "block"]
+
+    def lists(frame: DataFrame) -> DataFrame:
+        return (frame.groupBy(*[F.col(k) for k in cell], "part")
+                .agg(F.sort_array(F.collect_list(F.struct(F.col(order), *[F.col(c) for c in rest])))
+                     .alias(rows_name)))
+
+    counts = rows.groupBy(*[F.col(k) for k in cell]).count().where(F.col("count") > block_size)
+    full = sized(_key_cols(counts, cell, "__f_"), materialize=True)
+    one = F.lit(0).cast("bigint")
+    if full.rows == 0:
+        return lists(rows.withColumn("part", one))
+    names = [f"__f_{i}" for i in range(len(cell))]
+    fits = keyed_join(rows, full.frame, cell, names, "left_anti").withColumn("part", one)
+    over = keyed_join(rows, full.frame, cell, names, "left_semi")
+    placed = with_positions(sort_rows(over, [*cell, order]), "__place")
+    starts = placed.groupBy(*[F.col(k).alias(n) for k, n in zip(cell, names)]).agg(
+        F.min("__place").alias("__start"))
+    starts = sized(starts, materialize=True).frame
+    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(cell, names)]
+    cut = (placed.join(starts, same).withColumn(
+        "part", F.floor((F.col("__place") - F.col("__start")) / F.lit(block_size)).cast("bigint"))
+        .drop("__place", "__start", *names))
+    return lists(fits).unionByName(lists(cut))
 
 
 def sort_rows(df: DataFrame, key) -> DataFrame:
@@ -230,7 +281,7 @@ def with_positions(sorted_df: DataFrame, name: str = "position") -> DataFrame:
     broadcast, and its size is the partition count.
     """
     spark = sorted_df.sparkSession
-    path = work_dir(spark, "positions")
+    path = temp_dir(spark, "positions")
     sorted_df.select("*", F.spark_partition_id().alias("__pid"),
                      F.monotonically_increasing_id().alias("__mid")).write.parquet(path)
     fixed = spark.read.parquet(path)

@@ -241,3 +241,32 @@ def test_keep_last_and_first_match_model(spark, data, parts):
     first = sorted((tuple(r) for r in merge.first_per_key(df, "k", "seq").collect()), key=str)
     assert last == _model_top(data, last=True)
     assert first == _model_top(data, last=False)
+
+
+def test_group_rows_bounds_lists_of_equal_order_values(spark):
+    df = spark.range(3000).selectExpr("id % 2 as k", "cast(7 as bigint) as ord", "id as v")
+    extra = spark.createDataFrame([(None, 1, -1), (5, 300, -2), (5, 301, -3)], "k long, ord long, v long")
+    out = merge.group_rows(df.union(extra), "k", "ord", block_size=256).collect()
+    assert max(len(r.rows) for r in out) <= 256
+    by_key = {}
+    for r in sorted(out, key=lambda r: (r.k is None, r.k, r.block, r.part)):
+        by_key.setdefault(r.k, []).extend(x.v for x in r.rows)
+    assert by_key == {0: list(range(0, 3000, 2)), 1: list(range(1, 3000, 2)), None: [-1], 5: [-2, -3]}
+
+
+def test_nested_sides_are_measured(spark):
+    from strata.operators.joins import sized
+    wide = spark.range(200).selectExpr("id", "sequence(0, 20000) as xs", "struct(id as a, 'x' as b) as s")
+    assert not sized(wide, limit=1 << 20).broadcast
+    small = spark.range(5).selectExpr("id", "array(1, 2) as xs", "map('a', 1) as m")
+    assert sized(small, limit=1 << 20).broadcast
+    assert sized(wide, limit=1 << 20).bytes > 200 * 20000 * 8
+
+
+def test_batch_keys(spark):
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (2, "c")], "k long, v string")
+    one = merge.batch_keys(df, "k")
+    assert one.unique and one.frame.count() == 3
+    two = merge.batch_keys(df.union(df), "k")
+    assert not two.unique and two.frame.count() == 3
+    assert merge.batch_keys(df.limit(0), "k").unique
