@@ -125,6 +125,16 @@ def group_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.transform("rows", lambda r: r["text"]), "\n").alias("transcript"))
 
 
+def group_rows_repeated_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 where an order value repeats thousands of times: lists keep their bound."""
+    ev = table(spark, sf_dir, "events").select(
+        "event_type", (F.col("event_id") % 10).alias("digit"), "event_id")
+    g = merge.group_rows(ev, "event_type", "digit", block_size=256)
+    return g.select("event_type", "block", "part", F.size("rows").cast("bigint").alias("n_rows"),
+                    F.col("rows")[0]["event_id"].alias("first_event"),
+                    F.element_at("rows", -1)["event_id"].alias("last_event"))
+
+
 def sort_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O1: parts by name (nulls last, then full row), with their global position."""
     part = table(spark, sf_dir, "part")
@@ -134,7 +144,8 @@ def sort_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- row expressions ---------------------------------------------------------
 
 def cast_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Zero-padded text -> bigint, money text -> double, int -> text/double."""
+    """Zero-padded text -> bigint, money text -> double, int -> text/double,
+    and the spellings a number may have."""
     c = table(spark, sf_dir, "customer")
     padded = F.lpad(F.col("c_custkey").cast("string"), 10, "0")
     money = F.col("c_acctbal").cast("decimal(18,2)").cast("string")
@@ -143,13 +154,27 @@ def cast_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
         casts.cast_text(padded, "long").alias("key_long"),
         casts.cast_text(money, "double").alias("balance"),
         casts.cast_text(F.col("c_nationkey"), "string").alias("nation_text"),
-        F.col("c_nationkey").cast("double").alias("nation_double"))
+        F.col("c_nationkey").cast("double").alias("nation_double"),
+        casts.cast_text(spelled(), "double").alias("spelled"),
+        casts.cast_text(F.concat(F.lit(" "), F.col("c_custkey").cast("string"), F.lit(" ")), "long")
+        .alias("spaced_long"))
+
+
+def spelled():
+    """A number's text in one of the spellings that count, by the row's key."""
+    k = F.col("c_custkey")
+    return (F.when(k % 5 == 0, F.lit("1e3")).when(k % 5 == 1, F.lit("inf")).when(k % 5 == 2, F.lit(" 7 "))
+            .when(k % 5 == 3, F.lit("-.5")).otherwise(F.lit("+4.")))
 
 
 def _dirty_size():
     return (F.when(F.col("p_partkey") % 6 == 0, F.lit("abc"))
             .when(F.col("p_partkey") % 9 == 0, F.lit("4.7"))
             .when(F.col("p_partkey") % 15 == 1, F.lit("-2.9"))
+            .when(F.col("p_partkey") % 15 == 2, F.lit("4d"))
+            .when(F.col("p_partkey") % 15 == 4, F.lit("4f"))
+            .when(F.col("p_partkey") % 15 == 5, F.lit(" 7 "))
+            .when(F.col("p_partkey") % 15 == 7, F.lit("1e3"))
             .otherwise(F.col("p_size").cast("string")))
 
 
@@ -338,3 +363,118 @@ def refined_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
                  jobs.table_path(base, jobs.TRUSTED, spec)):
         layers.delete_path(spark, done)  # the result reads the refined table only
     return spark.read.parquet(jobs.table_path(base, jobs.REFINED, spec))
+
+
+# --- contents of the loads -----------------------------------------------------
+
+# The text column that the second drop of each feed changes.
+MARKED = {"customers": "customer_city", "geolocation": "geolocation_city", "items": "product_id",
+          "orders": "order_status", "payments": "payment_type", "products": "product_category_name",
+          "reviews": "review_comment_title", "sellers": "seller_city"}
+
+
+def second_drop(feed: DataFrame, spec: S.TableSpec) -> DataFrame:
+    """The whole feed again with its first column doubled (unpadded) and a column marked: some
+    keys are in the first drop too, and most of the first drop's are not in this one."""
+    first = spec.columns[0]
+    return feed.select(*[
+        (F.col(c).cast("bigint") * 2).cast("string").alias(c) if c == first
+        else F.concat(F.col(c), F.lit("*")).alias(c) if c == MARKED[spec.name]
+        else F.col(c) for c in spec.columns])
+
+
+def land_in_order(df: DataFrame, keys: list[str], path: str) -> str:
+    """A landing drop in which all rows of a key are in one file, the smallest row last."""
+    placed = df.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(
+        *[F.col(c).desc_nulls_last() for c in df.columns])
+    return csv_src.write_csv(placed, path)
+
+
+def loaded(name: str, key: str = "natural"):
+    """Two overlapping drops through the three layers; the refined rows."""
+    spec = S.SPECS[name]
+
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = work_dir(spark, f"loaded_{name}")
+        base = f"{root}/lake"
+        feed = standins.feed(spark, sf_dir, spec)
+        keys = spec.keys(natural=key == "natural")
+        for n, drop in enumerate((feed, second_drop(feed, spec))):
+            landing = land_in_order(drop, keys, f"{root}/landing-{n}")
+            jobs.load_raw(spark, spec, landing, base, key=key)
+            jobs.load_trusted(spark, spec, base, key=key, raw_unique=True)
+            jobs.load_refined(spark, spec, base, write_mode=tables.OVERWRITE)
+            layers.delete_path(spark, landing)
+        return spark.read.parquet(jobs.table_path(base, jobs.REFINED, spec))
+
+    q.__name__ = f"loaded_{name}" if key == "natural" else f"loaded_{name}_{key}"
+    q.__doc__ = f"J1-J3: {name} by its {key} key, contents after two overlapping loads."
+    return q
+
+
+def raw_in_file_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of an order's lines in one file the one that comes last stays, here the smallest."""
+    spec = S.ITEMS
+    root = work_dir(spark, "raw_in_file_last")
+    landing = land_in_order(standins.feed(spark, sf_dir, spec), ["order_id"], f"{root}/landing")
+    jobs.load_raw(spark, spec, landing, f"{root}/lake", key="reference")
+    return layers.read_layer(spark, jobs.table_path(f"{root}/lake", jobs.RAW, spec)).select(*spec.columns)
+
+
+def trusted_zip_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A prefix with and without leading zeros in one file is one key; the later row stays."""
+    spec = S.GEOLOCATION
+    root = work_dir(spark, "trusted_zip_variants")
+    c = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("k"),
+        F.col("c_acctbal").cast("decimal(18,2)").cast("string").alias("lat"), F.col("c_name").alias("city"))
+    both = c.withColumn("v", F.explode(F.array(F.lit(1), F.lit(2))))
+    rows = both.repartition("k").sortWithinPartitions("k", "v").select(
+        F.when(F.col("v") == 1, F.lpad("k", 12, "0")).otherwise(F.col("k")).alias(spec.columns[0]),
+        F.col("lat").alias(spec.columns[1]), F.lit("1").alias(spec.columns[2]),
+        # the earlier row is the greater text
+        F.concat(F.when(F.col("v") == 1, F.lit("z ")).otherwise(F.lit("a ")), F.col("city")).alias(spec.columns[3]),
+        F.lit("S").alias(spec.columns[4]))
+    landing = csv_src.write_csv(rows, f"{root}/landing")
+    jobs.load_raw(spark, spec, landing, f"{root}/lake")
+    jobs.load_trusted(spark, spec, f"{root}/lake")
+    return layers.read_layer(spark, jobs.table_path(f"{root}/lake", jobs.TRUSTED, spec))
+
+
+def stream_over_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J4 three times, then a drop through the stream (J5): the drop is in all layers."""
+    from strata.streaming.incremental import watch_tables
+
+    spec = S.SELLERS
+    root = work_dir(spark, "stream_over_lake")
+    base = f"{root}/lake"
+    feed = standins.feed(spark, sf_dir, spec)
+    land_in_order(feed, list(spec.key), f"{root}/batch/{spec.source_file}")
+    for _ in range(3):
+        jobs.run_all(spark, f"{root}/batch", base, specs=(spec,), write_mode=tables.OVERWRITE)
+    land_in_order(second_drop(feed, spec), list(spec.key), f"{root}/stream/{spec.source_file}")
+    errors = watch_tables(spark, f"{root}/stream", base, (spec,), checkpoint_root=f"{root}/checkpoints")
+    if errors:
+        raise RuntimeError(f"stream failed: {errors}")
+    return spark.read.parquet(jobs.table_path(base, jobs.REFINED, spec))
+
+
+def refined_failed_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An overwrite whose strict dates fail leaves the rows published before."""
+    spec = S.ORDERS
+    root = work_dir(spark, "refined_failed_overwrite")
+    base = f"{root}/lake"
+    feed = standins.feed(spark, sf_dir, spec)
+    bad = feed.withColumn("order_approved_at", F.concat(F.lit("free text "), F.col("order_id")))
+    for n, drop in enumerate((feed, bad)):
+        landing = csv_src.write_csv(drop, f"{root}/landing-{n}")
+        jobs.load_raw(spark, spec, landing, base)
+        jobs.load_trusted(spark, spec, base, raw_unique=True)
+        try:
+            jobs.load_refined(spark, spec, base, write_mode=tables.OVERWRITE)
+            failed = False
+        except Exception:  # noqa: BLE001 - any failure; that there is one is checked below
+            failed = True
+        if failed != (n == 1):
+            raise RuntimeError("the strict load has to fail on free text, and only there")
+    return spark.read.parquet(jobs.table_path(base, jobs.REFINED, spec))

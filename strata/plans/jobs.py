@@ -2,14 +2,19 @@
 
 Folder layout below ``base`` (a path on shared storage)::
 
-    raw/<table>/version-NNNNNN/        all-text rows, one per key
+    raw/<table>/version-NNNNNN/        all-text rows and their arrival, one per key
     trusted/<table>/version-NNNNNN/    cast rows, one per key
     refined/<table>/                   published rows (append or overwrite)
     _run_log/source=<writer>/          one row per (layer, table) step
 
-Each job reads complete versions only and writes a new one, so a failed or
-retried job never leaves a half-written table behind, and a lost executor only
-costs the retry of its tasks.
+Raw and trusted jobs read complete versions only and write a new one, whose number
+they claim first; a refined overwrite is written beside the table and takes its
+place when it is whole. So a failed or retried job never leaves a half-written
+table behind, and a lost executor only costs the retry of its tasks.
+
+"Last" means the row that arrived last: by load, then by the landing file's time and
+path, then by the place in the file (``sources.csv.arrival``). Raw rows keep that
+place, so the trusted merge orders rows of different raw keys the same way.
 """
 
 from __future__ import annotations
@@ -22,15 +27,15 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions import casts
-from strata.operators.merge import has_duplicate_keys, upsert
+from strata.operators.merge import batch_keys, has_duplicate_keys, keep_last, upsert
+from strata.session import temporary
 from strata.sinks import tables
 from strata.sources import layers
-from strata.sources.csv import CORRUPT, read_csv, with_source_order
+from strata.sources.csv import ARRIVAL, ARRIVAL_TYPE, CORRUPT, read_csv, with_source_order
 from strata.specs import ALL_SPECS, TEXT, TableSpec
 
 RAW, TRUSTED, REFINED = "raw", "trusted", "refined"
 OK, FAILED, SKIPPED = "ok", "failed", "skipped"
-ARRIVAL = ["_file_time", "_file_path"]
 MALFORMED = "_malformed"
 KEEP_VERSIONS = 2        # the newest version and the one before it, for readers in flight
 
@@ -53,66 +58,72 @@ def _keys(spec: TableSpec, key) -> list[str]:
 
 def raw_rows(spark: SparkSession, spec: TableSpec, landing: str, key=None,
              current: DataFrame | None = None, stage_path: str | None = None,
-             full_snapshot: bool = False, probe_unique: bool = True,
-             malformed: Observation | None = None) -> DataFrame:
+             full_snapshot: bool = False, malformed: Observation | None = None,
+             load: int | None = None) -> DataFrame:
     """J1 plan: CSV batch merged into the current raw rows (batch wins).
 
-    Inside the batch the last row of a key is the one from the newest file, then
-    the greater full row, so the result does not depend on read order. With
-    ``stage_path`` the parsed batch is staged as Parquet first (K2). With
-    ``probe_unique`` a keys-only probe runs first; a batch with one row per key
-    skips the full-row dedupe (a sort and shuffle of every row). Short and long
-    rows are kept (padded with null, or cut); with ``malformed`` the ones written
+    Inside the batch the row of a key that arrived last stays. With ``stage_path`` the
+    landing files are parsed once, into Parquet (K2); everything after reads that. One
+    keys-only aggregate gives the batch's key set and says whether each key came once;
+    if so the full-row dedupe (a sort and shuffle of every row) is left out. Short and
+    long rows are kept (padded with null, or cut); with ``malformed`` the ones written
     from this batch are counted.
     """
     keys = _keys(spec, key)
-    batch = with_source_order(read_csv(spark, landing, spec, corrupt_column=CORRUPT))
-    # the flag rides along to the final write, which parses every field (a job that
-    # reads only some fields, like the key probe, cannot tell a short row)
+    batch = with_source_order(read_csv(spark, landing, spec, corrupt_column=CORRUPT), load)
+    # the flag is made where every field is parsed (a job that reads only some fields,
+    # like the key aggregate, cannot tell a short row)
     batch = batch.withColumn(MALFORMED, F.col(CORRUPT).isNotNull()).drop(CORRUPT)
     if stage_path:
         batch = tables.stage(batch, stage_path)
+    found = batch_keys(batch, keys)
     if current is not None:
-        current = current.select(*spec.columns, F.lit(False).alias(MALFORMED))
-    unique = probe_unique and not has_duplicate_keys(batch, keys)
-    merged = upsert(current, batch, keys, order=ARRIVAL, current_is_unique=current is not None,
-                    batch_is_unique=unique, batch_covers_current=full_snapshot)
+        current = raw_columns(current, spec).withColumn(MALFORMED, F.lit(False))
+    merged = upsert(current, batch, keys, order=[ARRIVAL], current_is_unique=current is not None,
+                    batch_is_unique=found.unique, batch_covers_current=full_snapshot,
+                    incoming=found.frame)
     if malformed is not None:
         merged = merged.observe(malformed, F.count(F.when(F.col(MALFORMED), 1)).alias("malformed"))
-    return merged.select(*spec.columns)
+    return merged.select(*spec.columns, ARRIVAL)
+
+
+def raw_columns(current: DataFrame, spec: TableSpec) -> DataFrame:
+    """The current raw rows with their arrival (null in a version written without it)."""
+    place = F.col(ARRIVAL) if ARRIVAL in current.columns else F.lit(None)
+    return current.select(*spec.columns, place.cast(ARRIVAL_TYPE).alias(ARRIVAL))
 
 
 def load_raw(spark: SparkSession, spec: TableSpec, landing: str, base: str,
-             key=None, keep: int = KEEP_VERSIONS, stage: bool = False,
+             key=None, keep: int = KEEP_VERSIONS, stage: bool = True,
              full_snapshot: bool = False) -> int:
     """Landing CSV -> new raw version (older ones pruned to ``keep``). Returns rows."""
     return raw_load(spark, spec, landing, base, key, keep, stage, full_snapshot)[0]
 
 
 def raw_load(spark: SparkSession, spec: TableSpec, landing: str, base: str,
-             key=None, keep: int = KEEP_VERSIONS, stage: bool = False,
+             key=None, keep: int = KEEP_VERSIONS, stage: bool = True,
              full_snapshot: bool = False) -> tuple[int, int]:
     """J1 with its counts: (rows written, rows written that were malformed in the file).
 
-    The load reads the batch up to three times (a key probe, the key set for the
-    merge, then the rows). By default the landing files are parsed each time, which
-    measured cheaper than a staged copy; ``stage=True``
-    writes the parsed batch as Parquet first (K2), worth it when parsing dominates
-    (many wide text columns) or the landing files may change during the load.
+    The landing files are parsed once, into a staged Parquet copy (K2) that is deleted
+    at the end; with ``stage=False`` each of the two passes (keys, rows) parses them.
     ``full_snapshot=True`` says the landing file re-delivers the whole table (as the
     source system's feeds do): the merge then shuffles keys only, not current rows.
     """
-    _keys(spec, key)                               # a wrong key fails before any I/O
+    keys = _keys(spec, key)                        # a wrong key fails before any I/O
     if not layers.exists(spark, landing):          # S6: probe before planning the read
         raise FileNotFoundError(f"PATH_NOT_FOUND: no landing file for {spec.name}: {landing}")
     path = table_path(base, RAW, spec)
     stage_path = (f"{base.rstrip('/')}/_stage/{spec.name}-{uuid.uuid4().hex[:12]}"
                   if stage else None)
     bad = Observation(f"malformed_{uuid.uuid4().hex}")
+    claim = layers.claim_version(spark, path, keys)
     try:
-        merged = raw_rows(spark, spec, landing, key, layers.read_layer(spark, path), stage_path,
-                          full_snapshot, malformed=bad)
-        _, rows = tables.write_version(merged, path)
+        with temporary(spark):
+            current = layers.read_layer(spark, path, below=claim.version)
+            merged = raw_rows(spark, spec, landing, key, current, stage_path, full_snapshot,
+                              malformed=bad, load=claim.version)
+            _, rows = tables.write_version(merged, path, claim, sort_key=keys)
     finally:
         if stage_path:
             layers.delete_path(spark, stage_path)
@@ -132,32 +143,46 @@ def trusted_rows(raw: DataFrame, spec: TableSpec, key=None, mode: str = casts.ST
                  current: DataFrame | None = None, raw_unique: bool | None = False) -> DataFrame:
     """J2 plan: cast first (so '01037' and '1037' are one key), then merge.
 
+    Rows that casts make one key are ordered by their arrival: the last one stays. In
+    coerce mode a key text that does not cast gives a null key; such rows are known by
+    their text, so none is lost to another.
     ``raw_unique=True`` says the raw rows are one per key (a raw load with the same
     key wrote them); when the casts leave the key columns alone they stay one per
     key, and the dedupe (a sort and shuffle of the whole table) is skipped.
     ``raw_unique=None`` finds out with a keys-only probe of the cast rows.
     """
     keys = _keys(spec, key)
-    cast = casts.trusted_columns(raw, spec, mode)
+    texts = {k: f"_text_{k}" for k in keys if spec.trusted.get(k, TEXT) != TEXT}
+    order = [ARRIVAL] if ARRIVAL in raw.columns else []
+    cast = casts.trusted_columns(raw, spec, mode, keep={**{t: F.col(k) for k, t in texts.items()},
+                                                        **{c: F.col(c) for c in order}})
+    for k, t in texts.items():
+        cast = cast.withColumn(t, F.when(F.col(k).isNull(), F.col(t)))
+    wide = [*keys, *texts.values()]
     if raw_unique is None:
-        unique = not has_duplicate_keys(cast, keys)
+        unique = not has_duplicate_keys(cast, wide)
     else:
         unique = raw_unique and not _key_is_cast(spec, keys)
+    newest = (cast if unique else keep_last(cast, wide, order)).select(*spec.columns)
     # raw is cumulative (a raw merge never drops a key), so it covers every trusted key
-    return upsert(current, cast, keys, current_is_unique=current is not None,
-                  batch_is_unique=unique, batch_covers_current=True)
+    return upsert(current, newest, keys, current_is_unique=current is not None,
+                  batch_is_unique=True, batch_covers_current=True)
 
 
 def load_trusted(spark: SparkSession, spec: TableSpec, base: str, key=None,
                  mode: str = casts.STRICT, keep: int = KEEP_VERSIONS,
                  raw_unique: bool | None = None) -> int:
     """Newest raw version -> new trusted version (older ones pruned). Returns rows."""
+    keys = _keys(spec, key)
     raw = layers.read_layer(spark, table_path(base, RAW, spec))
     if raw is None:
         raise FileNotFoundError(f"no raw version of {spec.name}")
     path = table_path(base, TRUSTED, spec)
-    merged = trusted_rows(raw, spec, key, mode, layers.read_layer(spark, path), raw_unique)
-    _, rows = tables.write_version(merged, path)
+    claim = layers.claim_version(spark, path, keys)
+    with temporary(spark):
+        merged = trusted_rows(raw, spec, key, mode, layers.read_layer(spark, path, below=claim.version),
+                              raw_unique)
+        _, rows = tables.write_version(merged, path, claim, sort_key=keys)
     layers.prune_versions(spark, path, keep)
     return rows
 
@@ -175,7 +200,7 @@ def load_refined(spark: SparkSession, spec: TableSpec, base: str,
     if trusted is None:
         raise FileNotFoundError(f"no trusted version of {spec.name}")
     return tables.publish(refined_rows(trusted, spec, mode), write_mode, table=table,
-                          path=table_path(base, REFINED, spec))
+                          path=table_path(base, REFINED, spec), schema=spec.refined_schema)
 
 
 def _error_text(e: BaseException) -> str:
@@ -189,7 +214,7 @@ def _error_text(e: BaseException) -> str:
                 cond = None
             if cond:
                 break
-    first = (str(e).strip().splitlines() or [type(e).__name__])[0][:400]
+    first = (str(e).strip().splitlines() or [type(e).__name__])[0]
     return f"{cond}: {first}" if cond else f"{type(e).__name__}: {first}"
 
 

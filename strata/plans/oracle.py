@@ -4,6 +4,8 @@ tables, which DuckDB sees as views of the same names."""
 
 from __future__ import annotations
 
+from strata.specs import SPECS
+
 TS = "'%Y-%m-%d %H:%M:%S'"
 
 
@@ -259,6 +261,14 @@ SQL: dict[str, str] = {
                string_agg(role, ',' ORDER BY turn) AS roles,
                string_agg(text, chr(10) ORDER BY turn) AS transcript
         FROM conversations GROUP BY conv_id, CAST(floor(turn / 1024) AS BIGINT)""",
+    "group_rows_repeated_order": """
+        WITH e AS (SELECT event_type, event_id % 10 AS digit, event_id FROM events),
+        p AS (SELECT *, CAST(floor((row_number() OVER (PARTITION BY event_type
+                     ORDER BY digit, event_id) - 1) / 256) AS BIGINT) AS part FROM e)
+        SELECT event_type, CAST(0 AS BIGINT) AS block, part, count(*) AS n_rows,
+               arg_min(event_id, (digit, event_id)) AS first_event,
+               arg_max(event_id, (digit, event_id)) AS last_event
+        FROM p GROUP BY event_type, part""",
     "sort_rows": """
         SELECT *, row_number() OVER (ORDER BY p_name ASC NULLS LAST, p_partkey ASC NULLS FIRST,
             p_brand ASC NULLS FIRST, p_type ASC NULLS FIRST, p_size ASC NULLS FIRST,
@@ -268,16 +278,23 @@ SQL: dict[str, str] = {
         SELECT c_custkey, CAST(lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS BIGINT) AS key_long,
                CAST(CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS DOUBLE) AS balance,
                CAST(c_nationkey AS VARCHAR) AS nation_text,
-               CAST(c_nationkey AS DOUBLE) AS nation_double
+               CAST(c_nationkey AS DOUBLE) AS nation_double,
+               CAST(CASE c_custkey % 5 WHEN 0 THEN 1000 WHEN 1 THEN 'infinity'::DOUBLE WHEN 2 THEN 7
+                    WHEN 3 THEN -0.5 ELSE 4 END AS DOUBLE) AS spelled,
+               CAST(c_custkey AS BIGINT) AS spaced_long
         FROM customer""",
     "coerce_number": f"""
         WITH s AS (
             SELECT p_partkey,
                    CASE WHEN p_partkey % 6 = 0 THEN 'abc' WHEN p_partkey % 9 = 0 THEN '4.7'
-                        WHEN p_partkey % 15 = 1 THEN '-2.9' ELSE CAST(p_size AS VARCHAR) END
+                        WHEN p_partkey % 15 = 1 THEN '-2.9' WHEN p_partkey % 15 = 2 THEN '4d'
+                        WHEN p_partkey % 15 = 4 THEN '4f' WHEN p_partkey % 15 = 5 THEN ' 7 '
+                        WHEN p_partkey % 15 = 7 THEN '1e3' ELSE CAST(p_size AS VARCHAR) END
                        AS size_text
             FROM part)
-        SELECT p_partkey, size_text, {_coerce('size_text')} AS size_num FROM s""",
+        SELECT p_partkey, size_text,
+               CASE WHEN size_text IN ('4d', '4f') THEN 0 ELSE {_coerce('size_text')} END AS size_num
+        FROM s""",
     "fill_zero": """
         SELECT c_custkey, coalesce(c_name, '0') AS c_name,
                coalesce(CASE WHEN c_custkey % 7 <> 0 THEN c_nationkey END, 0) AS c_nationkey,
@@ -389,3 +406,51 @@ SQL: dict[str, str] = {
 
 for _name in RAW:
     SQL[f"typed_projection_{_name}"] = typed(_name)
+
+
+# --- contents of the loads: two drops, the second wins; in a drop a key's last row wins ----
+
+_COLUMNS = {name: list(spec.columns) for name, spec in SPECS.items()}
+
+
+def _last(rows: str, columns: list[str], key: list[str], seq: str = "") -> str:
+    """One row per key: the highest drop, then the one that the drop has last (the smallest)."""
+    order = ", ".join(([f"{seq} DESC"] if seq else []) + [f"{c} ASC NULLS FIRST" for c in columns])
+    return (f"SELECT {', '.join(columns)} FROM (SELECT *, row_number() OVER (PARTITION BY "
+            f"{', '.join(key)} ORDER BY {order}) AS rn FROM ({rows})) WHERE rn = 1")
+
+
+def loaded(name: str, key: list[str], mark: str) -> str:
+    cols = _COLUMNS[name]
+    again = ", ".join(f"CAST(CAST({c} AS BIGINT) * 2 AS VARCHAR) AS {c}" if c == cols[0]
+                      else f"{c} || '*' AS {c}" if c == mark else c for c in cols)
+    rows = f"SELECT *, 1 AS seq FROM feed UNION ALL SELECT {again}, 2 AS seq FROM feed"
+    # rows of one cast key and drop have one raw key, except that the raw key text decides nothing
+    return (f"WITH feed AS ({RAW[name]}), raw AS ({_last(rows, cols, key, 'seq')}) "
+            f"{TYPED_SELECT[name]}")
+
+
+_LOADED_KEYS = {
+    "customers": (["customer_id"], "customer_city"),
+    "geolocation": (["CAST(geolocation_zip_code_prefix AS BIGINT)"], "geolocation_city"),
+    "items": (["order_id", "order_item_id"], "product_id"),
+    "orders": (["order_id"], "order_status"),
+    "payments": (["order_id", "CAST(payment_sequential AS BIGINT)"], "payment_type"),
+    "products": (["product_id"], "product_category_name"),
+    "reviews": (["review_id"], "review_comment_title"),
+    "sellers": (["seller_id"], "seller_city"),
+}
+for _name, (_key, _mark) in _LOADED_KEYS.items():
+    SQL[f"loaded_{_name}"] = loaded(_name, _key, _mark)
+SQL["loaded_items_reference"] = loaded("items", ["order_id"], "product_id")
+SQL["raw_in_file_last"] = (
+    f"WITH feed AS ({RAW['items']}), f AS (SELECT * REPLACE (nullif(shipping_limit_date, '') "
+    f"AS shipping_limit_date) FROM feed) " + _last("SELECT * FROM f", _COLUMNS["items"], ["order_id"]))
+SQL["trusted_zip_variants"] = """
+    SELECT CAST(c_custkey AS BIGINT) AS geolocation_zip_code_prefix,
+           CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE) AS geolocation_lat,
+           CAST(1 AS DOUBLE) AS geolocation_lng, 'a ' || c_name AS geolocation_city,
+           'S' AS geolocation_state
+    FROM customer"""
+SQL["stream_over_lake"] = SQL["loaded_sellers"]
+SQL["refined_failed_overwrite"] = typed("orders")

@@ -9,69 +9,117 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.session import work_dir
 from strata.sources import layers
 
 APPEND = "append"
 OVERWRITE = "overwrite"
 
 
-def write_version(df: DataFrame, table_path: str, version: int | None = None,
+def write_version(df: DataFrame, table_path: str, claim: layers.Claim | None = None,
                   sort_key=None) -> tuple[int, int]:
     """K1: write ``df`` as a new version of a layer table; return (version, rows).
 
-    ``version=None`` takes the next number after every existing one (complete or
-    not). A fixed ``version`` (stream batches) overwrites that version only, so a
-    replayed batch writes the same folder again. ``sort_key`` range-partitions and
-    sorts the files on the key (O1 for files), which keeps later key lookups and
-    merges local. Rows are counted by an ``Observation`` during the write.
+    The number is claimed first (``claim``, or a new one after every existing version),
+    so two writers never write one folder; a folder that exists is an error. If another
+    load completed a version since the claim's base, this one is withdrawn and
+    ``ConcurrentLoad`` raised. ``sort_key`` sorts each file's rows by the key (O1 for
+    files; rows are not moved between tasks for it). Rows are counted by an
+    ``Observation`` during the write.
     """
     spark = df.sparkSession
-    if version is None:
-        done = layers.versions(spark, table_path, complete_only=False)
-        version = (done[-1] + 1) if done else 1
+    claim = claim or layers.claim_version(spark, table_path)
     if sort_key:
         keys = [sort_key] if isinstance(sort_key, str) else list(sort_key)
         df = df.sortWithinPartitions(*[F.col(k).asc_nulls_last() for k in keys])
     obs = Observation(f"rows_{uuid.uuid4().hex}")     # unique: table jobs run concurrently
     counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").parquet(layers.version_path(table_path, version))
-    return version, int(obs.get["rows"])
+    counted.write.mode("errorifexists").parquet(layers.version_path(table_path, claim.version))
+    layers.check_alone(spark, table_path, claim)
+    return claim.version, int(obs.get["rows"])
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:
     """K2: materialise an incoming batch as Parquet beside the layer and read it back.
 
-    The merge uses the batch twice (the keep-last rows and the set of keys); reading
-    a staged Parquet copy parses the source text once and lets the key pass read
-    only the key columns. The stage also cuts the batch's lineage, so a retried
+    The merge uses the batch more than once (the keep-last rows and the set of keys);
+    reading a staged Parquet copy parses the source text once and lets the key pass
+    read only the key columns. The stage also cuts the batch's lineage, so a retried
     merge task re-reads the stage, not the landing files. Drop it with
     ``layers.delete_path`` once the new version is written.
     """
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _types(schema: T.StructType) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in schema.fields]
+
+
+def _check_schema(schema: T.StructType, wanted: T.StructType, what: str) -> None:
+    if _types(schema) != _types(wanted):
+        raise ValueError(f"{what} has columns {_types(wanted)}, the rows have {_types(schema)}")
+
+
+def _replace_folder(spark, new: str, path: str) -> None:
+    """Put a completely written folder in the place of another (two renames)."""
+    fs, target = layers._fs(spark, path)
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    old = f"{new}-old"
+    if fs.exists(target) and not fs.rename(target, jvm_path(old)):
+        raise OSError(f"cannot move {path}")
+    if not fs.rename(jvm_path(new), target):
+        fs.rename(jvm_path(old), target)
+        raise OSError(f"cannot move {new} to {path}")
+    layers.delete_path(spark, old)
 
 
 def publish(df: DataFrame, mode: str = APPEND, table: str | None = None,
-            path: str | None = None) -> int:
+            path: str | None = None, schema: T.StructType | None = None) -> int:
     """K3: publish refined rows; ``append`` adds (a rerun doubles), ``overwrite`` replaces.
 
     ``table`` writes a catalog table (its location is the path when given, else the
-    warehouse); ``path`` alone writes Parquet files. Returns the rows written.
+    warehouse); ``path`` alone writes Parquet files. ``schema`` is the declared one;
+    it and the columns of a table that exists are checked before anything is written.
+    An overwrite first writes all rows beside the table and only then takes its
+    place, so a load that fails leaves the old rows there. Returns the rows written.
     """
     if mode not in (APPEND, OVERWRITE):
         raise ValueError(f"mode must be 'append' or 'overwrite', got {mode!r}")
+    if not (table or path):
+        raise ValueError("give a table name or a path")
+    spark = df.sparkSession
+    if schema is not None:
+        _check_schema(df.schema, schema, "the declared table")
+    known = bool(table) and spark.catalog.tableExists(table)
+    there = known or bool(path) and layers.exists(spark, path)
+    if there and mode == APPEND:
+        old = spark.table(table) if known else spark.read.parquet(path)
+        _check_schema(df.schema, old.schema, table or path)
     obs = Observation(f"published_{uuid.uuid4().hex}")
     counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer = counted.write.mode(mode).format("parquet")
-    if table:
+    if mode == APPEND or not there:
+        writer = counted.write.mode(APPEND).format("parquet")
+        if table:
+            (writer.option("path", path) if path else writer).saveAsTable(table)
+        else:
+            writer.save(path)
+        return int(obs.get["rows"])
+    new = f"{(path or work_dir(spark, 'publish')).rstrip('/')}-{uuid.uuid4().hex[:12]}"
+    try:
+        counted.write.format("parquet").save(new)
+        rows = int(obs.get["rows"])
         if path:
-            writer = writer.option("path", path)
-        writer.saveAsTable(table)
-    elif path:
-        writer.save(path)
-    else:
-        raise ValueError("give a table name or a path")
-    return int(obs.get["rows"])
+            _replace_folder(spark, new, path)
+            if known:
+                spark.catalog.refreshTable(table)
+            elif table:
+                spark.catalog.createTable(table, path, "parquet")
+        else:        # the rows are final: no cast or join can fail any more
+            spark.read.schema(df.schema).parquet(new).write.mode(OVERWRITE).saveAsTable(table)
+    finally:
+        layers.delete_path(spark, new)
+    return rows
 
 
 RUN_LOG_SCHEMA = T.StructType([

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +13,8 @@ PERMISSIVE = "PERMISSIVE"
 DROPMALFORMED = "DROPMALFORMED"
 FAILFAST = "FAILFAST"
 CORRUPT = "_corrupt_record"
+ARRIVAL = "_arrival"
+ARRIVAL_TYPE = "struct<load: bigint, time: timestamp, path: string, block: bigint, row: bigint>"
 
 
 def read_csv(spark: SparkSession, path, schema: T.StructType | TableSpec,
@@ -23,8 +25,8 @@ def read_csv(spark: SparkSession, path, schema: T.StructType | TableSpec,
     Short rows are padded with null and long rows cut (``PERMISSIVE``). With
     ``corrupt_column`` the raw text of such rows is kept in that column, so bad
     rows can be routed with one filter. ``multiline`` is needed when quoted
-    fields hold newlines; such files are read one task per file, so a large
-    multiline feed should arrive as many files.
+    fields hold newlines; a quoted field may span any split, so such files are read
+    one task per file: a large multiline feed (the reviews) has to land as many files.
     """
     if isinstance(schema, TableSpec):
         if multiline is None:
@@ -43,10 +45,27 @@ def read_csv(spark: SparkSession, path, schema: T.StructType | TableSpec,
     return reader.csv(path)
 
 
-def with_source_order(df: DataFrame) -> DataFrame:
-    """Add the file's modification time and path: the arrival order of a batch."""
-    return df.select("*", F.col("_metadata.file_modification_time").alias("_file_time"),
-                     F.col("_metadata.file_path").alias("_file_path"))
+def file_place() -> Column:
+    """Where a row comes from: file time, path and split. Only directly above a file scan."""
+    meta = F.col("_metadata")
+    return F.struct(meta["file_modification_time"].alias("time"), meta["file_path"].alias("path"),
+                    meta["file_block_start"].alias("block"))
+
+
+def arrival(place: Column, load: int | None = None) -> Column:
+    """The place of a row in the order of arrival: load, file time, path, place in the file.
+
+    Only on the rows as a scan gives them. A split's rows are read in order by one task,
+    so the task's running number orders them; splits of a file are ordered by their start.
+    """
+    return F.struct(F.lit(load).cast("bigint").alias("load"), place["time"].alias("time"),
+                    place["path"].alias("path"), place["block"].alias("block"),
+                    F.monotonically_increasing_id().alias("row"))
+
+
+def with_source_order(df: DataFrame, load: int | None = None) -> DataFrame:
+    """Add ``ARRIVAL``: "last" among the rows of a key means the one that came last."""
+    return df.select("*", arrival(file_place(), load).alias(ARRIVAL))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:

@@ -4,15 +4,22 @@ A layer table is a folder of versions: ``<table>/version-000001/`` ... Each
 version is written whole by one Spark job; the commit protocol writes
 ``_SUCCESS`` last, so readers take the newest version that has it. A job never
 reads and overwrites the same folder, which in Spark fails and loses the data.
+
+Before a job writes version n it claims the number by creating the file
+``<table>/_claims/version-00000n`` (an atomic step: one creator wins). The claim says
+which version the job started from, the table's key, and which stream batch it is, if any.
 Paths go through the Hadoop file system API, so any Hadoop URI works.
 """
 
 from __future__ import annotations
 
+import json
 import re
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+CLAIMS_KEPT = 64
 _VERSION = re.compile(r"^version-(\d{6,})$")
 
 
@@ -70,11 +77,101 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+class ConcurrentLoad(RuntimeError):
+    """Another load has written a version that this one did not start from."""
+
+
+class KeyMismatch(ValueError):
+    """The table was loaded with another key."""
+
+
+@dataclass(frozen=True)
+class Claim:
+    """The right to write one version of a layer table."""
+
+    version: int
+    base: int | None           # the complete version the load starts from
+    key: tuple[str, ...] | None = None
+    source: str | None = None  # "<stream id>/<batch id>" for stream batches
+
+
+def _claim_path(table_path: str, version: int) -> str:
+    return f"{table_path.rstrip('/')}/_claims/version-{version:06d}"
+
+
+def claims(spark: SparkSession, table_path: str) -> list[Claim]:
+    """All claims of a table, by version. A claim whose text is not whole yet has no details."""
+    fs, p = _fs(spark, f"{table_path.rstrip('/')}/_claims")
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        m = _VERSION.match(st.getPath().getName())
+        if not m:
+            continue
+        stream = fs.open(st.getPath())
+        try:
+            text = bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+        try:
+            d = json.loads(text)
+        except ValueError:
+            d = {}
+        key = d.get("key")
+        out.append(Claim(int(m.group(1)), d.get("base"), tuple(key) if key else None, d.get("source")))
+    return sorted(out, key=lambda c: c.version)
+
+
+def claim_version(spark: SparkSession, table_path: str, key=None, source: str | None = None) -> Claim:
+    """Claim the number after every version and claim there is; check the table's key."""
+    key = tuple(key) if key else None
+    while True:
+        known = claims(spark, table_path)
+        done = versions(spark, table_path)
+        for c in known:
+            if key and c.key and c.version in done and c.key != key:
+                raise KeyMismatch(f"{table_path} is keyed by {list(c.key)}, this load by {list(key)}: "
+                                  "a lake keeps one key choice, start a new one to change it")
+        every = versions(spark, table_path, complete_only=False) + [c.version for c in known]
+        claim = Claim(max(every, default=0) + 1, done[-1] if done else None, key, source)
+        fs, p = _fs(spark, _claim_path(table_path, claim.version))
+        fs.mkdirs(p.getParent())
+        if not fs.createNewFile(p):
+            continue                     # another writer has just taken the number
+        out = fs.create(p, True)
+        try:
+            out.write(bytearray(json.dumps({"base": claim.base, "key": key, "source": source}).encode()))
+        finally:
+            out.close()
+        return claim
+
+
+def check_alone(spark: SparkSession, table_path: str, claim: Claim) -> None:
+    """After the write: no other version was completed since the claim's base, else this
+    load's rows or theirs would be lost without a word; then this version goes."""
+    others = [v for v in versions(spark, table_path)
+              if v != claim.version and (claim.base is None or v > claim.base)]
+    if others:
+        delete_path(spark, version_path(table_path, claim.version))
+        raise ConcurrentLoad(f"{table_path}: version {others} was written while version "
+                             f"{claim.version} was made from {claim.base}; load again")
+
+
+def version_of_source(spark: SparkSession, table_path: str, source: str) -> int | None:
+    """The complete version that a stream batch has written, if it has."""
+    done = set(versions(spark, table_path))
+    found = [c.version for c in claims(spark, table_path) if c.source == source and c.version in done]
+    return found[-1] if found else None
+
+
 def prune_versions(spark: SparkSession, table_path: str, keep: int = 2) -> list[int]:
     """Delete all but the newest ``keep`` complete versions (and unfinished older ones).
 
+    Versions are numbered after all that exist, so the newest is the one written last.
     Readers that started on the previous version can still finish with ``keep >= 2``.
-    Returns the deleted version numbers.
+    Claims stay for ``CLAIMS_KEPT`` versions more: a replayed stream batch, always its
+    stream's last, is known by its claim. Returns the deleted numbers.
     """
     if keep < 1:
         raise ValueError("keep at least one version")
@@ -85,4 +182,7 @@ def prune_versions(spark: SparkSession, table_path: str, keep: int = 2) -> list[
     gone = [v for v in versions(spark, table_path, complete_only=False) if v < oldest_kept]
     for v in gone:
         delete_path(spark, version_path(table_path, v))
+    for c in claims(spark, table_path):
+        if c.version < oldest_kept - CLAIMS_KEPT:
+            delete_path(spark, _claim_path(table_path, c.version))
     return gone

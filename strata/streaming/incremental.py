@@ -1,16 +1,18 @@
 """Incremental load of a landing folder with Structured Streaming.
 
 New CSV files in the landing folder are read as a file stream; each micro-batch
-is merged into a versioned layer table with ``foreachBatch``. Micro-batch ``n``
-reads the newest complete version *below* ``n + 1`` and writes version
-``n + 1``: when a batch is replayed after a failure (``foreachBatch`` is
-at-least-once) it rebuilds the same version from the same input, so the table
-is exactly-once in effect. Inside a batch, the newest file wins (modification
-time, then path, then the full row).
+is merged into a versioned layer table with ``foreachBatch``. A micro-batch starts
+from the newest complete version, whoever wrote it (another stream, a batch run),
+and writes the next number. The version's claim names the stream (the id in its
+checkpoint) and the batch: when a batch is replayed after a failure
+(``foreachBatch`` is at-least-once) and its version is complete, that version
+stands, so the table is exactly-once in effect. Inside a batch, the row that
+arrived last wins (file time, path, place in the file).
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -18,12 +20,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.text import CSV_OPTIONS
-from strata.operators.merge import has_duplicate_keys, upsert
+from strata.operators.merge import batch_keys, upsert
+from strata.session import temporary
 from strata.sinks.tables import stage, write_version
 from strata.sources import layers
+from strata.sources.csv import ARRIVAL, ARRIVAL_TYPE, CORRUPT, arrival, file_place
 
-ARRIVAL = ["_file_time", "_file_path"]
-CORRUPT = "_corrupt_record"
 MALFORMED = "_malformed"
 
 
@@ -31,7 +33,7 @@ def landing_stream(spark: SparkSession, landing: str, schema: T.StructType,
                    max_files_per_trigger: int | None = None,
                    multiline: bool = False, archive_dir: str | None = None,
                    corrupt: bool = False) -> DataFrame:
-    """A file stream over a landing folder, with each row's file time and path.
+    """A file stream over a landing folder, with the file and split of each row.
 
     ``archive_dir`` moves each file there once its batch is committed
     (``cleanSource=archive``), which keeps the folder listing short on a
@@ -47,39 +49,62 @@ def landing_stream(spark: SparkSession, landing: str, schema: T.StructType,
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     df = reader.csv(landing)
-    return df.select("*", F.col("_metadata.file_modification_time").alias("_file_time"),
-                     F.col("_metadata.file_path").alias("_file_path"))
+    return df.select("*", file_place().alias(ARRIVAL))
 
 
-def merge_batch(target: str, key, columns, stage_batch: bool = False):
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the stream when it made the checkpoint."""
+    text = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0]
+    return json.loads(text)["id"]
+
+
+def merge_batch(target: str, key, columns, stage_batch: bool = True, checkpoint: str | None = None,
+                keep_arrival: bool = False):
     """The ``foreachBatch`` function: upsert one micro-batch into ``target``.
 
     ``stage_batch`` first writes the micro-batch as Parquet (K2), so its files are
-    parsed once instead of twice (rows, then keys). Returns (rows written, rows
-    written that were malformed in their file; None without a corrupt column)."""
+    parsed once instead of twice (keys, then rows). ``checkpoint`` is where the stream's
+    id is read. ``keep_arrival`` writes the rows' arrival too (a raw layer has it).
+    Returns (rows written, rows written that were malformed in their file; None without a
+    corrupt column, or for a replay whose version is complete)."""
+    keys = [key] if isinstance(key, str) else list(key)
+
     def run(batch: DataFrame, batch_id: int):
         spark = batch.sparkSession
-        version = batch_id + 1
-        current = layers.read_layer(spark, target, below=version)
+        source = f"{stream_id(spark, checkpoint) if checkpoint else 'direct'}/{batch_id}"
+        done = layers.version_of_source(spark, target, source)
+        if done is not None:
+            return spark.read.parquet(layers.version_path(target, done)).count(), None
+        claim = layers.claim_version(spark, target, keys, source)
+        current = layers.read_layer(spark, target, below=claim.version)
         flagged = CORRUPT in batch.columns
         if flagged:
             batch = batch.withColumn(MALFORMED, F.col(CORRUPT).isNotNull()).drop(CORRUPT)
+        placed = ARRIVAL in batch.columns
+        out = [*columns, *([ARRIVAL] if keep_arrival and placed else [])]
+        if placed:
+            batch = batch.withColumn(ARRIVAL, arrival(F.col(ARRIVAL), claim.version))
         if current is not None:
-            current = current.select(*columns, *([F.lit(False).alias(MALFORMED)] if flagged else []))
+            extra = [F.lit(False).alias(MALFORMED)] if flagged else []
+            if ARRIVAL in out:
+                old = F.col(ARRIVAL) if ARRIVAL in current.columns else F.lit(None)
+                extra.append(old.cast(ARRIVAL_TYPE).alias(ARRIVAL))
+            current = current.select(*columns, *extra)
         bad = Observation(f"malformed_{uuid.uuid4().hex}") if flagged else None
-        stage_path = f"{target.rstrip('/')}/_stage/batch-{batch_id}" if stage_batch else None
+        stage_path = f"{target.rstrip('/')}/_stage/{uuid.uuid4().hex}" if stage_batch else None
         try:
-            rows = stage(batch, stage_path) if stage_path else batch
-            merged = upsert(current, rows, key, order=ARRIVAL,
-                            current_is_unique=current is not None,
-                            batch_is_unique=not has_duplicate_keys(rows, key))
-            if bad is not None:
-                merged = merged.observe(bad, F.count(F.when(F.col(MALFORMED), 1)).alias("n"))
-            _, rows_written = write_version(merged.select(*columns), target, version=version)
+            with temporary(spark):
+                rows = stage(batch, stage_path) if stage_path else batch
+                found = batch_keys(rows, keys)
+                merged = upsert(current, rows, keys, order=[ARRIVAL] if placed else None,
+                                current_is_unique=current is not None,
+                                batch_is_unique=found.unique, incoming=found.frame)
+                if bad is not None:
+                    merged = merged.observe(bad, F.count(F.when(F.col(MALFORMED), 1)).alias("n"))
+                _, rows_written = write_version(merged.select(*out), target, claim, sort_key=keys)
         finally:
             if stage_path:
                 layers.delete_path(spark, stage_path)
-        # batch n+1 (or a replay of this one) reads version n or n+1: older ones can go
         layers.prune_versions(spark, target, keep=2)
         return rows_written, (int(bad.get["n"]) if bad is not None else None)
     return run
@@ -88,13 +113,14 @@ def merge_batch(target: str, key, columns, stage_batch: bool = False):
 def incremental_load(spark: SparkSession, landing: str, target: str, schema: T.StructType,
                      key, checkpoint: str, max_files_per_trigger: int | None = None,
                      processing_time: str | None = None, multiline: bool = False,
-                     stage_batch: bool = False, archive_dir: str | None = None):
+                     stage_batch: bool = True, archive_dir: str | None = None):
     """Start the stream; with no ``processing_time`` it drains what has landed
     (``availableNow``) and returns when done, else it keeps running on that interval
     (e.g. ``"20 minutes"``) and the query handle is returned."""
     stream = landing_stream(spark, landing, schema, max_files_per_trigger, multiline,
                             archive_dir)
-    writer = (stream.writeStream.foreachBatch(merge_batch(target, key, schema.names, stage_batch))
+    writer = (stream.writeStream.foreachBatch(merge_batch(target, key, schema.names, stage_batch,
+                                                       checkpoint))
               .option("checkpointLocation", checkpoint))
     if processing_time:
         return writer.trigger(processingTime=processing_time).start()
@@ -105,11 +131,12 @@ def incremental_load(spark: SparkSession, landing: str, target: str, schema: T.S
     return query
 
 
-def refresh_layers(spec, base: str, key=None, cast_mode: str = "strict"):
+def refresh_layers(spec, base: str, key=None, cast_mode: str = "strict",
+                   checkpoint: str | None = None):
     """A ``foreachBatch`` function for one table: raw upsert, then trusted and refined.
 
-    Raw versions follow the batch id (replay-safe, as in ``merge_batch``); the
-    trusted load re-merges the new raw version, and the refined table is
+    The raw version carries the batch's id (replay-safe, see ``merge_batch``); the
+    trusted load re-merges the newest raw version, and the refined table is
     overwritten, so a replayed batch leaves the same three layers behind.
     """
     from strata.plans import jobs
@@ -118,7 +145,8 @@ def refresh_layers(spec, base: str, key=None, cast_mode: str = "strict"):
 
     raw_path = jobs.table_path(base, jobs.RAW, spec)
     keys = jobs._keys(spec, key)
-    raw_merge = merge_batch(raw_path, keys, list(spec.columns))
+    raw_merge = merge_batch(raw_path, keys, list(spec.columns), checkpoint=checkpoint,
+                            keep_arrival=True)
 
     # one folder per writer: concurrent appends to one folder would share a commit area
     log_path = f"{base.rstrip('/')}/_run_log/source=stream_{spec.name}"
@@ -169,19 +197,20 @@ def watch_tables(spark: SparkSession, landing_root: str, base: str, specs,
         try:
             stream = landing_stream(spark, f"{landing_root.rstrip('/')}/{spec.source_file}",
                                     spec.raw_schema, multiline=spec.multiline, corrupt=True)
+            checkpoint = f"{checkpoint_root.rstrip('/')}/{spec.name}"
             writer = (stream.writeStream.queryName(f"strata_{spec.name}")
-                      .foreachBatch(refresh_layers(spec, base, key, cast_mode))
-                      .option("checkpointLocation", f"{checkpoint_root.rstrip('/')}/{spec.name}"))
+                      .foreachBatch(refresh_layers(spec, base, key, cast_mode, checkpoint))
+                      .option("checkpointLocation", checkpoint))
             writer = (writer.trigger(processingTime=processing_time) if processing_time
                       else writer.trigger(availableNow=True))
             queries[spec.name] = writer.start()
         except Exception as e:  # noqa: BLE001 - e.g. no landing folder yet for this table
-            errors[spec.name] = str(e).splitlines()[0][:300]
+            errors[spec.name] = str(e).splitlines()[0]
     if processing_time:
         return queries, errors
     for name, q in queries.items():
         try:
             q.awaitTermination()
         except Exception as e:  # noqa: BLE001 - one table's failure is reported, not raised
-            errors[name] = str(e).splitlines()[0][:300]
+            errors[name] = str(e).splitlines()[0]
     return errors

@@ -83,7 +83,7 @@ def test_full_run_isolates_failures(spark, tmp_dir):
     land(landing, S.CUSTOMERS, "c1,u1,01151,sao paulo,SP\n")
     land(landing, S.ORDERS, "o1,c1,shipped,2017-09-13 08:59:02,,,,2017-09-29 00:00:00\n")
     # strict date failure in refined: free text in a date column
-    land(landing, S.ITEMS, "o1,1,p1,s1, VEIO COMO EU ESPERAVA.,10.5,1.0\n")
+    land(landing, S.ITEMS, "o1,1,p1,s1, arrived a day late.,10.5,1.0\n")
     specs = (S.CUSTOMERS, S.GEOLOCATION, S.ITEMS, S.ORDERS)   # geolocation file missing
     log = jobs.run_all(spark, landing, base, specs=specs).log
     got = {(r.layer, r.table_name): (r.status, r.rows) for r in log.collect()}
@@ -314,3 +314,174 @@ def test_cli_watch_drains_landing(spark, tmp_dir):
                  "--tables", "sellers"]) == 0
     refined = spark.read.parquet(jobs.table_path(f"{tmp_dir}/lake", jobs.REFINED, S.SELLERS))
     assert [r.seller_zip_code_prefix for r in refined.collect()] == [13023]
+
+
+# --- order of arrival, claims, replays, failures -------------------------------
+
+def test_last_in_file_wins_whatever_its_text(spark, tmp_dir):
+    landing = f"{tmp_dir}/landing"
+    src = land(landing, S.ORDERS, "o1,c1,shipped,,,,,\no1,c1,delivered,,,,,\n").rsplit("/", 1)[0]
+    got = set()
+    for n in (1, 7):
+        for stage in (True, False):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            try:
+                base = f"{tmp_dir}/lake-{n}-{stage}"
+                jobs.load_raw(spark, S.ORDERS, src, base, stage=stage)
+            finally:
+                spark.conf.set("spark.sql.shuffle.partitions", "8")
+            raw = layers.read_layer(spark, jobs.table_path(base, jobs.RAW, S.ORDERS)).collect()
+            got.add(tuple((r.order_id, r.order_status) for r in raw))
+    assert got == {(("o1", "delivered"),)}
+
+
+def test_order_in_a_file_of_many_splits(spark, tmp_dir):
+    landing = f"{tmp_dir}/landing"
+    body = "".join(f"o{i % 50},c,{'zyx'[i % 3]}{10_000 - i},,,,,\n" for i in range(5000))
+    src = land(landing, S.ORDERS, body).rsplit("/", 1)[0]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        jobs.load_raw(spark, S.ORDERS, src, f"{tmp_dir}/lake")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    raw = layers.read_layer(spark, jobs.table_path(f"{tmp_dir}/lake", jobs.RAW, S.ORDERS)).collect()
+    want = {f"o{i % 50}": f"{'zyx'[i % 3]}{10_000 - i}" for i in range(5000)}
+    assert {r.order_id: r.order_status for r in raw} == want
+
+
+def test_later_zip_variant_wins(spark, tmp_dir):
+    base = f"{tmp_dir}/lake"
+    for n, body in enumerate(("01037,-23.5,-46.6,zzz,SP\n", "1037,-23.6,-46.7,aaa,SP\n")):
+        src = land(f"{tmp_dir}/l{n}", S.GEOLOCATION, body).rsplit("/", 1)[0]
+        jobs.load_raw(spark, S.GEOLOCATION, src, base)
+        jobs.load_trusted(spark, S.GEOLOCATION, base)
+    rows = layers.read_layer(spark, jobs.table_path(base, jobs.TRUSTED, S.GEOLOCATION)).collect()
+    assert [(r.geolocation_zip_code_prefix, r.geolocation_city) for r in rows] == [(1037, "aaa")]
+
+
+def test_coerce_mode_keeps_rows_whose_key_does_not_cast(spark, tmp_dir):
+    base = f"{tmp_dir}/lake"
+    src = land(f"{tmp_dir}/l", S.GEOLOCATION, "x1,1,1,a,SP\nx2,1,1,b,SP\n0x,1,1,c,SP\n7,1,1,d,SP\n"
+               "07,1,1,e,SP\n").rsplit("/", 1)[0]
+    jobs.load_raw(spark, S.GEOLOCATION, src, base)
+    for _ in range(2):                    # the second load merges over the first
+        assert jobs.load_trusted(spark, S.GEOLOCATION, base, mode="coerce") == 4
+    rows = layers.read_layer(spark, jobs.table_path(base, jobs.TRUSTED, S.GEOLOCATION)).collect()
+    assert sorted((r.geolocation_zip_code_prefix is None, r.geolocation_city) for r in rows) == [
+        (False, "e"), (True, "a"), (True, "b"), (True, "c")]
+
+
+def test_another_key_is_refused(spark, tmp_dir):
+    import pytest
+    src = land(f"{tmp_dir}/l", S.ITEMS, "o1,1,p1,s1,,1,1\no1,2,p1,s1,,1,1\n").rsplit("/", 1)[0]
+    jobs.load_raw(spark, S.ITEMS, src, f"{tmp_dir}/lake")
+    with pytest.raises(layers.KeyMismatch):
+        jobs.load_raw(spark, S.ITEMS, src, f"{tmp_dir}/lake", key="reference")
+    assert jobs.load_raw(spark, S.ITEMS, src, f"{tmp_dir}/lake") == 2
+
+
+def test_two_writers_never_lose_a_load(spark, tmp_dir):
+    import pytest
+    path = f"{tmp_dir}/t"
+    tables.write_version(spark.range(1), path)
+    a = layers.claim_version(spark, path)
+    b = layers.claim_version(spark, path)
+    assert (a.version, b.version, a.base, b.base) == (2, 3, 1, 1)
+    assert tables.write_version(spark.range(2), path, a) == (2, 2)
+    with pytest.raises(layers.ConcurrentLoad):           # made from version 1, 2 is there now
+        tables.write_version(spark.range(3), path, b)
+    assert layers.versions(spark, path) == [1, 2]
+    late = layers.claim_version(spark, path)
+    early = layers.claim_version(spark, path)
+    tables.write_version(spark.range(5), path, early)
+    with pytest.raises(layers.ConcurrentLoad):           # would be hidden by the newer number
+        tables.write_version(spark.range(4), path, late)
+    assert layers.read_layer(spark, path).count() == 5
+    # an unfinished version takes its number, nothing more
+    write_text(f"{layers.version_path(path, 9)}/part-0.parquet", "garbage")
+    assert tables.write_version(spark.range(6), path)[0] == 10
+
+
+def test_stream_over_a_lake_of_batch_loads(spark, tmp_dir):
+    from strata.streaming.incremental import watch_tables
+    landing, base = f"{tmp_dir}/landing", f"{tmp_dir}/lake"
+    land(landing, S.SELLERS, "s1,1,a,SP\n")
+    for _ in range(3):
+        jobs.run_all(spark, landing, base, specs=(S.SELLERS,), write_mode=tables.OVERWRITE)
+    land(f"{tmp_dir}/drop", S.SELLERS, "s2,2,b,SP\n")
+    for n in range(2):      # the second time with a fresh checkpoint: the file comes again
+        assert watch_tables(spark, f"{tmp_dir}/drop", base, (S.SELLERS,), f"{tmp_dir}/ckpt{n}") == {}
+        for layer in (jobs.RAW, jobs.TRUSTED):
+            rows = layers.read_layer(spark, jobs.table_path(base, layer, S.SELLERS)).collect()
+            assert sorted(r.seller_id for r in rows) == ["s1", "s2"]
+        refined = spark.read.parquet(jobs.table_path(base, jobs.REFINED, S.SELLERS)).collect()
+        assert sorted(r.seller_id for r in refined) == ["s1", "s2"]
+
+
+def test_replay_after_another_writer_keeps_the_newer_rows(spark, tmp_dir):
+    from strata.streaming.incremental import merge_batch
+    target = f"{tmp_dir}/t"
+    schema = "order_id string, order_status string"
+    run = merge_batch(target, ["order_id"], ["order_id", "order_status"])
+    run(spark.createDataFrame([("o1", "stream")], schema), 0)
+    other = spark.createDataFrame([("o1", "batch"), ("o2", "batch")], schema)
+    tables.write_version(other, target, layers.claim_version(spark, target, ["order_id"]))
+    run(spark.createDataFrame([("o1", "stream")], schema), 0)          # replay
+    got = {r.order_id: r.order_status for r in layers.read_layer(spark, target).collect()}
+    assert got == {"o1": "batch", "o2": "batch"}
+
+
+def test_failed_overwrite_leaves_the_table(spark, tmp_dir):
+    import pytest
+    good = spark.createDataFrame([("a", 1)], "k string, n long")
+    bad = good.select("k", F.when(F.col("n") > 0, F.raise_error(F.lit("bad")).cast("long")).alias("n"))
+    name = "strata_fail_test_" + tmp_dir.rsplit("-", 1)[-1]
+    for target in (dict(path=f"{tmp_dir}/p"), dict(table=name, path=f"{tmp_dir}/t"), dict(table=name + "m")):
+        tables.publish(good, tables.OVERWRITE, **target)
+        read = (lambda: spark.table(target["table"])) if "table" in target else (
+            lambda: spark.read.parquet(target["path"]))
+        with pytest.raises(Exception, match="bad"):
+            tables.publish(bad, tables.OVERWRITE, **target)
+        assert [tuple(r) for r in read().collect()] == [("a", 1)]
+        tables.publish(good.union(good), tables.OVERWRITE, **target)
+        assert read().count() == 2
+    import os
+    assert sorted(os.listdir(tmp_dir)) == ["p", "t"]                   # nothing left beside
+    for t in (name, name + "m"):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+
+
+def test_wrong_schema_is_refused(spark, tmp_dir):
+    import pytest
+    good = spark.createDataFrame([("a", 1)], "k string, n long")
+    tables.publish(good, path=f"{tmp_dir}/p", schema=good.schema)
+    other = good.withColumn("n", F.col("n").cast("string"))
+    with pytest.raises(ValueError, match="columns"):
+        tables.publish(other, path=f"{tmp_dir}/p")
+    with pytest.raises(ValueError, match="columns"):
+        tables.publish(other, path=f"{tmp_dir}/q", schema=good.schema)
+    assert spark.read.parquet(f"{tmp_dir}/p").count() == 1
+
+
+def test_loads_leave_no_temporary_data(spark, tmp_dir):
+    import os
+    from strata.session import checkpoint_root
+    root = f"{checkpoint_root(spark)}/strata"
+    names = lambda: {n for n in os.listdir(root) if n.startswith(("sized", "positions", "batch-keys"))}
+    os.makedirs(root, exist_ok=True)
+    before = names()
+    for n in range(2):
+        src = land(f"{tmp_dir}/l{n}", S.SELLERS, f"s1,1,a,SP\ns{n},2,b,SP\n").rsplit("/", 1)[0]
+        jobs.load_raw(spark, S.SELLERS, src, f"{tmp_dir}/lake")
+        jobs.load_trusted(spark, S.SELLERS, f"{tmp_dir}/lake")
+    assert names() == before
+
+
+def test_landing_files_are_parsed_once(spark, tmp_dir):
+    src = land(f"{tmp_dir}/l", S.SELLERS, "s1,1,a,SP\ns1,2,b,SP\n").rsplit("/", 1)[0]
+    frame = jobs.raw_rows(spark, S.SELLERS, src, stage_path=f"{tmp_dir}/stage")
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan csv" not in plan and "FileScan parquet" in plan
+    assert frame.count() == 1
