@@ -73,6 +73,8 @@ def remove_lines(docs: DataFrame, text_col: str = "text", site_col: str = "sourc
             .select("__k1", "__k2", "pos", l1.alias("l1"), l2.alias("l2"))
             .join(flagged, ["l1", "l2"], "left_semi")
             .groupBy("__k1", "__k2").agg(F.collect_set("pos").alias("__hits")))
+    # written first: a join of two plain tables can be split where a text has many copies
+    hits = write_table(hits, "line-hits")
     t = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     d1, d2 = key_columns(t)
     joined = docs.withColumn("__k1", d1).withColumn("__k2", d2).join(hits, ["__k1", "__k2"], "left")
