@@ -1,4 +1,4 @@
-"""Analyses over the refined stand-ins (E1-E4): joins and aggregates.
+"""Analyses over the driver's tables, which the stand-in feeds are made of.
 
 Money is summed as DECIMAL(18,2) (exact, so the result does not depend on the
 order rows are added in) and returned as double. The build side of each join is
