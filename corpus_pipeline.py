@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm import lines, piece_codec, quality, simhash, templates
-from strata.llm.common import write_table
 from strata.llm.queries import table
+from strata.session import temporary, work_dir
+from strata.sources.layers import delete_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +48,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the documents table. A stage's helper tables go when its result is
+    written, and a result goes when the next one is."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = write_table(stage(spark, docs, sf_dir), name)
+        path = work_dir(spark, f"pipeline-{name}")
+        with temporary(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if before:
+            delete_path(spark, before)
+        before = path
     return docs

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import strata
-from strata.session import work_dir
+from strata.session import temp_dir
 
 ID = "__id"
 TEXT = "__text"
@@ -31,9 +31,12 @@ def tokenizer_path(name: str) -> str:
 
 
 def write_table(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: lineage ends there."""
+    """``df`` written once to the shared folder and read back: lineage ends there.
+
+    A caller that consumes the result inside ``session.temporary`` has it deleted then.
+    """
     spark = df.sparkSession
-    path = work_dir(spark, f"llm-{name}")
+    path = temp_dir(spark, f"llm-{name}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -4,8 +4,10 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
 import corpus_pipeline
+from strata.session import checkpoint_root
 import public_tokenizers as P
 from strata.llm import quality, queries, templates
+from strata.llm.common import write_table
 
 from test_llm_simhash import plain_components, plain_print
 
@@ -18,7 +20,7 @@ def test_stages_against_plain_versions(spark):
     kept = {}
     for name, stage in corpus_pipeline.STAGES:
         before = docs
-        docs = corpus_pipeline.write_table(stage(spark, docs, SMALL), name)
+        docs = write_table(stage(spark, docs, SMALL), name)
         kept[name] = (before.toPandas(), docs.toPandas())
         if name != "sentencepiece":
             assert docs.columns == columns
@@ -59,3 +61,13 @@ def test_registered_queries_are_listed():
     names = entry.queries()
     assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in names if k.startswith("op")}
     assert "pipeline" in names and quality.COLUMNS
+
+
+def test_run_leaves_only_its_result(spark):
+    root = f"{checkpoint_root(spark)}/strata".removeprefix("file:")
+    os.makedirs(root, exist_ok=True)
+    before = set(os.listdir(root))
+    out = corpus_pipeline.run(spark, SMALL)
+    made = set(os.listdir(root)) - before
+    assert len(made) == 1 and made.pop().startswith("pipeline-sentencepiece")
+    assert out.count() > 0 and out.columns[0] == "doc_id"
