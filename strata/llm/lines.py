@@ -79,12 +79,13 @@ def remove_lines(docs: DataFrame, text_col: str = "text", site_col: str = "sourc
     d1, d2 = key_columns(t)
     joined = docs.withColumn("__k1", d1).withColumn("__k2", d2).join(hits, ["__k1", "__k2"], "left")
     lines = lines_of(t)
-    is_hit = lambda i: F.array_contains(F.col("__hits"), i)
+    at = lambda p: F.get(lines, p)
     size = lambda x: F.octet_length(x)
     total = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda acc, x: acc + size(x))
     content = F.filter(lines, with_content)
-    marked = F.filter(lines, lambda x, i: is_hit(i))
-    rest = F.filter(lines, lambda x, i: ~is_hit(i))
+    marked = F.transform("__hits", at)
+    # a set difference of places: linear in the lines, however many are flagged
+    rest = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "__hits"), at)
     found = F.coalesce(F.size("__hits"), F.lit(0))
     copied = F.when(F.col("__hits").isNull(), False).otherwise(
         total(marked) > F.lit(max_share) * total(content))
