@@ -140,7 +140,8 @@ def _key_is_cast(spec: TableSpec, keys: list[str]) -> bool:
 
 
 def trusted_rows(raw: DataFrame, spec: TableSpec, key=None, mode: str = casts.STRICT,
-                 current: DataFrame | None = None, raw_unique: bool | None = False) -> DataFrame:
+                 current: DataFrame | None = None, raw_unique: bool | None = False,
+                 covers: bool = True) -> DataFrame:
     """J2 plan: cast first (so '01037' and '1037' are one key), then merge.
 
     Rows that casts make one key are ordered by their arrival: the last one stays. In
@@ -149,7 +150,8 @@ def trusted_rows(raw: DataFrame, spec: TableSpec, key=None, mode: str = casts.ST
     ``raw_unique=True`` says the raw rows are one per key (a raw load with the same
     key wrote them); when the casts leave the key columns alone they stay one per
     key, and the dedupe (a sort and shuffle of the whole table) is skipped.
-    ``raw_unique=None`` finds out with a keys-only probe of the cast rows.
+    ``raw_unique=None`` finds out with a keys-only probe of the cast rows. ``covers``
+    says that ``raw`` is all of the raw layer, not what is new in it.
     """
     keys = _keys(spec, key)
     texts = {k: f"_text_{k}" for k in keys if spec.trusted.get(k, TEXT) != TEXT}
@@ -164,24 +166,52 @@ def trusted_rows(raw: DataFrame, spec: TableSpec, key=None, mode: str = casts.ST
     else:
         unique = raw_unique and not _key_is_cast(spec, keys)
     newest = (cast if unique else keep_last(cast, wide, order)).select(*spec.columns)
-    # raw is cumulative (a raw merge never drops a key), so it covers every trusted key
+    # the whole of raw covers every trusted key (a raw merge never drops one)
     return upsert(current, newest, keys, current_is_unique=current is not None,
-                  batch_is_unique=True, batch_covers_current=True)
+                  batch_is_unique=True, batch_covers_current=covers)
+
+
+def new_raw_rows(spark: SparkSession, spec: TableSpec, base: str, raw: DataFrame, merged: str | None,
+                 keys: list[str], mode: str) -> DataFrame | None:
+    """The raw rows that arrived after the trusted version's own raw version, or None where
+    all have to be merged: no record of that version, another cast mode since, or rows
+    whose cast key is null (those are known by their raw text only)."""
+    if merged is None or ARRIVAL not in raw.columns:
+        return None
+    raw_id, _, its_mode = merged.partition("/")
+    if its_mode != mode or (mode != casts.STRICT and any(spec.trusted.get(k, TEXT) != TEXT for k in keys)):
+        return None
+    path = table_path(base, RAW, spec)
+    seen = next((c.version for c in layers.claims(spark, path) if c.id == raw_id), None)
+    return None if seen is None else raw.where(F.col(ARRIVAL)["load"] > seen)
 
 
 def load_trusted(spark: SparkSession, spec: TableSpec, base: str, key=None,
                  mode: str = casts.STRICT, keep: int = KEEP_VERSIONS,
-                 raw_unique: bool | None = None) -> int:
-    """Newest raw version -> new trusted version (older ones pruned). Returns rows."""
+                 raw_unique: bool | None = None, full_snapshot: bool = False) -> int:
+    """Newest raw version -> new trusted version (older ones pruned). Returns rows.
+
+    Only raw rows that arrived since the last trusted load are cast and merged (the
+    filter reaches the Parquet scan); where that load left no record, all are.
+    ``full_snapshot`` says that the last raw load re-delivered the table: then a merge
+    that shuffles keys only is the better one.
+    """
     keys = _keys(spec, key)
-    raw = layers.read_layer(spark, table_path(base, RAW, spec))
-    if raw is None:
+    raw_path, path = table_path(base, RAW, spec), table_path(base, TRUSTED, spec)
+    raw_version = layers.latest_version(spark, raw_path)
+    if raw_version is None:
         raise FileNotFoundError(f"no raw version of {spec.name}")
-    path = table_path(base, TRUSTED, spec)
-    claim = layers.claim_version(spark, path, keys)
+    raw = spark.read.parquet(layers.version_path(raw_path, raw_version))
+    raw_claim = layers.claim_of(spark, raw_path, raw_version)
+    source = f"{raw_claim.id}/{mode}" if raw_claim and raw_claim.id else None
+    claim = layers.claim_version(spark, path, keys, source)
     with temporary(spark):
-        merged = trusted_rows(raw, spec, key, mode, layers.read_layer(spark, path, below=claim.version),
-                              raw_unique)
+        current = layers.read_layer(spark, path, below=claim.version)
+        before = layers.claim_of(spark, path, claim.base)
+        new = None if full_snapshot or current is None or before is None else new_raw_rows(
+            spark, spec, base, raw, before.source, keys, mode)
+        merged = trusted_rows(raw if new is None else new, spec, key, mode, current, raw_unique,
+                              covers=new is None)
         _, rows = tables.write_version(merged, path, claim, sort_key=keys)
     layers.prune_versions(spark, path, keep)
     return rows
@@ -258,7 +288,7 @@ def run_all(spark: SparkSession, landing_root: str, base: str,
             elif layer == TRUSTED:
                 # raw was just written by this run with the same key: one row per key
                 rows = load_trusted(spark, spec, base, key, cast_mode,
-                                    raw_unique=(RAW, spec.name) in loaded)
+                                    raw_unique=(RAW, spec.name) in loaded, full_snapshot=full_snapshot)
             else:
                 rows = load_refined(spark, spec, base, write_mode, cast_mode,
                                     table=f"{database}.{spec.name}" if database else None)

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -92,7 +93,8 @@ class Claim:
     version: int
     base: int | None           # the complete version the load starts from
     key: tuple[str, ...] | None = None
-    source: str | None = None  # "<stream id>/<batch id>" for stream batches
+    source: str | None = None  # raw: "<stream id>/<batch id>" of a stream batch; trusted: what it has merged
+    id: str | None = None      # unlike the number, never used twice
 
 
 def _claim_path(table_path: str, version: int) -> str:
@@ -119,7 +121,8 @@ def claims(spark: SparkSession, table_path: str) -> list[Claim]:
         except ValueError:
             d = {}
         key = d.get("key")
-        out.append(Claim(int(m.group(1)), d.get("base"), tuple(key) if key else None, d.get("source")))
+        out.append(Claim(int(m.group(1)), d.get("base"), tuple(key) if key else None, d.get("source"),
+                         d.get("id")))
     return sorted(out, key=lambda c: c.version)
 
 
@@ -134,14 +137,15 @@ def claim_version(spark: SparkSession, table_path: str, key=None, source: str |
                 raise KeyMismatch(f"{table_path} is keyed by {list(c.key)}, this load by {list(key)}: "
                                   "a lake keeps one key choice, start a new one to change it")
         every = versions(spark, table_path, complete_only=False) + [c.version for c in known]
-        claim = Claim(max(every, default=0) + 1, done[-1] if done else None, key, source)
+        claim = Claim(max(every, default=0) + 1, done[-1] if done else None, key, source, uuid.uuid4().hex)
         fs, p = _fs(spark, _claim_path(table_path, claim.version))
         fs.mkdirs(p.getParent())
         if not fs.createNewFile(p):
             continue                     # another writer has just taken the number
         out = fs.create(p, True)
         try:
-            out.write(bytearray(json.dumps({"base": claim.base, "key": key, "source": source}).encode()))
+            out.write(bytearray(json.dumps({"base": claim.base, "key": key, "source": source,
+                                             "id": claim.id}).encode()))
         finally:
             out.close()
         return claim
@@ -165,6 +169,11 @@ def version_of_source(spark: SparkSession, table_path: str, source: str) -> int
     return found[-1] if found else None
 
 
+def claim_of(spark: SparkSession, table_path: str, version: int | None) -> Claim | None:
+    """The claim that a version was written under."""
+    return next((c for c in claims(spark, table_path) if c.version == version), None)
+
+
 def prune_versions(spark: SparkSession, table_path: str, keep: int = 2) -> list[int]:
     """Delete all but the newest ``keep`` complete versions (and unfinished older ones).
 

@@ -485,3 +485,30 @@ def test_landing_files_are_parsed_once(spark, tmp_dir):
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert "FileScan csv" not in plan and "FileScan parquet" in plan
     assert frame.count() == 1
+
+
+def test_trusted_merges_only_what_is_new(spark, tmp_dir, monkeypatch):
+    landing, base = f"{tmp_dir}/l", f"{tmp_dir}/lake"
+    seen = []
+    plain = jobs.trusted_rows
+
+    def watched(raw, *args, **kw):
+        seen.append((raw.count(), kw["covers"]))
+        return plain(raw, *args, **kw)
+
+    monkeypatch.setattr(jobs, "trusted_rows", watched)
+    drops = ["s1,1,a,SP\ns2,2,b,SP\ns3,3,c,SP\n", "s2,22,bb,SP\ns4,4,d,SP\n", "s1,11,aa,SP\n"]
+    for n, body in enumerate(drops):
+        src = land(f"{landing}{n}", S.SELLERS, body).rsplit("/", 1)[0]
+        jobs.load_raw(spark, S.SELLERS, src, base)
+        if n != 1:                           # the second raw load is merged with the third
+            jobs.load_trusted(spark, S.SELLERS, base)
+    assert seen == [(3, True), (3, False)]
+    rows = layers.read_layer(spark, jobs.table_path(base, jobs.TRUSTED, S.SELLERS)).collect()
+    assert sorted((r.seller_id, r.seller_zip_code_prefix) for r in rows) == [
+        ("s1", 11), ("s2", 22), ("s3", 3), ("s4", 4)]
+    # a raw layer made anew is merged whole, though its numbers start again
+    layers.delete_path(spark, jobs.table_path(base, jobs.RAW, S.SELLERS))
+    src = land(f"{landing}9", S.SELLERS, "s5,5,e,SP\n").rsplit("/", 1)[0]
+    jobs.load_raw(spark, S.SELLERS, src, base)
+    assert jobs.load_trusted(spark, S.SELLERS, base) == 5 and seen[-1] == (1, True)
