@@ -27,6 +27,7 @@ an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -169,46 +170,66 @@ def mask(ranges: list[tuple[int, int]]) -> int:
     return m - (1 << 64) if m >= 1 << 63 else m
 
 
+@lru_cache(maxsize=100_000)
+def cells(tag: str, parts: int) -> tuple[tuple[str, int], ...]:
+    """(tag, mask) of the cells that a shard is cut into; the mask holds the shard's own bits
+    and one piece of the others. None where too few bits are left. Tags are places of
+    pieces: "" the whole, "2" its piece 2, "2.0" the first piece of what that leaves."""
+    used, free = [], [(b, b + 1) for b in range(BITS)]
+    for k in tag.split(".") if tag else []:
+        used += pieces(free, parts)[int(k)]
+        taken = mask(used)
+        free = [(b, b + 1) for b in range(BITS) if not taken >> b & 1]
+    if len(free) < parts:
+        return ()
+    return tuple((f"{tag}.{k}".lstrip("."), mask(used + p)) for k, p in enumerate(pieces(free, parts)))
+
+
+def dealt(rows: DataFrame, parts: int) -> DataFrame:
+    """(tag, key, fp): each (tag, fp) goes to every cell of its shard. A shard without bits
+    to cut by stays as it is, with the tag "-"."""
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tags, keys, fps = [], [], []
+            for tag, fp in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                below = cells(tag, parts)
+                for t, m in below:
+                    tags.append(t)
+                    keys.append(f"{t}/{signed(fp & m & (1 << 64) - 1)}")
+                    fps.append(fp)
+                if not below:
+                    own = mask_of(tag, parts)
+                    tags.append("-")
+                    keys.append(f"{tag}/{signed(fp & own & (1 << 64) - 1)}")
+                    fps.append(fp)
+            yield pa.RecordBatch.from_arrays([pa.array(tags, pa.string()), pa.array(keys, pa.string()),
+                                              pa.array(fps, pa.int64())], ["tag", "key", "fp"])
+
+    return rows.select("tag", "fp").mapInArrow(run, "tag string, key string, fp long")
+
+
+def mask_of(tag: str, parts: int) -> int:
+    """The bits that a shard's members agree on."""
+    above, _, last = tag.rpartition(".")
+    return cells(above, parts)[int(last)][1]
+
+
 def sharded(prints: DataFrame, radius: int, max_shard: int) -> DataFrame:
-    """(shard key, fp): every pair within the radius shares a shard of at most
-    ``max_shard`` fingerprints, or one whose remaining bits are used up."""
+    """(key, fp): every pair within the radius shares a shard of at most ``max_shard``
+    fingerprints, or one whose remaining bits are used up (at most 2^radius values)."""
     parts = radius + 1
-    first = pieces([(0, BITS)], parts)
-
-    def dealt(frame: DataFrame, choices: list[tuple[str, int]]) -> DataFrame:
-        cells = F.array(*[F.struct(F.lit(tag).alias("tag"),
-                                   F.col("fp").bitwiseAND(F.lit(m)).alias("bits"))
-                          for tag, m in choices])
-        return frame.select("fp", F.explode(cells).alias("cell")).select(
-            F.concat_ws("/", "cell.tag", F.col("cell.bits")).alias("key"), "fp")
-
-    frontier = {str(k): p for k, p in enumerate(first)}
-    rows = dealt(prints, [(tag, mask(p)) for tag, p in frontier.items()])
-    done = None
+    rows, done = prints.select(F.lit("").alias("tag"), "fp"), None
     while True:
-        rows = write_table(rows, "shards")
-        big = rows.groupBy("key").count().where(F.col("count") > max_shard).select("key")
-        big = write_table(big, "big-shards")
-        if big.isEmpty():
-            return rows if done is None else done.unionByName(rows)
-        over = rows.join(big, "key", "left_semi").withColumn("tag", F.split("key", "/")[0])
-        fits = rows.join(big, "key", "left_anti")
+        rows = write_table(dealt(rows, parts), "shards")
+        big = rows.where("tag <> '-'").groupBy("key").count().where(F.col("count") > max_shard)
+        big = write_table(big.select("key"), "big-shards")
+        fits = rows.join(big, "key", "left_anti").select("key", "fp")
         done = fits if done is None else done.unionByName(fits)
-        deeper, following = None, {}
-        for tag, used in frontier.items():
-            free = [(b, b + 1) for b in range(BITS) if not mask(used) >> b & 1]
-            if len(free) < parts:
-                # shards of equal used bits hold at most 2^(parts - 1) values
-                done = done.unionByName(over.where(F.col("tag") == tag).select("key", "fp"))
-                continue
-            below = {f"{tag}.{k}": used + p for k, p in enumerate(pieces(free, parts))}
-            following |= below
-            cut = dealt(over.where(F.col("tag") == tag).select("fp").distinct(),
-                        [(t, mask(p)) for t, p in below.items()])
-            deeper = cut if deeper is None else deeper.unionByName(cut)
-        if deeper is None:
+        if big.isEmpty():
             return done
-        rows, frontier = deeper, following
+        rows = rows.join(big, "key", "left_semi").select("tag", "fp").distinct()
 
 
 def links(prints: DataFrame, radius: int, max_shard: int) -> DataFrame:
