@@ -12,7 +12,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", shuffle_partitions=8)
+    s = build_session("local[4]", shuffle_partitions=8, extra={"spark.driver.memory": "4g"})
     yield s
     s.stop()
 
