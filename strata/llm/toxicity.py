@@ -2,45 +2,53 @@
 
 * Examples: a bounded draw of labelled rows, at most ``max_per_class`` of each label,
   never from held-out rows (CRC-32 of the id as text divisible by ``fold``).
-* Terms: words and their beginnings (4 to 6 characters) that the examples' labels
-  depend on most (chi-square, at most ``max_terms``). Their document frequencies are
-  counted over all documents.
-* Index: for each term a posting list over blocks of examples, and for each block the
-  largest weight of the term in it (block-max). A query adds these maxima up to a
-  bound for each block, visits blocks from the largest bound down, and stops when no
-  bound beats the k-th best cosine so far. The k nearest are exact.
+* Terms: all words and their beginnings (4 to 6 characters). Document frequencies of
+  all terms are counted over all documents. A term weighs more the more the examples'
+  labels depend on it (chi-square); none is left out.
+* Index: for each term of the examples a posting list over blocks of examples, and for
+  each block that has it the largest weight of the term there (block-max). A query adds
+  these maxima up to a bound for each block, visits blocks from the largest bound down,
+  and stops when no bound beats the k-th best so far. The k nearest are exact.
+* Norm: of the whole text. Terms that no example has do not change which examples are
+  nearest, only the cosines: their share of the norm is summed by text and joined.
 * Score: votes of the k nearest weighted by cosine, corrected for the draw's label
   shares, drawn towards the label rate, then calibrated by a logistic curve fitted on the
   examples themselves, each scored by the others. Ids and cosines of the neighbours
   are the evidence. An example never votes on its own text.
 
-Defined results: a null or empty text, or one without a known term, has no neighbours
-and gets the calibrated label rate; ties in cosine go to the earlier example;
+Defined results: a null or empty text, or one without a term of any example, has no
+neighbours and gets the calibrated label rate; ties in cosine go to the earlier example;
 repeated rows score alike; very long texts are read whole; an empty table gives
 an empty result; without examples of both labels all scores are the label rate
 (0 if there are none).
 
-Scale: two map-only passes (document frequencies, then scores). The index is
-broadcast; its bound is 2 * max_per_class examples of at most max_terms terms.
+Scale: two passes over the texts (document frequencies, then neighbours). The index is
+broadcast; its bound is 2 * max_per_class examples of at most max_bytes bytes. Only
+terms that no example has are shuffled, and a row of neighbours for each document.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import ID, TEXT, ship, utf8
+from strata.llm.common import ID, TEXT, key_columns, ship, utf8, write_table
+from strata.operators.joins import sized
 
 BLOCK = 64                   # examples of a block
 EDGES = ".,;:!?\"'()[]{}<>#*$%&|-_"
 MEMO_ENTRIES = 1 << 19       # words a worker remembers; emptied when full
 MEMO_BYTES = 40
+UNIT = 1 << 24               # squared weights are summed as whole parts of 1/UNIT, in any order alike
+PULL = 0.05                  # votes that the label rate has
+BROADCAST_BYTES = 16 << 20   # frequencies and norms are broadcast below this measured size
 
 
 def terms_of(word: bytes) -> list[str]:
@@ -51,101 +59,133 @@ def terms_of(word: bytes) -> list[str]:
     return [w, *("^" + w[:n] for n in (4, 5, 6) if len(w) > n)]
 
 
-def term_counts(text: bytes, vocabulary: dict[str, int] | None, memo: dict) -> Counter:
-    """Occurrences of each term (or of the vocabulary's, by number)."""
-    out: Counter = Counter()
-    for word, n in Counter(text.split()).items():
-        found = memo.get(word)
-        if found is None:
-            found = terms_of(word)
-            if vocabulary is not None:
-                found = [vocabulary[t] for t in found if t in vocabulary]
-            if len(word) <= MEMO_BYTES:
-                if len(memo) >= MEMO_ENTRIES:
-                    memo.clear()
-                memo[word] = found
-        for t in found:
-            out[t] += n
-    return out
+class Memo(dict):
+    """Terms of each word: their numbers in the vocabulary, and (``others``) the rest as text."""
+
+    def __init__(self, vocabulary: dict[str, int], others: bool):
+        super().__init__()
+        self.vocabulary, self.others = vocabulary, others
+
+    def __missing__(self, word: bytes) -> list:
+        known = self.vocabulary
+        found = [known.get(t, t) for t in terms_of(word) if self.others or t in known]
+        if len(word) <= MEMO_BYTES:
+            if len(self) >= MEMO_ENTRIES:
+                self.clear()
+            self[word] = found
+        return found
+
 
+def term_counts(text: bytes, memo: Memo) -> Counter:
+    """Occurrences of each term."""
+    return Counter(chain.from_iterable(map(memo.__getitem__, text.split())))
 
-def choose_terms(counts: list[Counter], labels: list[int], max_terms: int, least: float) -> list[str]:
-    """Terms with the largest chi-square between presence and label."""
+
+def term_boosts(texts: list[bytes], labels: list[int]) -> dict[str, float]:
+    """All terms of the examples with their factors: 1 + ln(1 + chi-square of presence and label)."""
     n1 = sum(labels)
     n0 = len(labels) - n1
-    present, toxic = Counter(), Counter()
-    for c, y in zip(counts, labels):
-        present.update(c.keys())
+    present, toxic, memo = Counter(), Counter(), Memo({}, True)
+    for text, y in zip(texts, labels):
+        terms = term_counts(text, memo).keys()
+        present.update(terms)
         if y:
-            toxic.update(c.keys())
-    n, ranked = n0 + n1, []
-    for term, df in present.items():
+            toxic.update(terms)
+    n, out = n0 + n1, {}
+    for term, df in sorted(present.items()):
         a, b = toxic[term], df - toxic[term]
         bottom = df * (n - df) * n1 * n0
-        if df < 3 or not bottom:
-            continue
-        x2 = n * (a * (n0 - b) - b * (n1 - a)) ** 2 / bottom
-        if x2 >= least:
-            ranked.append((-x2, term))
-    return [t for _, t in sorted(ranked)[:max_terms]]
+        out[term] = 1 + math.log1p(n * (a * (n0 - b) - b * (n1 - a)) ** 2 / bottom if bottom else 0.0)
+    return out
+
+
+def spans(starts, ends):
+    """The places of all spans, one span after the other, and the length of each."""
+    import numpy as np
+
+    sizes = ends - starts
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum()), sizes
 
 
 @dataclass
 class BlockMaxIndex:
-    """Inverted index of unit vectors with the largest weight of each term in each block."""
+    """Inverted index of unit vectors with the largest weight of each term in each block.
+
+    A run is the postings of a term in a block; there is none for a block without the term.
+    """
 
-    starts: object           # (terms, blocks + 1) places of each posting run
+    terms: object            # (terms + 1) first run of each term
+    blocks: object           # block of each run
+    maxima: object           # its largest weight
+    starts: object           # (runs + 1) first posting of each run
     places: object           # example of each posting
     weights: object          # its weight
-    maxima: object           # (terms, blocks)
     n: int
 
     @staticmethod
-    def build(vectors: list[dict[int, float]], terms: int) -> BlockMaxIndex:
+    def build(vectors: Iterable[dict[int, float]], terms: int) -> BlockMaxIndex:
         import numpy as np
 
-        blocks = -(-len(vectors) // BLOCK)
-        postings = sorted((t, i, w) for i, v in enumerate(vectors) for t, w in v.items())
-        term = np.array([p[0] for p in postings], np.int64)
-        place = np.array([p[1] for p in postings], np.int64)
-        weight = np.array([p[2] for p in postings], float)
-        maxima = np.zeros((terms, blocks))
-        np.maximum.at(maxima, (term, place // BLOCK), weight)
-        edges = np.searchsorted(term * (blocks + 1) + place // BLOCK,
-                                np.arange(terms)[:, None] * (blocks + 1) + np.arange(blocks + 1))
-        return BlockMaxIndex(edges, place, weight, maxima, len(vectors))
+        parts = [(np.fromiter(v, np.int32, len(v)), np.fromiter(v.values(), float, len(v))) for v in vectors]
+        term = np.concatenate([t for t, _ in parts])
+        place = np.repeat(np.arange(len(parts), dtype=np.int32), [len(t) for t, _ in parts])
+        order = np.lexsort((place, term))
+        term, place, weight = term[order], place[order], np.concatenate([w for _, w in parts])[order]
+        block = place // BLOCK
+        new = np.ones(len(term), bool)
+        new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
+        first = np.flatnonzero(new)
+        return BlockMaxIndex(np.searchsorted(term[first], np.arange(terms + 1)), block[first],
+                             np.maximum.reduceat(weight, first) if len(first) else weight,
+                             np.append(first, len(term)), place, weight, len(parts))
 
     def nearest(self, query: dict[int, float], k: int, skip=()) -> list[tuple[float, int]]:
-        """The k examples of largest cosine over zero, exact: (cosine, example)."""
+        """The k examples of largest product over zero, exact: (product, example)."""
         import numpy as np
 
-        if not query:
-            return []
         terms = np.fromiter(query, np.int64, len(query))
-        weights = np.fromiter(query.values(), float, len(query))
-        bounds = weights @ self.maxima[terms]
-        best: list[tuple[float, int]] = []
-        for block in np.argsort(-bounds, kind="stable").tolist():
-            bound = bounds[block]
-            if bound <= 0 or (len(best) == k and bound < -best[-1][0] - 1e-12):
+        return self.best(terms, np.fromiter(query.values(), float, len(query)), k, skip)
+
+    def best(self, terms, factors, k: int, skip=()) -> list[tuple[float, int]]:
+        """``nearest`` of a query given as two arrays."""
+        import numpy as np
+
+        if not len(terms) or not self.n:
+            return []
+        lo, hi = self.terms[terms], self.terms[terms + 1]
+        at, sizes = spans(lo, hi)
+        blocks, each = self.blocks[at], np.repeat(factors, sizes)
+        bounds = np.bincount(blocks, each * self.maxima[at], -(-self.n // BLOCK))
+        order, found = np.argsort(-bounds, kind="stable"), []
+        for first, last in ((0, 2), (2, len(order))):
+            # the margin is for sums in another order
+            least = -found[-1][0] * (1 - 1e-9) if len(found) == k else 0.0
+            visit = order[first:last]
+            visit = visit[(bounds[visit] > 0) & (bounds[visit] >= least)]
+            if not len(visit):
                 break
-            scores = np.zeros(BLOCK)
-            lo, hi = self.starts[terms, block].tolist(), self.starts[terms, block + 1].tolist()
-            for a, b, w in zip(lo, hi, weights.tolist()):
-                if b > a:
-                    scores[self.places[a:b] - block * BLOCK] += w * self.weights[a:b]
-            first = block * BLOCK
-            best += [(-scores[j], first + j) for j in np.flatnonzero(scores > 0).tolist()
-                     if first + j not in skip]
-            best.sort()
-            del best[k:]
-        return [(min(1.0, -s), i) for s, i in best]
+            if 2 * len(visit) > len(order):      # most blocks: whole posting lists
+                postings, sizes = spans(self.starts[lo], self.starts[hi])
+                weights, found = np.repeat(factors, sizes), []
+            else:
+                chosen = np.zeros(len(bounds), bool)
+                chosen[visit] = True
+                some = np.flatnonzero(chosen[blocks])
+                postings, sizes = spans(self.starts[at[some]], self.starts[at[some] + 1])
+                weights = np.repeat(each[some], sizes)
+            products = np.bincount(self.places[postings], weights * self.weights[postings], self.n)
+            near = np.flatnonzero((products > 0) & (products >= least))
+            near = near[np.argsort(-products[near], kind="stable")][:k + len(skip)]
+            found += [(-p, i) for p, i in zip(products[near].tolist(), near.tolist()) if i not in skip]
+            found.sort()
+            del found[k:]
+        return [(-p, i) for p, i in found]
 
 
 @dataclass
 class ToxicityModel:
     vocabulary: dict[str, int]
-    idf: list[float]
+    factors: object                   # of each term: its inverse document frequency times its boost
     index: BlockMaxIndex | None
     ids: list[int | None]
     labels: list[int]
@@ -154,22 +194,36 @@ class ToxicityModel:
     k: int
     curve: tuple[float, float] = (1.0, 0.0)
     shares: tuple[float, float] = (1.0, 1.0)
-    memo: dict = field(default_factory=dict)
+    norms: DataFrame | None = None    # k1, k2, rest: the other terms' share of each text's squared norm
+    memo: Memo | None = None
 
     def __getstate__(self):
-        return self.__dict__ | {"memo": {}}
+        return self.__dict__ | {"memo": None, "norms": None}
+
+    def vector(self, text: bytes):
+        """The examples' terms in a text, their TF-IDF weights, and the square of their norm."""
+        import numpy as np
+
+        if self.memo is None:
+            self.memo = Memo(self.vocabulary, False)
+        counts = term_counts(text, self.memo)
+        terms = np.fromiter(counts, np.int64, len(counts))
+        weights = (1 + np.log(np.fromiter(counts.values(), float, len(counts)))) * self.factors[terms]
+        return terms, weights, float((weights * weights).sum())
+
+    def unit(self, text: bytes) -> dict[int, float]:
+        """Unit vector of a text that has no other terms (an example)."""
+        terms, weights, square = self.vector(text)
+        return dict(zip(terms.tolist(), (weights / math.sqrt(square or 1)).tolist()))
 
-    def vector(self, text: bytes) -> dict[int, float]:
-        """Unit TF-IDF vector over the vocabulary."""
-        counts = term_counts(text, self.vocabulary, self.memo)
-        v = {t: (1 + math.log(n)) * self.idf[t] for t, n in counts.items()}
-        norm = math.sqrt(sum(w * w for w in v.values()))
-        return {t: w / norm for t, w in v.items()}
+    def near(self, text: bytes) -> tuple[list[tuple[float, int]], float]:
+        """The nearest examples by product with the text's weights; the square of their norm."""
+        terms, weights, square = self.vector(text)
+        return self.index.best(terms, weights, self.k, self.texts.get(digest(text), ())), square
 
     def vote(self, near: list[tuple[float, int]]) -> float:
         """Log odds of the weighted votes, drawn towards the label rate."""
-        pull = 0.05
-        for_, against = pull * self.rate, pull * (1 - self.rate)
+        for_, against = PULL * self.rate, PULL * (1 - self.rate)
         for cosine, i in near:
             if self.labels[i]:
                 for_ += cosine * cosine * self.shares[1]
@@ -177,12 +231,13 @@ class ToxicityModel:
                 against += cosine * cosine * self.shares[0]
         return math.log(for_ / against)
 
-    def score(self, text: bytes) -> tuple[float, list[tuple[float, int]]]:
-        if self.index is None:
-            return self.rate, []
-        near = self.index.nearest(self.vector(text), self.k, self.texts.get(digest(text), ()))
+    def score(self, votes_for: Column, votes_against: Column) -> Column:
+        """``vote`` and the curve in an expression, from the sums of the squared cosines."""
         slope, offset = self.curve
-        return 1 / (1 + math.exp(-max(-40.0, min(40.0, slope * self.vote(near) + offset)))), near
+        odds = F.log((F.lit(PULL * self.rate) + votes_for * self.shares[1])
+                     / (F.lit(PULL * (1 - self.rate)) + votes_against * self.shares[0]))
+        x = F.greatest(F.lit(-40.0), F.least(F.lit(40.0), slope * odds + F.lit(offset)))
+        return 1 / (1 + F.exp(-x))
 
 
 def digest(text: bytes) -> bytes:
@@ -239,56 +294,92 @@ def draw(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_c
     return picked, rate
 
 
-def document_frequencies(docs: DataFrame, text_col: str, vocabulary: dict[str, int]) -> tuple[list[int], int]:
-    """In how many documents each term of the vocabulary occurs, over all rows."""
+def own_rows(docs: DataFrame, text_col: str) -> tuple[Column, Column, Column]:
+    """The text and its key."""
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    k1, k2 = key_columns(text)
+    return k1.alias("k1"), k2.alias("k2"), text.alias(TEXT)
+
+
+def count_terms(docs: DataFrame, text_col: str, vocabulary: dict[str, int]) -> tuple[list[int], DataFrame, int]:
+    """Over all rows: in how many each term of the vocabulary occurs, where each other term
+    occurs (k1, k2, word, tf, and m, how many such terms its document has), and how many rows
+    there are."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    size = len(vocabulary)
+    names = ["k1", "k2", "word", "tf", "m", "term", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, memo, rows = [0] * size, {}, 0
+        memo, seen, rows = Memo(shared.value, True), Counter(), 0
         for batch in batches:
-            for text in utf8(batch.column(0)):
-                rows += 1
-                for t in term_counts(text, shared.value, memo):
-                    seen[t] += 1
-        yield pa.RecordBatch.from_arrays([pa.array([*range(size), -1], pa.int32()),
-                                          pa.array([*seen, rows], pa.int64())], ["term", "n"])
-
-    # a task gives one row for each term: at most max_terms + 1
-    counted = (docs.select(F.col(f"`{text_col}`").cast("string").alias(TEXT)).mapInArrow(run, "term int, n long")
-               .groupBy("term").agg(F.sum("n").alias("n")))
-    got = {r["term"]: r["n"] for r in counted.collect()}
-    return [got.get(t, 0) for t in range(size)], got.get(-1, 0)
+            places, words, times, sizes = [], [], [], []
+            for place, text in enumerate(utf8(batch.column(2))):
+                counts = term_counts(text, memo)
+                others = [t for t in counts if t.__class__ is str]
+                times += [counts.pop(t) for t in others]
+                seen.update(counts.keys())
+                words += others
+                places += [place] * len(others)
+                sizes += [len(others)] * len(others)
+            rows += batch.num_rows
+            at, none = pa.array(places, pa.int64()), pa.nulls(len(places), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array(words, pa.string()),
+                 pa.array(times, pa.int32()), pa.array(sizes, pa.int32()), none, none.cast(pa.int64())], names)
+        none = pa.nulls(len(seen) + 1, pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [none, none, none.cast(pa.string()), none.cast(pa.int32()), none.cast(pa.int32()),
+             pa.array([*seen, -1], pa.int32()), pa.array([*seen.values(), rows], pa.int64())], names)
+
+    counted = write_table(docs.select(*own_rows(docs, text_col)).mapInArrow(
+        run, "k1 long, k2 long, word string, tf int, m int, term int, n long"), "terms")
+    got = {r["term"]: r["n"] for r in counted.where("term is not null").groupBy("term").agg(
+        F.sum("n").alias("n")).toLocalIterator()}
+    return ([got.get(t, 0) for t in range(len(vocabulary))],
+            counted.where("word is not null").select("k1", "k2", "word", "tf", "m"), got.get(-1, 0))
+
+
+def other_norms(others: DataFrame, n: int) -> DataFrame:
+    """(k1, k2, rest): the sum of the squared weights of a text's terms that no example has."""
+    # written first: a join of two plain tables can be split where many documents have a word
+    frequencies = sized(others.groupBy("word").agg(F.count(F.lit(1)).alias("df")), materialize=True,
+                        limit=BROADCAST_BYTES).frame
+    weight = (1 + F.log("tf")) * (F.log((1 + n) / (1 + F.col("df"))) + 1)
+    whole = others.join(frequencies, "word").select(
+        "k1", "k2", "m", F.round(weight * weight * UNIT).cast("decimal(20,0)").alias("w"))
+    # copies of a text are one text: their sums are equal, so the mean is each one's
+    copies = F.count(F.lit(1)) / F.first("m")
+    return whole.groupBy("k1", "k2").agg((F.sum("w").cast("double") / copies / UNIT).alias("rest"))
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", fold: int = 5, max_per_class: int = 1500, max_bytes: int = 16_384,
-          max_terms: int = 512, least_chi2: float = 20.0, k: int = 15) -> ToxicityModel:
+          k: int = 15) -> ToxicityModel:
     """Examples, terms, index and calibration."""
+    import numpy as np
+
     ship(docs.sparkSession)
     picked, rate = draw(docs, labels, id_col, text_col, label_col, fold, max_per_class, max_bytes)
     texts = [r[1].encode() for r in picked]
     ys = [r[2] for r in picked]
     if len(set(ys)) < 2:
-        return ToxicityModel({}, [], None, [], [], {}, rate, k)
-    counts = [term_counts(t, None, {}) for t in texts]
-    terms = choose_terms(counts, ys, max_terms, least_chi2)
-    vocabulary = {t: i for i, t in enumerate(terms)}
-    df, n = document_frequencies(docs, text_col, vocabulary)
-    idf = [math.log((1 + n) / (1 + d)) + 1 for d in df]
-    model = ToxicityModel(vocabulary, idf, None, [], [], {}, rate, k)
-    vectors = [model.vector(t) for t in texts]
+        return ToxicityModel({}, None, None, [], [], {}, rate, k)
+    boosts = term_boosts(texts, ys)
+    vocabulary = {t: i for i, t in enumerate(boosts)}
+    df, others, n = count_terms(docs, text_col, vocabulary)
+    factors = np.array([(math.log((1 + n) / (1 + d)) + 1) * b for d, b in zip(df, boosts.values())])
+    model = ToxicityModel(vocabulary, factors, None, [], [], {}, rate, k, norms=other_norms(others, n))
     # examples with the same strongest term share blocks, so block maxima are tight
-    order = sorted(range(len(texts)), key=lambda i: (max(vectors[i], key=vectors[i].get, default=-1), i))
+    strongest = [max(v, key=v.get, default=-1) for v in map(model.unit, texts)]
+    order = sorted(range(len(texts)), key=lambda i: (strongest[i], i))
     model.ids = [picked[i][0] for i in order]
     model.labels = [ys[i] for i in order]
     for place, i in enumerate(order):
         model.texts.setdefault(digest(texts[i]), set()).add(place)
-    model.index = BlockMaxIndex.build([vectors[i] for i in order], len(terms))
+    model.index = BlockMaxIndex.build((model.unit(texts[i]) for i in order), len(vocabulary))
     # a drawn example stands for as many labelled rows as its label's share asks for
     n1 = sum(ys)
     model.shares = ((1 - rate) * len(ys) / (len(ys) - n1), rate * len(ys) / n1)
-    votes = [model.vote(model.index.nearest(vectors[i], k, model.texts[digest(texts[i])])) for i in order]
+    votes = [model.vote(model.index.nearest(model.unit(texts[i]), k, model.texts[digest(texts[i])])) for i in order]
     model.curve = logistic(votes, model.labels, model.shares)
     return model
 
@@ -299,29 +390,45 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     model = train(docs, labels, id_col, text_col, fold=fold, **training)
     kind = docs.schema[id_col].dataType.simpleString()
     id_kind = labels.schema[id_col].dataType.simpleString()
+    own = [F.col(f"`{id_col}`").alias(ID), in_fold(F.col(f"`{id_col}`"), fold).alias("held_out")]
+    if model.index is None:
+        return docs.select(own[0].alias(id_col), own[1], F.lit(model.rate).alias("score"),
+                           F.lit(int(model.rate >= 0.5)).alias("predicted"),
+                           F.array().cast(f"array<{id_kind}>").alias("nearest"),
+                           F.array().cast("array<double>").alias("cosines"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    names = [ID, "held_out", "k1", "k2", "square", "nearest", "products", "toxic"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            scores, nearest, cosines = [], [], []
-            for text in utf8(batch.column(2)):
-                s, near = m.score(text)
-                scores.append(s)
+            squares, nearest, products, toxic = [], [], [], []
+            for text in utf8(batch.column(4)):
+                near, square = m.near(text)
+                squares.append(square)
                 nearest.append([m.ids[i] for _, i in near])
-                cosines.append([c for c, _ in near])
+                products.append([p for p, _ in near])
+                toxic.append([m.labels[i] for _, i in near])
             # the neighbours' ids have the type of the labels' id column
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(scores, pa.float64()),
-                 pa.array([int(s >= 0.5) for s in scores], pa.int32()),
+                [*(batch.column(c) for c in range(4)), pa.array(squares, pa.float64()),
                  pa.array(nearest, pa.list_(ID_KINDS.get(id_kind, pa.string()))),
-                 pa.array(cosines, pa.list_(pa.float64()))],
-                [ID, "held_out", "score", "predicted", "nearest", "cosines"])
-
-    rows = docs.select(F.col(f"`{id_col}`").alias(ID), in_fold(F.col(f"`{id_col}`"), fold).alias("held_out"),
-                       F.col(f"`{text_col}`").cast("string").alias(TEXT))
-    return rows.mapInArrow(run, f"{ID} {kind}, held_out boolean, score double, predicted int, "
-                                f"nearest array<{id_kind}>, cosines array<double>").withColumnRenamed(ID, id_col)
+                 pa.array(products, pa.list_(pa.float64())), pa.array(toxic, pa.list_(pa.int32()))], names)
+
+    rows = docs.select(*own, *own_rows(docs, text_col)).mapInArrow(
+        run, f"{ID} {kind}, held_out boolean, k1 long, k2 long, square double, nearest array<{id_kind}>, "
+             "products array<double>, toxic array<int>")
+    # the side of unique keys is written first: a text with many copies can be split
+    norms = sized(model.norms, materialize=True, limit=BROADCAST_BYTES).frame
+    norm = F.sqrt(F.col("square") + F.coalesce("rest", F.lit(0.0)))
+    rows = rows.join(norms, ["k1", "k2"], "left").withColumn(
+        "cosines", F.transform("products", lambda p: F.least(F.lit(1.0), p / norm)))
+    votes = lambda y: F.aggregate(
+        F.zip_with("cosines", "toxic", lambda c, t: F.when(t == y, c * c).otherwise(0.0)), F.lit(0.0),
+        lambda acc, x: acc + x)
+    rows = rows.withColumn("score", model.score(votes(1), votes(0)))
+    return rows.select(F.col(ID).alias(id_col), "held_out", "score",
+                       (F.col("score") >= 0.5).cast("int").alias("predicted"), "nearest", "cosines")
 
 
 ID_KINDS = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}

@@ -1,3 +1,4 @@
+import math
 import random
 import re
 import zlib
@@ -134,3 +135,44 @@ def test_awkward_toxicity(spark):
         assert len(out) == docs.count()
         assert all(0 <= r.score <= 1 for r in out)
     assert toxicity.toxicity(cases.empty(spark), some).collect() == []
+
+
+def plain_weights(docs, examples):
+    """All terms' weights in every text, by the definition: no index, no bound on terms."""
+    def terms(text):
+        words = [w for w in (x.lower().strip(toxicity.EDGES) for x in (text or "").split()) if w]
+        return Counter(t for w in words for t in [w, *("^" + w[:n] for n in (4, 5, 6) if len(w) > n)])
+
+    counts = [terms(t) for t in docs]
+    df = Counter(t for c in counts for t in c)
+    boost, n, n1 = {}, len(examples), sum(y for _, y in examples)
+    sets = [(set(terms(t)), y) for t, y in examples]
+    for t in set().union(*(s for s, _ in sets)):
+        a, b = sum(t in s and y for s, y in sets), sum(t in s and not y for s, y in sets)
+        bottom = (a + b) * (n - a - b) * n1 * (n - n1)
+        boost[t] = 1 + math.log1p(n * (a * (n - n1 - b) - b * (n1 - a)) ** 2 / bottom if bottom else 0)
+    return [{t: (1 + math.log(k)) * (math.log((1 + len(docs)) / (1 + df[t])) + 1) * boost.get(t, 1)
+             for t, k in c.items()} for c in counts]
+
+
+def test_cosines_are_over_all_terms(spark):
+    rng = random.Random(9)
+    rare = [f"rareword{i}" for i in range(60)]
+    texts = [" ".join(rng.choices(cases.WORDS, k=rng.randint(3, 12)) + rng.sample(rare, 2)) for _ in range(80)]
+    texts += ["rareword7", "rareword8 unknown unknown unseen", texts[70], texts[70], "nothing shared", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    known = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5]
+    weights = plain_weights(texts, [(texts[i], i % 2) for i in known])
+    norm = [math.sqrt(sum(w * w for w in v.values())) for v in weights]
+    out = toxicity.toxicity(docs, labels, k=5).collect()
+    assert len(out) == len(texts)
+    for r in out:
+        v = weights[r.doc_id]
+        exact = {i: sum(w * weights[i].get(t, 0) for t, w in v.items()) / norm[r.doc_id] / norm[i]
+                 for i in known if v and texts[i] != texts[r.doc_id]}
+        best = sorted((c for c in exact.values() if c > 0), reverse=True)[:5]
+        assert r.cosines == pytest.approx(best, abs=1e-6), texts[r.doc_id]
+        assert [exact[i] for i in r.nearest] == pytest.approx(r.cosines, abs=1e-6)
+    by_id = {r.doc_id: r for r in out}
+    assert by_id[80].nearest and by_id[82].score == by_id[83].score == by_id[70].score
