@@ -21,8 +21,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that many sites carry."""
-    return lines.dedup_stage(docs)
+    """All documents, without the lines that many sites carry. A text of such lines only that
+    other rows hold too stays, for near-dedup: else none of its copies would be left."""
+    return lines.dedup_stage(docs, max_share=None)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,8 @@ standard errors) get an exact distinct count, so the result equals exact countin
 Boilerplate lines are removed from their documents. Where they are more than
 ``max_share`` of a document's bytes the document is a copy of a spread text rather
 than content with boilerplate around it; it stays as it is, for document dedup.
+With ``max_share=None`` no share decides: a document stays as it is only where nothing
+of it would be left and its very text is seen in another row too.
 
 Lines are the parts between line feeds; lines of spaces only are never counted or
 removed. Defined results: a null site counts as no site; a null or empty text has
@@ -60,7 +62,7 @@ def spread_lines(docs: DataFrame, text: str, site: str, min_sites: int, band: fl
 
 
 def remove_lines(docs: DataFrame, text_col: str = "text", site_col: str = "source",
-                 min_sites: int = 10, band: float = 0.25, max_share: float = 0.5) -> DataFrame:
+                 min_sites: int = 10, band: float = 0.25, max_share: float | None = 0.5) -> DataFrame:
     """The rows of ``docs`` with a struct column ``__lines``: kept (text), n_lines,
     n_flagged, copied and n_removed."""
     own = docs.select(F.col(f"`{text_col}`").cast("string").alias("t"), F.col(f"`{site_col}`").alias("s"))
@@ -73,6 +75,10 @@ def remove_lines(docs: DataFrame, text_col: str = "text", site_col: str = "sourc
             .select("__k1", "__k2", "pos", l1.alias("l1"), l2.alias("l2"))
             .join(flagged, ["l1", "l2"], "left_semi")
             .groupBy("__k1", "__k2").agg(F.collect_set("pos").alias("__hits")))
+    if max_share is None:
+        # the rows of a text are counted from its key alone, whatever its length
+        rows = own.groupBy(k1.alias("__k1"), k2.alias("__k2")).agg(F.count(F.lit(1)).alias("__rows"))
+        hits = hits.join(rows, ["__k1", "__k2"])
     # written first: a join of two plain tables can be split where a text has many copies
     hits = write_table(hits, "line-hits")
     t = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
@@ -87,8 +93,11 @@ def remove_lines(docs: DataFrame, text_col: str = "text", site_col: str = "sourc
     # a set difference of places: linear in the lines, however many are flagged
     rest = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "__hits"), at)
     found = F.coalesce(F.size("__hits"), F.lit(0))
-    copied = F.when(F.col("__hits").isNull(), False).otherwise(
-        total(marked) > F.lit(max_share) * total(content))
+    if max_share is None:
+        spread = (F.col("__rows") > 1) & (F.size("__hits") == F.size(content))
+    else:
+        spread = total(marked) > F.lit(max_share) * total(content)
+    copied = F.when(F.col("__hits").isNull(), False).otherwise(spread)
     out = joined.withColumn("__copied", copied)
     removes = F.col("__hits").isNotNull() & ~F.col("__copied")
     return out.withColumn("__lines", F.struct(
@@ -97,7 +106,7 @@ def remove_lines(docs: DataFrame, text_col: str = "text", site_col: str = "sourc
         F.when(F.col("__hits").isNull(), 0).otherwise(found).cast("long").alias("n_flagged"),
         F.col("__copied").alias("copied"),
         F.when(removes, found).otherwise(0).cast("long").alias("n_removed"),
-    )).drop("__k1", "__k2", "__hits", "__copied")
+    )).drop("__k1", "__k2", "__hits", "__rows", "__copied")
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -177,6 +177,17 @@ def test_line_stage_keeps_rows_and_columns(spark):
     assert (got[9].text, got[9].n_chars) == ("shared line\nshared line", 23)
 
 
+def test_every_spread_line_goes_unless_a_copy_would_vanish(spark):
+    spread = "a line that all the sites of this small corpus carry"
+    rows = [(i, f"own {i}\n{spread}\n{spread}", f"s{i}") for i in range(4)]      # mostly boilerplate
+    rows += [(4, spread, "s0"), (5, "told on\nevery site", "s1"), (6, "told on\nevery site", "s2"),
+             (7, "told on\nevery site", "s3"), (8, "told on\nevery site\nend", "s3"), (9, None, "s0")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r.text for r in lines.dedup_stage(docs, min_sites=3, max_share=None).collect()}
+    copy = "told on\nevery site"
+    assert got == {**{i: f"own {i}" for i in range(4)}, 4: "", 5: copy, 6: copy, 7: copy, 8: "end", 9: None}
+
+
 # templates
 
 ITEMS = [(1, "Anna buys 12 apples and 3 kg of sugar in the old market, then sells 5 apples to Tom for 2 dollars."),
