@@ -36,6 +36,7 @@ def write_version(df: DataFrame, table_path: str, claim: layers.Claim | None = N
     counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     counted.write.mode("errorifexists").parquet(layers.version_path(table_path, claim.version))
     layers.check_alone(spark, table_path, claim)
+    layers.mark_done(spark, table_path, claim.version)
     return claim.version, int(obs.get["rows"])
 
 

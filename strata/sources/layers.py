@@ -8,6 +8,8 @@ reads and overwrites the same folder, which in Spark fails and loses the data.
 Before a job writes version n it claims the number by creating the file
 ``<table>/_claims/version-00000n`` (an atomic step: one creator wins). The claim says
 which version the job started from, the table's key, and which stream batch it is, if any.
+When the version is complete and stands, a mark ``version-00000n.done`` is put beside the
+claim (again one atomic step); it outlives the version's folder.
 Paths go through the Hadoop file system API, so any Hadoop URI works.
 """
 
@@ -151,6 +153,26 @@ def claim_version(spark: SparkSession, table_path: str, key=None, source: str |
         return claim
 
 
+def _mark_path(table_path: str, version: int) -> str:
+    return f"{_claim_path(table_path, version)}.done"
+
+
+def mark_done(spark: SparkSession, table_path: str, version: int) -> None:
+    """Put down that a claimed version was completed, whatever becomes of its folder."""
+    fs, p = _fs(spark, _mark_path(table_path, version))
+    fs.mkdirs(p.getParent())
+    fs.createNewFile(p)
+
+
+def done_versions(spark: SparkSession, table_path: str) -> set[int]:
+    """Versions that were completed: marked, or there and complete (a load may fail
+    between the two)."""
+    fs, p = _fs(spark, f"{table_path.rstrip('/')}/_claims")
+    names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+    marked = (_VERSION.match(n.removesuffix(".done")) for n in names if n.endswith(".done"))
+    return {int(m.group(1)) for m in marked if m} | set(versions(spark, table_path))
+
+
 def check_alone(spark: SparkSession, table_path: str, claim: Claim) -> None:
     """After the write: no other version was completed since the claim's base, else this
     load's rows or theirs would be lost without a word; then this version goes."""
@@ -158,13 +180,14 @@ def check_alone(spark: SparkSession, table_path: str, claim: Claim) -> None:
               if v != claim.version and (claim.base is None or v > claim.base)]
     if others:
         delete_path(spark, version_path(table_path, claim.version))
+        delete_path(spark, _mark_path(table_path, claim.version))
         raise ConcurrentLoad(f"{table_path}: version {others} was written while version "
                              f"{claim.version} was made from {claim.base}; load again")
 
 
 def version_of_source(spark: SparkSession, table_path: str, source: str) -> int | None:
-    """The complete version that a stream batch has written, if it has."""
-    done = set(versions(spark, table_path))
+    """The version that a stream batch has completed, if it has; its folder may be gone."""
+    done = done_versions(spark, table_path)
     found = [c.version for c in claims(spark, table_path) if c.source == source and c.version in done]
     return found[-1] if found else None
 
@@ -179,8 +202,9 @@ def prune_versions(spark: SparkSession, table_path: str, keep: int = 2) -> list[
 
     Versions are numbered after all that exist, so the newest is the one written last.
     Readers that started on the previous version can still finish with ``keep >= 2``.
-    Claims stay for ``CLAIMS_KEPT`` versions more: a replayed stream batch, always its
-    stream's last, is known by its claim. Returns the deleted numbers.
+    Claims stay for ``CLAIMS_KEPT`` versions more, and the last completed one of each
+    stream for good: a replayed stream batch, always its stream's last, is known by its
+    claim. Returns the deleted numbers.
     """
     if keep < 1:
         raise ValueError("keep at least one version")
@@ -190,8 +214,15 @@ def prune_versions(spark: SparkSession, table_path: str, keep: int = 2) -> list[
     oldest_kept = done[-keep]
     gone = [v for v in versions(spark, table_path, complete_only=False) if v < oldest_kept]
     for v in gone:
+        if v in done:              # its load may have failed before it put the mark
+            mark_done(spark, table_path, v)
         delete_path(spark, version_path(table_path, v))
-    for c in claims(spark, table_path):
-        if c.version < oldest_kept - CLAIMS_KEPT:
+    known, complete = claims(spark, table_path), done_versions(spark, table_path)
+    # a stream's claims end in the batch's number
+    sources = [(c.version, *c.source.rpartition("/")[::2]) for c in known if c.source and c.version in complete]
+    last = {stream: v for v, stream, batch in sources if batch.isdigit()}
+    for c in known:
+        if c.version < oldest_kept - CLAIMS_KEPT and c.version not in last.values():
             delete_path(spark, _claim_path(table_path, c.version))
+            delete_path(spark, _mark_path(table_path, c.version))
     return gone

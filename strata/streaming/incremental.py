@@ -5,8 +5,8 @@ is merged into a versioned layer table with ``foreachBatch``. A micro-batch star
 from the newest complete version, whoever wrote it (another stream, a batch run),
 and writes the next number. The version's claim names the stream (the id in its
 checkpoint) and the batch: when a batch is replayed after a failure
-(``foreachBatch`` is at-least-once) and its version is complete, that version
-stands, so the table is exactly-once in effect. Inside a batch, the row that
+(``foreachBatch`` is at-least-once) and its version was completed, that version
+stands, also when later loads have pruned its folder, so the table is exactly-once in effect. Inside a batch, the row that
 arrived last wins (file time, path, place in the file).
 """
 
@@ -66,7 +66,8 @@ def merge_batch(target: str, key, columns, stage_batch: bool = True, checkpoint:
     parsed once instead of twice (keys, then rows). ``checkpoint`` is where the stream's
     id is read. ``keep_arrival`` writes the rows' arrival too (a raw layer has it).
     Returns (rows written, rows written that were malformed in their file; None without a
-    corrupt column, or for a replay whose version is complete)."""
+    corrupt column, or for a replay whose version was completed; of a pruned one the rows
+    are None too)."""
     keys = [key] if isinstance(key, str) else list(key)
 
     def run(batch: DataFrame, batch_id: int):
@@ -74,7 +75,8 @@ def merge_batch(target: str, key, columns, stage_batch: bool = True, checkpoint:
         source = f"{stream_id(spark, checkpoint) if checkpoint else 'direct'}/{batch_id}"
         done = layers.version_of_source(spark, target, source)
         if done is not None:
-            return spark.read.parquet(layers.version_path(target, done)).count(), None
+            there = done in layers.versions(spark, target)
+            return spark.read.parquet(layers.version_path(target, done)).count() if there else None, None
         claim = layers.claim_version(spark, target, keys, source)
         current = layers.read_layer(spark, target, below=claim.version)
         flagged = CORRUPT in batch.columns

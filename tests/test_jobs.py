@@ -433,6 +433,28 @@ def test_replay_after_another_writer_keeps_the_newer_rows(spark, tmp_dir):
     assert got == {"o1": "batch", "o2": "batch"}
 
 
+def test_replay_after_its_version_was_pruned(spark, tmp_dir, monkeypatch):
+    from strata.streaming.incremental import merge_batch
+    monkeypatch.setattr(layers, "CLAIMS_KEPT", 1)
+    schema = "order_id string, order_status string"
+    for crash in (False, True):          # crash: the load fails before it marks its version
+        target = f"{tmp_dir}/t{crash}"
+        run = merge_batch(target, ["order_id"], ["order_id", "order_status"])
+        run(spark.createDataFrame([("o1", "stream")], schema), 0)
+        if crash:
+            layers.delete_path(spark, layers._mark_path(target, 1))
+        for n in range(5):
+            other = spark.createDataFrame([("o1", f"batch {n}")], schema)
+            tables.write_version(other, target, layers.claim_version(spark, target, ["order_id"]))
+            layers.prune_versions(spark, target, keep=2)
+        assert layers.versions(spark, target) == [5, 6]
+        assert run(spark.createDataFrame([("o1", "stream")], schema), 0) == (None, None)      # replay
+        assert layers.read_layer(spark, target).collect() == [("o1", "batch 4")]
+        assert len(layers.claims(spark, target)) == 4         # the stream's, and versions 4 to 6
+        run(spark.createDataFrame([("o1", "next")], schema), 1)
+        assert layers.read_layer(spark, target).collect() == [("o1", "next")]
+
+
 def test_failed_overwrite_leaves_the_table(spark, tmp_dir):
     import pytest
     good = spark.createDataFrame([("a", 1)], "k string, n long")
