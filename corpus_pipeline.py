@@ -33,7 +33,7 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    return templates.clean_stage(docs, table(spark, sf_dir, "benchmark"))
+    return templates.clean_stage(docs, table(spark, sf_dir, "benchmark"), verbatim_all=True)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -47,7 +47,8 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return templates.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return templates.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
+                                   verbatim_all=True)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

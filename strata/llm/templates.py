@@ -7,6 +7,9 @@
 2. Hash join: each window of ``window`` canonical tokens (an item's whole template
    where it is shorter) is hashed; document windows meet item windows by hash.
    Windows of fewer than half literal tokens are not evidence and not counted.
+   Beside its template an item has its wording: the same windows with lower-cased names
+   instead of placeholders, and where under half of a window is literal its lower-cased
+   words themselves. So a verbatim copy, in whatever case, is found by all its windows.
 3. Slot consistency: matched windows of one document and item with the same shift
    form an alignment. There each slot value of the item must stand for one value
    in the document; an alignment with less than ``min_consistency`` of its slot
@@ -20,7 +23,8 @@ known by a 128-bit hash, and copies of a text are one text in every group, so a
 text that a third of all rows hold makes no hot group.
 
 Defined results: null and empty texts (and items) match nothing; an item of under
-``min_tokens`` tokens, or without an informative window, is never found; repeated
+``min_tokens`` tokens is never found, and windows of bare numbers are no evidence, unless
+``verbatim_all`` asks for the wording of all items, whatever they are; repeated
 items are items each; repeated rows are contaminated each; an empty table gives an
 empty result.
 """
@@ -51,76 +55,106 @@ WORD = "\\p{L}\\p{M}\\p{N}_"
 
 
 def tokens_text(text: Column) -> Column:
-    """Text in which a number's inner separators are token characters."""
+    """Text in which a number's inner separators are token characters and a unit joined to
+    a number is a token of its own."""
     clean = F.regexp_replace(text, "[\\u0001-\\u0003_]", " ")
-    return F.regexp_replace(clean, "(?<=\\p{N})[.,:/](?=\\p{N})", "_")
+    clean = F.regexp_replace(clean, "(?<=\\p{N})[.,:/](?=\\p{N})", "_")
+    return F.regexp_replace(clean, f"(?i)(?<![{WORD}])(\\p{{N}}[\\p{{N}}_]*)({'|'.join(UNITS)})(?![{WORD}])", "$1 $2")
 
 
 def split_tokens(text: Column, extra: str = "") -> Column:
     return F.filter(F.split(text, f"[^{WORD}{extra}]+"), lambda t: t != "")
 
 
-def canonical(prepared: Column) -> Column:
-    """The prepared text with placeholders, token for token."""
+def canonical(prepared: Column, names: bool = True) -> Column:
+    """The prepared text with placeholders (for names if asked), token for token."""
     edge, after = f"(?<![{WORD}])", f"(?![{WORD}])"
     c = F.regexp_replace(prepared, f"{edge}\\p{{N}}[\\p{{N}}_]*{after}", NUMBER)
     units = "|".join(UNITS)
     c = F.regexp_replace(c, f"(?i)({NUMBER}[^{WORD}{NUMBER}-{NAME}]{{1,2}})(?:{units}){after}", f"$1{UNIT}")
-    c = F.regexp_replace(c, f"{edge}\\p{{Lu}}[\\p{{Ll}}\\p{{M}}]+{after}", NAME)
+    if names:
+        c = F.regexp_replace(c, f"{edge}\\p{{Lu}}[\\p{{Ll}}\\p{{M}}]+{after}", NAME)
     return F.lower(c)
 
 
-def canonical_tokens(prepared: Column) -> Column:
-    return split_tokens(canonical(prepared), f"{NUMBER}-{NAME}")
+def canonical_tokens(prepared: Column, names: bool = True) -> Column:
+    return split_tokens(canonical(prepared, names), f"{NUMBER}-{NAME}")
 
 
-def windows(tokens: Column, size: int) -> Column:
-    """Hash of each window of ``size`` tokens, in order (empty where there are fewer)."""
-    return F.when(F.size(tokens) >= size,
-                  F.transform(F.sequence(F.lit(1), F.size(tokens) - F.lit(size - 1)),
-                              lambda i: F.xxhash64(F.slice(tokens, i, size)))
-            ).otherwise(F.array().cast("array<bigint>"))
+def literal_enough(window: Column, size) -> Column:
+    return 2 * F.size(F.filter(window, lambda t: ~is_slot(t))) >= size
+
+
+def wording_hash(window: Column, words: Column, size) -> Column:
+    """Hash of a window of the wording: its placeholders where half of it is literal, else its words."""
+    return F.when(literal_enough(window, size), F.xxhash64(window)).otherwise(
+        F.xxhash64(F.transform(words, F.lower)))
+
+
+def windows(forms: Column, wording: Column, words: Column, size: int) -> Column:
+    """(at, hash) of each window of ``size`` tokens as template and, where it differs, as wording."""
+    def both(i):
+        template, plain = F.slice(forms, i, size), F.slice(wording, i, size)
+        same = (template == plain) & literal_enough(plain, size)
+        return F.when(same, F.array(F.xxhash64(template))).otherwise(
+            F.array(F.xxhash64(template), wording_hash(plain, F.slice(words, i, size), size)))
+
+    return F.when(F.size(forms) >= size, F.flatten(F.transform(
+        F.sequence(F.lit(1), F.size(forms) - F.lit(size - 1)),
+        lambda i: F.transform(both(i), lambda h: F.struct((i - 1).alias("at"), h.alias("hash"))))))
 
 
 def is_slot(token: Column) -> Column:
     return token.isin(NUMBER, UNIT, NAME)
 
 
-def item_windows(items: DataFrame, id_col: str, text_col: str, window: int, min_tokens: int) -> DataFrame:
-    """(item, size, original and canonical tokens, place, hash, n_windows), one row for each
-    informative window."""
+def item_windows(items: DataFrame, id_col: str, text_col: str, window: int, min_tokens: int,
+                 verbatim_all: bool) -> DataFrame:
+    """(item, kind, size, original and canonical tokens, place, hash), one row for each
+    informative window of an item's template (kind 0) and each window of its wording (kind 1)."""
     prepared = items.select(F.col(f"`{id_col}`").alias("item"), tokens_text(F.col(f"`{text_col}`")).alias("p"))
-    rows = (prepared.select("item", split_tokens(F.col("p")).alias("words"),
-                            canonical_tokens(F.col("p")).alias("forms"))
-            .where(F.size("forms") >= min_tokens)
-            .withColumn("size", F.least(F.size("forms"), F.lit(window)))
-            .withColumn("row", F.xxhash64("item", "words")))
-    each = rows.select("*", F.explode(F.sequence(F.lit(0), F.size("forms") - F.col("size"))).alias("place"))
-    part = F.slice("forms", F.col("place") + 1, F.col("size"))
-    each = (each.withColumn("hash", F.xxhash64(part))
-            .where(2 * F.size(F.filter(part, lambda t: ~is_slot(t))) >= F.col("size")))
-    return each
+    out = None
+    for kind in (0, 1):
+        rows = (prepared.select("item", F.lit(kind).alias("kind"), split_tokens(F.col("p")).alias("words"),
+                                canonical_tokens(F.col("p"), kind == 0).alias("forms"))
+                .where(F.size("forms") >= (1 if kind and verbatim_all else min_tokens))
+                .withColumn("size", F.least(F.size("forms"), F.lit(window)))
+                .withColumn("row", F.xxhash64("item", "words", "kind")))
+        each = rows.select("*", F.explode(F.sequence(F.lit(0), F.size("forms") - F.col("size"))).alias("place"))
+        part = F.slice("forms", F.col("place") + 1, F.col("size"))
+        words = F.slice("words", F.col("place") + 1, F.col("size"))
+        if kind:
+            each = each.withColumn("hash", wording_hash(part, words, F.col("size")))
+            if not verbatim_all:
+                each = each.where(F.exists(words, lambda w: w.rlike("\\p{L}")))
+        else:
+            each = each.withColumn("hash", F.xxhash64(part)).where(literal_enough(part, F.col("size")))
+        out = each if out is None else out.unionByName(each)
+    return out
 
 
 def contaminated_pairs(docs: DataFrame, items: DataFrame, text_col: str = "text",
                        item_id_col: str = "item_id", item_text_col: str = "text", window: int = 8,
                        min_share: float = 0.3, min_windows: int = 3, min_consistency: float = 0.75,
-                       min_tokens: int = 4) -> DataFrame:
+                       min_tokens: int = 4, verbatim_all: bool = False) -> DataFrame:
     """(k1, k2, item, n_windows, n_matched, consistency): contaminated texts by their hash."""
-    each = write_table(item_windows(items, item_id_col, item_text_col, window, min_tokens), "items")
+    each = write_table(item_windows(items, item_id_col, item_text_col, window, min_tokens,
+                                    verbatim_all), "items")
     known = each.select("row", "item", "place", "hash", "size")
-    totals = each.groupBy("row").agg(F.count(F.lit(1)).alias("n_windows"))
+    totals = each.groupBy("row").agg(F.countDistinct("place").alias("n_windows"))
     sizes = sorted(r[0] for r in each.select("size").distinct().collect())     # at most ``window`` values
 
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     k1, k2 = key_columns(text)
     rows = docs.select(k1.alias("k1"), k2.alias("k2"), text.alias("t"))
-    forms = rows.select("k1", "k2", canonical_tokens(tokens_text(F.col("t"))).alias("forms"))
+    forms = (rows.select("k1", "k2", tokens_text(F.col("t")).alias("p"))
+             .select("k1", "k2", canonical_tokens(F.col("p")).alias("forms"),
+                     canonical_tokens(F.col("p"), False).alias("wording"), split_tokens(F.col("p")).alias("words")))
     matched = None
     for size in sizes or [window]:
         side = sized(known.where(F.col("size") == size).select("row", "place", "hash"),
                      limit=BROADCAST_BYTES).frame
-        found = (forms.select("k1", "k2", F.posexplode(windows(F.col("forms"), size)).alias("at", "hash"))
+        found = (forms.select("k1", "k2", F.inline(windows(F.col("forms"), F.col("wording"), F.col("words"), size)))
                  .join(side, "hash").select("k1", "k2", "row", "place", (F.col("at") - F.col("place")).alias("shift")))
         matched = found if matched is None else matched.unionByName(found)
     # copies of a text are one text: sets merge before the shuffle
@@ -137,7 +171,7 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, text_col: str = "text"
     asked = sized(likely.select("k1", "k2").distinct(), materialize=True, limit=BROADCAST_BYTES).frame
     texts = (rows.join(asked, ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(F.first("t").alias("t"))
              .select("k1", "k2", split_tokens(tokens_text(F.col("t"))).alias("theirs")))
-    ours = sized(each.select("row", "item", "size", "words", "forms").dropDuplicates(["row"]),
+    ours = sized(each.select("row", "item", "kind", "size", "words", "forms").dropDuplicates(["row"]),
                  materialize=True, limit=BROADCAST_BYTES).frame
     pairs = likely.join(texts, ["k1", "k2"]).join(ours, "row")
     covered = F.array_sort(F.array_distinct(F.flatten(F.transform(
@@ -154,10 +188,13 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, text_col: str = "text"
     pairs = (pairs.withColumn("consistency", F.when(F.size("values") == 0, F.lit(1.0))
                               .otherwise(good / F.size("values")))
              .where(F.col("consistency") >= min_consistency))
-    result = (pairs.groupBy("k1", "k2", "row", "item", "n_windows")
+    result = (pairs.groupBy("k1", "k2", "row", "item", "words", "kind", "n_windows")
               .agg(merged("places").cast("long").alias("n_matched"), F.min("consistency").alias("consistency"))
               .where(F.col("n_matched") >= enough))
-    return write_table(result.select("k1", "k2", "item", "n_windows", "n_matched", "consistency"), "leaks")
+    # found as template and as wording: one pair, with the template's figures
+    one = result.groupBy("k1", "k2", "item", F.xxhash64("words").alias("base")).agg(
+        F.min(F.struct("kind", "n_windows", "n_matched", "consistency")).alias("r"))
+    return write_table(one.select("k1", "k2", "item", "r.n_windows", "r.n_matched", "r.consistency"), "leaks")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -232,6 +232,21 @@ def test_inconsistent_slots_are_no_evidence(spark):
     assert [r.doc_id for r in templates.decontaminate(docs, items).collect()] == [1]
 
 
+def test_verbatim_copies_are_found_whatever_their_tokens(spark):
+    texts = ["What is 17 * 23 + 4?", "Evaluate 3/4 + 5/8 - 1/2.", "Der Hund, die Katze, der Vogel.",
+             "If a car travels 60km in 2h, how far does it go in 5h?", "1 2 3 4 5 6 7 8 9", "two words"]
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    docs = ["so: " + t for t in texts] + [t.upper() for t in texts] + [t.lower() for t in texts]
+    docs += ["If a car travels 80km in 3h, how far does it go in 7h?", "What is 18 * 23 + 4?", "if a car stands"]
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    found = templates.decontaminate(frame, items, verbatim_all=True)
+    assert no_python(found)
+    pairs = sorted((r.doc_id, r.item_id) for r in found.collect())
+    assert pairs == [(i, i % 6) for i in range(18)] + [(18, 3)]
+    default = sorted((r.doc_id, r.item_id) for r in templates.decontaminate(frame, items).collect())
+    assert default == [p for p in pairs if p[1] < 4]
+
+
 def test_templates_on_empty_tables(spark):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     docs = cases.documents(spark)
