@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import (lines, piece_codec, quality, repeats, sharding, simhash, templates, token_counts,
-                        toxicity, urls)
+from strata.llm import (conversations, html_text, lines, periodic, piece_codec, quality, repeats, sharding,
+                        simhash, templates, token_counts, toxicity, urls)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(table(spark, sf_dir, "conversations"), damage=True)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.find_runs(table(spark, sf_dir, "documents"), plant=True)
+
+
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_suffix_array_dedup, op2_url_filters, op3_line_dedup, op4_token_counts, op5_sentencepiece,
