@@ -70,7 +70,8 @@ def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_suffix_array_dedup, op2_url_filters, op3_line_dedup, op4_token_counts, op5_sentencepiece,
-        op6_simhash, op7_sharding, op8_quality_rules, op9_decontamination, op10_toxicity)
+        op6_simhash, op7_sharding, op8_quality_rules, op9_decontamination, op10_toxicity,
+        op11_conversation_repair, op12_periodic_runs, op13_html_extraction)
 }
 
 # the others cannot be put in DuckDB's SQL: they are tested against brute force
