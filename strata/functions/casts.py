@@ -28,6 +28,8 @@ NULL_TOKENS = ("", "None")
 # with white space around. Spark's own cast would also take "4d" and "4f".
 NUMBER_TEXT = (r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$")
 
+PLAIN_NUMBER = "0123456789+-.eE "
+
 STRICT = "strict"
 COERCE = "coerce"
 
@@ -61,7 +63,9 @@ def cast_text(c, to: str, mode: str = STRICT) -> Column:
 def number(c) -> Column:
     """Text that is a number as a double, other text as null."""
     text = _col(c).cast("string")
-    return F.when(text.rlike(NUMBER_TEXT), F.trim(text).try_cast("double"))
+    # of these characters alone Spark takes what the grammar takes: no pattern to match
+    plain = F.btrim(text, F.lit(PLAIN_NUMBER)) == ""
+    return F.when(plain | text.rlike(NUMBER_TEXT), F.trim(text).try_cast("double"))
 
 
 def coerce_long(c) -> Column:

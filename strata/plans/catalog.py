@@ -390,7 +390,7 @@ def land_in_order(df: DataFrame, keys: list[str], path: str) -> str:
     return csv_src.write_csv(placed, path)
 
 
-def loaded(name: str, key: str = "natural"):
+def loaded(name: str, key: str = "natural", bucket_bytes: int = tables.BUCKET_BYTES):
     """Two overlapping drops through the three layers; the refined rows."""
     spec = S.SPECS[name]
 
@@ -401,8 +401,8 @@ def loaded(name: str, key: str = "natural"):
         keys = spec.keys(natural=key == "natural")
         for n, drop in enumerate((feed, second_drop(feed, spec))):
             landing = land_in_order(drop, keys, f"{root}/landing-{n}")
-            jobs.load_raw(spark, spec, landing, base, key=key)
-            jobs.load_trusted(spark, spec, base, key=key, raw_unique=True)
+            jobs.load_raw(spark, spec, landing, base, key=key, bucket_bytes=bucket_bytes)
+            jobs.load_trusted(spark, spec, base, key=key, raw_unique=True, bucket_bytes=bucket_bytes)
             jobs.load_refined(spark, spec, base, write_mode=tables.OVERWRITE)
             layers.delete_path(spark, landing)
         return spark.read.parquet(jobs.table_path(base, jobs.REFINED, spec))
@@ -412,6 +412,41 @@ def loaded(name: str, key: str = "natural"):
     return q
 
 
+def loaded_in_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1-J3 of a table in hash buckets: the second load writes the buckets that it meets."""
+    return loaded("customers", bucket_bytes=1 << 14)(spark, sf_dir)
+
+
+def published_catalog_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3/J3 to a catalog table: an append, an overwrite by switching the table to a complete
+    folder, and an overwrite that fails. A reader that began before the switch ends with its rows;
+    the rows it read and the table's rows now, by order status."""
+    spec = S.ORDERS
+    root = work_dir(spark, "published_catalog_orders")
+    name, path = f"strata_{root.rsplit('-', 1)[-1]}", f"{root}/orders"
+    feed = standins.feed(spark, sf_dir, spec)
+    first, second = (jobs.refined_rows(casts.trusted_columns(f, spec, casts.STRICT), spec)
+                     for f in (feed, second_drop(feed, spec)))
+    tables.publish(first, tables.APPEND, table=name, path=path, schema=spec.refined_schema)
+    before = spark.table(name)
+    tables.publish(second, tables.OVERWRITE, table=name, path=path, schema=spec.refined_schema)
+    bad = second.withColumn("order_approved_at", F.when(F.col("order_id") != "", F.raise_error(F.lit("bad"))
+                                                        .cast("date")))
+    try:
+        tables.publish(bad, tables.OVERWRITE, table=name, path=path)
+    except Exception:  # noqa: BLE001 - it has to fail; the rows below show what it left
+        pass
+    else:
+        raise RuntimeError("the overwrite has to fail")
+
+    def counts(df: DataFrame, when: str) -> DataFrame:
+        return df.groupBy("order_status").agg(
+            F.count(F.lit(1)).alias("orders"), F.sum(F.col("order_id").cast("long")).alias("id_sum"),
+            F.max("order_purchase_timestamp").alias("latest")).select(F.lit(when).alias("read"), "*")
+
+    return counts(before, "before").unionByName(counts(spark.table(name), "now"))
+
+
 def raw_in_file_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of an order's lines in one file the one that comes last stays, here the smallest."""
     spec = S.ITEMS

@@ -4,13 +4,14 @@ Folder layout below ``base`` (a path on shared storage)::
 
     raw/<table>/version-NNNNNN/        all-text rows and their arrival, one per key
     trusted/<table>/version-NNNNNN/    cast rows, one per key
+                    .../__bucket=N/    large tables: only the buckets of the key that a load met
     refined/<table>/                   published rows (append or overwrite)
     _run_log/source=<writer>/          one row per (layer, table) step
 
-Raw and trusted jobs read complete versions only and write a new one, whose number
-they claim first; a refined overwrite is written beside the table and takes its
-place when it is whole. So a failed or retried job never leaves a half-written
-table behind, and a lost executor only costs the retry of its tasks.
+Raw and trusted jobs read complete versions only and write a new one, in a folder of its
+own; a refined overwrite is written beside the table and takes its place when it is
+whole. So a failed or retried job never leaves a half-written table behind, and a
+lost executor only costs the retry of its tasks. A table has one writer at a time.
 
 "Last" means the row that arrived last: by load, then by the landing file's time and
 path, then by the place in the file (``sources.csv.arrival``). Raw rows keep that
@@ -20,6 +21,7 @@ place, so the trusted merge orders rows of different raw keys the same way.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -57,17 +59,18 @@ def _keys(spec: TableSpec, key) -> list[str]:
 
 
 def raw_rows(spark: SparkSession, spec: TableSpec, landing: str, key=None,
-             current: DataFrame | None = None, stage_path: str | None = None,
-             full_snapshot: bool = False, malformed: Observation | None = None,
-             load: int | None = None) -> DataFrame:
+             current: DataFrame | Callable[[DataFrame, int], DataFrame | None] | None = None,
+             stage_path: str | None = None, full_snapshot: bool = False,
+             malformed: Observation | None = None, load: int | None = None) -> DataFrame:
     """J1 plan: CSV batch merged into the current raw rows (batch wins).
 
     Inside the batch the row of a key that arrived last stays. With ``stage_path`` the
     landing files are parsed once, into Parquet (K2); everything after reads that. One
     keys-only aggregate gives the batch's key set and says whether each key came once;
-    if so the full-row dedupe (a sort and shuffle of every row) is left out. Short and
-    long rows are kept (padded with null, or cut); with ``malformed`` the ones written
-    from this batch are counted.
+    if so the full-row dedupe (a sort and shuffle of every row) is left out. ``current``
+    may be a function that gives the current rows for that key set and the batch's bytes
+    (those that the batch can meet are enough). Short and long rows are kept (padded with
+    null, or cut); with ``malformed`` the ones written from this batch are counted.
     """
     keys = _keys(spec, key)
     batch = with_source_order(read_csv(spark, landing, spec, corrupt_column=CORRUPT), load)
@@ -77,6 +80,8 @@ def raw_rows(spark: SparkSession, spec: TableSpec, landing: str, key=None,
     if stage_path:
         batch = tables.stage(batch, stage_path)
     found = batch_keys(batch, keys)
+    if callable(current):
+        current = current(found.frame, layers.size_of(spark, [stage_path or landing]))
     if current is not None:
         current = raw_columns(current, spec).withColumn(MALFORMED, F.lit(False))
     merged = upsert(current, batch, keys, order=[ARRIVAL], current_is_unique=current is not None,
@@ -95,19 +100,20 @@ def raw_columns(current: DataFrame, spec: TableSpec) -> DataFrame:
 
 def load_raw(spark: SparkSession, spec: TableSpec, landing: str, base: str,
              key=None, keep: int = KEEP_VERSIONS, stage: bool = True,
-             full_snapshot: bool = False) -> int:
+             full_snapshot: bool = False, bucket_bytes: int = tables.BUCKET_BYTES) -> int:
     """Landing CSV -> new raw version (older ones pruned to ``keep``). Returns rows."""
-    return raw_load(spark, spec, landing, base, key, keep, stage, full_snapshot)[0]
+    return raw_load(spark, spec, landing, base, key, keep, stage, full_snapshot, bucket_bytes)[0]
 
 
 def raw_load(spark: SparkSession, spec: TableSpec, landing: str, base: str,
-             key=None, keep: int = KEEP_VERSIONS, stage: bool = True,
-             full_snapshot: bool = False) -> tuple[int, int]:
-    """J1 with its counts: (rows written, rows written that were malformed in the file).
+             key=None, keep: int = KEEP_VERSIONS, stage: bool = True, full_snapshot: bool = False,
+             bucket_bytes: int = tables.BUCKET_BYTES) -> tuple[int, int]:
+    """J1 with its counts: (rows of the table, rows of this batch that were malformed in the file).
 
     The landing files are parsed once, into a staged Parquet copy (K2) that is deleted
-    at the end; with ``stage=False`` each of the two passes (keys, rows) parses them.
-    ``full_snapshot=True`` says the landing file re-delivers the whole table (as the
+    at the end; with ``stage=False`` each of the two passes (keys, rows) parses them. Of a
+    table in buckets (``bucket_bytes`` each) only those that the batch meets are read and
+    written. ``full_snapshot=True`` says the landing file re-delivers the whole table (as the
     source system's feeds do): the merge then shuffles keys only, not current rows.
     """
     keys = _keys(spec, key)                        # a wrong key fails before any I/O
@@ -117,13 +123,13 @@ def raw_load(spark: SparkSession, spec: TableSpec, landing: str, base: str,
     stage_path = (f"{base.rstrip('/')}/_stage/{spec.name}-{uuid.uuid4().hex[:12]}"
                   if stage else None)
     bad = Observation(f"malformed_{uuid.uuid4().hex}")
-    claim = layers.claim_version(spark, path, keys)
+    target = tables.LayerLoad(spark, path, keys, bucket_bytes=bucket_bytes)
     try:
         with temporary(spark):
-            current = layers.read_layer(spark, path, below=claim.version)
-            merged = raw_rows(spark, spec, landing, key, current, stage_path, full_snapshot,
-                              malformed=bad, load=claim.version)
-            _, rows = tables.write_version(merged, path, claim, sort_key=keys)
+            merged = raw_rows(spark, spec, landing, key,
+                              lambda met, size: target.plan(None if full_snapshot else met, size),
+                              stage_path, full_snapshot, malformed=bad, load=target.version)
+            rows = target.write(merged)
     finally:
         if stage_path:
             layers.delete_path(spark, stage_path)
@@ -140,8 +146,8 @@ def _key_is_cast(spec: TableSpec, keys: list[str]) -> bool:
 
 
 def trusted_rows(raw: DataFrame, spec: TableSpec, key=None, mode: str = casts.STRICT,
-                 current: DataFrame | None = None, raw_unique: bool | None = False,
-                 covers: bool = True) -> DataFrame:
+                 current: DataFrame | Callable[[DataFrame | None], DataFrame | None] | None = None,
+                 raw_unique: bool | None = False, covers: bool = True) -> DataFrame:
     """J2 plan: cast first (so '01037' and '1037' are one key), then merge.
 
     Rows that casts make one key are ordered by their arrival: the last one stays. In
@@ -151,7 +157,8 @@ def trusted_rows(raw: DataFrame, spec: TableSpec, key=None, mode: str = casts.ST
     key wrote them); when the casts leave the key columns alone they stay one per
     key, and the dedupe (a sort and shuffle of the whole table) is skipped.
     ``raw_unique=None`` finds out with a keys-only probe of the cast rows. ``covers``
-    says that ``raw`` is all of the raw layer, not what is new in it.
+    says that ``raw`` is all of the raw layer, not what is new in it. ``current`` may be
+    a function that gives the current rows for the new rows' key set (None: for all).
     """
     keys = _keys(spec, key)
     texts = {k: f"_text_{k}" for k in keys if spec.trusted.get(k, TEXT) != TEXT}
@@ -166,53 +173,65 @@ def trusted_rows(raw: DataFrame, spec: TableSpec, key=None, mode: str = casts.ST
     else:
         unique = raw_unique and not _key_is_cast(spec, keys)
     newest = (cast if unique else keep_last(cast, wide, order)).select(*spec.columns)
+    incoming = None
+    if callable(current):
+        if covers:
+            current = current(None)
+        else:
+            incoming = batch_keys(newest, keys).frame
+            current = current(incoming)
     # the whole of raw covers every trusted key (a raw merge never drops one)
     return upsert(current, newest, keys, current_is_unique=current is not None,
-                  batch_is_unique=True, batch_covers_current=covers)
+                  batch_is_unique=True, batch_covers_current=covers, incoming=incoming)
 
 
-def new_raw_rows(spark: SparkSession, spec: TableSpec, base: str, raw: DataFrame, merged: str | None,
+def new_raw_rows(spark: SparkSession, spec: TableSpec, base: str, merged: str | None,
                  keys: list[str], mode: str) -> DataFrame | None:
     """The raw rows that arrived after the trusted version's own raw version, or None where
     all have to be merged: no record of that version, another cast mode since, or rows
-    whose cast key is null (those are known by their raw text only)."""
-    if merged is None or ARRIVAL not in raw.columns:
+    whose cast key is null (those are known by their raw text only). Only raw buckets
+    written since are read."""
+    if merged is None:
         return None
-    raw_id, _, its_mode = merged.partition("/")
+    raw_id, seen, its_mode = merged.split("/")
     if its_mode != mode or (mode != casts.STRICT and any(spec.trusted.get(k, TEXT) != TEXT for k in keys)):
         return None
     path = table_path(base, RAW, spec)
-    seen = next((c.version for c in layers.claims(spark, path) if c.id == raw_id), None)
-    return None if seen is None else raw.where(F.col(ARRIVAL)["load"] > seen)
+    load = layers.load_of(spark, path, layers.latest_version(spark, path))
+    if load is None or load.table != raw_id:       # a raw layer made anew counts its versions anew
+        return None
+    new = layers.read_layer(spark, path, since=int(seen))
+    return new.where(F.col(ARRIVAL)["load"] > int(seen)) if ARRIVAL in new.columns else None
 
 
 def load_trusted(spark: SparkSession, spec: TableSpec, base: str, key=None,
                  mode: str = casts.STRICT, keep: int = KEEP_VERSIONS,
-                 raw_unique: bool | None = None, full_snapshot: bool = False) -> int:
+                 raw_unique: bool | None = None, full_snapshot: bool = False,
+                 bucket_bytes: int = tables.BUCKET_BYTES) -> int:
     """Newest raw version -> new trusted version (older ones pruned). Returns rows.
 
     Only raw rows that arrived since the last trusted load are cast and merged (the
-    filter reaches the Parquet scan); where that load left no record, all are.
-    ``full_snapshot`` says that the last raw load re-delivered the table: then a merge
-    that shuffles keys only is the better one.
+    filter reaches the Parquet scan), into the trusted buckets that they meet; where that
+    load left no record, all are. ``full_snapshot`` says that the last raw load re-delivered
+    the table: then a merge that shuffles keys only is the better one.
     """
     keys = _keys(spec, key)
     raw_path, path = table_path(base, RAW, spec), table_path(base, TRUSTED, spec)
     raw_version = layers.latest_version(spark, raw_path)
     if raw_version is None:
         raise FileNotFoundError(f"no raw version of {spec.name}")
-    raw = spark.read.parquet(layers.version_path(raw_path, raw_version))
-    raw_claim = layers.claim_of(spark, raw_path, raw_version)
-    source = f"{raw_claim.id}/{mode}" if raw_claim and raw_claim.id else None
-    claim = layers.claim_version(spark, path, keys, source)
+    raw_load = layers.load_of(spark, raw_path, raw_version)
+    target = tables.LayerLoad(spark, path, keys, merged=raw_load and f"{raw_load.table}/{raw_version}/{mode}",
+                              bucket_bytes=bucket_bytes)
+    raw_folders = layers.folders(spark, raw_path, raw_version)
     with temporary(spark):
-        current = layers.read_layer(spark, path, below=claim.version)
-        before = layers.claim_of(spark, path, claim.base)
-        new = None if full_snapshot or current is None or before is None else new_raw_rows(
-            spark, spec, base, raw, before.source, keys, mode)
-        merged = trusted_rows(raw if new is None else new, spec, key, mode, current, raw_unique,
-                              covers=new is None)
-        _, rows = tables.write_version(merged, path, claim, sort_key=keys)
+        new = (None if full_snapshot or target.before is None
+               else new_raw_rows(spark, spec, base, target.before.merged, keys, mode))
+        raw = layers.read_layer(spark, raw_path, below=raw_version + 1) if new is None else new
+        merged = trusted_rows(raw, spec, key, mode,
+                              lambda met: target.plan(met, layers.size_of(spark, raw_folders if met is None else [])),
+                              raw_unique, covers=new is None)
+        rows = target.write(merged)
     layers.prune_versions(spark, path, keep)
     return rows
 
@@ -259,23 +278,23 @@ def run_all(spark: SparkSession, landing_root: str, base: str,
             cast_mode: str = casts.STRICT, write_mode: str = tables.APPEND,
             on_error: str = "skip", parallelism: int = 8,
             full_snapshot: bool = False, database: str | None = None) -> RunResult:
-    """Every table, layer by layer; one table's failure does not stop the rest.
+    """Every table through its layers; one table's failure does not stop the rest.
 
-    Tables of one layer run as concurrent Spark jobs (``parallelism`` threads).
-    With ``on_error="skip"`` a table that failed in one layer is ``skipped`` in the
+    Tables run as concurrent Spark jobs (``parallelism`` threads), each in its own scheduler
+    pool. A table goes on to its next layer without waiting for other tables, so a slow or
+    hanging feed holds up only itself. With ``on_error="skip"`` a table that failed in one layer is ``skipped`` in the
     later ones; ``"continue"`` runs them anyway (they then read older versions).
     Every step becomes a run-log row, appended to ``<base>/_run_log/source=batch``. With
     ``database`` the refined tables are also catalog tables ``<database>.<table>``
     whose data stays at ``<base>/refined/<table>``.
     """
     run_id = uuid.uuid4().hex
-    failed: set[str] = set()
+    failed: set[tuple[str, str]] = set()       # (layer, table): each table is one thread's
     loaded: set[tuple[str, str]] = set()
-    entries: list[dict] = []
 
     def step(layer: str, spec: TableSpec) -> dict:
         start = tables.now()
-        if on_error == "skip" and spec.name in failed:
+        if on_error == "skip" and any((before, spec.name) in failed for before in (RAW, TRUSTED)):
             return dict(run_id=run_id, layer=layer, table_name=spec.name, status=SKIPPED,
                         message="an earlier layer failed", rows=None, malformed=None,
                         started_at=start, ended_at=tables.now())
@@ -299,12 +318,17 @@ def run_all(spark: SparkSession, landing_root: str, base: str,
                     message=message, rows=rows, malformed=malformed,
                     started_at=start, ended_at=tables.now())
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+    def chain(spec: TableSpec) -> list[dict]:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"{run_id}-{spec.name}")
+        out = []
         for layer in (RAW, TRUSTED, REFINED):
-            done = list(pool.map(lambda s: step(layer, s), specs))
-            failed |= {d["table_name"] for d in done if d["status"] != OK}
-            loaded |= {(layer, d["table_name"]) for d in done if d["status"] == OK}
-            entries.extend(done)
+            out.append(step(layer, spec))
+            (loaded if out[-1]["status"] == OK else failed).add((layer, spec.name))
+        return out
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        chains = list(pool.map(chain, specs))
+    entries = [steps[i] for i in range(3) for steps in chains]       # layer by layer, as a log is read
     # the run log is one table partitioned by writer (batch runs, each table's stream)
     log = tables.append_run_log(spark, entries, f"{base.rstrip('/')}/_run_log/source=batch")
     return RunResult(run_id, log)

@@ -454,3 +454,12 @@ SQL["trusted_zip_variants"] = """
     FROM customer"""
 SQL["stream_over_lake"] = SQL["loaded_sellers"]
 SQL["refined_failed_overwrite"] = typed("orders")
+SQL["loaded_in_buckets"] = SQL["loaded_customers"]
+SQL["published_catalog_orders"] = f"""
+    SELECT 'before' AS read, order_status, count(*) AS orders, CAST(sum(CAST(order_id AS BIGINT)) AS BIGINT) AS id_sum,
+           max(order_purchase_timestamp) AS latest
+    FROM ({typed("orders")}) GROUP BY order_status
+    UNION ALL
+    SELECT 'now', order_status || '*', count(*), CAST(2 * sum(CAST(order_id AS BIGINT)) AS BIGINT),
+           max(order_purchase_timestamp)
+    FROM ({typed("orders")}) GROUP BY order_status"""

@@ -4,40 +4,101 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.session import work_dir
 from strata.sources import layers
 
 APPEND = "append"
 OVERWRITE = "overwrite"
+BUCKET_BYTES = 256 << 20     # of Parquet in a bucket, before its table is dealt to more of them
+MAX_BUCKETS = 1 << 14        # folders that one listing can take
 
 
-def write_version(df: DataFrame, table_path: str, claim: layers.Claim | None = None,
-                  sort_key=None) -> tuple[int, int]:
-    """K1: write ``df`` as a new version of a layer table; return (version, rows).
+def write_version(df: DataFrame, table_path: str, load: layers.Load | None = None,
+                  sort_key=None, version: int | None = None) -> tuple[int, int]:
+    """K1: write ``df`` as a new version of a layer table; return (version, rows written).
 
-    The number is claimed first (``claim``, or a new one after every existing version),
-    so two writers never write one folder; a folder that exists is an error. If another
-    load completed a version since the claim's base, this one is withdrawn and
-    ``ConcurrentLoad`` raised. ``sort_key`` sorts each file's rows by the key (O1 for
-    files; rows are not moved between tasks for it). Rows are counted by an
-    ``Observation`` during the write.
+    The folder is this load's own: it is begun with the load's note, which fails if it is there,
+    and seen once its ``_SUCCESS`` is. A table of several buckets (``load.buckets``) is dealt to
+    them by ``load.key``; ``df`` then holds all rows of each bucket it has a row of. ``sort_key``
+    sorts each file's rows by the key (O1 for files). Rows are counted by an ``Observation`` during
+    the write.
     """
     spark = df.sparkSession
-    claim = claim or layers.claim_version(spark, table_path)
-    if sort_key:
-        keys = [sort_key] if isinstance(sort_key, str) else list(sort_key)
-        df = df.sortWithinPartitions(*[F.col(k).asc_nulls_last() for k in keys])
+    version = version or layers.next_version(spark, table_path)
+    load = replace(load or layers.Load(id=uuid.uuid4().hex), schema=df.schema.json())
+    keys = [] if sort_key is None else [sort_key] if isinstance(sort_key, str) else list(sort_key)
+    order = [F.col(k).asc_nulls_last() for k in keys]
+    if load.buckets > 1:
+        df = df.withColumn(layers.BUCKET, layers.bucket_of([F.col(k) for k in load.key], load.buckets))
+        # a bucket in as many files as its rows fill, not one for each task that has a row of it
+        df = df.hint("rebalance", layers.BUCKET)
+        order = [F.col(layers.BUCKET), *order]
+    if order:
+        df = df.sortWithinPartitions(*order)
     obs = Observation(f"rows_{uuid.uuid4().hex}")     # unique: table jobs run concurrently
     counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("errorifexists").parquet(layers.version_path(table_path, claim.version))
-    layers.check_alone(spark, table_path, claim)
-    layers.mark_done(spark, table_path, claim.version)
-    return claim.version, int(obs.get["rows"])
+    layers.note_load(spark, table_path, version, load)
+    writer = counted.write.mode("append")
+    if load.buckets > 1:
+        writer = writer.partitionBy(layers.BUCKET)
+    writer.parquet(layers.version_path(table_path, version))
+    return version, int(obs.get["rows"])
+
+
+class LayerLoad:
+    """One load into a layer table: what is there, the buckets it meets, the version it writes."""
+
+    def __init__(self, spark: SparkSession, table_path: str, keys: list[str], source: str | None = None,
+                 merged: str | None = None, bucket_bytes: int = BUCKET_BYTES):
+        self.spark, self.path, self.keys = spark, table_path, keys
+        self.bucket_bytes = bucket_bytes
+        self.base = layers.latest_version(spark, table_path)
+        self.before = layers.load_of(spark, table_path, self.base)
+        if self.before and self.before.key and self.before.key != keys:
+            raise layers.KeyMismatch(f"{table_path} is keyed by {self.before.key}, this load by {keys}: "
+                                     "a lake keeps one key choice, start a new one to change it")
+        self.version = layers.next_version(spark, table_path)
+        name = uuid.uuid4().hex
+        self.load = layers.Load(name, self.before.table if self.before else name, keys, source, merged)
+
+    def plan(self, incoming: DataFrame | None, batch_bytes: int) -> DataFrame | None:
+        """Fix the buckets; return the current rows that the batch's keys may meet (all of them where
+        ``incoming``, the key columns in their order, is not given), or None on a first load.
+
+        The number of buckets is a power of two by the table's size. When the buckets have grown to
+        four times ``bucket_bytes`` the load writes the table anew in more of them."""
+        if self.base is None:
+            self.load = replace(self.load, buckets=self._buckets(batch_bytes))
+            return None
+        buckets = self.before.buckets if self.before else 1
+        size = layers.size_of(self.spark, layers.folders(self.spark, self.path, self.base)) + batch_bytes
+        if size > 4 * buckets * self.bucket_bytes:
+            self.load = replace(self.load, buckets=self._buckets(size))
+        elif buckets > 1:
+            touched = None
+            if incoming is not None:
+                at = layers.bucket_of([F.col(f"`{c}`") for c in incoming.columns], buckets)
+                touched = [r[0] for r in incoming.select(at.alias("b")).distinct().collect()]
+            self.load = replace(self.load, buckets=buckets, whole=touched is None or len(touched) == buckets)
+            return layers.read_layer(self.spark, self.path, below=self.version,
+                                     buckets=None if self.load.whole else touched)
+        return layers.read_layer(self.spark, self.path, below=self.version)
+
+    def _buckets(self, size: int) -> int:
+        wanted = -(-size // self.bucket_bytes)
+        return min(MAX_BUCKETS, 1 << max(0, wanted - 1).bit_length())
+
+    def write(self, rows: DataFrame) -> int:
+        """Write the version; return the rows that the table now has."""
+        _, written = write_version(rows, self.path, self.load, sort_key=self.keys, version=self.version)
+        if self.load.whole:
+            return written
+        return layers.read_layer(self.spark, self.path, below=self.version + 1).count()   # file footers
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:
@@ -62,28 +123,57 @@ def _check_schema(schema: T.StructType, wanted: T.StructType, what: str) -> None
         raise ValueError(f"{what} has columns {_types(wanted)}, the rows have {_types(schema)}")
 
 
-def _replace_folder(spark, new: str, path: str) -> None:
+def _restore(spark: SparkSession, path: str) -> None:
+    """Put a table's rows back that an overwrite by path had set aside when it was ended."""
+    fs, target = layers._fs(spark, path)
+    _, aside = layers._fs(spark, f"{path.rstrip('/')}-before")
+    if fs.exists(aside):
+        if fs.exists(target):
+            fs.delete(aside, True)
+        elif not fs.rename(aside, target):
+            raise OSError(f"cannot put {path}-before back")
+
+
+def _replace_folder(spark: SparkSession, new: str, path: str) -> None:
     """Put a completely written folder in the place of another (two renames)."""
     fs, target = layers._fs(spark, path)
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    old = f"{new}-old"
-    if fs.exists(target) and not fs.rename(target, jvm_path(old)):
+    _, aside = layers._fs(spark, f"{path.rstrip('/')}-before")
+    if fs.exists(target) and not fs.rename(target, aside):
         raise OSError(f"cannot move {path}")
-    if not fs.rename(jvm_path(new), target):
-        fs.rename(jvm_path(old), target)
+    if not fs.rename(layers._fs(spark, new)[1], target):
+        _restore(spark, path)
         raise OSError(f"cannot move {new} to {path}")
-    layers.delete_path(spark, old)
+    fs.delete(aside, True)
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
+
+
+def _point(spark: SparkSession, table: str, folder: str, schema: T.StructType) -> None:
+    """Make the catalog table read a complete folder: one change of the catalog, no data moves."""
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+        spark.catalog.refreshTable(table)
+    else:
+        spark.catalog.createTable(table, folder, "parquet", schema)
 
 
 def publish(df: DataFrame, mode: str = APPEND, table: str | None = None,
             path: str | None = None, schema: T.StructType | None = None) -> int:
     """K3: publish refined rows; ``append`` adds (a rerun doubles), ``overwrite`` replaces.
 
-    ``table`` writes a catalog table (its location is the path when given, else the
-    warehouse); ``path`` alone writes Parquet files. ``schema`` is the declared one;
-    it and the columns of a table that exists are checked before anything is written.
-    An overwrite first writes all rows beside the table and only then takes its
-    place, so a load that fails leaves the old rows there. Returns the rows written.
+    ``table`` writes a catalog table, whose data lie below ``path`` (else below the warehouse);
+    ``path`` alone writes Parquet files. ``schema`` is the declared one; it and the columns of
+    a table that exists are checked before anything is written. Returns the rows written.
+
+    An overwrite never touches rows that can be read. Of a catalog table, it writes a complete new
+    folder and then points the table there, one change in the catalog; the folder before it stays
+    for readers in flight until the next overwrite. So at every moment, also when the job or its
+    driver ends, the table has the old rows or the new ones. By path alone the new folder takes the
+    old one's place by two renames: an end between them is mended by the next publish, and readers
+    then find nothing meanwhile; on object stores, where a rename copies, give a ``table``.
     """
     if mode not in (APPEND, OVERWRITE):
         raise ValueError(f"mode must be 'append' or 'overwrite', got {mode!r}")
@@ -93,34 +183,45 @@ def publish(df: DataFrame, mode: str = APPEND, table: str | None = None,
     if schema is not None:
         _check_schema(df.schema, schema, "the declared table")
     known = bool(table) and spark.catalog.tableExists(table)
-    there = known or bool(path) and layers.exists(spark, path)
+    if not table:
+        _restore(spark, path)
+    there = known or not table and layers.exists(spark, path)
     if there and mode == APPEND:
         old = spark.table(table) if known else spark.read.parquet(path)
         _check_schema(df.schema, old.schema, table or path)
     obs = Observation(f"published_{uuid.uuid4().hex}")
     counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if mode == APPEND or not there:
+    if table and not (known and mode == APPEND):
+        root = path or f"{spark.conf.get('spark.sql.warehouse.dir')}/{table}.published"
+        new = f"{root.rstrip('/')}/published-{_dt.datetime.now(_dt.timezone.utc):%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+        before = _location(spark, table) if known else None
+        try:
+            counted.write.format("parquet").save(new)
+            _point(spark, table, new, df.schema)
+        except Exception:
+            layers.delete_path(spark, new)
+            raise
+        _drop_older(spark, root, {new, before})
+    elif mode == APPEND or not there:
         writer = counted.write.mode(APPEND).format("parquet")
-        if table:
-            (writer.option("path", path) if path else writer).saveAsTable(table)
-        else:
-            writer.save(path)
-        return int(obs.get["rows"])
-    new = f"{(path or work_dir(spark, 'publish')).rstrip('/')}-{uuid.uuid4().hex[:12]}"
-    try:
-        counted.write.format("parquet").save(new)
-        rows = int(obs.get["rows"])
-        if path:
+        writer.saveAsTable(table) if table else writer.save(path)
+    else:
+        new = f"{path.rstrip('/')}-{uuid.uuid4().hex[:12]}"
+        try:
+            counted.write.format("parquet").save(new)
             _replace_folder(spark, new, path)
-            if known:
-                spark.catalog.refreshTable(table)
-            elif table:
-                spark.catalog.createTable(table, path, "parquet")
-        else:        # the rows are final: no cast or join can fail any more
-            spark.read.schema(df.schema).parquet(new).write.mode(OVERWRITE).saveAsTable(table)
-    finally:
-        layers.delete_path(spark, new)
-    return rows
+        finally:
+            layers.delete_path(spark, new)
+    return int(obs.get["rows"])
+
+
+def _drop_older(spark: SparkSession, root: str, keep: set[str | None]) -> None:
+    """Delete published folders but the current one and the one before it."""
+    fs, p = layers._fs(spark, root)
+    kept = {layers._fs(spark, k)[1].getName() for k in keep if k}
+    for st in fs.listStatus(p):
+        if st.getPath().getName() not in kept:
+            fs.delete(st.getPath(), True)
 
 
 RUN_LOG_SCHEMA = T.StructType([

@@ -1,28 +1,33 @@
 """Versioned layer tables on a shared file system (S4-S6, K1 layout).
 
-A layer table is a folder of versions: ``<table>/version-000001/`` ... Each
-version is written whole by one Spark job; the commit protocol writes
-``_SUCCESS`` last, so readers take the newest version that has it. A job never
-reads and overwrites the same folder, which in Spark fails and loses the data.
-
-Before a job writes version n it claims the number by creating the file
-``<table>/_claims/version-00000n`` (an atomic step: one creator wins). The claim says
-which version the job started from, the table's key, and which stream batch it is, if any.
-When the version is complete and stands, a mark ``version-00000n.done`` is put beside the
-claim (again one atomic step); it outlives the version's folder.
-Paths go through the Hadoop file system API, so any Hadoop URI works.
+A layer table is a folder of versions: ``<table>/version-000001/`` ... One load writes one
+version in a folder of its own; the commit protocol writes ``_SUCCESS`` last, so a version is
+seen when it is whole, and never changes after that. No job renames or overwrites a file that
+another may read, so the layout needs nothing of a file system that an object store lacks.
+
+A large table is dealt to hash buckets of its key. A load then writes only the buckets that its
+batch meets (``version-000007/__bucket=12/``); the table's rows are, for each bucket, those of
+the newest version that has it. Small tables have one bucket and no such folders.
+
+``_load.json`` in a version says what the load was: the table's key, the stream batch it came
+from, what it had merged. A replayed stream batch finds its version by that, or its stream's last
+batch in ``_streams/`` once the version has been pruned.
+
+One rule is the caller's: a table has one writer at a time (a run, or its stream). Readers need
+no rule. Paths go through the Hadoop file system API, so any Hadoop URI works.
 """
 
 from __future__ import annotations
 
 import json
 import re
-import uuid
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-CLAIMS_KEPT = 64
+BUCKET = "__bucket"
 _VERSION = re.compile(r"^version-(\d{6,})$")
 
 
@@ -66,12 +71,108 @@ def latest_version(spark: SparkSession, table_path: str, below: int | None = Non
     return vs[-1] if vs else None
 
 
-def read_layer(spark: SparkSession, table_path: str, below: int | None = None) -> DataFrame | None:
-    """The newest complete version of a layer table (None if there is none)."""
+@dataclass(frozen=True)
+class Load:
+    """What a version's load was."""
+
+    id: str                    # unlike the number, never used twice
+    table: str | None = None   # the id of the table's first load, which its later loads hand on
+    key: list[str] | None = None
+    source: str | None = None  # raw: "<stream id>/<batch id>" of a stream batch
+    merged: str | None = None  # trusted: the raw load and cast mode up to which raw is merged
+    buckets: int = 1           # hash buckets of the table
+    whole: bool = True         # all buckets are written anew
+    schema: str | None = None  # of the rows, as JSON
+
+
+def load_of(spark: SparkSession, table_path: str, version: int | None) -> Load | None:
+    """What a version's load was (None for a version written without)."""
+    text = None if version is None else _read_text(spark, f"{version_path(table_path, version)}/_load.json")
+    return Load(**json.loads(text)) if text else None
+
+
+def note_load(spark: SparkSession, table_path: str, version: int, load: Load) -> None:
+    """Begin a version: its folder with the load's note. A folder that is there is an error."""
+    _write_text(spark, f"{version_path(table_path, version)}/_load.json", json.dumps(asdict(load)), False)
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def _write_text(spark: SparkSession, path: str, text: str, overwrite: bool) -> None:
+    fs, p = _fs(spark, path)
+    out = fs.create(p, overwrite)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def bucket_of(keys: list[Column], buckets: int) -> Column:
+    """The bucket of a key: by its text, so that it does not depend on the column's type."""
+    return F.pmod(F.xxhash64(*[k.cast("string") for k in keys]), F.lit(buckets)).cast("int")
+
+
+def _bucket_folders(spark: SparkSession, table_path: str, version: int) -> dict[int, str]:
+    fs, p = _fs(spark, version_path(table_path, version))
+    named = ((st.getPath().getName(), st.getPath().toString()) for st in fs.listStatus(p))
+    return {int(name.split("=")[1]): path for name, path in named if name.startswith(f"{BUCKET}=")}
+
+
+def bucket_paths(spark: SparkSession, table_path: str, version: int) -> dict[int, tuple[int, str]]:
+    """Bucket -> (version that has its rows, folder), as of a version. The newest first, back to
+    the last version that wrote the whole table."""
+    out: dict[int, tuple[int, str]] = {}
+    for v in reversed([v for v in versions(spark, table_path) if v <= version]):
+        for bucket, path in _bucket_folders(spark, table_path, v).items():
+            out.setdefault(bucket, (v, path))
+        load = load_of(spark, table_path, v)
+        if load is None or load.whole:
+            break
+    return out
+
+
+def read_layer(spark: SparkSession, table_path: str, below: int | None = None,
+               buckets: list[int] | None = None, since: int | None = None) -> DataFrame | None:
+    """The newest complete state of a layer table (None if there is none).
+
+    ``buckets`` reads only those; ``since`` only buckets written after that version."""
     v = latest_version(spark, table_path, below)
     if v is None:
         return None
-    return spark.read.parquet(version_path(table_path, v))
+    load = load_of(spark, table_path, v)
+    if not in_buckets(load):
+        return spark.read.parquet(version_path(table_path, v))
+    schema = T.StructType.fromJson(json.loads(load.schema))
+    paths = [path for bucket, (written, path) in sorted(bucket_paths(spark, table_path, v).items())
+             if (buckets is None or bucket in buckets) and (since is None or written > since)]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def in_buckets(load: Load | None) -> bool:
+    return load is not None and load.buckets > 1
+
+
+def folders(spark: SparkSession, table_path: str, version: int | None) -> list[str]:
+    """The folders that hold a table's rows, as of a version."""
+    if version is None:
+        return []
+    if not in_buckets(load_of(spark, table_path, version)):
+        return [version_path(table_path, version)]
+    return [path for _, path in bucket_paths(spark, table_path, version).values()]
+
+
+def size_of(spark: SparkSession, paths: list[str]) -> int:
+    """Bytes of the files below some folders."""
+    return sum(fs.getContentSummary(p).getLength() for fs, p in (_fs(spark, path) for path in paths))
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
@@ -80,131 +181,38 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
-class ConcurrentLoad(RuntimeError):
-    """Another load has written a version that this one did not start from."""
-
-
 class KeyMismatch(ValueError):
     """The table was loaded with another key."""
 
 
-@dataclass(frozen=True)
-class Claim:
-    """The right to write one version of a layer table."""
-
-    version: int
-    base: int | None           # the complete version the load starts from
-    key: tuple[str, ...] | None = None
-    source: str | None = None  # raw: "<stream id>/<batch id>" of a stream batch; trusted: what it has merged
-    id: str | None = None      # unlike the number, never used twice
+def next_version(spark: SparkSession, table_path: str) -> int:
+    """The number after every version there is, unfinished ones too."""
+    return max(versions(spark, table_path, complete_only=False), default=0) + 1
 
 
-def _claim_path(table_path: str, version: int) -> str:
-    return f"{table_path.rstrip('/')}/_claims/version-{version:06d}"
-
-
-def claims(spark: SparkSession, table_path: str) -> list[Claim]:
-    """All claims of a table, by version. A claim whose text is not whole yet has no details."""
-    fs, p = _fs(spark, f"{table_path.rstrip('/')}/_claims")
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        m = _VERSION.match(st.getPath().getName())
-        if not m:
-            continue
-        stream = fs.open(st.getPath())
-        try:
-            text = bytes(stream.readAllBytes()).decode()
-        finally:
-            stream.close()
-        try:
-            d = json.loads(text)
-        except ValueError:
-            d = {}
-        key = d.get("key")
-        out.append(Claim(int(m.group(1)), d.get("base"), tuple(key) if key else None, d.get("source"),
-                         d.get("id")))
-    return sorted(out, key=lambda c: c.version)
-
-
-def claim_version(spark: SparkSession, table_path: str, key=None, source: str | None = None) -> Claim:
-    """Claim the number after every version and claim there is; check the table's key."""
-    key = tuple(key) if key else None
-    while True:
-        known = claims(spark, table_path)
-        done = versions(spark, table_path)
-        for c in known:
-            if key and c.key and c.version in done and c.key != key:
-                raise KeyMismatch(f"{table_path} is keyed by {list(c.key)}, this load by {list(key)}: "
-                                  "a lake keeps one key choice, start a new one to change it")
-        every = versions(spark, table_path, complete_only=False) + [c.version for c in known]
-        claim = Claim(max(every, default=0) + 1, done[-1] if done else None, key, source, uuid.uuid4().hex)
-        fs, p = _fs(spark, _claim_path(table_path, claim.version))
-        fs.mkdirs(p.getParent())
-        if not fs.createNewFile(p):
-            continue                     # another writer has just taken the number
-        out = fs.create(p, True)
-        try:
-            out.write(bytearray(json.dumps({"base": claim.base, "key": key, "source": source,
-                                             "id": claim.id}).encode()))
-        finally:
-            out.close()
-        return claim
-
-
-def _mark_path(table_path: str, version: int) -> str:
-    return f"{_claim_path(table_path, version)}.done"
-
-
-def mark_done(spark: SparkSession, table_path: str, version: int) -> None:
-    """Put down that a claimed version was completed, whatever becomes of its folder."""
-    fs, p = _fs(spark, _mark_path(table_path, version))
-    fs.mkdirs(p.getParent())
-    fs.createNewFile(p)
-
-
-def done_versions(spark: SparkSession, table_path: str) -> set[int]:
-    """Versions that were completed: marked, or there and complete (a load may fail
-    between the two)."""
-    fs, p = _fs(spark, f"{table_path.rstrip('/')}/_claims")
-    names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
-    marked = (_VERSION.match(n.removesuffix(".done")) for n in names if n.endswith(".done"))
-    return {int(m.group(1)) for m in marked if m} | set(versions(spark, table_path))
-
-
-def check_alone(spark: SparkSession, table_path: str, claim: Claim) -> None:
-    """After the write: no other version was completed since the claim's base, else this
-    load's rows or theirs would be lost without a word; then this version goes."""
-    others = [v for v in versions(spark, table_path)
-              if v != claim.version and (claim.base is None or v > claim.base)]
-    if others:
-        delete_path(spark, version_path(table_path, claim.version))
-        delete_path(spark, _mark_path(table_path, claim.version))
-        raise ConcurrentLoad(f"{table_path}: version {others} was written while version "
-                             f"{claim.version} was made from {claim.base}; load again")
+def _stream_path(table_path: str, stream: str) -> str:
+    return f"{table_path.rstrip('/')}/_streams/{stream}.json"
 
 
 def version_of_source(spark: SparkSession, table_path: str, source: str) -> int | None:
     """The version that a stream batch has completed, if it has; its folder may be gone."""
-    done = done_versions(spark, table_path)
-    found = [c.version for c in claims(spark, table_path) if c.source == source and c.version in done]
-    return found[-1] if found else None
-
-
-def claim_of(spark: SparkSession, table_path: str, version: int | None) -> Claim | None:
-    """The claim that a version was written under."""
-    return next((c for c in claims(spark, table_path) if c.version == version), None)
+    for v in reversed(versions(spark, table_path)):
+        load = load_of(spark, table_path, v)
+        if load and load.source == source:
+            return v
+    stream, _, batch = source.rpartition("/")
+    known = json.loads(_read_text(spark, _stream_path(table_path, stream)) or "{}")
+    # a stream replays no batch but its last
+    return known["version"] if known and int(batch) <= known["batch"] else None
 
 
 def prune_versions(spark: SparkSession, table_path: str, keep: int = 2) -> list[int]:
-    """Delete all but the newest ``keep`` complete versions (and unfinished older ones).
+    """Delete what neither the newest ``keep`` states of the table nor a version still being
+    written need; return the numbers of the versions that are gone.
 
-    Versions are numbered after all that exist, so the newest is the one written last.
-    Readers that started on the previous version can still finish with ``keep >= 2``.
-    Claims stay for ``CLAIMS_KEPT`` versions more, and the last completed one of each
-    stream for good: a replayed stream batch, always its stream's last, is known by its
-    claim. Returns the deleted numbers.
+    Readers that started on the state before the newest can still finish with ``keep >= 2``. Of a
+    version whose buckets have partly been written anew only the others stay. A stream's last
+    batch is put down before its version goes.
     """
     if keep < 1:
         raise ValueError("keep at least one version")
@@ -212,17 +220,26 @@ def prune_versions(spark: SparkSession, table_path: str, keep: int = 2) -> list[
     if len(done) <= keep:
         return []
     oldest_kept = done[-keep]
-    gone = [v for v in versions(spark, table_path, complete_only=False) if v < oldest_kept]
-    for v in gone:
-        if v in done:              # its load may have failed before it put the mark
-            mark_done(spark, table_path, v)
+    needed: dict[int, set[str]] = {}
+    for v in done[-keep:]:
+        for written, path in bucket_paths(spark, table_path, v).values():
+            needed.setdefault(written, set()).add(path)
+    gone = []
+    for v in versions(spark, table_path, complete_only=False):
+        if v >= oldest_kept:
+            continue
+        if v in needed:
+            for path in _bucket_folders(spark, table_path, v).values():
+                if path not in needed[v]:
+                    delete_path(spark, path)
+            continue
+        load = load_of(spark, table_path, v)
+        if load and load.source and v in done:
+            stream, _, batch = load.source.rpartition("/")
+            known = json.loads(_read_text(spark, _stream_path(table_path, stream)) or "{}")
+            if not known or known["batch"] < int(batch):
+                _write_text(spark, _stream_path(table_path, stream),
+                            json.dumps({"batch": int(batch), "version": v}), True)
         delete_path(spark, version_path(table_path, v))
-    known, complete = claims(spark, table_path), done_versions(spark, table_path)
-    # a stream's claims end in the batch's number
-    sources = [(c.version, *c.source.rpartition("/")[::2]) for c in known if c.source and c.version in complete]
-    last = {stream: v for v, stream, batch in sources if batch.isdigit()}
-    for c in known:
-        if c.version < oldest_kept - CLAIMS_KEPT and c.version not in last.values():
-            delete_path(spark, _claim_path(table_path, c.version))
-            delete_path(spark, _mark_path(table_path, c.version))
+        gone.append(v)
     return gone

@@ -2,12 +2,13 @@
 
 New CSV files in the landing folder are read as a file stream; each micro-batch
 is merged into a versioned layer table with ``foreachBatch``. A micro-batch starts
-from the newest complete version, whoever wrote it (another stream, a batch run),
-and writes the next number. The version's claim names the stream (the id in its
+from the newest complete version, whoever wrote it (another stream before, a batch run),
+and writes the next number. The version's note names the stream (the id in its
 checkpoint) and the batch: when a batch is replayed after a failure
 (``foreachBatch`` is at-least-once) and its version was completed, that version
-stands, also when later loads have pruned its folder, so the table is exactly-once in effect. Inside a batch, the row that
-arrived last wins (file time, path, place in the file).
+stands, also when later loads have pruned its folder, so the table is exactly-once
+in effect. Inside a batch, the row that arrived last wins (file time, path, place in
+the file). A table has one writer at a time: its stream, or a run while that is stopped.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import types as T
 from strata.functions.text import CSV_OPTIONS
 from strata.operators.merge import batch_keys, upsert
 from strata.session import temporary
-from strata.sinks.tables import stage, write_version
+from strata.sinks.tables import LayerLoad, stage
 from strata.sources import layers
 from strata.sources.csv import ARRIVAL, ARRIVAL_TYPE, CORRUPT, arrival, file_place
 
@@ -76,34 +77,34 @@ def merge_batch(target: str, key, columns, stage_batch: bool = True, checkpoint:
         done = layers.version_of_source(spark, target, source)
         if done is not None:
             there = done in layers.versions(spark, target)
-            return spark.read.parquet(layers.version_path(target, done)).count() if there else None, None
-        claim = layers.claim_version(spark, target, keys, source)
-        current = layers.read_layer(spark, target, below=claim.version)
+            return layers.read_layer(spark, target, below=done + 1).count() if there else None, None
+        load = LayerLoad(spark, target, keys, source)
         flagged = CORRUPT in batch.columns
         if flagged:
             batch = batch.withColumn(MALFORMED, F.col(CORRUPT).isNotNull()).drop(CORRUPT)
         placed = ARRIVAL in batch.columns
         out = [*columns, *([ARRIVAL] if keep_arrival and placed else [])]
         if placed:
-            batch = batch.withColumn(ARRIVAL, arrival(F.col(ARRIVAL), claim.version))
-        if current is not None:
-            extra = [F.lit(False).alias(MALFORMED)] if flagged else []
-            if ARRIVAL in out:
-                old = F.col(ARRIVAL) if ARRIVAL in current.columns else F.lit(None)
-                extra.append(old.cast(ARRIVAL_TYPE).alias(ARRIVAL))
-            current = current.select(*columns, *extra)
+            batch = batch.withColumn(ARRIVAL, arrival(F.col(ARRIVAL), load.version))
         bad = Observation(f"malformed_{uuid.uuid4().hex}") if flagged else None
         stage_path = f"{target.rstrip('/')}/_stage/{uuid.uuid4().hex}" if stage_batch else None
         try:
             with temporary(spark):
                 rows = stage(batch, stage_path) if stage_path else batch
                 found = batch_keys(rows, keys)
+                current = load.plan(found.frame, layers.size_of(spark, [stage_path] if stage_path else []))
+                if current is not None:
+                    extra = [F.lit(False).alias(MALFORMED)] if flagged else []
+                    if ARRIVAL in out:
+                        old = F.col(ARRIVAL) if ARRIVAL in current.columns else F.lit(None)
+                        extra.append(old.cast(ARRIVAL_TYPE).alias(ARRIVAL))
+                    current = current.select(*columns, *extra)
                 merged = upsert(current, rows, keys, order=[ARRIVAL] if placed else None,
                                 current_is_unique=current is not None,
                                 batch_is_unique=found.unique, incoming=found.frame)
                 if bad is not None:
                     merged = merged.observe(bad, F.count(F.when(F.col(MALFORMED), 1)).alias("n"))
-                _, rows_written = write_version(merged.select(*out), target, claim, sort_key=keys)
+                rows_written = load.write(merged.select(*out))
         finally:
             if stage_path:
                 layers.delete_path(spark, stage_path)

@@ -316,7 +316,7 @@ def test_cli_watch_drains_landing(spark, tmp_dir):
     assert [r.seller_zip_code_prefix for r in refined.collect()] == [13023]
 
 
-# --- order of arrival, claims, replays, failures -------------------------------
+# --- order of arrival, versions, replays, failures -------------------------------
 
 def test_last_in_file_wins_whatever_its_text(spark, tmp_dir):
     landing = f"{tmp_dir}/landing"
@@ -382,26 +382,18 @@ def test_another_key_is_refused(spark, tmp_dir):
     assert jobs.load_raw(spark, S.ITEMS, src, f"{tmp_dir}/lake") == 2
 
 
-def test_two_writers_never_lose_a_load(spark, tmp_dir):
+def test_a_version_is_one_load_of_its_own(spark, tmp_dir):
     import pytest
     path = f"{tmp_dir}/t"
     tables.write_version(spark.range(1), path)
-    a = layers.claim_version(spark, path)
-    b = layers.claim_version(spark, path)
-    assert (a.version, b.version, a.base, b.base) == (2, 3, 1, 1)
-    assert tables.write_version(spark.range(2), path, a) == (2, 2)
-    with pytest.raises(layers.ConcurrentLoad):           # made from version 1, 2 is there now
-        tables.write_version(spark.range(3), path, b)
-    assert layers.versions(spark, path) == [1, 2]
-    late = layers.claim_version(spark, path)
-    early = layers.claim_version(spark, path)
-    tables.write_version(spark.range(5), path, early)
-    with pytest.raises(layers.ConcurrentLoad):           # would be hidden by the newer number
-        tables.write_version(spark.range(4), path, late)
-    assert layers.read_layer(spark, path).count() == 5
+    with pytest.raises(Exception, match="exists"):       # another load's folder is never written into
+        tables.write_version(spark.range(2), path, version=1)
+    assert layers.read_layer(spark, path).count() == 1
     # an unfinished version takes its number, nothing more
     write_text(f"{layers.version_path(path, 9)}/part-0.parquet", "garbage")
+    assert layers.read_layer(spark, path).count() == 1
     assert tables.write_version(spark.range(6), path)[0] == 10
+    assert layers.versions(spark, path) == [1, 10]
 
 
 def test_stream_over_a_lake_of_batch_loads(spark, tmp_dir):
@@ -427,32 +419,186 @@ def test_replay_after_another_writer_keeps_the_newer_rows(spark, tmp_dir):
     run = merge_batch(target, ["order_id"], ["order_id", "order_status"])
     run(spark.createDataFrame([("o1", "stream")], schema), 0)
     other = spark.createDataFrame([("o1", "batch"), ("o2", "batch")], schema)
-    tables.write_version(other, target, layers.claim_version(spark, target, ["order_id"]))
+    tables.write_version(other, target)
     run(spark.createDataFrame([("o1", "stream")], schema), 0)          # replay
     got = {r.order_id: r.order_status for r in layers.read_layer(spark, target).collect()}
     assert got == {"o1": "batch", "o2": "batch"}
 
 
-def test_replay_after_its_version_was_pruned(spark, tmp_dir, monkeypatch):
+def test_replay_after_its_version_was_pruned(spark, tmp_dir):
     from strata.streaming.incremental import merge_batch
-    monkeypatch.setattr(layers, "CLAIMS_KEPT", 1)
     schema = "order_id string, order_status string"
-    for crash in (False, True):          # crash: the load fails before it marks its version
-        target = f"{tmp_dir}/t{crash}"
-        run = merge_batch(target, ["order_id"], ["order_id", "order_status"])
-        run(spark.createDataFrame([("o1", "stream")], schema), 0)
-        if crash:
-            layers.delete_path(spark, layers._mark_path(target, 1))
-        for n in range(5):
-            other = spark.createDataFrame([("o1", f"batch {n}")], schema)
-            tables.write_version(other, target, layers.claim_version(spark, target, ["order_id"]))
-            layers.prune_versions(spark, target, keep=2)
-        assert layers.versions(spark, target) == [5, 6]
-        assert run(spark.createDataFrame([("o1", "stream")], schema), 0) == (None, None)      # replay
-        assert layers.read_layer(spark, target).collect() == [("o1", "batch 4")]
-        assert len(layers.claims(spark, target)) == 4         # the stream's, and versions 4 to 6
-        run(spark.createDataFrame([("o1", "next")], schema), 1)
-        assert layers.read_layer(spark, target).collect() == [("o1", "next")]
+    target = f"{tmp_dir}/t"
+    run = merge_batch(target, ["order_id"], ["order_id", "order_status"])
+    run(spark.createDataFrame([("o1", "stream")], schema), 0)
+    for n in range(5):
+        tables.write_version(spark.createDataFrame([("o1", f"batch {n}")], schema), target)
+        layers.prune_versions(spark, target, keep=2)
+    assert layers.versions(spark, target) == [5, 6]
+    assert run(spark.createDataFrame([("o1", "stream")], schema), 0) == (None, None)      # replay
+    assert layers.read_layer(spark, target).collect() == [("o1", "batch 4")]
+    run(spark.createDataFrame([("o1", "next")], schema), 1)
+    assert layers.read_layer(spark, target).collect() == [("o1", "next")]
+
+
+def test_two_streams_in_turn_and_their_replays(spark, tmp_dir, monkeypatch):
+    from strata.streaming import incremental
+    monkeypatch.setattr(incremental, "stream_id", lambda spark, checkpoint: checkpoint)
+    target, schema = f"{tmp_dir}/t", "k string, v string"
+    runs = {s: incremental.merge_batch(target, ["k"], ["k", "v"], checkpoint=s) for s in ("one", "two")}
+
+    def rows():
+        return {r.k: r.v for r in layers.read_layer(spark, target).collect()}
+
+    def send(stream, n):
+        runs[stream](spark.createDataFrame([("shared", f"{stream} {n}"), (stream, str(n))], schema), n)
+
+    for n in range(4):
+        for stream in ("one", "two"):
+            send(stream, n)
+            before = rows()
+            send(stream, n)                          # replayed at once
+            assert rows() == before
+        send("one", n)                               # replayed after the other stream has loaded
+        assert rows() == {"shared": f"two {n}", "one": str(n), "two": str(n)}
+    assert layers.versions(spark, target) == [7, 8]
+
+
+def drop(tmp_dir, n, rows):
+    return land(f"{tmp_dir}/l{n}", S.SELLERS, "".join(f"s{k},{k},{city},SP\n" for k, city in rows)).rsplit("/", 1)[0]
+
+
+def load_buckets(spark, src, base, bucket_bytes, **kw):
+    jobs.load_raw(spark, S.SELLERS, src, base, bucket_bytes=bucket_bytes, **kw)
+    return jobs.load_trusted(spark, S.SELLERS, base, bucket_bytes=bucket_bytes)
+
+
+def files_of(path):
+    import os
+    return {f"{d}/{f}": os.stat(f"{d}/{f}").st_mtime_ns for d, _, fs in os.walk(path) for f in fs
+            if f.endswith(".parquet")}
+
+
+def test_a_load_writes_only_the_buckets_that_it_meets(spark, tmp_dir):
+    base = f"{tmp_dir}/lake"
+    model = {k: "a" for k in range(4000)}
+    assert load_buckets(spark, drop(tmp_dir, 0, model.items()), base, 4000) == 4000
+    raw, trusted = (jobs.table_path(base, layer, S.SELLERS) for layer in (jobs.RAW, jobs.TRUSTED))
+    assert all(layers.load_of(spark, t, 1).buckets >= 8 for t in (raw, trusted))
+    before = {t: files_of(t) for t in (raw, trusted)}
+    batch = [(7, "b"), (100_000, "b")]
+    model |= dict(batch)
+    assert load_buckets(spark, drop(tmp_dir, 1, batch), base, 4000) == 4001
+    for t in (raw, trusted):
+        after = files_of(t)
+        new = {f for f in after if f not in before[t]}
+        assert all(after[f] == time for f, time in before[t].items())          # none was touched
+        assert 1 <= len({f.split("/")[-2] for f in new}) <= 2
+        assert all("/version-000002/" in f for f in new)
+    for n in range(2, 7):                                                      # pruned meanwhile
+        batch = [(37 * n, f"c{n}"), (200_000 + n, f"c{n}"), (7, f"c{n}")]
+        model |= dict(batch)
+        load_buckets(spark, drop(tmp_dir, n, batch), base, 4000)
+        for layer in (raw, trusted):
+            rows = layers.read_layer(spark, layer).collect()
+            assert {int(r.seller_id[1:]): r.seller_city for r in rows} == model and len(rows) == len(model)
+            assert layers.read_layer(spark, layer, below=layers.latest_version(spark, layer)).count() == \
+                len(model) - 1                                                 # the state before can still be read
+    # what no kept state needs is gone: no bucket is there more than three times
+    names = [f.rsplit("/", 2)[1] for f in files_of(raw)]
+    assert max(names.count(b) for b in set(names)) <= 3
+
+
+def test_buckets_are_read_by_what_a_batch_meets(spark, tmp_dir, monkeypatch):
+    base = f"{tmp_dir}/lake"
+    load_buckets(spark, drop(tmp_dir, 0, [(k, "a") for k in range(4000)]), base, 4000)
+    read, plain = [], layers.read_layer
+
+    def watched(*args, **kw):
+        out = plain(*args, **kw)
+        if out is not None and kw:
+            read.append((kw.get("buckets") is not None or kw.get("since") is not None, out.count()))
+        return out
+
+    monkeypatch.setattr(layers, "read_layer", watched)
+    jobs.load_raw(spark, S.SELLERS, drop(tmp_dir, 1, [(7, "b")]), base, bucket_bytes=4000)
+    partly = [n for some, n in read if some]
+    assert len(partly) == 1 and partly[0] < 1000                              # of 4000 rows
+    read.clear()
+    jobs.load_trusted(spark, S.SELLERS, base, bucket_bytes=4000)
+    partly = [n for some, n in read if some]
+    assert len(partly) == 2 and max(partly) < 1000                             # raw since, trusted met
+
+
+def test_a_grown_table_gets_more_buckets(spark, tmp_dir):
+    base, model = f"{tmp_dir}/lake", {}
+    raw = jobs.table_path(base, jobs.RAW, S.SELLERS)
+    seen = []
+    for n, size in enumerate((1, 3, 400, 3, 30_000, 2)):
+        batch = [(100_000 * n + k, f"city{n}") for k in range(size)]
+        model |= dict(batch)
+        assert load_buckets(spark, drop(tmp_dir, n, batch), base, 4000) == len(model)
+        load = layers.load_of(spark, raw, n + 1)
+        seen.append((load.buckets, load.whole))
+    assert seen[0] == (1, True) and seen[-1][0] > seen[2][0] >= 1 and not seen[-1][1]
+    # a re-delivery of the table, and a load into another key
+    assert load_buckets(spark, drop(tmp_dir, 9, model.items()), base, 4000, full_snapshot=True) == len(model)
+    assert layers.load_of(spark, raw, 7).whole
+    import pytest
+    with pytest.raises(layers.KeyMismatch):
+        jobs.load_raw(spark, S.SELLERS, drop(tmp_dir, 10, [(1, "x")]), base, key="seller_city")
+
+
+def test_a_load_that_fails_leaves_all_buckets(spark, tmp_dir):
+    import pytest
+    base = f"{tmp_dir}/lake"
+    load_buckets(spark, drop(tmp_dir, 0, [(k, "a") for k in range(4000)]), base, 4000)
+    bad = land(f"{tmp_dir}/bad", S.SELLERS, "s7,no number,b,SP\n").rsplit("/", 1)[0]
+    jobs.load_raw(spark, S.SELLERS, bad, base, bucket_bytes=4000)
+    with pytest.raises(Exception):
+        jobs.load_trusted(spark, S.SELLERS, base, bucket_bytes=4000)
+    trusted = jobs.table_path(base, jobs.TRUSTED, S.SELLERS)
+    assert {r.seller_city for r in layers.read_layer(spark, trusted).collect()} == {"a"}
+    assert load_buckets(spark, drop(tmp_dir, 1, [(7, "c")]), base, 4000) == 4000
+    assert {r.seller_id for r in layers.read_layer(spark, trusted).where("seller_city = 'c'").collect()} == {"s7"}
+
+
+def test_composite_and_null_keys_in_buckets(spark, tmp_dir):
+    base, spec = f"{tmp_dir}/lake", S.ITEMS
+    rows = [f"o{k % 50},{k},p,s,,{k},1" for k in range(300)] + [",1,p,s,,5,1"]
+    for n, body in enumerate((rows, [",1,p,s,,6,1", "o1,1,q,s,,7,1", "o99,,q,s,,8,1"], ["o99,,q,s,,9,1"])):
+        src = land(f"{tmp_dir}/l{n}", spec, "\n".join(body) + "\n").rsplit("/", 1)[0]
+        jobs.load_raw(spark, spec, src, base, bucket_bytes=500)
+        jobs.load_trusted(spark, spec, base, bucket_bytes=500)
+    got = {(r.order_id, r.order_item_id): r.price
+           for r in layers.read_layer(spark, jobs.table_path(base, jobs.TRUSTED, spec)).collect()}
+    assert len(got) == 302 and got[None, "1"] == 6 and got["o1", "1"] == 7 and got["o99", None] == 9
+
+
+def test_a_slow_feed_holds_up_only_itself(spark, tmp_dir, monkeypatch):
+    import threading
+    landing = f"{tmp_dir}/landing"
+    land(landing, S.SELLERS, "s1,1,a,SP\n")
+    land(landing, S.CUSTOMERS, "c1,u1,1,a,SP\n")
+    refined, plain_raw, plain_refined = threading.Event(), jobs.raw_load, jobs.load_refined
+    waited = []
+
+    def slow(spark_, spec, *args, **kw):
+        if spec.name == "customers":               # this feed comes when sellers are refined
+            waited.append(refined.wait(60))
+        return plain_raw(spark_, spec, *args, **kw)
+
+    def watched(spark_, spec, *args, **kw):
+        out = plain_refined(spark_, spec, *args, **kw)
+        refined.set()
+        return out
+
+    monkeypatch.setattr(jobs, "raw_load", slow)
+    monkeypatch.setattr(jobs, "load_refined", watched)
+    log = jobs.run_all(spark, landing, f"{tmp_dir}/lake", specs=(S.CUSTOMERS, S.SELLERS)).log.collect()
+    assert waited == [True]
+    assert [(r.layer, r.table_name, r.status) for r in log] == [
+        (layer, t, "ok") for layer in ("raw", "trusted", "refined") for t in ("customers", "sellers")]
 
 
 def test_failed_overwrite_leaves_the_table(spark, tmp_dir):
@@ -475,6 +621,58 @@ def test_failed_overwrite_leaves_the_table(spark, tmp_dir):
         spark.sql(f"DROP TABLE IF EXISTS {t}")
 
 
+def test_catalog_switch_leaves_readers_and_failures_with_whole_tables(spark, tmp_dir, monkeypatch):
+    import os
+
+    import pytest
+    name = "strata_switch_test_" + tmp_dir.rsplit("-", 1)[-1]
+    path = f"{tmp_dir}/t"
+
+    def rows(n):
+        return spark.range(n).select(F.col("id").alias("k"))
+
+    def count():
+        return spark.table(name).count()
+
+    try:
+        tables.publish(rows(1), tables.OVERWRITE, table=name, path=path)
+        reader = spark.table(name)
+        reader.count()                                   # plans are lazy: the files are listed now
+        tables.publish(rows(2), tables.OVERWRITE, table=name, path=path)
+        assert reader.collect() == [(0,)] and count() == 2           # in flight, and new
+        # ended at every step: before the write, before the switch, after it
+        steps = [("_check_schema", tables), ("_point", tables), ("_drop_older", tables)]
+        for n, (step, module) in enumerate(steps):
+            plain = getattr(module, step)
+
+            def fails(*args):
+                raise RuntimeError("ended here")
+
+            monkeypatch.setattr(module, step, fails)
+            with pytest.raises(RuntimeError, match="ended here"):
+                tables.publish(rows(10 + n), tables.OVERWRITE, table=name, path=path, schema=rows(0).schema)
+            assert count() == (12 if step == "_drop_older" else 2)
+            monkeypatch.setattr(module, step, plain)
+        tables.publish(rows(3), tables.APPEND, table=name, path=path)
+        assert count() == 15
+        tables.publish(rows(4), tables.OVERWRITE, table=name, path=path)
+        tables.publish(rows(5), tables.OVERWRITE, table=name, path=path)
+        assert count() == 5 and len(os.listdir(path)) == 2           # the current folder, and the one before
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_an_overwrite_by_path_that_was_ended_is_mended(spark, tmp_dir):
+    import os
+    path = f"{tmp_dir}/p"
+    tables.publish(spark.range(3), tables.OVERWRITE, path=path)
+    os.rename(path, f"{path}-before")                    # ended between the two renames
+    assert tables.publish(spark.range(2), tables.APPEND, path=path) == 2
+    assert spark.read.parquet(path).count() == 5
+    tables.publish(spark.range(1), tables.OVERWRITE, path=path)
+    assert spark.read.parquet(path).count() == 1 and os.listdir(tmp_dir) == ["p"]
+
+
 def test_wrong_schema_is_refused(spark, tmp_dir):
     import pytest
     good = spark.createDataFrame([("a", 1)], "k string, n long")
