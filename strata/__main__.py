@@ -32,6 +32,8 @@ def main(argv=None) -> int:
                      help="also register refined tables as <database>.<table>")
     run.add_argument("--full-snapshot", action="store_true",
                      help="landing files re-deliver whole tables (merge shuffles keys only)")
+    run.add_argument("--on-malformed", default="keep", choices=["keep", "reject"],
+                     help="short and long landing rows: pad and cut, or write to <lake>/_rejects")
     watch.add_argument("--every", default=None, help='processing-time trigger, e.g. "20 minutes"')
     watch.add_argument("--checkpoint", default=None, help="stream checkpoints (default: below lake)")
     args = ap.parse_args(argv)
@@ -48,7 +50,7 @@ def main(argv=None) -> int:
         result = jobs.run_all(spark, args.landing, args.lake, specs=specs, key=args.key,
                               cast_mode=args.cast_mode, write_mode=args.write_mode,
                               on_error=args.on_error, full_snapshot=args.full_snapshot,
-                              database=args.database)
+                              database=args.database, on_malformed=args.on_malformed)
         result.log.select("layer", "table_name", "status", "rows", "message") \
             .show(len(specs) * 3, truncate=80)
         failed = result.log.filter("status != 'ok'").count()

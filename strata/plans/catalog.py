@@ -20,6 +20,7 @@ from strata.session import work_dir
 from strata.sinks import tables
 from strata.sources import csv as csv_src
 from strata.sources import layers
+from strata.sources.multiline import read_multiline
 
 
 def _ddl(schema: T.StructType) -> str:
@@ -68,6 +69,35 @@ def csv_ragged(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col(csv_src.CORRUPT).isNotNull().alias("malformed"))
 
 
+def csv_scan_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents (newlines in quoted text) as few large CSV files, each read in many splits."""
+    docs = table(spark, sf_dir, "documents")
+    path = csv_src.write_csv(docs, work_dir(spark, "csv_scan_splits"))
+    return read_multiline(spark, path, docs.schema).select(*docs.columns)
+
+
+def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: short and long lines of a feed go to the reject table with their text and reason; the
+    others are loaded."""
+    spec = S.CUSTOMERS
+    c = standins.feed(spark, sf_dir, spec)
+    key = F.col("customer_id").cast("bigint")
+    quoted = F.concat(F.lit('"'), F.col("customer_city"), F.lit(', ""x"""'))
+    fields = ["customer_id", "customer_unique_id", "customer_zip_code_prefix", quoted,
+              F.coalesce("customer_state", F.lit(""))]
+    line = (F.when(key % 5 == 0, F.concat_ws(",", *fields[:3]))
+            .when(key % 7 == 0, F.concat_ws(",", *fields, F.lit("more, and more")))
+            .otherwise(F.concat_ws(",", *fields)))
+    root = work_dir(spark, "rejected_rows")
+    landing = csv_src.write_text_lines(c.select(line.alias("line")), "line", f"{root}/landing")
+    jobs.load_raw(spark, spec, landing, f"{root}/lake", on_malformed=jobs.REJECT, header=False)
+    bad = spark.read.parquet(jobs.rejects_path(f"{root}/lake", spec))
+    good = layers.read_layer(spark, jobs.table_path(f"{root}/lake", jobs.RAW, spec))
+    return (bad.select("reason", F.col("load").cast("bigint").alias("load"), "line")
+            .unionByName(good.select(F.lit("loaded").alias("reason"), F.lit(1).cast("bigint").alias("load"),
+                                     F.concat_ws("|", *spec.columns).alias("line"))))
+
+
 # --- union / upsert / dedupe -------------------------------------------------
 
 def _drops(spark: SparkSession, sf_dir: str):

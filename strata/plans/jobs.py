@@ -6,6 +6,7 @@ Folder layout below ``base`` (a path on shared storage)::
     trusted/<table>/version-NNNNNN/    cast rows, one per key
                     .../__bucket=N/    large tables: only the buckets of the key that a load met
     refined/<table>/                   published rows (append or overwrite)
+    _rejects/<table>/load=N/           malformed landing rows, where they are routed aside
     _run_log/source=<writer>/          one row per (layer, table) step
 
 Raw and trusted jobs read complete versions only and write a new one, in a folder of its
@@ -30,13 +31,15 @@ from pyspark.sql import functions as F
 
 from strata.functions import casts
 from strata.operators.merge import batch_keys, has_duplicate_keys, keep_last, upsert
-from strata.session import temporary
+from strata.session import temp_dir, temporary
 from strata.sinks import tables
 from strata.sources import layers
-from strata.sources.csv import ARRIVAL, ARRIVAL_TYPE, CORRUPT, read_csv, with_source_order
+from strata.sources.csv import ARRIVAL, ARRIVAL_TYPE, CORRUPT, read_csv, reject_rows, with_source_order
+from strata.sources.multiline import read_multiline
 from strata.specs import ALL_SPECS, TEXT, TableSpec
 
 RAW, TRUSTED, REFINED = "raw", "trusted", "refined"
+KEEP, REJECT = "keep", "reject"      # malformed landing rows: padded or cut, or routed aside
 OK, FAILED, SKIPPED = "ok", "failed", "skipped"
 MALFORMED = "_malformed"
 KEEP_VERSIONS = 2        # the newest version and the one before it, for readers in flight
@@ -46,6 +49,10 @@ def table_path(base: str, layer: str, spec: TableSpec) -> str:
     return f"{base.rstrip('/')}/{layer}/{spec.name}"
 
 
+def rejects_path(base: str, spec: TableSpec) -> str:
+    return f"{base.rstrip('/')}/_rejects/{spec.name}"
+
+
 def _keys(spec: TableSpec, key) -> list[str]:
     if key in (None, "natural"):
         return spec.keys(natural=True)
@@ -61,7 +68,8 @@ def _keys(spec: TableSpec, key) -> list[str]:
 def raw_rows(spark: SparkSession, spec: TableSpec, landing: str, key=None,
              current: DataFrame | Callable[[DataFrame, int], DataFrame | None] | None = None,
              stage_path: str | None = None, full_snapshot: bool = False,
-             malformed: Observation | None = None, load: int | None = None) -> DataFrame:
+             malformed: Observation | None = None, load: int | None = None,
+             header: bool = True, reject_path: str | None = None) -> DataFrame:
     """J1 plan: CSV batch merged into the current raw rows (batch wins).
 
     Inside the batch the row of a key that arrived last stays. With ``stage_path`` the
@@ -70,15 +78,28 @@ def raw_rows(spark: SparkSession, spec: TableSpec, landing: str, key=None,
     if so the full-row dedupe (a sort and shuffle of every row) is left out. ``current``
     may be a function that gives the current rows for that key set and the batch's bytes
     (those that the batch can meet are enough). Short and long rows are kept (padded with
-    null, or cut); with ``malformed`` the ones written from this batch are counted.
+    null, or cut); with ``malformed`` the ones written from this batch are counted. With
+    ``reject_path`` they are written there instead, each with its raw text, place and
+    reason, and are not loaded: of the one staged parse the good rows are one output and
+    the rejected rows the other.
     """
     keys = _keys(spec, key)
-    batch = with_source_order(read_csv(spark, landing, spec, corrupt_column=CORRUPT), load)
-    # the flag is made where every field is parsed (a job that reads only some fields,
-    # like the key aggregate, cannot tell a short row)
-    batch = batch.withColumn(MALFORMED, F.col(CORRUPT).isNotNull()).drop(CORRUPT)
-    if stage_path:
-        batch = tables.stage(batch, stage_path)
+    batch = landing_rows(spark, spec, landing, load, header)
+    flag = F.col(CORRUPT).isNotNull()
+    if reject_path:
+        batch = tables.stage(batch, stage_path or temp_dir(spark, "landing"))
+        bad = reject_rows(batch, len(spec.columns))
+        if malformed is not None:
+            bad = bad.observe(malformed, F.count(F.lit(1)).alias("malformed"))
+            malformed = None
+        bad.write.mode("overwrite").parquet(reject_path)
+        batch = batch.where(~flag).withColumn(MALFORMED, F.lit(False)).drop(CORRUPT)
+    else:
+        # the flag is made where every field is parsed (a job that reads only some fields,
+        # like the key aggregate, cannot tell a short row)
+        batch = batch.withColumn(MALFORMED, flag).drop(CORRUPT)
+        if stage_path:
+            batch = tables.stage(batch, stage_path)
     found = batch_keys(batch, keys)
     if callable(current):
         current = current(found.frame, layers.size_of(spark, [stage_path or landing]))
@@ -92,6 +113,15 @@ def raw_rows(spark: SparkSession, spec: TableSpec, landing: str, key=None,
     return merged.select(*spec.columns, ARRIVAL)
 
 
+def landing_rows(spark: SparkSession, spec: TableSpec, landing: str, load: int | None = None,
+                 header: bool = True) -> DataFrame:
+    """The rows of landing files as text, with ``CORRUPT`` and ``ARRIVAL``. A feed with newlines in
+    quoted fields is read in splits, too."""
+    if spec.multiline:
+        return read_multiline(spark, landing, spec.raw_schema, header, load=load)
+    return with_source_order(read_csv(spark, landing, spec, corrupt_column=CORRUPT, header=header), load)
+
+
 def raw_columns(current: DataFrame, spec: TableSpec) -> DataFrame:
     """The current raw rows with their arrival (null in a version written without it)."""
     place = F.col(ARRIVAL) if ARRIVAL in current.columns else F.lit(None)
@@ -100,14 +130,17 @@ def raw_columns(current: DataFrame, spec: TableSpec) -> DataFrame:
 
 def load_raw(spark: SparkSession, spec: TableSpec, landing: str, base: str,
              key=None, keep: int = KEEP_VERSIONS, stage: bool = True,
-             full_snapshot: bool = False, bucket_bytes: int = tables.BUCKET_BYTES) -> int:
+             full_snapshot: bool = False, bucket_bytes: int = tables.BUCKET_BYTES,
+             on_malformed: str = KEEP, header: bool = True) -> int:
     """Landing CSV -> new raw version (older ones pruned to ``keep``). Returns rows."""
-    return raw_load(spark, spec, landing, base, key, keep, stage, full_snapshot, bucket_bytes)[0]
+    return raw_load(spark, spec, landing, base, key, keep, stage, full_snapshot, bucket_bytes,
+                    on_malformed, header)[0]
 
 
 def raw_load(spark: SparkSession, spec: TableSpec, landing: str, base: str,
              key=None, keep: int = KEEP_VERSIONS, stage: bool = True, full_snapshot: bool = False,
-             bucket_bytes: int = tables.BUCKET_BYTES) -> tuple[int, int]:
+             bucket_bytes: int = tables.BUCKET_BYTES, on_malformed: str = KEEP,
+             header: bool = True) -> tuple[int, int]:
     """J1 with its counts: (rows of the table, rows of this batch that were malformed in the file).
 
     The landing files are parsed once, into a staged Parquet copy (K2) that is deleted
@@ -115,8 +148,13 @@ def raw_load(spark: SparkSession, spec: TableSpec, landing: str, base: str,
     table in buckets (``bucket_bytes`` each) only those that the batch meets are read and
     written. ``full_snapshot=True`` says the landing file re-delivers the whole table (as the
     source system's feeds do): the merge then shuffles keys only, not current rows.
+    ``on_malformed="reject"`` leaves short, long and otherwise malformed rows out and writes them,
+    with their raw text, to ``<base>/_rejects/<table>/load=<version>``; a load that is retried
+    writes that folder anew.
     """
     keys = _keys(spec, key)                        # a wrong key fails before any I/O
+    if on_malformed not in (KEEP, REJECT):
+        raise ValueError(f"on_malformed must be {KEEP!r} or {REJECT!r}, got {on_malformed!r}")
     if not layers.exists(spark, landing):          # S6: probe before planning the read
         raise FileNotFoundError(f"PATH_NOT_FOUND: no landing file for {spec.name}: {landing}")
     path = table_path(base, RAW, spec)
@@ -128,7 +166,9 @@ def raw_load(spark: SparkSession, spec: TableSpec, landing: str, base: str,
         with temporary(spark):
             merged = raw_rows(spark, spec, landing, key,
                               lambda met, size: target.plan(None if full_snapshot else met, size),
-                              stage_path, full_snapshot, malformed=bad, load=target.version)
+                              stage_path, full_snapshot, malformed=bad, load=target.version, header=header,
+                              reject_path=(f"{rejects_path(base, spec)}/load={target.version}"
+                                           if on_malformed == REJECT else None))
             rows = target.write(merged)
     finally:
         if stage_path:
@@ -277,7 +317,8 @@ def run_all(spark: SparkSession, landing_root: str, base: str,
             specs: tuple[TableSpec, ...] = ALL_SPECS, key=None,
             cast_mode: str = casts.STRICT, write_mode: str = tables.APPEND,
             on_error: str = "skip", parallelism: int = 8,
-            full_snapshot: bool = False, database: str | None = None) -> RunResult:
+            full_snapshot: bool = False, database: str | None = None,
+            on_malformed: str = KEEP) -> RunResult:
     """Every table through its layers; one table's failure does not stop the rest.
 
     Tables run as concurrent Spark jobs (``parallelism`` threads), each in its own scheduler
@@ -303,7 +344,8 @@ def run_all(spark: SparkSession, landing_root: str, base: str,
             if layer == RAW:
                 rows, malformed = raw_load(spark, spec,
                                            f"{landing_root.rstrip('/')}/{spec.source_file}",
-                                           base, key, full_snapshot=full_snapshot)
+                                           base, key, full_snapshot=full_snapshot,
+                                           on_malformed=on_malformed)
             elif layer == TRUSTED:
                 # raw was just written by this run with the same key: one row per key
                 rows = load_trusted(spark, spec, base, key, cast_mode,

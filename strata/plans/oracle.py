@@ -463,3 +463,15 @@ SQL["published_catalog_orders"] = f"""
     SELECT 'now', order_status || '*', count(*), CAST(2 * sum(CAST(order_id AS BIGINT)) AS BIGINT),
            max(order_purchase_timestamp)
     FROM ({typed("orders")}) GROUP BY order_status"""
+SQL["csv_scan_splits"] = SQL["csv_scan"]
+SQL["rejected_rows"] = f'''
+    WITH f AS (SELECT *, CAST(customer_id AS BIGINT) AS k, coalesce(customer_state, '') AS state,
+                      customer_id || ',' || customer_unique_id || ',' || customer_zip_code_prefix AS three
+               FROM ({RAW["customers"]}))
+    SELECT CASE WHEN k % 5 = 0 THEN 'short' WHEN k % 7 = 0 THEN 'long' ELSE 'loaded' END AS reason,
+           CAST(1 AS BIGINT) AS load,
+           CASE WHEN k % 5 = 0 THEN three
+                WHEN k % 7 = 0 THEN three || ',"' || customer_city || ', ""x""",' || state || ',more, and more'
+                ELSE concat_ws('|', customer_id, customer_unique_id, customer_zip_code_prefix,
+                               customer_city || ', "x"', nullif(state, '')) END AS line
+    FROM f'''

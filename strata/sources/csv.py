@@ -24,9 +24,9 @@ def read_csv(spark: SparkSession, path, schema: T.StructType | TableSpec,
 
     Short rows are padded with null and long rows cut (``PERMISSIVE``). With
     ``corrupt_column`` the raw text of such rows is kept in that column, so bad
-    rows can be routed with one filter. ``multiline`` is needed when quoted
-    fields hold newlines; a quoted field may span any split, so such files are read
-    one task per file: a large multiline feed (the reviews) has to land as many files.
+    rows can be routed with one filter (``reject_rows``). ``multiline`` is needed when
+    quoted fields hold newlines; a quoted field may span any split, so Spark reads such
+    files one task per file: ``multiline.read_multiline`` reads a large one in splits.
     """
     if isinstance(schema, TableSpec):
         if multiline is None:
@@ -68,6 +68,22 @@ def with_source_order(df: DataFrame, load: int | None = None) -> DataFrame:
     return df.select("*", arrival(file_place(), load).alias(ARRIVAL))
 
 
+def reject_rows(rows: DataFrame, fields: int) -> DataFrame:
+    """(line, reason, time, path, block, row): the malformed ones of ``rows`` (which have ``CORRUPT``
+    and ``ARRIVAL``), as their raw text, with what is wrong and where they are.
+
+    Separators count outside of quotes: too few make a row ``short``, too many ``long``; a quote
+    that does not close is an ``open quote``; what else the parser refused is ``malformed``."""
+    line = F.col(CORRUPT)
+    bare = F.regexp_replace(line, '"[^"]*"', "")             # a doubled quote is two quoted parts
+    found = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    reason = (F.when(bare.contains('"'), F.lit("open quote")).when(found < fields, F.lit("short"))
+              .when(found > fields, F.lit("long")).otherwise(F.lit("malformed")))
+    return (rows.where(line.isNotNull())
+            .select(line.alias("line"), reason.alias("reason"),
+                    *[F.col(ARRIVAL)[c].alias(c) for c in ("time", "path", "block", "row")]))
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Write a frame as headed CSV in the feeds' dialect (a landing drop)."""
     (df.write.mode(mode).options(**CSV_OPTIONS).option("header", "true")
