@@ -7,7 +7,7 @@ checkpoint folder and return a frame that reads the written files back.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -447,6 +447,25 @@ def loaded_in_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded("customers", bucket_bytes=1 << 14)(spark, sf_dir)
 
 
+def sorted_files_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1 in files: refined orders in files of disjoint key ranges. Rows, and how many files have a
+    key that is not above all keys of the file before."""
+    spec = S.ORDERS
+    root = work_dir(spark, "sorted_files_orders")
+    base = f"{root}/lake"
+    landing = csv_src.write_csv(standins.feed(spark, sf_dir, spec), f"{root}/landing")
+    jobs.load_raw(spark, spec, landing, base)
+    jobs.load_trusted(spark, spec, base, raw_unique=True)
+    jobs.load_refined(spark, spec, base, write_mode=tables.OVERWRITE, sort_files=True)
+    refined = spark.read.parquet(jobs.table_path(base, jobs.REFINED, spec))
+    files = refined.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("order_id").alias("low"), F.max("order_id").alias("high"))
+    # one row for each file
+    above = F.max("high").over(Window.orderBy("low", "high").rowsBetween(Window.unboundedPreceding, -1))
+    return (files.select("n", (F.col("low") <= above).alias("meets"))
+            .agg(F.sum("n").alias("orders"), F.count(F.when(F.col("meets"), 1)).alias("files_that_meet")))
+
+
 def published_catalog_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3/J3 to a catalog table: an append, an overwrite by switching the table to a complete
     folder, and an overwrite that fails. A reader that began before the switch ends with its rows;

@@ -283,13 +283,15 @@ def refined_rows(trusted: DataFrame, spec: TableSpec, mode: str = casts.STRICT)
 
 def load_refined(spark: SparkSession, spec: TableSpec, base: str,
                  write_mode: str = tables.APPEND, mode: str = casts.STRICT,
-                 table: str | None = None) -> int:
-    """Newest trusted version -> refined table (append by default)."""
+                 table: str | None = None, sort_files: bool = False) -> int:
+    """Newest trusted version -> refined table (append by default), with ``sort_files`` in
+    files of disjoint ranges of the natural key."""
     trusted = layers.read_layer(spark, table_path(base, TRUSTED, spec))
     if trusted is None:
         raise FileNotFoundError(f"no trusted version of {spec.name}")
     return tables.publish(refined_rows(trusted, spec, mode), write_mode, table=table,
-                          path=table_path(base, REFINED, spec), schema=spec.refined_schema)
+                          path=table_path(base, REFINED, spec), schema=spec.refined_schema,
+                          sort_key=spec.keys() if sort_files else None)
 
 
 def _error_text(e: BaseException) -> str:

@@ -475,3 +475,4 @@ SQL["rejected_rows"] = f'''
                 ELSE concat_ws('|', customer_id, customer_unique_id, customer_zip_code_prefix,
                                customer_city || ', "x"', nullif(state, '')) END AS line
     FROM f'''
+SQL["sorted_files_orders"] = "SELECT count(*) AS orders, CAST(0 AS BIGINT) AS files_that_meet FROM orders"
