@@ -44,6 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import ID, TEXT, ship, utf8, write_table
+from strata.operators.joins import sized
 
 GRAM = 8                     # bytes of an anchor's k-gram
 MIX = 0x9E3779B97F4A7C15     # odd multiplier of the k-gram hash (2^64 / golden ratio)
@@ -218,7 +219,9 @@ def with_bytes(members: DataFrame, texts: DataFrame, length: int) -> DataFrame:
                     yield (m["core"], m["context"], m["copies"], k1.as_py(), k2.as_py(), m["place"],
                            text[first:last + length])
 
-    joined = packed_texts(texts, False).join(asked, ["k1", "k2"]).select("k1", "k2", "z", "asked")
+    # one row for each text, however many copies it has; the join takes the same partitioning
+    once = packed_texts(texts, False).dropDuplicates(["k1", "k2"])
+    joined = once.join(asked, ["k1", "k2"]).select("k1", "k2", "z", "asked")
     return joined.mapInArrow(lambda b: batches_of(CELL_NAMES, CELL_KINDS, rows(b)), CELL_TYPE)
 
 
@@ -282,12 +285,25 @@ def maximal_repeats(left: list[bytes], right: list[bytes], length: int
 
 
 def repeated_offsets(left: list[bytes], right: list[bytes], length: int) -> list[list[tuple[int, int]]]:
-    """For each member the (lowest, highest) window offsets that repeat in the group."""
-    found: list[list[tuple[int, int]]] = [[] for _ in left]
+    """For each member the window offsets that repeat in the group, as ranges (lowest, highest)
+    that neither meet nor adjoin: a member lies in many nested groups, whose ranges overlap."""
+    found: list[set[tuple[int, int]]] = [set() for _ in left]
     for reach, depth, members in maximal_repeats(left, right, length):
+        span = max(0, length - depth), reach
         for m in members:
-            found[m].append((max(0, length - depth), reach))
-    return found
+            found[m].add(span)
+    return [united(spans) for spans in found]
+
+
+def united(spans: set[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The union of ranges of integers, as the fewest ranges."""
+    out: list[tuple[int, int]] = []
+    for low, high in sorted(spans):
+        if out and low <= out[-1][1] + 1:
+            out[-1] = out[-1][0], max(out[-1][1], high)
+        else:
+            out.append((low, high))
+    return out
 
 
 SPAN_NAMES = ["k1", "k2", "first", "last"]
@@ -366,14 +382,14 @@ def repeated_windows(texts: DataFrame, length: int, max_group: int) -> DataFrame
         mixed.groupBy("core", "context")
         .agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("k1", "k2", "place")).alias("m"))
         .select("core", "context", "copies", "m.k1", "m.k2", "m.place"), "contexts")
-    copied = members.where("copies > 1").select("core", "context")
+    # the smaller side is measured: it is broadcast, or two plain tables meet, which a hot core can split
+    copied = sized(members.where("copies > 1").select("core", "context")).frame
     spans.append(spans_of_place(mixed.join(copied, ["core", "context"], "left_semi")))
 
     cells = with_bytes(members, texts, length)
     level = 0
     while True:
-        # equal texts each gave the bytes: one is enough
-        cells = write_table(cells.dropDuplicates(["core", "context", "k1", "k2", "place"]), "cells")
+        cells = write_table(cells, "cells")
         sizes = cells.groupBy("core").count()
         big = write_table(sizes.where(F.col("count") > max_group).select("core"), "big-groups")
         if big.isEmpty():
@@ -387,7 +403,7 @@ def repeated_windows(texts: DataFrame, length: int, max_group: int) -> DataFrame
                        F.min(F.struct("k1", "k2", "place", "bytes")).alias("m")))
         merged = write_table(merged, "merged")
         # contexts that became equal: every member's windows in the cell are repeats
-        equal = merged.where("members > 1").select("core", "context")
+        equal = sized(merged.where("members > 1").select("core", "context")).frame
         spans.append(spans_of_place(finer.join(equal, ["core", "context"], "left_semi")))
         cells = merged.select("core", "context", "copies", "m.k1", "m.k2", "m.place", "m.bytes")
     out = spans[0]

@@ -106,3 +106,27 @@ def test_groups_are_left_maximal():
 def test_bad_length(spark):
     with pytest.raises(ValueError):
         repeats.remove_repeats(cases.empty(spark), length=8)
+
+
+@pytest.mark.parametrize("m", [32, 64, 256])
+def test_spans_grow_with_the_members_not_with_their_groups(spark, m):
+    rng = random.Random(m)
+    passage = "".join(rng.choice("abcdefgh") for _ in range(120))
+    # one passage in m texts, cut at m different ends: its members lie in m nested repeat groups
+    some = ["".join(rng.choice("xyz") for _ in range(30)) + passage[i % 40:120 - i % 37]
+            + "".join(rng.choice("xyz") for _ in range(30)) for i in range(m)]
+    check(spark, some, 40)
+    left = [t[:60].encode()[::-1] for t in some]
+    right = [t[60:].encode() for t in some]
+    spans = repeats.repeated_offsets(left, right, 40)
+    assert sum(map(len, spans)) <= 2 * m
+
+
+def test_united_ranges():
+    rng = random.Random(9)
+    for _ in range(500):
+        spans = {(a, a + rng.randint(0, 5)) for a in (rng.randint(0, 40) for _ in range(rng.randint(0, 8)))}
+        held = {i for a, b in spans for i in range(a, b + 1)}
+        out = repeats.united(spans)
+        assert [i for a, b in out for i in range(a, b + 1)] == sorted(held)
+        assert all(b + 1 < c for (_, b), (c, _) in zip(out, out[1:]))
