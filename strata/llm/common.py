@@ -57,6 +57,41 @@ def utf8(column: pa.Array) -> Iterator[bytes]:
             yield value.as_py() or b""
 
 
+def well_formed(text: bytes) -> bytes:
+    """The text, with what is no UTF-8 (which Spark's strings may hold) as U+FFFD."""
+    try:
+        text.decode()
+        return text
+    except UnicodeDecodeError:
+        return text.decode("utf-8", "replace").encode()
+
+
+def fresh(docs: DataFrame, *wanted: str) -> list[str]:
+    """Names for helper columns that none of the table's columns has, in any case."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def smallest(rows: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """The ``n`` rows with the smallest hash of the first key (ties by the keys): a draw that is the same
+    for the same rows. Only rows whose hash is below a bound from their count are sorted, so that
+    not every task sends ``n`` rows to the one that merges them."""
+    hashed = F.xxhash64(keys[0])
+    total = rows.count()
+    part = (n + 6 * n ** 0.5 + 10) / total if total else 1.0
+    if part < 1:
+        low = rows.where(hashed < F.lit(int(-(1 << 63) + part * (1 << 64))))
+        if low.count() >= n:                  # many rows of one key may leave too few below the bound
+            rows = low
+    return rows.orderBy(hashed, *keys).limit(n)
+
+
 def ship(spark: SparkSession) -> None:
     """Make the package importable for the executors' Python workers (once a context).
 

@@ -6,11 +6,9 @@ third of all rows hold costs one small sketch for each task. Estimates well abov
 below ``min_sites`` decide; lines near the threshold (within ``band``, many
 standard errors) get an exact distinct count, so the result equals exact counting.
 
-Boilerplate lines are removed from their documents. Where they are more than
-``max_share`` of a document's bytes the document is a copy of a spread text rather
-than content with boilerplate around it; it stays as it is, for document dedup.
-With ``max_share=None`` no share decides: a document stays as it is only where nothing
-of it would be left and its very text is seen in another row too.
+Boilerplate lines are removed from their documents, all of them. A document stays as
+it is (``copied``) only where nothing of it would be left and its very text is seen in
+another row too: then it is a copy of a spread text, for document dedup.
 
 Lines are the parts between line feeds; lines of spaces only are never counted or
 removed. Defined results: a null site counts as no site; a null or empty text has
@@ -24,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import key_columns, write_table
+from strata.llm.common import fresh, key_columns, write_table
 from strata.operators.joins import sized
 
 SKETCH_BITS = 12             # 2^12 registers: standard error about 1.6 %
@@ -62,57 +60,50 @@ def spread_lines(docs: DataFrame, text: str, site: str, min_sites: int, band: fl
 
 
 def remove_lines(docs: DataFrame, text_col: str = "text", site_col: str = "source",
-                 min_sites: int = 10, band: float = 0.25, max_share: float | None = 0.5) -> DataFrame:
-    """The rows of ``docs`` with a struct column ``__lines``: kept (text), n_lines,
+                 min_sites: int = 10, band: float = 0.25, into: str = "__lines") -> DataFrame:
+    """The rows of ``docs`` with a struct column ``into``: kept (text), n_lines,
     n_flagged, copied and n_removed."""
+    at1, at2, at_hits, at_rows = fresh(docs, "__k1", "__k2", "__hits", "__rows")
     own = docs.select(F.col(f"`{text_col}`").cast("string").alias("t"), F.col(f"`{site_col}`").alias("s"))
     flagged = sized(spread_lines(own, "t", "s", min_sites, band), limit=BROADCAST_BYTES).frame
     k1, k2 = key_columns(F.col("t"))
-    places = own.select(k1.alias("__k1"), k2.alias("__k2"),
+    places = own.select(k1.alias(at1), k2.alias(at2),
                         F.posexplode(lines_of(F.col("t"))).alias("pos", "line"))
     l1, l2 = key_columns(F.col("line"))
     hits = (places.where(with_content(F.col("line")))
-            .select("__k1", "__k2", "pos", l1.alias("l1"), l2.alias("l2"))
+            .select(at1, at2, "pos", l1.alias("l1"), l2.alias("l2"))
             .join(flagged, ["l1", "l2"], "left_semi")
-            .groupBy("__k1", "__k2").agg(F.collect_set("pos").alias("__hits")))
-    if max_share is None:
-        # the rows of a text are counted from its key alone, whatever its length
-        rows = own.groupBy(k1.alias("__k1"), k2.alias("__k2")).agg(F.count(F.lit(1)).alias("__rows"))
-        hits = hits.join(rows, ["__k1", "__k2"])
+            .groupBy(at1, at2).agg(F.collect_set("pos").alias(at_hits)))
+    # the rows of a text are counted from its key alone, whatever its length
+    rows = own.groupBy(k1.alias(at1), k2.alias(at2)).agg(F.count(F.lit(1)).alias(at_rows))
+    hits = hits.join(rows, [at1, at2])
     # written first: a join of two plain tables can be split where a text has many copies
     hits = write_table(hits, "line-hits")
     t = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     d1, d2 = key_columns(t)
-    joined = docs.withColumn("__k1", d1).withColumn("__k2", d2).join(hits, ["__k1", "__k2"], "left")
+    joined = docs.withColumn(at1, d1).withColumn(at2, d2).join(hits, [at1, at2], "left")
     lines = lines_of(t)
     at = lambda p: F.get(lines, p)
-    size = lambda x: F.octet_length(x)
-    total = lambda a: F.aggregate(a, F.lit(0).cast("long"), lambda acc, x: acc + size(x))
-    content = F.filter(lines, with_content)
-    marked = F.transform("__hits", at)
+    content = F.size(F.filter(lines, with_content))
     # a set difference of places: linear in the lines, however many are flagged
-    rest = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "__hits"), at)
-    found = F.coalesce(F.size("__hits"), F.lit(0))
-    if max_share is None:
-        spread = (F.col("__rows") > 1) & (F.size("__hits") == F.size(content))
-    else:
-        spread = total(marked) > F.lit(max_share) * total(content)
-    copied = F.when(F.col("__hits").isNull(), False).otherwise(spread)
-    out = joined.withColumn("__copied", copied)
-    removes = F.col("__hits").isNotNull() & ~F.col("__copied")
-    return out.withColumn("__lines", F.struct(
+    rest = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), at_hits), at)
+    found = F.coalesce(F.size(at_hits), F.lit(0))
+    copied = F.coalesce((F.col(at_rows) > 1) & (F.size(at_hits) == content), F.lit(False))
+    removes = F.col(at_hits).isNotNull() & ~copied
+    return joined.withColumn(into, F.struct(
         F.when(removes, F.array_join(rest, "\n")).otherwise(t).alias("kept"),
-        F.size(content).cast("long").alias("n_lines"),
-        F.when(F.col("__hits").isNull(), 0).otherwise(found).cast("long").alias("n_flagged"),
-        F.col("__copied").alias("copied"),
+        content.cast("long").alias("n_lines"),
+        F.when(F.col(at_hits).isNull(), 0).otherwise(found).cast("long").alias("n_flagged"),
+        copied.alias("copied"),
         F.when(removes, found).otherwise(0).cast("long").alias("n_removed"),
-    )).drop("__k1", "__k2", "__hits", "__rows", "__copied")
+    )).drop(at1, at2, at_hits, at_rows)
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                site_col: str = "source", **options) -> DataFrame:
     """doc_id, n_lines, n_flagged, copied, n_removed, kept_sha256 for every row."""
-    rows = remove_lines(docs, text_col, site_col, **options)
+    rows = remove_lines(docs.select(*dict.fromkeys(f"`{c}`" for c in (id_col, text_col, site_col))), text_col,
+                        site_col, **options)
     return rows.select(F.col(f"`{id_col}`"), "__lines.n_lines", "__lines.n_flagged", "__lines.copied",
                        "__lines.n_removed", F.sha2(F.encode("__lines.kept", "UTF-8"), 256).alias("kept_sha256"))
 
@@ -124,9 +115,10 @@ def dedup_stage(docs: DataFrame, text_col: str = "text", site_col: str = "source
     A text that lost no line stays as it is (null too); ``length_col``, where there is
     one, follows the text.
     """
-    rows = remove_lines(docs, text_col, site_col, **options)
-    changed = F.col("__lines.n_removed") > 0
-    kept = F.col("__lines.kept")
+    into, = fresh(docs, "__lines")
+    rows = remove_lines(docs, text_col, site_col, into=into, **options)
+    changed = F.col(into)["n_removed"] > 0
+    kept = F.col(into)["kept"]
     columns = []
     for f in docs.schema.fields:
         c = F.col(f"`{f.name}`")
@@ -138,10 +130,11 @@ def dedup_stage(docs: DataFrame, text_col: str = "text", site_col: str = "source
     return rows.select(*columns)
 
 
-def sql(min_sites: int = 10, max_share: float = 0.5) -> str:
+def sql(min_sites: int = 10) -> str:
     """The same result by exact counting, for DuckDB."""
     return f"""
-WITH d AS (SELECT *, row_number() OVER () AS rn, coalesce("text", '') AS t FROM documents),
+WITH d AS (SELECT *, row_number() OVER () AS rn, coalesce("text", '') AS t,
+                  count(*) OVER (PARTITION BY "text") AS n_rows FROM documents),
 l AS (SELECT rn, source, unnest(string_split(t, chr(10))) AS line,
              generate_subscripts(string_split(t, chr(10)), 1) AS pos FROM d),
 spread AS (SELECT line FROM l WHERE trim(line) <> '' GROUP BY line
@@ -149,11 +142,8 @@ spread AS (SELECT line FROM l WHERE trim(line) <> '' GROUP BY line
 m AS (SELECT rn, pos, line, trim(line) <> '' AS filled,
              line IN (SELECT line FROM spread) AS hit FROM l),
 a AS (SELECT rn, count(*) FILTER (filled) AS n_lines, count(*) FILTER (hit) AS n_flagged,
-             coalesce(sum(strlen(line)) FILTER (hit), 0) > {max_share} * coalesce(sum(strlen(line)) FILTER (filled), 0)
-                 AS copied,
              coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT hit), '') AS rest
       FROM m GROUP BY rn)
-SELECT d.doc_id, n_lines, n_flagged, (n_flagged > 0 AND copied) AS copied,
-       CASE WHEN copied THEN 0 ELSE n_flagged END AS n_removed,
-       sha256(CASE WHEN n_flagged > 0 AND NOT copied THEN rest ELSE d.t END) AS kept_sha256
-FROM d JOIN a USING (rn)"""
+SELECT doc_id, n_lines, n_flagged, copied, CASE WHEN copied THEN 0 ELSE n_flagged END AS n_removed,
+       sha256(CASE WHEN n_flagged > 0 AND NOT copied THEN rest ELSE t END) AS kept_sha256
+FROM (SELECT *, n_flagged > 0 AND n_flagged = n_lines AND n_rows > 1 AS copied FROM d JOIN a USING (rn))"""

@@ -252,7 +252,7 @@ def codec(path: str) -> PieceCodec:
 def encode_row(c: PieceCodec, text: bytes) -> tuple[bytes, bytes]:
     """Ids of a whole text as little-endian words, begin and end included, and the
     bytes that decoding them gives."""
-    parts = list(map(c.memo.__getitem__, c.chunks(text.decode())))
+    parts = list(map(c.memo.__getitem__, c.chunks(text.decode("utf-8", "replace"))))
     ids = b"".join([struct.pack("<I", c.bos), *[p[0] for p in parts], struct.pack("<I", c.eos)])
     decoded = b"".join([p[1] for p in parts])
     return ids, decoded[1:] if parts else decoded     # without the space put in front

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import TEXT, ship, utf8
+from strata.llm.common import TEXT, fresh, ship, smallest, utf8
 
 SYMBOLS = b"#*$%&|<>"
 UPPER = bytes(range(65, 91))
@@ -177,7 +177,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # a bounded draw of ids first (so only they are broadcast), then of their rows
     known = (labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label_col}`").cast("int").alias("y"))
              .where("id is not null and y in (0, 1)"))
-    drawn = known.orderBy(F.xxhash64("id"), "id", "y").limit(2 * max_train)
+    drawn = smallest(known, ["id", "y"], 2 * max_train)
     rows = (docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias(TEXT))
             .where(F.octet_length(TEXT).between(1, max_train_bytes))
             .join(F.broadcast(drawn), "id")
@@ -236,4 +236,5 @@ def keep_stage(docs: DataFrame, labels: DataFrame, text_col: str = "text", min_s
                **training) -> DataFrame:
     """The rows of ``docs`` that the rules keep, all columns as they are."""
     field = train(docs, labels, text_col=text_col, **training)
-    return judge(docs, field, text_col, min_share).where("__quality.kept").drop("__quality")
+    into, = fresh(docs, "__quality")
+    return judge(docs, field, text_col, min_share, into).where(F.col(into)["kept"]).drop(into)

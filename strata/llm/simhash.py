@@ -33,8 +33,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import ID, key_columns, ship, utf8, write_table
+from strata.llm.common import ID, fresh, key_columns, ship, utf8, write_table
 from strata.llm.components import components
+from strata.operators.merge import tie_break_order
 
 BITS = 64
 BLOCK = 1 << 16             # shingles counted at once
@@ -284,9 +285,10 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     chosen = member.groupBy("root").agg(F.min("first").alias("first"))
     # id and text hash in one key: a text with many copies spreads by their ids
     key = lambda i, k1, k2: F.concat_ws("/", k1, k2, F.coalesce(i.cast("string"), F.lit("null")))
-    chosen = chosen.select(key(F.col("first.id"), F.col("first.k1"), F.col("first.k2")).alias("__key"))
+    at, n = fresh(docs, "__key", "__n")
+    chosen = chosen.select(key(F.col("first.id"), F.col("first.k1"), F.col("first.k2")).alias(at))
     k1, k2 = key_columns(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
-    kept = docs.withColumn("__key", key(F.col(f"`{id_col}`"), k1, k2)).join(chosen, "__key")
-    # rows repeated with id and text: one stays
-    again = Window.partitionBy("__key").orderBy(F.lit(0))
-    return kept.withColumn("__n", F.row_number().over(again)).where("__n = 1").drop("__key", "__n")
+    kept = docs.withColumn(at, key(F.col(f"`{id_col}`"), k1, k2)).join(chosen, at)
+    # rows repeated with id and text: the least by their other columns stays, also on a retry
+    again = Window.partitionBy(at).orderBy(*tie_break_order(docs, [id_col, text_col]))
+    return kept.withColumn(n, F.row_number().over(again)).where(F.col(n) == 1).drop(at, n)

@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import key_columns, write_table
+from strata.llm.common import fresh, key_columns, write_table
 from strata.operators.joins import sized
 
 BROADCAST_BYTES = 16 << 20   # item windows or texts in question are broadcast below this
@@ -211,9 +211,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 def clean_stage(docs: DataFrame, items: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, all columns as they are."""
+    at1, at2 = fresh(docs, "__k1", "__k2")
     found = contaminated_pairs(docs, items, text_col, **options).select(
-        F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).distinct()
+        F.col("k1").alias(at1), F.col("k2").alias(at2)).distinct()
     side = sized(found, materialize=True, limit=BROADCAST_BYTES).frame
     k1, k2 = key_columns(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
-    return (docs.withColumn("__k1", k1).withColumn("__k2", k2)
-            .join(side, ["__k1", "__k2"], "left_anti").drop("__k1", "__k2"))
+    return (docs.withColumn(at1, k1).withColumn(at2, k2)
+            .join(side, [at1, at2], "left_anti").drop(at1, at2))

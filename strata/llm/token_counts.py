@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import ID, TEXT, ship, tokenizer_path, utf8
+from strata.llm.common import ID, TEXT, ship, tokenizer_path, utf8, well_formed
 
 MEMO_ENTRIES = 1 << 20       # chunks a worker remembers; emptied when full
 MEMO_CHUNK_BYTES = 64        # longer chunks are not remembered
@@ -171,7 +171,7 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             size, tokens = [], []
             for text in utf8(batch.column(1)):
                 size.append(len(text))
-                tokens.append(table.count(text))
+                tokens.append(table.count(well_formed(text)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(size, pa.int64()), pa.array(tokens, pa.int64()),
                  pa.array([n > limit for n in tokens], pa.bool_())],

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import ID, TEXT, key_columns, ship, utf8, write_table
+from strata.llm.common import ID, TEXT, key_columns, ship, smallest, utf8, write_table
 from strata.operators.joins import sized
 
 BLOCK = 64                   # examples of a block
@@ -53,7 +53,7 @@ BROADCAST_BYTES = 16 << 20   # frequencies and norms are broadcast below this me
 
 def terms_of(word: bytes) -> list[str]:
     """The terms that a white-space separated word stands for."""
-    w = word.decode().lower().strip(EDGES)
+    w = word.decode("utf-8", "replace").lower().strip(EDGES)
     if not w:
         return []
     return [w, *("^" + w[:n] for n in (4, 5, 6) if len(w) > n)]
@@ -284,7 +284,7 @@ def draw(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_c
              .where(F.octet_length(TEXT).between(1, max_bytes)))
     drawn = None
     for y in (0, 1):
-        part = known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(max_per_class)
+        part = smallest(known.where(F.col("y") == y), ["id"], max_per_class)
         drawn = part if drawn is None else drawn.unionByName(part)
     rows = texts.join(F.broadcast(drawn), "id")
     picked = []

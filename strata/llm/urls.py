@@ -28,7 +28,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import write_table
+from strata.llm.common import smallest, write_table
 from strata.operators.joins import sized
 
 BROADCAST_BYTES = 8 << 20
@@ -114,8 +114,7 @@ def with_suffix_statistics(rows: DataFrame) -> DataFrame:
 
 def train(rows: DataFrame, max_train: int, trees: int, depth: int) -> GBTClassificationModel | None:
     """Boosted trees on a bounded draw of the labelled rows; None without both labels."""
-    drawn = (rows.where("label is not null")
-             .orderBy(F.xxhash64("url"), "url").limit(max_train))
+    drawn = smallest(rows.where("label is not null"), ["url"], max_train)
     assembler = VectorAssembler(inputCols=[*LEXICAL, *SUFFIX], outputCol="features")
     sample = write_table(assembler.transform(drawn).select("features", "label"), "url-sample")
     if sample.select("label").distinct().count() < 2:

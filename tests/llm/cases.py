@@ -3,7 +3,11 @@
 import random
 
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars int, k1 string, fp string, "
-          "line string, term int, row string, `a b` string, shard string")
+          "line string, term int, row string, `a b` string, shard string, "
+          # names that operators use for helper columns
+          "__k1 string, __k2 long, __key string, __n int, __lines string, __hits string, __rows int, "
+          "__quality string, __id string, __text string")
+MORE = ("p", 1, "q", 2, "r", None, 3, "t", "u", "v")
 WORDS = ("the of and to in is that it was for on are with as his they at be this from have or by one had "
          "not but what all were when we there can an your which their said if do will each about how up "
          "out them then she many some so these would other into has more her two like him see time could "
@@ -30,14 +34,26 @@ def texts(seed=1):
 def documents(spark, seed=1, sites=4):
     rows = []
     for i, t in enumerate(texts(seed)):
-        rows.append((i * 3, t, "en", f"s{i % sites}", len(t or ""), "x", "y", None, 1, "r", None, "z"))
-    rows.append((None, "A row without an id.", None, None, None, None, None, None, None, None, None, None))
+        rows.append((i * 3, t, "en", f"s{i % sites}", len(t or ""), "x", "y", None, 1, "r", None, "z", *MORE))
+    rows.append((None, "A row without an id.", None, None, None, None, None, None, None, None, None, None, *MORE))
     rows.append(rows[8])                       # a repeated row
     rows.append(rows[8])
     rows.append((24, "An id that occurs twice, with another text this time.", "en", "s1", 1, "", "", "", 0,
-                 "", "", ""))
+                 "", "", "", *MORE))
     return spark.createDataFrame(rows, SCHEMA).repartition(3)
 
 
+def not_utf8(spark):
+    """(doc_id, text): bytes that are no UTF-8, as Spark's strings may hold them."""
+    from pyspark.sql import functions as F
+    rows = spark.createDataFrame([(1, "FF"), (2, "6120FE6220C3"), (3, "E28220616263"), (4, "6F6B")], "doc_id long, h string")
+    return rows.select("doc_id", F.expr("cast(unhex(h) as string)").alias("text"), F.lit("s").alias("source"))
+
+
+def as_read(spark):
+    """The texts of ``not_utf8`` with U+FFFD for what is no UTF-8."""
+    return {1: "\ufffd", 2: "a \ufffdb \ufffd", 3: "\ufffd abc", 4: "ok"}
+
+
 def empty(spark):
     return spark.createDataFrame([], SCHEMA)

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.llm import quality, toxicity
+from strata.llm.common import smallest
 
 import cases
 
@@ -176,3 +177,26 @@ def test_cosines_are_over_all_terms(spark):
         assert [exact[i] for i in r.nearest] == pytest.approx(r.cosines, abs=1e-6)
     by_id = {r.doc_id: r for r in out}
     assert by_id[80].nearest and by_id[82].score == by_id[83].score == by_id[70].score
+
+
+def test_bytes_that_are_no_utf8(spark):
+    docs = cases.not_utf8(spark)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 5)], "doc_id long, toxic int")
+    assert len(toxicity.toxicity(docs, labels).collect()) == 4
+    good = labels.withColumnRenamed("toxic", "quality")
+    assert {r.doc_id: r.n_words for r in quality.quality_rules(docs, good).collect()} == {1: 1, 2: 3, 3: 2, 4: 1}
+
+
+def test_a_draw_is_the_smallest_hashes_and_sorts_few_rows(spark):
+    rows = spark.range(20_000).select((F.col("id") % 15_000).alias("id"), F.col("id").alias("y"))
+    want = rows.orderBy(F.xxhash64("id"), "id", "y").limit(50).collect()
+    frame = smallest(rows, ["id", "y"], 50)
+    assert frame.collect() == want
+    below = frame._jdf.queryExecution().optimizedPlan().toString()
+    bound = int(re.search(r"xxhash64\(id#\d+L, 42\) < (-?\d+)", below)[1])
+    assert rows.where(F.xxhash64("id") < bound).count() < 300            # of 20,000
+    for n in (0, 1, 25_000):
+        assert smallest(rows, ["id", "y"], n).count() == min(n, 20_000)
+    one = spark.range(5000).select(F.lit(1).alias("id"), F.col("id").alias("y"))      # all have one hash
+    assert smallest(one, ["id", "y"], 10).collect() == one.orderBy("y").limit(10).collect()
+    assert smallest(rows.limit(0), ["id"], 5).count() == 0

@@ -143,12 +143,12 @@ def duck(sql, docs):
 
 def test_line_dedup_equals_sql(spark):
     docs = cases.documents(spark, sites=5)
-    for sites, share in ((2, 0.5), (3, 0.9), (2, 0.05)):
-        frame = lines.line_dedup(docs, min_sites=sites, max_share=share)
+    for sites in (2, 3, 4):
+        frame = lines.line_dedup(docs, min_sites=sites)
         got = sorted((tuple(r) for r in frame.select(
             "doc_id", "n_lines", "n_flagged", "copied", "n_removed", "kept_sha256").collect()), key=str)
         want = [(None if isinstance(r[0], float) and math.isnan(r[0]) else None if r[0] is None else int(r[0]), *r[1:])
-                for r in duck(lines.sql(sites, share), docs)]
+                for r in duck(lines.sql(sites), docs)]
         assert got == sorted(want, key=str)
     assert lines.line_dedup(cases.empty(spark)).collect() == []
 
@@ -166,15 +166,16 @@ def test_line_stage_keeps_rows_and_columns(spark):
     assert out.schema.simpleString() == docs.schema.simpleString()
     assert out.count() == docs.count()
     assert None in [r.text for r in out.collect()]
-    # a spread line goes where it is the smaller part; a document made of spread lines stays
+    # every spread line goes; a text of spread lines only stays where another row has it, too
     rows = [(i, f"own words of document {i} that nobody else has\n\nshared line\nend {i}", f"s{i % 3}", 0)
-            for i in range(6)] + [(9, "shared line\nshared line", "s0", 23)]
+            for i in range(6)] + [(i, "shared line\nshared line", f"s{i}", 23) for i in (7, 8)] + [(9, "shared line", "s0", 11)]
     own = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars int")
     got = {r.doc_id: r for r in lines.dedup_stage(own, min_sites=3).collect()}
     for i in range(6):
         text = f"own words of document {i} that nobody else has\n\nend {i}"
         assert (got[i].text, got[i].n_chars) == (text, len(text))
-    assert (got[9].text, got[9].n_chars) == ("shared line\nshared line", 23)
+    assert all((got[i].text, got[i].n_chars) == ("shared line\nshared line", 23) for i in (7, 8))
+    assert (got[9].text, got[9].n_chars) == ("", 0)
 
 
 def test_every_spread_line_goes_unless_a_copy_would_vanish(spark):
@@ -183,7 +184,7 @@ def test_every_spread_line_goes_unless_a_copy_would_vanish(spark):
     rows += [(4, spread, "s0"), (5, "told on\nevery site", "s1"), (6, "told on\nevery site", "s2"),
              (7, "told on\nevery site", "s3"), (8, "told on\nevery site\nend", "s3"), (9, None, "s0")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    got = {r.doc_id: r.text for r in lines.dedup_stage(docs, min_sites=3, max_share=None).collect()}
+    got = {r.doc_id: r.text for r in lines.dedup_stage(docs, min_sites=3).collect()}
     copy = "told on\nevery site"
     assert got == {**{i: f"own {i}" for i in range(4)}, 4: "", 5: copy, 6: copy, 7: copy, 8: "end", 9: None}
 

@@ -59,7 +59,7 @@ def test_every_whole_item_in_a_document_is_found(spark):
 def test_registered_queries_are_listed():
     import __spark_entry__ as entry
     names = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in names if k.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in names if k.startswith("op")}
     assert "pipeline" in names and quality.COLUMNS
 
 

@@ -113,3 +113,12 @@ def test_awkward_rows(spark):
     assert sorted(str(r.doc_id) for r in kept) == sorted(str(label.get(g)) for g in set(group))
     for f in (simhash.near_duplicates, simhash.one_of_each):
         assert f(cases.empty(spark)).collect() == []
+
+
+def test_one_of_repeated_rows_is_the_least_by_its_other_columns(spark):
+    rows = [(1, "some words of a text that repeats here", c, n) for c, n in (("b", 1), ("a", 2), ("a", 1), (None, 3))]
+    for parts in (1, 3):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, __key string, __n int").repartition(parts)
+        out = simhash.one_of_each(docs)
+        assert out.columns == docs.columns
+        assert [tuple(r) for r in out.collect()] == [rows[3]]           # nulls are least

@@ -95,3 +95,15 @@ def test_long_word_is_linear_enough():
     codec = piece_codec.codec(P.path("piece_bpe_32k.model"))
     assert merger.count(b"ab" * 50_000) > 0
     assert codec.decode([1, *codec.encode("ab" * 50_000)]) == "ab" * 50_000
+
+
+def test_bytes_that_are_no_utf8(spark, bpe, pieces):
+    docs = cases.not_utf8(spark)
+    read = cases.as_read(spark)
+    counts = {r.doc_id: (r.n_bytes, r.n_tokens) for r in token_counts.count_tokens(docs).collect()}
+    assert counts == {1: (1, len(bpe.encode(read[1]).ids)), 2: (6, len(bpe.encode(read[2]).ids)),
+                      3: (6, len(bpe.encode(read[3]).ids)), 4: (2, len(bpe.encode(read[4]).ids))}
+    coded = {r.doc_id: r.ids_sha256 for r in piece_codec.encode_decode(docs).collect()}
+    for i, text in read.items():
+        ids = [1, *pieces.encode(text), 2]
+        assert coded[i] == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
