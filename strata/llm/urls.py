@@ -101,14 +101,17 @@ def featured(pages: DataFrame, rules: Sequence[tuple[str, str]], id_col: str, ur
 
 def with_suffix_statistics(rows: DataFrame) -> DataFrame:
     """Pages of the host's suffix and of its last label (logarithm), and the share of blocked
-    ones among those labelled (drawn towards one half where there are few)."""
+    ones among those labelled but the page itself (drawn towards one half where there are few):
+    a page's own label is no feature of it."""
     out = rows
+    own, known = F.coalesce("label", F.lit(0.0)), F.when(F.col("label").isNull(), 0).otherwise(1)
     for key in ("suffix", "top"):
-        label = F.col("label")
         stats = rows.groupBy(key).agg(
             F.log1p(F.count(F.lit(1))).alias(f"{key}_pages"),
-            ((F.coalesce(F.sum(label), F.lit(0.0)) + 5) / (F.count(label) + 10)).alias(f"{key}_share"))
-        out = out.join(sized(stats, materialize=True, limit=BROADCAST_BYTES).frame, key)
+            F.coalesce(F.sum("label"), F.lit(0.0)).alias("blocked"), F.count("label").alias("labelled"))
+        share = (F.col("blocked") - own + 5) / (F.col("labelled") - known + 10)
+        out = (out.join(sized(stats, materialize=True, limit=BROADCAST_BYTES).frame, key)
+               .withColumn(f"{key}_share", share).drop("blocked", "labelled"))
     return out
 
 

@@ -133,6 +133,16 @@ def test_trees_learn_labelled_urls(spark):
     assert sum((r.verdict == "block") == bool(r.label) for r in held) / len(held) > 0.95
 
 
+def test_a_page_is_no_evidence_for_itself(spark):
+    rows = [(f"http://h{i}.a{i % 3}.net/x", f"a{i % 3}.net", "net", float(i % 2) if i % 4 else None) for i in range(40)]
+    frame = spark.createDataFrame(rows, "url string, suffix string, top string, label double")
+    got = {r.url: r for r in urls.with_suffix_statistics(frame).collect()}
+    for url, suffix, _, label in rows:
+        for key, group in (("suffix", [r for r in rows if r[1] == suffix]), ("top", rows)):
+            others = [r[3] for r in group if r[3] is not None and r[0] != url]
+            assert got[url][f"{key}_share"] == pytest.approx((sum(others) + 5) / (len(others) + 10))
+
+
 # line dedup
 
 def duck(sql, docs):
