@@ -2,7 +2,11 @@
 
 Every stage works on all rows that the stage before it kept; its result is written as
 Parquet to the shared folder and read again. All but the last return the columns of
-the documents table.
+the documents table, other columns too, whatever their names.
+
+Defined results, in every stage: an empty table stays empty; a null text counts as an empty
+one, and stays null where it is kept; very long texts are read whole; a result does not depend
+on how rows are dealt to tasks.
 """
 
 from __future__ import annotations
@@ -16,7 +20,8 @@ from strata.sources.layers import delete_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the plain rules and the line labels keep."""
+    """Documents that the plain rules and the line labels keep. Null and empty texts have no
+    words and go; repeated rows are judged each."""
     return quality.keep_stage(docs, table(spark, sf_dir, "labels"))
 
 
@@ -27,17 +32,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates: that of the smallest id (a null id last); of
+    rows that repeat id and text the least by their other columns. Texts without a word are one
+    group."""
     return simhash.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item; null, empty and repeated rows are judged each."""
     return templates.clean_stage(docs, table(spark, sf_dir, "benchmark"), verbatim_all=True)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids (as a digest) and the decoded text's digest of what is left."""
+    """Ids (as a digest) and the decoded text's digest of what is left; a row for every row."""
     return piece_codec.encode_decode(docs)
 
 
