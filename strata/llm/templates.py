@@ -1,21 +1,26 @@
 """Benchmark decontamination by template canonicalisation, in DataFrame expressions.
 
-1. Tokens: runs of letters and digits (a number keeps its inner separators). In the
-   canonical form a number, a unit after a number and a name (a capitalised word)
-   each become a typed placeholder; all else is lower-cased. So a question whose
-   numbers, units or names were exchanged has the same template.
+1. Tokens: runs of letters and digits (a number keeps its inner separators, a word its
+   apostrophe). In the canonical form a number (in digits or as a word), a unit after a
+   number and a name (a capitalised word) each become a typed placeholder; all else is
+   lower-cased. So a question whose numbers, units or names were exchanged has the same
+   template.
 2. Hash join: each window of ``window`` canonical tokens (an item's whole template
    where it is shorter) is hashed; document windows meet item windows by hash.
    Windows of fewer than half literal tokens are not evidence and not counted.
    Beside its template an item has its wording: the same windows with lower-cased names
    instead of placeholders, and where under half of a window is literal its lower-cased
    words themselves. So a verbatim copy, in whatever case, is found by all its windows.
+   Tokens are hashed once, windows from their tokens' hashes; all sizes in one scan.
 3. Slot consistency: matched windows of one document and item with the same shift
    form an alignment. There each slot value of the item must stand for one value
    in the document; an alignment with less than ``min_consistency`` of its slot
    values consistent is no evidence.
 4. A pair (document, item) is contaminated when consistent alignments cover at least
    ``min_share`` of the item's windows, and at least ``min_windows`` or all of them.
+5. An item of under ``min_tokens`` tokens is ordinary words wherever it occurs inside a
+   sentence. It counts where it stands alone: a single token as a whole line, more as a
+   whole part between marks or line ends (``verbatim_all``).
 
 Scale: documents are read for windows once and only matched windows leave a task; the
 item windows are broadcast below a measured size and shuffled above it. Texts are
@@ -25,8 +30,9 @@ text that a third of all rows hold makes no hot group.
 Defined results: null and empty texts (and items) match nothing; an item of under
 ``min_tokens`` tokens is never found, and windows of bare numbers are no evidence, unless
 ``verbatim_all`` asks for the wording of all items, whatever they are; repeated
-items are items each; repeated rows are contaminated each; an empty table gives an
-empty result.
+items are items each; repeated rows are contaminated each; a very long text is one row's
+arrays, in time linear in its tokens; found both as template and as wording a pair
+has the template's figures; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -51,34 +57,50 @@ UNITS = ("mm", "cm", "m", "km", "in", "ft", "yd", "mi", "inch", "inches", "foot"
          "euros", "percent", "degree", "degrees", "celsius", "fahrenheit", "mph", "kmh", "watt",
          "watts", "volt", "volts", "joule", "joules", "newton", "newtons", "hz", "khz", "mhz", "ghz")
 
+# Words that are numbers: fixed values.
+NUMBER_WORDS = ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten", "eleven",
+                "twelve", "thirteen", "fourteen", "fifteen", "sixteen", "seventeen", "eighteen", "nineteen",
+                "twenty", "thirty", "forty", "fifty", "sixty", "seventy", "eighty", "ninety", "hundred",
+                "thousand", "million", "billion")
+
 WORD = "\\p{L}\\p{M}\\p{N}_"
 
 
 def tokens_text(text: Column) -> Column:
-    """Text in which a number's inner separators are token characters and a unit joined to
-    a number is a token of its own."""
+    """Text in which a number's inner separators and a word's apostrophe are token characters and a
+    unit joined to a number is a token of its own."""
     clean = F.regexp_replace(text, "[\\u0001-\\u0003_]", " ")
-    clean = F.regexp_replace(clean, "(?<=\\p{N})[.,:/](?=\\p{N})", "_")
-    return F.regexp_replace(clean, f"(?i)(?<![{WORD}])(\\p{{N}}[\\p{{N}}_]*)({'|'.join(UNITS)})(?![{WORD}])", "$1 $2")
+    # the character first, then what stands around it: a pattern that begins by looking back is slow
+    clean = F.regexp_replace(clean, "[.,:/](?<=\\p{N}.)(?=\\p{N})|['\u2019](?<=\\p{L}.)(?=\\p{L})", "_")
+    return F.regexp_replace(clean, f"(?i)(\\p{{N}}(?<![{WORD}].)[\\p{{N}}_]*)({'|'.join(UNITS)})(?![{WORD}])", "$1 $2")
 
 
 def split_tokens(text: Column, extra: str = "") -> Column:
-    return F.filter(F.split(text, f"[^{WORD}{extra}]+"), lambda t: t != "")
+    return F.array_remove(F.split(text, f"[^{WORD}{extra}]+"), "")
 
 
-def canonical(prepared: Column, names: bool = True) -> Column:
-    """The prepared text with placeholders (for names if asked), token for token."""
-    edge, after = f"(?<![{WORD}])", f"(?![{WORD}])"
-    c = F.regexp_replace(prepared, f"{edge}\\p{{N}}[\\p{{N}}_]*{after}", NUMBER)
+def numbered(prepared: Column) -> Column:
+    """The prepared text with placeholders for numbers and for units after them."""
+    after = f"(?![{WORD}])"
+    firsts = "".join(sorted({w[0] for w in NUMBER_WORDS}))
+    words = f"(?=[{firsts}{firsts.upper()}])(?<![{WORD}])(?i:{'|'.join(NUMBER_WORDS)})"
+    c = F.regexp_replace(prepared, f"(?:\\p{{N}}(?<![{WORD}].)[\\p{{N}}_]*|{words}){after}", NUMBER)
     units = "|".join(UNITS)
-    c = F.regexp_replace(c, f"(?i)({NUMBER}[^{WORD}{NUMBER}-{NAME}]{{1,2}})(?:{units}){after}", f"$1{UNIT}")
-    if names:
-        c = F.regexp_replace(c, f"{edge}\\p{{Lu}}[\\p{{Ll}}\\p{{M}}]+{after}", NAME)
-    return F.lower(c)
+    return F.regexp_replace(c, f"(?i)({NUMBER}[^{WORD}{NUMBER}-{NAME}]{{1,2}})(?:{units}){after}", f"$1{UNIT}")
+
+
+def named(text: Column) -> Column:
+    """The text with placeholders for names."""
+    return F.regexp_replace(text, f"\\p{{Lu}}(?<![{WORD}].)[\\p{{L}}\\p{{M}}_]+(?![{WORD}])", NAME)
+
+
+def canonical_tokens(with_numbers: Column, names: bool = True) -> Column:
+    """The tokens of a ``numbered`` text, lower-cased, with placeholders for names if asked."""
+    return split_tokens(F.lower(named(with_numbers) if names else with_numbers), f"{NUMBER}-{NAME}")
 
 
-def canonical_tokens(prepared: Column, names: bool = True) -> Column:
-    return split_tokens(canonical(prepared, names), f"{NUMBER}-{NAME}")
+def token_hashes(tokens: Column) -> Column:
+    return F.transform(tokens, lambda t: F.xxhash64(t))
 
 
 def literal_enough(window: Column, size) -> Column:
@@ -87,21 +109,26 @@ def literal_enough(window: Column, size) -> Column:
 
 def wording_hash(window: Column, words: Column, size) -> Column:
     """Hash of a window of the wording: its placeholders where half of it is literal, else its words."""
-    return F.when(literal_enough(window, size), F.xxhash64(window)).otherwise(
-        F.xxhash64(F.transform(words, F.lower)))
+    return F.xxhash64(token_hashes(F.when(literal_enough(window, size), window)
+                                   .otherwise(F.transform(words, F.lower))))
 
 
-def windows(forms: Column, wording: Column, words: Column, size: int) -> Column:
-    """(at, hash) of each window of ``size`` tokens as template and, where it differs, as wording."""
-    def both(i):
-        template, plain = F.slice(forms, i, size), F.slice(wording, i, size)
-        same = (template == plain) & literal_enough(plain, size)
-        return F.when(same, F.array(F.xxhash64(template))).otherwise(
-            F.array(F.xxhash64(template), wording_hash(plain, F.slice(words, i, size), size)))
+def windows(hashes: str, size: int) -> Column:
+    """The hash of each window of ``size`` tokens. ``hashes`` is a column's name: an expression
+    would be computed again for every window."""
+    tokens = F.col(hashes)
+    return F.when(F.size(tokens) >= size, F.transform(
+        F.sequence(F.lit(1), F.size(tokens) - F.lit(size - 1)),
+        lambda i: F.xxhash64(F.slice(tokens, i, size)))).otherwise(F.array().cast("array<bigint>"))
 
-    return F.when(F.size(forms) >= size, F.flatten(F.transform(
-        F.sequence(F.lit(1), F.size(forms) - F.lit(size - 1)),
-        lambda i: F.transform(both(i), lambda h: F.struct((i - 1).alias("at"), h.alias("hash"))))))
+
+def place_in_part(place: Column, parts: list[Column]) -> Column:
+    """Where a place of joined lists of the given lengths is in its own list."""
+    start, out = F.lit(0), place
+    for length in parts[:-1]:
+        start = start + length
+        out = F.when(place >= start, place - start).otherwise(out)
+    return out
 
 
 def is_slot(token: Column) -> Column:
@@ -113,11 +140,12 @@ def item_windows(items: DataFrame, id_col: str, text_col: str, window: int, min_
     """(item, kind, size, original and canonical tokens, place, hash), one row for each
     informative window of an item's template (kind 0) and each window of its wording (kind 1)."""
     prepared = items.select(F.col(f"`{id_col}`").alias("item"), tokens_text(F.col(f"`{text_col}`")).alias("p"))
+    prepared = prepared.withColumn("n", numbered(F.col("p")))
     out = None
     for kind in (0, 1):
         rows = (prepared.select("item", F.lit(kind).alias("kind"), split_tokens(F.col("p")).alias("words"),
-                                canonical_tokens(F.col("p"), kind == 0).alias("forms"))
-                .where(F.size("forms") >= (1 if kind and verbatim_all else min_tokens))
+                                canonical_tokens(F.col("n"), kind == 0).alias("forms"))
+                .where(F.size("forms") >= min_tokens)
                 .withColumn("size", F.least(F.size("forms"), F.lit(window)))
                 .withColumn("row", F.xxhash64("item", "words", "kind")))
         each = rows.select("*", F.explode(F.sequence(F.lit(0), F.size("forms") - F.col("size"))).alias("place"))
@@ -128,11 +156,30 @@ def item_windows(items: DataFrame, id_col: str, text_col: str, window: int, min_
             if not verbatim_all:
                 each = each.where(F.exists(words, lambda w: w.rlike("\\p{L}")))
         else:
-            each = each.withColumn("hash", F.xxhash64(part)).where(literal_enough(part, F.col("size")))
+            each = (each.withColumn("hash", F.xxhash64(token_hashes(part)))
+                    .where(literal_enough(part, F.col("size"))))
         out = each if out is None else out.unionByName(each)
     return out
 
 
+def alone(rows: DataFrame, items: DataFrame, id_col: str, text_col: str, min_tokens: int) -> DataFrame | None:
+    """(k1, k2, item): texts (t) in which an item of under ``min_tokens`` tokens stands alone; None
+    where there is no such item."""
+    short = (items.select(F.col(f"`{id_col}`").alias("item"), split_tokens(F.lower(tokens_text(
+        F.col(f"`{text_col}`")))).alias("tokens")).where(F.size("tokens").between(1, min_tokens - 1)))
+    short = sized(short, materialize=True, limit=BROADCAST_BYTES)
+    if short.rows == 0:
+        return None
+    out = None
+    for edges, least, most in (("[\r\n]+", 1, 1), ("[\r\n.,:;!?()\\[\\]{}<>|\"\u00ab\u00bb\u201c-\u201f\u2026]+", 2, min_tokens - 1)):
+        parts = (rows.select("k1", "k2", F.explode(F.split("t", edges)).alias("part"))
+                 .select("k1", "k2", split_tokens(F.lower(tokens_text(F.col("part")))).alias("tokens"))
+                 .where(F.size("tokens").between(least, most)))
+        found = parts.join(short.frame, "tokens").select("k1", "k2", "item")
+        out = found if out is None else out.unionByName(found)
+    return out.distinct()
+
+
 def contaminated_pairs(docs: DataFrame, items: DataFrame, text_col: str = "text",
                        item_id_col: str = "item_id", item_text_col: str = "text", window: int = 8,
                        min_share: float = 0.3, min_windows: int = 3, min_consistency: float = 0.75,
@@ -147,16 +194,24 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, text_col: str = "text"
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     k1, k2 = key_columns(text)
     rows = docs.select(k1.alias("k1"), k2.alias("k2"), text.alias("t"))
-    forms = (rows.select("k1", "k2", tokens_text(F.col("t")).alias("p"))
-             .select("k1", "k2", canonical_tokens(F.col("p")).alias("forms"),
-                     canonical_tokens(F.col("p"), False).alias("wording"), split_tokens(F.col("p")).alias("words")))
-    matched = None
-    for size in sizes or [window]:
-        side = sized(known.where(F.col("size") == size).select("row", "place", "hash"),
-                     limit=BROADCAST_BYTES).frame
-        found = (forms.select("k1", "k2", F.inline(windows(F.col("forms"), F.col("wording"), F.col("words"), size)))
-                 .join(side, "hash").select("k1", "k2", "row", "place", (F.col("at") - F.col("place")).alias("shift")))
-        matched = found if matched is None else matched.unionByName(found)
+    # windows of few literals, if an item has such, are compared by their words
+    by_words = not each.where((F.col("kind") == 1) & ~literal_enough(
+        F.slice("forms", F.col("place") + 1, F.col("size")), F.col("size"))).isEmpty()
+    kinds = ["template", "wording", *["words"] * by_words]
+    prepared = rows.select("k1", "k2", tokens_text(F.col("t")).alias("p"))
+    tokens = (prepared.select("*", numbered(F.col("p")).alias("n"))
+              .select("k1", "k2", canonical_tokens(F.col("n")).alias("template"),
+                      canonical_tokens(F.col("n"), False).alias("wording"),
+                      split_tokens(F.lower("p")).alias("words")))
+    hashed = tokens.select("k1", "k2", *[token_hashes(F.col(k)).alias(k) for k in kinds])
+    # all windows in one list: which one a place is of is found out for the matched ones only
+    asked = [(k, size) for size in sizes or [window] for k in kinds]
+    found = hashed.select("k1", "k2", F.size("template").alias("n"),
+                          F.posexplode(F.concat(*[windows(k, size) for k, size in asked])).alias("pos", "hash"))
+    side = sized(known.select("row", "place", "hash"), limit=BROADCAST_BYTES).frame
+    at = place_in_part(F.col("pos"), [F.greatest(F.lit(0), F.col("n") - F.lit(size - 1)) for _, size in asked])
+    matched = (found.join(side, "hash")
+               .select("k1", "k2", "row", "place", (at - F.col("place")).alias("shift")))
     # copies of a text are one text: sets merge before the shuffle
     aligned = matched.groupBy("k1", "k2", "row", "shift").agg(F.collect_set("place").alias("places"))
     aligned = write_table(aligned, "aligned")
@@ -194,7 +249,13 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, text_col: str = "text"
     # found as template and as wording: one pair, with the template's figures
     one = result.groupBy("k1", "k2", "item", F.xxhash64("words").alias("base")).agg(
         F.min(F.struct("kind", "n_windows", "n_matched", "consistency")).alias("r"))
-    return write_table(one.select("k1", "k2", "item", "r.n_windows", "r.n_matched", "r.consistency"), "leaks")
+    one = one.select("k1", "k2", "item", "r.n_windows", "r.n_matched", "r.consistency")
+    short = alone(rows, items, item_id_col, item_text_col, min_tokens) if verbatim_all else None
+    if short is not None:
+        whole = F.lit(1).cast("long")
+        one = one.unionByName(short.select("k1", "k2", "item", whole.alias("n_windows"), whole.alias("n_matched"),
+                                           F.lit(1.0).alias("consistency")))
+    return write_table(one, "leaks")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
