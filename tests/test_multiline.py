@@ -8,11 +8,11 @@ from pyspark.sql import types as T
 
 from conftest import SF_SMALL, write_text
 from strata import specs as S
-from strata.plans import jobs
+from strata.plans import jobs, standins
 from strata.plans.standins import table
 from strata.sources import csv as C
 from strata.sources import layers
-from strata.sources.multiline import read_multiline, records
+from strata.sources.multiline import in_whole_files, read_multiline, records
 
 SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("a", "b", "c")])
 
@@ -132,3 +132,29 @@ def test_reasons(spark):
     rows = spark.createDataFrame([(k,) for k in lines], f"{C.CORRUPT} string")
     rows = rows.withColumn(C.ARRIVAL, F.lit(None).cast(C.ARRIVAL_TYPE))
     assert {r.line: r.reason for r in C.reject_rows(rows, 3).collect()} == lines
+
+
+def test_files_no_larger_than_a_split_are_read_without_a_shuffle(spark, tmp_dir):
+    docs = table(spark, SF_SMALL, "documents")
+    path = C.write_csv(docs.repartition(3), f"{tmp_dir}/csv")
+    split = read_multiline(spark, path, docs.schema)
+    whole = read_multiline(spark, path, docs.schema, whole_files=True)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in plan(split) and "Exchange" not in plan(whole)
+    assert split.dtypes == whole.dtypes
+    rows = lambda df: sorted(map(str, df.drop(C.ARRIVAL).collect()))
+    assert rows(whole) == rows(split) and whole.count() == docs.count()
+    # the order of arrival in a file is that of its records
+    at = lambda df: [r[0] for r in df.orderBy(f"{C.ARRIVAL}.path", f"{C.ARRIVAL}.block",
+                                              f"{C.ARRIVAL}.row").select("doc_id").collect()]
+    assert at(whole) == at(split)
+    plain = jobs.landing_rows(spark, S.REVIEWS, C.write_csv(standins.feed(spark, SF_SMALL, S.REVIEWS), f"{tmp_dir}/r"))
+    assert "Exchange" not in plan(plain) and plain.columns == [*S.REVIEWS.columns, C.CORRUPT, C.ARRIVAL]
+
+
+def test_large_files_and_files_with_carriage_returns_are_read_in_splits(spark, tmp_dir, small_splits):
+    write_text(f"{tmp_dir}/l/part-0.csv", "a,b,c\n1,\"" + "text\n" * 30 + "\",z\n")
+    write_text(f"{tmp_dir}/r/part-0.csv", 'a,b,c\r\n1,"x\r\ny",z\r\n')
+    write_text(f"{tmp_dir}/n/part-0.csv", 'a,b,c\n1,"x\ny",z\n')
+    assert [in_whole_files(spark, f"{tmp_dir}/{d}") for d in "lrn"] == [False, False, True]
+    assert read_multiline(spark, f"{tmp_dir}/r", SCHEMA, whole_files=True).first().b == "x\r\ny"
