@@ -4,6 +4,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 import regex as R
 
 import cases
@@ -171,3 +172,26 @@ def test_very_long_text_and_bytes(spark):
     assert T.decontaminate(bad, spark.createDataFrame([(1, item)], "item_id long, text string")).count() == 0
     assert T.clean_stage(cases.documents(spark), spark.createDataFrame([(1, "ab ab ab ab ab")],
                                                                       "item_id long, text string")).columns[-1] == "__text"
+
+
+def test_only_windows_that_begin_like_an_item_window_are_hashed(spark, monkeypatch):
+    items = spark.createDataFrame([(1, "red fish swim under cold bridges near Dover at 5 km"),
+                                   (2, "blue birds sing"), (3, "Red Fish rest")], "item_id int, text string")
+    each = T.item_windows(items, "item_id", "text", 4, 2, True).cache()
+    starts = {n: T.beginnings_of(each, n) for n in (3, 4)}
+    text = "we saw that red fish swim under cold bridges near Paris at 9 km and blue birds sing, RED FISH REST"
+    doc = (spark.createDataFrame([(text,)], "t string").select(T.numbered(T.tokens_text(F.col("t"))).alias("n"))
+           .select(T.canonical_tokens(F.col("n")).alias("f")).select(T.token_hashes(F.col("f")).alias("h"))).cache()
+    known = {r[0] for r in each.select("hash").collect()}
+    for n in (3, 4):
+        every = {tuple(r) for r in doc.select(F.explode(T.windows("h", n)).alias("w")).select("w.*").collect()}
+        some = {tuple(r) for r in doc.select(F.explode(T.windows("h", n, starts[n])).alias("w")).select("w.*").collect()}
+        assert some < every and len(some) < len(every) / 2 + 1
+        assert {w for w in every if w[1] in known} == {w for w in some if w[1] in known} != set()
+    # too many pairs to be told: all windows are hashed, and the pairs found are the same
+    docs = spark.createDataFrame([(1, text), (2, "nothing of it"), (3, None)], "doc_id int, text string")
+    pairs = lambda: sorted(map(tuple, T.decontaminate(docs, items, window=4, min_tokens=2,
+                                                      verbatim_all=True).collect()))
+    found = pairs()
+    monkeypatch.setattr(T, "BEGINNINGS", 1)
+    assert T.beginnings_of(each, 4) is None and pairs() == found and {p[1] for p in found} == {1, 2, 3}
