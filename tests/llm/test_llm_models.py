@@ -5,6 +5,8 @@ import zlib
 from collections import Counter
 from itertools import product
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -278,3 +280,53 @@ def test_common_lines_are_of_different_texts_and_sites():
     sample += [(b"narrow\n" + base[i] + b"\ny%d" % i, "one", 1) for i in range(4)]
     common = quality.common_lines(sample, 3)
     assert common == {quality.line_hash([b"shared"])}        # not the copies' lines, not one site's
+
+
+def test_terms_of_many_texts_at_once(monkeypatch):
+    rng, calls, plain = random.Random(3), [], toxicity.bare
+    words = ["Word,", "word", "(WORDS)", "élan", "Élans!", "straße", "...", "abcdefgh", "^abcd", "x" * 50, "1234567"]
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 30))).encode() for _ in range(200)] + [b"\xff\xfe a\x0bb", b""]
+
+    def counted(word):
+        calls.append(word)
+        return plain(word)
+
+    monkeypatch.setattr(toxicity, "bare", counted)
+    known = pa.array(["word", "^abcd", "élan"])
+    place, term, times, names = toxicity.term_counts(pa.array(texts, pa.binary()).view(pa.string()), known, True)
+    name = known.to_pylist() + names.to_pylist()
+    want = []
+    for text in texts:
+        bare = [w for w in (plain(x) for x in text.split()) if w]
+        want.append(Counter(t for w in bare for t in [w, *("^" + w[:n] for n in (4, 5, 6) if len(w) > n)]))
+    got = [{} for _ in texts]
+    for p, t, n in zip(place.tolist(), term.tolist(), times.tolist()):
+        got[p][name[t]] = n
+    assert got == want
+    assert sorted(calls) == sorted({w.encode() for w in words if not w.isascii()} | {b"\xff\xfe"})   # once for all texts
+
+
+def test_queries_together_give_what_each_gives_alone():
+    rng = random.Random(6)
+    vectors = [{t: rng.random() for t in rng.sample(range(3000), 40)} for _ in range(300)]
+    index = toxicity.BlockMaxIndex.build(vectors, 3000)
+    assert (index.columns >= 0).sum() == toxicity.OFTEN < 3000            # both ways of storing are met
+    queries = [dict(sorted({t: rng.random() for t in rng.sample(range(3000), 60)}.items())) for _ in range(40)]
+    place = np.repeat(np.arange(40), 60)
+    term, factor = (np.array([x for q in queries for x in part(q)]) for part in (dict.keys, dict.values))
+    together = index.best(place, term, factor, [()] * 40, 10)
+    for q, found in zip(queries, together):
+        assert found == index.nearest(q, 10)                              # to the last bit
+        exact = sorted((sum(q[t] * v[t] for t in q.keys() & v.keys()) for v in vectors), reverse=True)[:10]
+        assert [p for p, _ in found] == pytest.approx([p for p in exact if p > 0])
+
+
+def test_other_terms_are_kept_by_document(spark):
+    docs = spark.createDataFrame([(1, "alpha beta beta gammas"), (2, "alpha"), (3, "deltas beta"), (4, None)],
+                                 "doc_id long, text string").repartition(2)
+    df, others, n = toxicity.count_terms(docs, "text", pa.array(["alpha", "beta", "zeta", "^alph"]))
+    assert (df, n) == ([2, 2, 0, 2], 4)
+    rows = others.collect()
+    assert len({r.row for r in rows}) == len(rows) == 2                   # a row for each document with such terms
+    assert sorted(tuple(sorted(zip(r.words, r.times))) for r in rows) == [
+        (("^delt", 1), ("^delta", 1), ("deltas", 1)), (("^gamm", 1), ("^gamma", 1), ("gammas", 1))]
