@@ -321,6 +321,27 @@ def test_queries_together_give_what_each_gives_alone():
         assert [p for p, _ in found] == pytest.approx([p for p in exact if p > 0])
 
 
+def test_queries_are_grouped_by_their_postings(monkeypatch):
+    assert list(toxicity.groups([3, 9, 2, 2, 2, 20, 1], 2, 10)) == [(0, 1), (1, 2), (2, 4), (4, 5), (5, 6), (6, 7)]
+    assert list(toxicity.groups([], 2, 10)) == [] and list(toxicity.groups([0, 0, 0], 2, 10)) == [(0, 2), (2, 3)]
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(4000)}" for _ in range(60)).encode() for _ in range(150)]
+    words = sorted({w for t in texts for w in t.decode().split()})
+    model = toxicity.ToxicityModel(pa.array(words), np.array([1 + rng.random() for _ in words]), None, [], [], {}, 0.5, 5)
+    model.index = toxicity.BlockMaxIndex.of(model.units(texts[:100]), len(words))
+    column, calls, best = pa.array(texts, pa.binary()).view(pa.string()), [], toxicity.BlockMaxIndex.best
+
+    def spy(index, place, term, factor, skips, k):
+        calls.append(int(index.postings(term).sum()) if len(skips) > 1 else 0)
+        return best(index, place, term, factor, skips, k)
+
+    monkeypatch.setattr(toxicity.BlockMaxIndex, "best", spy)
+    want = model.near(column)
+    monkeypatch.setattr(toxicity, "POSTINGS", 200)
+    assert len(calls) == 3 and model.near(column) == want
+    assert len(calls) > 10 and max(calls[3:]) <= 200
+
+
 def test_other_terms_are_kept_by_document(spark):
     docs = spark.createDataFrame([(1, "alpha beta beta gammas"), (2, "alpha"), (3, "deltas beta"), (4, None)],
                                  "doc_id long, text string").repartition(2)
